@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from checks import views  # noqa: F401
+from checks import dates, deid, views  # noqa: F401

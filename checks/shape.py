@@ -55,6 +55,7 @@ CLASS_CODES = ["IV", "4", "II"]
 
 # Orders
 ICD = "concat('C', lpad(cast(o_orderkey % 97 as string), 2, '0'), '.', cast(o_orderkey % 10 as string))"
+PROSTATE_CODES = [f"C61.{i}" for i in range(10)]
 ASSERTED = f"CASE WHEN o_orderkey % 17 <> 0 THEN {partial('o_orderdate', 'o_orderkey')} END"
 RECORDED = f"concat({day('o_orderdate')}, 'T10:00:00+01:00')"
 PROFILE_OF_CONDITION = (

@@ -49,19 +49,8 @@ query(
     "view_prostate_conditions",
     f"""SELECT concat('Condition/', o_orderkey) AS condition_id, concat('Patient/', o_custkey) AS patient_id,
         {H.ASSERTED} AS asserted_date, {H.RECORDED} AS recorded_date
-        FROM orders WHERE {H.ICD} = 'C61.0'""",
-)(
-    lambda t: V.view(
-        H.condition(t),
-        {
-            "condition_id": P.resource_key("Condition"),
-            "patient_id": P.reference_key("subject"),
-            "asserted_date": P.extension_value(K.ASSERTED_DATE, "valueDateTime"),
-            "recorded_date": F.col("recordedDate"),
-        },
-        P.has_coding("code", K.ICD10, ["C61.0"]),
-    )
-)
+        FROM orders WHERE o_orderkey % 97 = 61""",
+)(lambda t: V.prostate_conditions(H.condition(t), H.PROSTATE_CODES))
 
 query(
     "view_onset_conditions",

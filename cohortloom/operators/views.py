@@ -6,7 +6,7 @@ scan stage and only the nested fields a view needs are read.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,7 +113,7 @@ def primary_conditions(condition: DataFrame) -> DataFrame:
     return conditions(condition, P.profile_is(K.PRIMARY_TUMOUR))
 
 
-def prostate_conditions(condition: DataFrame) -> DataFrame:
+def prostate_conditions(condition: DataFrame, codes: Sequence[str] = (K.PROSTATE,)) -> DataFrame:
     return view(
         condition,
         {
@@ -122,7 +122,7 @@ def prostate_conditions(condition: DataFrame) -> DataFrame:
             "asserted_date": P.extension_value(K.ASSERTED_DATE, "valueDateTime"),
             "recorded_date": F.col("recordedDate"),
         },
-        P.has_coding("code", K.ICD10, [K.PROSTATE]),
+        P.has_coding("code", K.ICD10, codes),
     )
 
 

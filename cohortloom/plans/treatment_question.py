@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import functions as F
 
 from cohortloom import constants as K
@@ -17,9 +19,12 @@ REFERENCE_DATE = "2024-04-01"
 
 
 def treatment_question(
-    source: Source, drug: str = K.ENZALUTAMIDE, reference: str = REFERENCE_DATE
+    source: Source,
+    drug: str = K.ENZALUTAMIDE,
+    reference: str = REFERENCE_DATE,
+    codes: Sequence[str] = (K.PROSTATE,),
 ) -> Tables:
-    conditions = V.prostate_conditions(source["Condition"])
+    conditions = V.prostate_conditions(source["Condition"], codes)
     staging = V.tnm_nm_staging(source["Observation"])
     statements = L.resolve_medication(
         V.medication_statements(source["MedicationStatement"]), V.medications(source["Medication"])
