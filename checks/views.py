@@ -97,20 +97,18 @@ query(
     ),
 )(lambda t: V.gleason(H.observation(t)))
 
-query(
-    "view_tnm_parent",
-    " UNION ALL ".join(
-        observation_sql(
-            2,
-            {
-                "parent_tnm_observation_id": OBS_KEY,
-                "parent_tnm_date": H.OBS_DATE,
-                "has_member": f"concat('Observation/', l_orderkey, '-{m}')",
-            },
-        )
-        for m in ("t", "n")
-    ),
-)(lambda t: V.tnm_parent(H.observation(t)))
+TNM_PARENT_SQL = " UNION ALL ".join(
+    observation_sql(
+        2,
+        {
+            "parent_tnm_observation_id": OBS_KEY,
+            "parent_tnm_date": H.OBS_DATE,
+            "has_member": f"concat('Observation/', l_orderkey, '-{m}')",
+        },
+    )
+    for m in ("t", "n")
+)
+query("view_tnm_parent", TNM_PARENT_SQL)(lambda t: V.tnm_parent(H.observation(t)))
 
 
 def _tnm_sql(d: str, kind: int) -> str:
