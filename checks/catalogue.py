@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from checks import dates, deid, linkage, views  # noqa: F401
+from checks import cohorts, dates, deid, linkage, views  # noqa: F401

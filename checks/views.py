@@ -180,18 +180,16 @@ def _staging_sql(d: str, kind: int) -> str:
 STAGING_SQL = f"{_staging_sql('n', 4)} UNION ALL {_staging_sql('m', 5)}"
 query("view_tnm_nm_staging", STAGING_SQL)(lambda t: V.tnm_nm_staging(H.observation(t)))
 
-query(
-    "view_metastases",
-    observation_sql(
-        8,
-        {
-            "observation_metastasis_resource_id": OBS_KEY,
-            "condition_id": H.OBS_CONDITION,
-            "metastasis_loc": H.pick(Q, H.SITES),
-            "metastasis_date": H.OBS_DATE,
-        },
-    ),
-)(lambda t: V.metastases(H.observation(t)))
+METASTASES_SQL = observation_sql(
+    8,
+    {
+        "observation_metastasis_resource_id": OBS_KEY,
+        "condition_id": H.OBS_CONDITION,
+        "metastasis_loc": H.pick(Q, H.SITES),
+        "metastasis_date": H.OBS_DATE,
+    },
+)
+query("view_metastases", METASTASES_SQL)(lambda t: V.metastases(H.observation(t)))
 
 query(
     "view_progressions",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.dates import parse_iso
@@ -11,6 +11,12 @@ from cohortloom.operators.skew import spread_join
 PATIENT = "observation_death_patient_resource_id"
 
 
+def _first_flag() -> Column:
+    """Known tumour flag of the smallest observation id, the smaller flag where one has several."""
+    flag = F.col("death_cause_tumor")
+    return F.min_by(flag, F.when(flag.isNotNull(), F.struct(F.col("observation_resource_id"), flag)))
+
+
 def consolidate_deaths(deaths: DataFrame) -> DataFrame:
     """One row per patient out of repeated death observations.
 
@@ -20,10 +26,7 @@ def consolidate_deaths(deaths: DataFrame) -> DataFrame:
     """
     per_cause = deaths.groupBy(PATIENT, "death_cause_icd10", "date_death").agg(
         F.min("observation_resource_id").alias("observation_resource_id"),
-        F.min_by(
-            "death_cause_tumor",
-            F.when(F.col("death_cause_tumor").isNotNull(), F.col("observation_resource_id")),
-        ).alias("death_cause_tumor"),
+        _first_flag().alias("death_cause_tumor"),
     )
     by_tumour = F.col("death_cause_icd10").startswith("C") & F.col("death_cause_tumor").isin("U", "N")
     fixed = per_cause.withColumn(
@@ -32,10 +35,7 @@ def consolidate_deaths(deaths: DataFrame) -> DataFrame:
     return fixed.groupBy(PATIENT).agg(
         F.min("date_death").alias("date_death"),
         F.min("observation_resource_id").alias("observation_resource_id"),
-        F.min_by(
-            "death_cause_tumor",
-            F.when(F.col("death_cause_tumor").isNotNull(), F.col("observation_resource_id")),
-        ).alias("death_cause_tumor"),
+        _first_flag().alias("death_cause_tumor"),
         F.nullif(
             F.array_join(F.sort_array(F.collect_set("death_cause_icd10")), "|"), F.lit("")
         ).alias("death_cause_icd10"),
