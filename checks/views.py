@@ -333,9 +333,7 @@ query(
     ),
 )(lambda t: V.genetic_variants(H.observation(t)))
 
-query(
-    "view_labs",
-    observation_sql(
+LABS_SQL = observation_sql(
         15,
         {
             "observation_id": H.OBS_ID,
@@ -347,8 +345,8 @@ query(
             "lab_quantity_unit": H.pick(Q, H.LAB_UNITS),
             "lab_codeableconcept_code": f"CASE WHEN {Q} % 9 = 0 THEN '260385009' END",
         },
-    ),
-)(lambda t: V.labs(H.observation(t)))
+)
+query("view_labs", LABS_SQL)(lambda t: V.labs(H.observation(t)))
 
 query(
     "view_uncoded_observations",

@@ -183,7 +183,7 @@ def lab_panel(loinc: Column | str) -> Column:
 def normalise_set_string(text: Column | str, sep: str = "|", empty: str = "NON") -> Column:
     """Split, trim, drop blanks, dedupe, sort, rejoin; nothing left gives ``empty``."""
     parts = F.split(F.coalesce(_col(text), F.lit("")), "\\Q" + sep + "\\E")
-    clean = F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    clean = F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
     joined = F.array_join(F.array_sort(F.array_distinct(clean)), sep)
     return F.when(joined == "", F.lit(empty)).otherwise(joined)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,7 +132,6 @@ def in_treatment_window(
     lab_time: str,
     dose_time: str,
     days: int = 60,
-    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Lab rows between ``days`` before the first and ``days`` after the last dose of the key."""
     bounds = (
@@ -145,5 +142,5 @@ def in_treatment_window(
             (F.max(dose_time) + F.make_dt_interval(F.lit(days))).alias("_to"),
         )
     )
-    joined = spread_join(labs, bounds, [key], "inner", spread_by=spread_by)
+    joined = spread_join(labs, bounds, [key], "inner")
     return joined.where(F.col(lab_time).between(F.col("_from"), F.col("_to"))).drop("_from", "_to")

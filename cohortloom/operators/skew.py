@@ -8,69 +8,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.002
-SALTS = 64
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows.
-
-    There can be at most ``1 / share`` of them, whatever the size of ``df``, so the result may be
-    broadcast. Counting is combined map-side and reads only the key columns.
-    """
-    counts = (
-        df.select(*keys)
-        .where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return counts.where(F.col("_n") > F.lit(share) * total.scalar()).select(*keys)
-
-
 def spread_join(
-    many: DataFrame,
-    one: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    *,
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
-    spread_by: Sequence[str] | None = None,
+    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Equi-join of a large side with a side that has few rows per key.
+    """Equi-join of a large side with a side that was aggregated by the same keys.
 
-    Rows of ``many`` under a hot key are spread over ``salts`` partitions by a hash of their
-    content (``spread_by`` columns, all of them by default) and the matching rows of ``one`` are
-    repeated that often; all other keys join once. NULL keys, which never match, are spread too.
-    The salt is a function of the row alone, so a recomputed partition yields the same rows.
-    Supports inner, left, left_semi and left_anti.
+    Joined directly, the aggregate's own shuffle would serve the join as well, and the adaptive
+    skew rule, which only looks at shuffles right below a join, could not act: a key with a third
+    of the rows would go to one task. Joining on the keys plus a value computed from them forces a
+    fresh shuffle of the (small) aggregate. Then every partition that turns out too large, that of
+    the NULL keys included, is split over several tasks at run time, and a small aggregate is
+    broadcast once its size is known. Supports inner, left, left_semi and left_anti.
     """
     on = list(on)
-    flag = F.broadcast(hot_keys(many, on, share).withColumn("_hot", F.lit(True)))
-    content = F.pmod(F.xxhash64(*[F.col(c) for c in (spread_by or many.columns)]), F.lit(salts))
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    left = (
-        many.join(flag, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | null_key, content).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    right = (
-        one.join(flag, on, "left")
-        .withColumn(
-            "_salt",
-            F.explode(
-                F.sequence(
-                    F.lit(0).cast("bigint"),
-                    F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0)).cast("bigint"),
-                )
-            ),
-        )
-        .drop("_hot")
+    digest = F.pmod(F.xxhash64(*on), F.lit(64))
+    return (
+        many.withColumn("_digest", digest)
+        .join(one.withColumn("_digest", digest), [*on, "_digest"], how)
+        .drop("_digest")
     )
-    return left.withColumn("_salt", F.col("_salt").cast("bigint")).join(
-        right, [*on, "_salt"], how
-    ).drop("_salt")
 
 
 def number_rows(

@@ -227,28 +227,38 @@ EPOCH = "1970-01-01"
 
 
 def date_quality_profile(df: DataFrame, cols: Sequence[str], fill: str = "mid") -> DataFrame:
-    """One row per date column: how much is filled, parsed, epoch, and of which precision."""
-    parsed = df.select(*[D.parse_mixed_date(c, fill).alias(c) for c in cols])
-
-    def measures(c: str) -> Column:
-        raw, date, prec, full = (F.col(f"{c}.{x}") for x in ("raw", "date", "precision", "full"))
-        there = raw.isNotNull()
-        return F.struct(
-            F.lit(c).alias("col"),
-            F.count(F.lit(1)).alias("n_total"),
-            F.count(raw).alias("n_nonempty"),
-            F.count(date).alias("n_parsed"),
-            F.count_if(date.isNull()).alias("n_na"),
-            F.count_if(date == F.lit(EPOCH).cast("date")).alias("n_1970"),
-            F.count_if(there & (prec == "day")).alias("prec_day"),
-            F.count_if(there & (prec == "month")).alias("prec_month"),
-            F.count_if(there & (prec == "year")).alias("prec_year"),
-            F.count_if((prec == "day") & raw.rlike(D.ISO_DAY) & (raw != full)).alias("n_inconsistent"),
-            F.count_if(~F.year(date).between(1950, 2030)).alias("n_implausible_year"),
-        )
+    """One row per date column: how much is filled, parsed, epoch, and of which precision.
 
-    return parsed.agg(*[measures(c).alias(c) for c in cols]).select(
-        F.inline(F.array(*[F.col(c) for c in cols]))
+    The columns are stacked and grouped by their parsed value first, so each text is parsed once
+    and the counting runs over distinct values only.
+    """
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("text")) for c in cols]
+    )
+    values = (
+        df.select(F.inline(cells))
+        .groupBy("col", D.parse_mixed_date("text", fill).alias("p"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    raw, date, prec, full = (F.col(f"p.{x}") for x in ("raw", "date", "precision", "full"))
+    there = raw.isNotNull()
+    measures = {
+        "n_total": F.lit(True),
+        "n_nonempty": there,
+        "n_parsed": date.isNotNull(),
+        "n_na": date.isNull(),
+        "n_1970": date == F.lit(EPOCH).cast("date"),
+        "prec_day": there & (prec == "day"),
+        "prec_month": there & (prec == "month"),
+        "prec_year": there & (prec == "year"),
+        "n_inconsistent": (prec == "day") & raw.rlike(D.ISO_DAY) & (raw != full),
+        "n_implausible_year": ~F.year(date).between(1950, 2030),
+    }
+    return values.groupBy("col").agg(
+        *[
+            F.coalesce(F.sum(F.when(test, F.col("_n"))), F.lit(0)).alias(name)
+            for name, test in measures.items()
+        ]
     )
 
 
