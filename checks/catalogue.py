@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from checks import cohorts, dates, deid, linkage, reports, views  # noqa: F401
+from checks import cohorts, dates, deid, ingest, linkage, reports, texts, views  # noqa: F401

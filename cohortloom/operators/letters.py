@@ -168,14 +168,15 @@ def rule_findings(
     def word(g: str, s: Column) -> Column:
         return s.rlike(r"(?<![A-Za-z0-9])\Q" + g + r"\E(?![A-Za-z0-9])")
 
+    stated = F.filter(sentences, lambda s: _any(s, wildtype) | _any(s, mutated))
+
     def genes_in(s: Column) -> Column:
-        negative, positive = _any(s, wildtype), _any(s, mutated)
         found = [
             F.when(
-                word(g, s) & (negative | positive),
+                word(g, s),
                 F.struct(
                     F.lit(g).alias("gene"),
-                    (~negative).alias("mutated"),
+                    (~_any(s, wildtype)).alias("mutated"),
                     F.lit(None).cast("string").alias("variant_detail"),
                     date.alias("date"),
                     F.substring(s, 1, 300).alias("evidence_text"),
@@ -210,7 +211,7 @@ def rule_findings(
         )
 
     return {
-        "genes": F.flatten(F.transform(sentences, genes_in)),
+        "genes": F.flatten(F.transform(stated, genes_in)),
         "karyotypes": F.transform(
             karyo,
             lambda s: F.struct(

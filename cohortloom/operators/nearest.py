@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.operators.skew import spread_join
@@ -10,8 +10,9 @@ from cohortloom.operators.skew import spread_join
 DAY_MICROS = 86_400_000_000
 
 
-def _micros(name: str):
-    return F.unix_micros(F.col(name).cast("timestamp"))
+def _micros(name: str) -> Column:
+    """Instant in microseconds; partial date text counts from the start of its month or year."""
+    return F.unix_micros(F.col(name).try_cast("timestamp"))
 
 
 def nearest_event(

@@ -295,7 +295,7 @@ def pca_federated(sites: Mapping[str, DataFrame]) -> Tables:
     }
 
 
-def reacto_counts(source: Source) -> Tables:
+def reacto_counts(source: Source, years: tuple[int, int] = (2018, 2025)) -> Tables:
     """Tumours of five organs in the diagnosis window, and how many of each gender."""
     base = study_a(source, with_gleason=False)
     primary = PR.filter_primary_diagnosis(base)
@@ -306,7 +306,7 @@ def reacto_counts(source: Source) -> Tables:
         "condition_id",
         "left",
     )
-    window = PR.filter_entity_window(OD.cast_dates(classified, ["asserted_date"]))
+    window = PR.filter_entity_window(OD.cast_dates(classified, ["asserted_date"]), years=years)
     return {"reacto": window, "reacto_counts": TU.gender_counts(window)}
 
 
