@@ -20,12 +20,10 @@ def observation_sql(kind: str | int, columns: dict[str, str], extra: str = "") -
     return f"SELECT {cols} FROM lineitem {extra} WHERE {where}"
 
 
-query(
-    "view_patients",
-    f"""SELECT concat('Patient/', c_custkey) AS patient_resource_id, c_name AS patid_pseudonym,
-        {H.BIRTHDATE_DUCK} AS birthdate, {H.GENDER} AS gender, {H.DECEASED_AT} AS deceased_datetime,
-        cast({H.DECEASED} as varchar) AS deceased_boolean FROM customer""",
-)(lambda t: V.patients(H.patient(t)).withColumn("deceased_boolean", F.col("deceased_boolean").cast("string")))
+PATIENTS_SQL = f"""SELECT concat('Patient/', c_custkey) AS patient_resource_id, c_name AS patid_pseudonym,
+    {H.BIRTHDATE_DUCK} AS birthdate, {H.GENDER} AS gender, {H.DECEASED_AT} AS deceased_datetime,
+    cast({H.DECEASED} as varchar) AS deceased_boolean FROM customer"""
+query("view_patients", PATIENTS_SQL)(lambda t: V.patients(H.patient(t)).withColumn("deceased_boolean", F.col("deceased_boolean").cast("string")))
 
 query(
     "view_patient_mrns",
@@ -127,7 +125,8 @@ def _tnm_sql(d: str, kind: int) -> str:
     )
 
 
-query("view_tnm_t", _tnm_sql("t", 3))(lambda t: V.tnm_t(H.observation(t)))
+TNM_T_SQL = _tnm_sql("t", 3)
+query("view_tnm_t", TNM_T_SQL)(lambda t: V.tnm_t(H.observation(t)))
 query("view_tnm_n", _tnm_sql("n", 4))(lambda t: V.tnm_n(H.observation(t)))
 query("view_tnm_m", _tnm_sql("m", 5))(lambda t: V.tnm_m(H.observation(t)))
 
@@ -208,18 +207,16 @@ query(
     ),
 )(lambda t: V.progressions(H.observation(t)))
 
-query(
-    "view_gradings",
-    observation_sql(
-        10,
-        {
-            "observation_id": OBS_KEY,
-            "condition_id": H.OBS_CONDITION,
-            "grading": H.pick(Q, ["1", "2", "3", "4"]),
-            "grading_date": H.OBS_DATE,
-        },
-    ),
-)(lambda t: V.gradings(H.observation(t)))
+GRADINGS_SQL = observation_sql(
+    10,
+    {
+        "observation_id": OBS_KEY,
+        "condition_id": H.OBS_CONDITION,
+        "grading": H.pick(Q, ["1", "2", "3", "4"]),
+        "grading_date": H.OBS_DATE,
+    },
+)
+query("view_gradings", GRADINGS_SQL)(lambda t: V.gradings(H.observation(t)))
 
 
 def _both_codings(columns: dict[str, str], system: str, code: str) -> str:
@@ -244,20 +241,18 @@ query(
     ),
 )(lambda t: V.other_classifications(H.observation(t)))
 
-query(
-    "view_first_classifications",
-    observation_sql(
-        11,
-        {
-            "observation_id": OBS_KEY,
-            "meta_profile": f"'{K.OTHER_CLASSIFICATION}|1.0'",
-            "focus_reference": H.OBS_CONDITION,
-            "weitere_klassifikation_code_text": H.pick(Q, H.CLASS_NAMES),
-            "weitere_klassifikation_code": H.pick(Q, H.CLASS_CODES),
-            "weitere_klassifikation_date": H.OBS_DATE,
-        },
-    ),
-)(lambda t: V.first_classifications(H.observation(t)))
+FIRST_CLASSIFICATIONS_SQL = observation_sql(
+    11,
+    {
+        "observation_id": OBS_KEY,
+        "meta_profile": f"'{K.OTHER_CLASSIFICATION}|1.0'",
+        "focus_reference": H.OBS_CONDITION,
+        "weitere_klassifikation_code_text": H.pick(Q, H.CLASS_NAMES),
+        "weitere_klassifikation_code": H.pick(Q, H.CLASS_CODES),
+        "weitere_klassifikation_date": H.OBS_DATE,
+    },
+)
+query("view_first_classifications", FIRST_CLASSIFICATIONS_SQL)(lambda t: V.first_classifications(H.observation(t)))
 
 query(
     "view_patient_classifications",
@@ -290,33 +285,29 @@ query(
     ),
 )(lambda t: V.performance_status(H.observation(t)))
 
-query(
-    "view_ecog_status",
-    observation_sql(
-        f"{KIND} = 12 AND {Q} % 2 = 0",
-        {
-            "observation_id": OBS_KEY,
-            "observation_patient_reference": H.OBS_PATIENT,
-            "effective_dateTime": H.OBS_DATE,
-            "ecog_performance_status": H.pick(Q, ["0", "1", "2", "3", "4"]),
-        },
-    ),
-)(lambda t: V.ecog_status(H.observation(t)))
+ECOG_SQL = observation_sql(
+    f"{KIND} = 12 AND {Q} % 2 = 0",
+    {
+        "observation_id": OBS_KEY,
+        "observation_patient_reference": H.OBS_PATIENT,
+        "effective_dateTime": H.OBS_DATE,
+        "ecog_performance_status": H.pick(Q, ["0", "1", "2", "3", "4"]),
+    },
+)
+query("view_ecog_status", ECOG_SQL)(lambda t: V.ecog_status(H.observation(t)))
 
-query(
-    "view_vital_status",
-    observation_sql(
-        f"{KIND} = 13 AND {Q} % 7 <> 0",
-        {
-            "observation_id": OBS_KEY,
-            "meta_profile": "'https://example.org/observation'",
-            "observation_patient_reference": H.OBS_PATIENT,
-            "effective_dateTime": H.OBS_DATE,
-            "vitalstatus_system": "'urn:vital'",
-            "vitalstatus_code": H.pick(Q, ["L", "T"]),
-        },
-    ),
-)(lambda t: V.vital_status(H.observation(t)))
+VITAL_SQL = observation_sql(
+    f"{KIND} = 13 AND {Q} % 7 <> 0",
+    {
+        "observation_id": OBS_KEY,
+        "meta_profile": "'https://example.org/observation'",
+        "observation_patient_reference": H.OBS_PATIENT,
+        "effective_dateTime": H.OBS_DATE,
+        "vitalstatus_system": "'urn:vital'",
+        "vitalstatus_code": H.pick(Q, ["L", "T"]),
+    },
+)
+query("view_vital_status", VITAL_SQL)(lambda t: V.vital_status(H.observation(t)))
 
 query(
     "view_genetic_variants",
@@ -381,42 +372,38 @@ SYSTEM_SQL = select(
 )
 query("view_system_therapy_procedures", SYSTEM_SQL)(lambda t: V.system_therapy_procedures(H.procedure(t)))
 
-query(
-    "view_radiotherapies",
-    select(
-        {
-            "therapy_id": f"concat('Procedure/', {H.RADIO_ID})",
-            "meta_profile": f"'{K.RADIOTHERAPY}|1.0'",
-            **_PARENT,
-            "part_of_reference": "cast(null as varchar)",
-            "zielgebiet": "cast(null as varchar)",
-        },
-        "orders",
-        "o_orderkey % 2 = 1",
-    ),
-)(lambda t: V.radiotherapies(H.procedure(t)))
+RADIO_SQL = select(
+    {
+        "therapy_id": f"concat('Procedure/', {H.RADIO_ID})",
+        "meta_profile": f"'{K.RADIOTHERAPY}|1.0'",
+        **_PARENT,
+        "part_of_reference": "cast(null as varchar)",
+        "zielgebiet": "cast(null as varchar)",
+    },
+    "orders",
+    "o_orderkey % 2 = 1",
+)
+query("view_radiotherapies", RADIO_SQL)(lambda t: V.radiotherapies(H.procedure(t)))
 
 _NULL = "cast(null as varchar)"
-query(
-    "view_irradiations",
-    select(
-        {
-            "therapy_id": f"concat('Procedure/', {H.OBS_ID})",
-            "meta_profile": f"'{K.IRRADIATION}|1.0'",
-            "reason_reference": "concat('Condition/', l_orderkey)",
-            "subject_reference": H.OBS_PATIENT,
-            "therapy_intention": _NULL,
-            "stellung_op": _NULL,
-            "therapy_end_reason": _NULL,
-            "therapy_start_date": H.day("l_shipdate"),
-            "therapy_end_date": _NULL,
-            "part_of_reference": "concat('Procedure/R-', l_orderkey)",
-            "zielgebiet": H.pick(Q, H.REGIONS),
-        },
-        "lineitem",
-        "l_suppkey % 2 = 1",
-    ),
-)(lambda t: V.irradiations(H.procedure(t)))
+IRRADIATION_SQL = select(
+    {
+        "therapy_id": f"concat('Procedure/', {H.OBS_ID})",
+        "meta_profile": f"'{K.IRRADIATION}|1.0'",
+        "reason_reference": "concat('Condition/', l_orderkey)",
+        "subject_reference": H.OBS_PATIENT,
+        "therapy_intention": _NULL,
+        "stellung_op": _NULL,
+        "therapy_end_reason": _NULL,
+        "therapy_start_date": H.day("l_shipdate"),
+        "therapy_end_date": _NULL,
+        "part_of_reference": "concat('Procedure/R-', l_orderkey)",
+        "zielgebiet": H.pick(Q, H.REGIONS),
+    },
+    "lineitem",
+    "l_suppkey % 2 = 1",
+)
+query("view_irradiations", IRRADIATION_SQL)(lambda t: V.irradiations(H.procedure(t)))
 
 SURGERY_SQL = select(
     {
@@ -435,24 +422,22 @@ SURGERY_SQL = select(
 )
 query("view_surgeries", SURGERY_SQL)(lambda t: V.surgeries(H.procedure(t)))
 
-query(
-    "view_ops_procedures",
-    select(
-        {
-            "procedure_id": f"concat('Procedure/', {H.OBS_ID})",
-            "procedure_patient_reference": H.OBS_PATIENT,
-            "procedure_condition_reference": "concat('Condition/', l_orderkey)",
-            "procedure_ops_code": H.pick("l_partkey", H.OPS_CODES),
-            "procedure_ops_display": f"concat('ops ', {Q} % 3)",
-            "procedure_target_bodyregion": _NULL,
-            "procedure_used_code_text": _NULL,
-            "performed_period_start": _NULL,
-            "performed_period_end": _NULL,
-        },
-        "lineitem",
-        "l_suppkey % 2 = 0",
-    ),
-)(lambda t: V.ops_procedures(H.procedure(t)))
+OPS_SQL = select(
+    {
+        "procedure_id": f"concat('Procedure/', {H.OBS_ID})",
+        "procedure_patient_reference": H.OBS_PATIENT,
+        "procedure_condition_reference": "concat('Condition/', l_orderkey)",
+        "procedure_ops_code": H.pick("l_partkey", H.OPS_CODES),
+        "procedure_ops_display": f"concat('ops ', {Q} % 3)",
+        "procedure_target_bodyregion": _NULL,
+        "procedure_used_code_text": _NULL,
+        "performed_period_start": _NULL,
+        "performed_period_end": _NULL,
+    },
+    "lineitem",
+    "l_suppkey % 2 = 0",
+)
+query("view_ops_procedures", OPS_SQL)(lambda t: V.ops_procedures(H.procedure(t)))
 
 
 def _server_procedure_sql() -> str:
@@ -487,7 +472,8 @@ def _server_procedure_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-query("view_server_procedures", _server_procedure_sql())(lambda t: V.server_procedures(H.procedure(t)))
+SERVER_PROCEDURE_SQL = _server_procedure_sql()
+query("view_server_procedures", SERVER_PROCEDURE_SQL)(lambda t: V.server_procedures(H.procedure(t)))
 
 STATEMENT_SQL = select(
     {

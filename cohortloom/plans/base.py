@@ -1,13 +1,13 @@
 """Pieces shared by the studies.
 
 A study takes a mapping from resource type to DataFrame and returns a mapping from table name to
-DataFrame. Nothing runs until a table is written, except base tables that several results read:
+DataFrame, in which a table is planned only when asked for. Nothing runs until one is written, except base tables that several results read:
 those pass through ``keep``, by default ``session.materialise``, which writes them once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +23,27 @@ from cohortloom.session import materialise
 from cohortloom.sources.sinks import StudyLayout, write_csv, write_parquet
 
 Source = Mapping[str, DataFrame]
-Tables = dict[str, DataFrame]
 Keep = Callable[[DataFrame, str], DataFrame]
+Builders = dict[str, Callable[[], DataFrame]]
+
+
+class Tables(Mapping[str, DataFrame]):
+    """Result tables of a study by name, each planned when it is first asked for."""
+
+    def __init__(self, builders: Builders):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
 def lazily(df: DataFrame, label: str) -> DataFrame:
@@ -85,7 +104,7 @@ def radiotherapies(source: Source) -> DataFrame:
     ).fillna("", subset=["zielgebiet", "therapy_id_child"])
 
 
-def registry_facts(source: Source, conditions: DataFrame) -> Tables:
+def registry_facts(source: Source, conditions: DataFrame) -> Builders:
     """All facts of a set of conditions (condition_id, patient_resource_id, asserted_date).
 
     Every table keeps each condition, with NULLs where nothing was reported; metastases keep every
@@ -111,33 +130,33 @@ def registry_facts(source: Source, conditions: DataFrame) -> Tables:
         "observation_patient_reference", "patient_resource_id"
     )
     return {
-        "metastasis": L.attach_left(
+        "metastasis": lambda: L.attach_left(
             OD.cast_dates(V.metastases(obs), ["metastasis_date"]), cond, ["condition_id"]
         ),
-        "system_therapies": by_reason(
+        "system_therapies": lambda: by_reason(
             system_therapies(source), ["therapy_start_date", "therapy_end_date"]
         ),
-        "radiotherapies_joined": by_reason(
+        "radiotherapies_joined": lambda: by_reason(
             radiotherapies(source), ["therapy_start_date", "therapy_end_date"]
         ),
-        "ops": by_reason(surgeries, ["therapy_start_date"]).drop("meta_profile"),
-        "ops_grouped": L.attach_to_all_conditions(
+        "ops": lambda: by_reason(surgeries, ["therapy_start_date"]).drop("meta_profile"),
+        "ops_grouped": lambda: L.attach_to_all_conditions(
             grouped.withColumnRenamed("reason_reference", "condition_id"), cond, ["condition_id"]
         ),
-        "tnm_t": staged(V.tnm_t(obs), "t_tnm_date"),
-        "tnm_n": staged(V.tnm_n(obs), "n_tnm_date"),
-        "tnm_m": staged(V.tnm_m(obs), "m_tnm_date"),
-        "tnm_uicc": by_condition(V.tnm_uicc(obs), ["uicc_tnm_date"]),
-        "tnm_y": staged(V.tnm_y(obs), "y_tnm_date"),
-        "progressions": by_condition(V.progressions(obs), ["effective_dateTime"]),
-        "gradings": by_condition(V.gradings(obs), ["grading_date"]),
-        "performance_status": by_condition(V.performance_status(obs), ["effective_dateTime"]),
-        "vital_status": L.restrict_inner(
+        "tnm_t": lambda: staged(V.tnm_t(obs), "t_tnm_date"),
+        "tnm_n": lambda: staged(V.tnm_n(obs), "n_tnm_date"),
+        "tnm_m": lambda: staged(V.tnm_m(obs), "m_tnm_date"),
+        "tnm_uicc": lambda: by_condition(V.tnm_uicc(obs), ["uicc_tnm_date"]),
+        "tnm_y": lambda: staged(V.tnm_y(obs), "y_tnm_date"),
+        "progressions": lambda: by_condition(V.progressions(obs), ["effective_dateTime"]),
+        "gradings": lambda: by_condition(V.gradings(obs), ["grading_date"]),
+        "performance_status": lambda: by_condition(V.performance_status(obs), ["effective_dateTime"]),
+        "vital_status": lambda: L.restrict_inner(
             status,
             conditions.select("condition_id", "patient_resource_id", "asserted_date"),
             ["patient_resource_id"],
         ),
-        "other_classifications": L.restrict_inner(
+        "other_classifications": lambda: L.restrict_inner(
             OD.cast_dates(V.other_classifications(obs), ["weitere_klassifikation_date"]),
             cond,
             ["condition_id"],
@@ -161,7 +180,10 @@ def server_conditions_of(clean: DataFrame, server: DataFrame) -> DataFrame:
 
 
 def deidentified(tables: Tables, secret: RunSecret) -> Tables:
-    return {name: deidentify(df, secret.key) for name, df in tables.items()}
+    def build(name: str) -> Callable[[], DataFrame]:
+        return lambda: deidentify(tables[name], secret.key)
+
+    return Tables({name: build(name) for name in tables})
 
 
 def save(tables: Tables, layout: StudyLayout, *, is_deidentified: bool = False, csv: bool = True) -> None:
@@ -173,6 +195,7 @@ def save(tables: Tables, layout: StudyLayout, *, is_deidentified: bool = False,
 
 
 __all__ = [
+    "Builders",
     "Keep",
     "Source",
     "Tables",

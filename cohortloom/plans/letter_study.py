@@ -28,12 +28,12 @@ def letter_study(
     results = LT.validate_findings(LT.extract_findings(keyed, extractor, done))
     valid = LT.valid_findings(results)
     tables = LT.findings_tables(valid)
-    return {
-        "letters": keyed,
-        "key_collisions": LT.key_collisions(keyed),
-        "results": valid,
-        "rejected": LT.rejected_findings(results),
-        "genes": LT.dedupe_genes(tables["genes"]),
-        "karyotypes": LT.distinct_assessments(tables["karyotypes"], "source_file", "classification"),
-        "eln_risk": LT.distinct_assessments(tables["eln_risk"], "source_file", "risk_category"),
-    }
+    return Tables({
+        "letters": lambda: keyed,
+        "key_collisions": lambda: LT.key_collisions(keyed),
+        "results": lambda: valid,
+        "rejected": lambda: LT.rejected_findings(results),
+        "genes": lambda: LT.dedupe_genes(tables["genes"]),
+        "karyotypes": lambda: LT.distinct_assessments(tables["karyotypes"], "source_file", "classification"),
+        "eln_risk": lambda: LT.distinct_assessments(tables["eln_risk"], "source_file", "risk_category"),
+    })

@@ -69,26 +69,26 @@ def registry_part(
         F.col("medication_statement_text").alias("medication_text"),
         F.col("medication_statement_atc_code").alias("medication_atc_code"),
     )
-    return {
-        "tumour_conditions": of_conditions(listed, "condition_id", "condition_patient_reference"),
-        "all_tumour_conditions": L.lookup_first_mrn(
+    return Tables({
+        "tumour_conditions": lambda: of_conditions(listed, "condition_id", "condition_patient_reference"),
+        "all_tumour_conditions": lambda: L.lookup_first_mrn(
             others, patients, "condition_patient_reference", "patient_resource_id", "patient_mrn"
         ),
-        "deaths": of_patients(deaths, "patient_id"),
-        "vital_status": of_patients(V.vital_status(obs)),
-        "ecog": of_patients(V.ecog_status(obs)),
-        "progressions": of_conditions(
+        "deaths": lambda: of_patients(deaths, "patient_id"),
+        "vital_status": lambda: of_patients(V.vital_status(obs)),
+        "ecog": lambda: of_patients(V.ecog_status(obs)),
+        "progressions": lambda: of_conditions(
             V.progressions(obs), "condition_id", "observation_patient_reference"
         ),
-        "classifications": of_patients(V.patient_classifications(obs)),
-        "genetic_variants": of_patients(V.genetic_variants(obs)),
-        "system_therapies": of_conditions(statements, "condition_id", "patient_reference"),
-        "tumour_procedures": of_conditions(
+        "classifications": lambda: of_patients(V.patient_classifications(obs)),
+        "genetic_variants": lambda: of_patients(V.genetic_variants(obs)),
+        "system_therapies": lambda: of_conditions(statements, "condition_id", "patient_reference"),
+        "tumour_procedures": lambda: of_conditions(
             V.ops_procedures(source["Procedure"]),
             "procedure_condition_reference",
             "procedure_patient_reference",
         ),
-    }
+    })
 
 
 def hospital_part(
@@ -127,28 +127,28 @@ def hospital_part(
 
     labs = linked(V.labs(source["Observation"]), "observation_patient_reference")
     procedures = linked(V.server_procedures(source["Procedure"]), "procedure_patient_reference")
-    return {
-        "patients": all_patients,
-        "encounters": linked(V.encounters(source["Encounter"]), "encounter_patient_reference"),
-        "conditions": linked(
+    return Tables({
+        "patients": lambda: all_patients,
+        "encounters": lambda: linked(V.encounters(source["Encounter"]), "encounter_patient_reference"),
+        "conditions": lambda: linked(
             V.server_conditions(source["Condition"]), "all_condition_patient_reference"
         ),
-        "labs": labs,
-        "lab_value_counts": S.value_counts(
+        "labs": lambda: labs,
+        "lab_value_counts": lambda: S.value_counts(
             labs, ["loinc_code", "loinc_display", "lab_quantity_unit"]
         ),
-        "procedures": L.display_lookup(
+        "procedures": lambda: L.display_lookup(
             procedures, ops_book, "procedure_ops_code", "code", "title", "procedure_ops_display"
         ),
-        "unmapped_ops_codes": L.unmapped_codes(
+        "unmapped_ops_codes": lambda: L.unmapped_codes(
             procedures,
             ops_book,
             ["procedure_ops_version", "procedure_ops_code"],
             "procedure_ops_code",
             "code",
         ),
-        "mrn_conflicts": L.mrn_conflicts(lookup, "condition_patient_reference", "patient_mrn"),
-    }
+        "mrn_conflicts": lambda: L.mrn_conflicts(lookup, "condition_patient_reference", "patient_mrn"),
+    })
 
 
 def medication_catalogue(
@@ -180,9 +180,9 @@ def medication_catalogue(
     catalogue = L.display_lookup(
         catalogue, ops_book, "medication_ops_code", "code", "title", "medication_ops_display"
     )
-    return {
-        "medication_events": events.withColumn("medication_reference", named),
-        "medications": catalogue.withColumn(
+    return Tables({
+        "medication_events": lambda: events.withColumn("medication_reference", named),
+        "medications": lambda: catalogue.withColumn(
             "medication_display",
             P.choice(
                 "medication_atc_display",
@@ -192,7 +192,7 @@ def medication_catalogue(
                 "medication_ingredient_text",
             ),
         ),
-    }
+    })
 
 
 def deidentified_export(
@@ -201,20 +201,22 @@ def deidentified_export(
     drug_exports: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> tuple[Tables, DataFrame]:
     """Every table with a specification, de-identified; and the lookup that must stay inside."""
-    out = {
-        name: deidentify_table(df, TABLE_SPECS[name], secret)
-        for name, df in tables.items()
-        if name in TABLE_SPECS
-    }
-    for name, (df, patient_column) in (drug_exports or {}).items():
-        out[name] = deidentify_drug_export(df, patient_column, secret)
-    return out, mrn_lookup_table(tables["patients"], "patient_mrn", secret.key)
+
+    def table(name: str):
+        return lambda: deidentify_table(tables[name], TABLE_SPECS[name], secret)
+
+    def drugs(name: str):
+        return lambda: deidentify_drug_export(*drug_exports[name], secret)
+
+    builders = {name: table(name) for name in tables if name in TABLE_SPECS}
+    builders |= {name: drugs(name) for name in drug_exports or {}}
+    return Tables(builders), mrn_lookup_table(tables["patients"], "patient_mrn", secret.key)
 
 
 def with_drug_data(tables: Mapping[str, DataFrame], drugs: DataFrame, drug_mrn: str) -> Tables:
     """Labs of patients with drug data, and how well both sides match."""
-    return {
-        "labs_with_drugs": L.matched_subset(
+    return Tables({
+        "labs_with_drugs": lambda: L.matched_subset(
             tables["labs"],
             tables["patients"],
             drugs,
@@ -223,8 +225,8 @@ def with_drug_data(tables: Mapping[str, DataFrame], drugs: DataFrame, drug_mrn:
             "patient_mrn",
             drug_mrn,
         ),
-        "match_report": L.match_report(tables["patients"], drugs, "patient_mrn", drug_mrn),
-    }
+        "match_report": lambda: L.match_report(tables["patients"], drugs, "patient_mrn", drug_mrn),
+    })
 
 
 def summary(
@@ -248,14 +250,14 @@ def summary(
         "_at",
         ["observation_id", "value_code"],
     )
-    return {
-        "ecog_distribution": S.distribution(ecog, "ecog_performance_status"),
-        "eln_distribution": S.distribution(eln, "value_code", "eln_classification"),
-        "age_group_distribution": S.distribution(people, "age_group"),
-        "gender_distribution": S.distribution(people, "gender"),
-        "icd_bin_distribution": S.distribution(people, "icd_bin"),
-        "unparsable_dates": people.where(D.parse_failed("diagnosis_recordedDate")),
-        "lab_distribution": S.lab_panel_means(
+    return Tables({
+        "ecog_distribution": lambda: S.distribution(ecog, "ecog_performance_status"),
+        "eln_distribution": lambda: S.distribution(eln, "value_code", "eln_classification"),
+        "age_group_distribution": lambda: S.distribution(people, "age_group"),
+        "gender_distribution": lambda: S.distribution(people, "gender"),
+        "icd_bin_distribution": lambda: S.distribution(people, "icd_bin"),
+        "unparsable_dates": lambda: people.where(D.parse_failed("diagnosis_recordedDate")),
+        "lab_distribution": lambda: S.lab_panel_means(
             people.select(
                 F.col("condition_patient_reference").alias("observation_patient_reference"),
                 "diagnosed_at",
@@ -265,7 +267,7 @@ def summary(
             "diagnosed_at",
             "lab_dateTime",
         ),
-    }
+    })
 
 
 # Drug preparation exports ---------------------------------------------------------------------

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
 from cohortloom.operators.deident import RunSecret, run_secret
 from cohortloom.plans import studies as ST
-from cohortloom.plans.base import Source, deidentified, save
+from cohortloom.plans.base import Source, Tables, deidentified, save
 from cohortloom.plans.treatment_question import treatment_question
 from cohortloom.sources.sinks import StudyLayout
 
 STUDIES = {
     "embark_rwd": treatment_question,
-    "study_protocol_a": lambda s: {"study_a": ST.study_a(s)},
+    "study_protocol_a": lambda s: Tables({"study_a": lambda: ST.study_a(s)}),
     "study_protocol_d": ST.study_d,
     "study_protocol_pca1": ST.study_pca,
-    "study_aml_filter": lambda s: {"study_aml": ST.leukaemia_filter(s)},
+    "study_aml_filter": lambda s: Tables({"study_aml": lambda: ST.leukaemia_filter(s)}),
     "reacto": ST.reacto_counts,
     "all_obds_patients": ST.all_conditions,
     "data_quality": ST.data_quality,
@@ -23,7 +21,7 @@ STUDIES = {
 DEIDENTIFIED = ("study_protocol_d", "study_protocol_pca1", "all_obds_patients")
 
 
-def run_study(name: str, source: Source, results: str, secret: RunSecret | None = None) -> dict[str, DataFrame]:
+def run_study(name: str, source: Source, results: str, secret: RunSecret | None = None) -> Tables:
     tables = STUDIES[name](source)
     layout = StudyLayout(results, name)
     save(tables, layout)

@@ -108,14 +108,14 @@ def all_conditions(
         "all-conditions",
     )
     out = {
-        "all_obds_clean": clean,
-        "year_range": OD.year_range(clean),
-        "entity_summary": S.entity_summary(clean, "entity_or_parent"),
+        "all_obds_clean": lambda: clean,
+        "year_range": lambda: OD.year_range(clean),
+        "entity_summary": lambda: S.entity_summary(clean, "entity_or_parent"),
         **registry_facts(source, clean),
     }
     if server is not None:
-        out["mii_conditions"] = server_conditions_of(clean, server)
-    return out
+        out["mii_conditions"] = lambda: server_conditions_of(clean, server)
+    return Tables(out)
 
 
 def study_d(source: Source, server: DataFrame | None = None, keep: Keep = materialise) -> Tables:
@@ -133,24 +133,24 @@ def study_d(source: Source, server: DataFrame | None = None, keep: Keep = materi
     shared = ["condition_id", "asserted_date", "patient_resource_id"]
     both = one.select(*shared).unionByName(two.select(*shared))
     out = {
-        "oBDS_primaerdiagnosen": clean,
-        "year_range": OD.year_range(clean),
-        "2_malignancies": two,
-        "1_malignancy": one,
-        "1_malignancy_check": TU.one_row_per_patient(one),
-        "pivot_multi_single": TU.pivot_tumours(two, one),
-        "pair_statistics": stats,
-        "pair_outliers": TU.pair_outliers(pairs),
-        "pair_matrix_top30": S.pair_matrix(stats, top_n=30),
-        "pair_matrix_top100": S.pair_matrix(stats, top_n=100),
-        "pair_matrix_gt5": S.pair_matrix(stats, min_count=5),
+        "oBDS_primaerdiagnosen": lambda: clean,
+        "year_range": lambda: OD.year_range(clean),
+        "2_malignancies": lambda: two,
+        "1_malignancy": lambda: one,
+        "1_malignancy_check": lambda: TU.one_row_per_patient(one),
+        "pivot_multi_single": lambda: TU.pivot_tumours(two, one),
+        "pair_statistics": lambda: stats,
+        "pair_outliers": lambda: TU.pair_outliers(pairs),
+        "pair_matrix_top30": lambda: S.pair_matrix(stats, top_n=30),
+        "pair_matrix_top100": lambda: S.pair_matrix(stats, top_n=100),
+        "pair_matrix_gt5": lambda: S.pair_matrix(stats, min_count=5),
         **registry_facts(source, both),
     }
     if server is not None:
-        out["mii_conditions_2_mals"] = server_conditions_of(
+        out["mii_conditions_2_mals"] = lambda: server_conditions_of(
             two.where(F.col("malignancy_number") == 1), server
         )
-    return out
+    return Tables(out)
 
 
 def two_tumour_timing(wide: DataFrame, months: int = 3) -> Tables:
@@ -176,9 +176,9 @@ def two_tumour_timing(wide: DataFrame, months: int = 3) -> Tables:
     flag = "meta_before_dx_T1_interval_yes"
     timed = flagged.where(F.col("timediff") >= 0)
     spread = flagged.where(F.col(flag) == "yes")
-    return {
-        "flags": flagged,
-        "date_quality": S.date_quality_profile(
+    return Tables({
+        "flags": lambda: flagged,
+        "date_quality": lambda: S.date_quality_profile(
             wide,
             [
                 "asserted_date_1",
@@ -187,19 +187,19 @@ def two_tumour_timing(wide: DataFrame, months: int = 3) -> Tables:
                 "metastasis_date_first_2",
             ],
         ),
-        "signs": S.sign_counts(dated, "date2", "date1"),
-        "flag_by_entity": S.flag_by_entity(flagged, "entity_label_2", flag),
-        "location_counts": S.location_entity_counts(spread, "metastasis_loc_1", "entity_label_2"),
-        "location_counts_by_entity": S.location_entity_counts(
+        "signs": lambda: S.sign_counts(dated, "date2", "date1"),
+        "flag_by_entity": lambda: S.flag_by_entity(flagged, "entity_label_2", flag),
+        "location_counts": lambda: S.location_entity_counts(spread, "metastasis_loc_1", "entity_label_2"),
+        "location_counts_by_entity": lambda: S.location_entity_counts(
             spread, "metastasis_loc_1", "entity_label_2", "entity_label_1", 10
         ),
-        "timediff_quantiles": S.quantile_summary(timed, "timediff"),
-        "timediff_histogram": S.day_histogram(timed, "timediff"),
-        "cumulative_all": O.running_count(timed, "timediff"),
-        "cumulative_by_flag": O.running_count(timed, "timediff", [flag]),
-        "kaplan_meier": SV.kaplan_meier(timed, "timediff", [flag]),
-        "kaplan_meier_by_entity": SV.kaplan_meier_per_group(timed, "timediff", "entity_label_1", flag),
-    }
+        "timediff_quantiles": lambda: S.quantile_summary(timed, "timediff"),
+        "timediff_histogram": lambda: S.day_histogram(timed, "timediff"),
+        "cumulative_all": lambda: O.running_count(timed, "timediff"),
+        "cumulative_by_flag": lambda: O.running_count(timed, "timediff", [flag]),
+        "kaplan_meier": lambda: SV.kaplan_meier(timed, "timediff", [flag]),
+        "kaplan_meier_by_entity": lambda: SV.kaplan_meier_per_group(timed, "timediff", "entity_label_1", flag),
+    })
 
 
 def prostate_base(source: Source) -> DataFrame:
@@ -252,26 +252,28 @@ def study_pca(
         F.col("year_slice").isNotNull()
     )
     out = {
-        "c61_base": base,
-        "therapy_sequence": sequence,
-        "therapy_sequence_first_line": first_line,
-        "sequence_export": T.leading_ordinals(sequence),
-        "sequence_counts": T.sequence_counts(first_line),
-        "diagnosis_year": S.counts_by_year(first_line),
-        "metastasis_loc": S.counts_by_metastasis(first_line),
-        "age_class": S.counts_by_age_class(first_line),
-        "therapy_combinations_cohort": T.therapy_combinations(cohort),
-        "therapy_combinations_rest": T.therapy_combinations(rest),
-        "therapy_combinations_met_cohort": T.therapy_combinations_by_metastasis(cohort),
-        "therapy_combinations_met_rest": T.therapy_combinations_by_metastasis(rest),
-        "therapy_combinations_met_by_period": T.therapy_combinations_by_metastasis(
+        "c61_base": lambda: base,
+        "therapy_sequence": lambda: sequence,
+        "therapy_sequence_first_line": lambda: first_line,
+        "sequence_export": lambda: T.leading_ordinals(sequence),
+        "sequence_counts": lambda: T.sequence_counts(first_line),
+        "diagnosis_year": lambda: S.counts_by_year(first_line),
+        "metastasis_loc": lambda: S.counts_by_metastasis(first_line),
+        "age_class": lambda: S.counts_by_age_class(first_line),
+        "therapy_combinations_cohort": lambda: T.therapy_combinations(cohort),
+        "therapy_combinations_rest": lambda: T.therapy_combinations(rest),
+        "therapy_combinations_met_cohort": lambda: T.therapy_combinations_by_metastasis(cohort),
+        "therapy_combinations_met_rest": lambda: T.therapy_combinations_by_metastasis(rest),
+        "therapy_combinations_met_by_period": lambda: T.therapy_combinations_by_metastasis(
             sliced, ["cohort_flag", "year_slice"]
         ),
         **registry_facts(source, base),
     }
     if atc_mapping is not None:
-        out["sequence_export"] = T.atc_groups(out["sequence_export"], atc_mapping, "condition_id")
-    return out
+        out["sequence_export"] = lambda: T.atc_groups(
+            T.leading_ordinals(sequence), atc_mapping, "condition_id"
+        )
+    return Tables(out)
 
 
 def pca_federated(sites: Mapping[str, DataFrame]) -> Tables:
@@ -286,13 +288,13 @@ def pca_federated(sites: Mapping[str, DataFrame]) -> Tables:
     combos = FE.merge_sites(
         sites["therapy_combinations_met"], ["combo_label", "metastatic_flag"], normalise_keys=True
     )
-    return {
-        "diagnosis_year": FE.recent_years(years),
-        "age_class": FE.collapse_tail_classes(ages),
-        "metastasis_loc": FE.min_cell_filter(kinds),
-        "therapy_combinations_met": combos,
-        "therapies_metastasis_split": FE.split_metastatic_pivot(combos),
-    }
+    return Tables({
+        "diagnosis_year": lambda: FE.recent_years(years),
+        "age_class": lambda: FE.collapse_tail_classes(ages),
+        "metastasis_loc": lambda: FE.min_cell_filter(kinds),
+        "therapy_combinations_met": lambda: combos,
+        "therapies_metastasis_split": lambda: FE.split_metastatic_pivot(combos),
+    })
 
 
 def reacto_counts(source: Source, years: tuple[int, int] = (2018, 2025)) -> Tables:
@@ -307,18 +309,18 @@ def reacto_counts(source: Source, years: tuple[int, int] = (2018, 2025)) -> Tabl
         "left",
     )
     window = PR.filter_entity_window(OD.cast_dates(classified, ["asserted_date"]), years=years)
-    return {"reacto": window, "reacto_counts": TU.gender_counts(window)}
+    return Tables({"reacto": lambda: window, "reacto_counts": lambda: TU.gender_counts(window)})
 
 
 def data_quality(source: Source) -> Tables:
-    return {
-        "substanzen-to-atc-mappings": Q.uncoded_medications(
+    return Tables({
+        "substanzen-to-atc-mappings": lambda: Q.uncoded_medications(
             V.uncoded_medication_statements(source["MedicationStatement"])
         ),
-        "weitere-klassifikationen-mappings": Q.uncoded_classifications(
+        "weitere-klassifikationen-mappings": lambda: Q.uncoded_classifications(
             V.uncoded_observations(source["Observation"])
         ),
-        "adverse-event-mappings": Q.uncoded_side_effects(
+        "adverse-event-mappings": lambda: Q.uncoded_side_effects(
             V.uncoded_adverse_events(source["AdverseEvent"])
         ),
-    }
+    })

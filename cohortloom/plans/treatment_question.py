@@ -89,17 +89,17 @@ def treatment_question(
         },
         "patient_id",
     )
-    return {
-        "cohort": cohort,
-        "medication_counts": S.distinct_patients_by(
+    return Tables({
+        "cohort": lambda: cohort,
+        "medication_counts": lambda: S.distinct_patients_by(
             treated, ["medication_text", "medication_atc_code"], "patient_id"
         ),
-        "staging_counts": S.distinct_patients_by(
+        "staging_counts": lambda: S.distinct_patients_by(
             nearest, ["code", "display", "tnm_value"], "patient_id"
         ),
-        "before_after": PR.before_after(
+        "before_after": lambda: PR.before_after(
             cohort, ["medication_atc_code"], "patient_id", "medication_start_date", reference
         ),
-        "funnel": funnel,
-        "ranges": OD.date_range_profile(conditions, ["asserted_date", "recorded_date"], "patient_id"),
-    }
+        "funnel": lambda: funnel,
+        "ranges": lambda: OD.date_range_profile(conditions, ["asserted_date", "recorded_date"], "patient_id"),
+    })
