@@ -9,7 +9,7 @@ from checks import linkage as LQ
 from checks import shape as H
 from checks import texts as TQ
 from checks import views as VQ
-from checks.dates import strings
+from checks.dates import months, strings
 from checks.registry import query
 from cohortloom.operators import views as V
 from cohortloom.plans import leukaemia as LK
@@ -161,7 +161,7 @@ query(
     )
 )
 
-_COND = f"SELECT condition_id, ad FROM ({CLEAN_SQL})"
+_COND = f"SELECT DISTINCT condition_id, ad FROM ({CLEAN_SQL})"
 query(
     "all_conditions_gradings",
     f"""SELECT c.condition_id, grading, cast({middle_of('grading_date')} as varchar) AS grading_date FROM ({_COND}) c
@@ -170,7 +170,7 @@ query(
 
 query(
     "all_conditions_vital_status",
-    f"""SELECT condition_id, vitalstatus_code, cast({middle_of('"effective_dateTime"')} as varchar) AS seen FROM (SELECT condition_id, patient_resource_id FROM ({CLEAN_SQL}))
+    f"""SELECT condition_id, vitalstatus_code, cast({middle_of('"effective_dateTime"')} as varchar) AS seen FROM (SELECT DISTINCT condition_id, patient_resource_id FROM ({CLEAN_SQL}))
         JOIN ({VQ.VITAL_SQL}) ON observation_patient_reference = patient_resource_id""",
 )(
     lambda t: everything(t)["vital_status"].select(
@@ -220,7 +220,7 @@ query(
 
 # Prostate ---------------------------------------------------------------------------------------
 
-C61_SQL = f"""SELECT condition_id, year(ad) AS y, age_at_diagnosis, gleason_score, CASE WHEN age_at_diagnosis < 65 AND gleason_score >= 8 THEN 1 ELSE 0 END AS cohort_flag, metastasis_loc
+C61_SQL = f"""SELECT condition_id, ad, age_at_diagnosis, gleason_score, CASE WHEN age_at_diagnosis < 65 AND gleason_score >= 8 THEN 1 ELSE 0 END AS cohort_flag, metastasis_loc
     FROM (SELECT * FROM ({CLEAN_SQL.replace("AND icd10_code NOT LIKE 'C44%'", "AND icd10_code LIKE 'C61%'")}))
     LEFT JOIN (SELECT * FROM ({GLEASON_SQL}) QUALIFY row_number() OVER (PARTITION BY g_condition ORDER BY gleason_date ASC NULLS LAST, g_id) = 1) ON g_condition = condition_id
     LEFT JOIN (SELECT * FROM ({SITE_DAYS_SQL}) QUALIFY row_number() OVER (PARTITION BY m_condition ORDER BY metastasis_date ASC NULLS LAST, metastasis_loc) = 1) ON m_condition = condition_id"""
@@ -230,13 +230,25 @@ query("study_pca_base", f"SELECT condition_id, age_at_diagnosis, gleason_score,
     )
 )
 
-query("study_pca_sequence_lengths")(
-    lambda t: ST.study_pca(H.source(t), keep=lazily)["therapy_sequence"]
-    .select("condition_id", *[f"therapy_type_{i}" for i in range(1, 11)])
-)
-query("study_pca_first_line_combinations")(
-    lambda t: ST.study_pca(H.source(t), keep=lazily)["therapy_combinations_rest"]
+_THERAPIES = f"""SELECT reason_reference, 'OP' AS kind, string_agg(therapy_id, '| ' ORDER BY therapy_id) AS therapy_id, therapy_start_date AS start FROM ({VQ.SURGERY_SQL}) GROUP BY reason_reference, subject_reference, therapy_start_date
+    UNION ALL SELECT reason_reference, 'ST', therapy_id, therapy_start_date FROM ({VQ.RADIO_SQL}) UNION ALL SELECT reason_reference, therapy_type, therapy_id, therapy_start_date FROM ({VQ.SYSTEM_SQL})"""
+_DATED = f"""SELECT condition_id, cohort_flag, kind, therapy_id, round({months('cast(start as date)', 'ad')}, 2) AS diff FROM (SELECT DISTINCT condition_id, ad, cohort_flag FROM ({C61_SQL})) JOIN ({_THERAPIES}) ON reason_reference = condition_id"""
+_SEQ = f"SELECT *, row_number() OVER (PARTITION BY condition_id ORDER BY diff NULLS FIRST, therapy_id, kind) AS n FROM ({_DATED})"
+query(
+    "study_pca_sequences",
+    "SELECT condition_id, "
+    + ", ".join(f"max(kind) FILTER (n = {i}) AS therapy_type_{i}" for i in range(1, 11))
+    + f" FROM (SELECT DISTINCT condition_id FROM ({C61_SQL})) LEFT JOIN ({_SEQ}) USING (condition_id) GROUP BY 1",
+)(
+    lambda t: ST.study_pca(H.source(t), keep=lazily)["therapy_sequence"].select(
+        "condition_id", *[f"therapy_type_{i}" for i in range(1, 11)]
+    )
 )
+query(
+    "study_pca_first_line_combinations",
+    f"""SELECT combo_label, count(*) AS "count" FROM (SELECT condition_id, string_agg(DISTINCT kind, '+' ORDER BY kind) AS combo_label
+        FROM ({_DATED}) WHERE cohort_flag = 0 AND diff BETWEEN 0 AND 4 GROUP BY 1) GROUP BY 1""",
+)(lambda t: ST.study_pca(H.source(t), keep=lazily)["therapy_combinations_rest"])
 
 # Leukaemia --------------------------------------------------------------------------------------
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.dates import months_since
 from cohortloom.operators.ordering import top_per_key
-from cohortloom.operators.skew import number_rows
+from cohortloom.operators.skew import number_rows, spread_join
 
 SEP = "| "
 
@@ -138,13 +138,13 @@ def therapy_index(
 ) -> DataFrame:
     """The first ``max_n`` therapies of each condition by months since diagnosis.
 
-    Conditions are cut to ``max_n`` rows before the shuffle.
+    A condition that fills several rows (one per cause of death) counts once. Conditions are cut to
+    ``max_n`` therapies before the shuffle.
     """
-    dated = therapies.join(
-        conditions.select(F.col("condition_id").alias("reason_reference"), "asserted_date"),
-        "reason_reference",
-        "left",
-    ).withColumn("months_diff", months_since("therapy_start_date", "asserted_date"))
+    diagnosed = conditions.select(
+        F.col("condition_id").alias("reason_reference"), "asserted_date"
+    ).distinct()
+    dated = spread_join(therapies, diagnosed, ["reason_reference"]).withColumn("months_diff", months_since("therapy_start_date", "asserted_date"))
     if first_line_months is not None:
         dated = dated.where(F.col("months_diff").between(0, first_line_months))
     return top_per_key(

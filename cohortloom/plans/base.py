@@ -108,10 +108,12 @@ def registry_facts(source: Source, conditions: DataFrame) -> Builders:
     """All facts of a set of conditions (condition_id, patient_resource_id, asserted_date).
 
     Every table keeps each condition, with NULLs where nothing was reported; metastases keep every
-    observation; vital status and classifications keep conditions with an entry.
+    observation; vital status and classifications keep conditions with an entry. A condition that
+    fills several rows (one per cause of death) takes part once, so no fact is multiplied.
     """
     obs = source["Observation"]
-    cond = conditions.select("condition_id", "asserted_date")
+    persons = conditions.select("condition_id", "patient_resource_id", "asserted_date").distinct()
+    cond = persons.drop("patient_resource_id")
 
     def by_condition(df: DataFrame, dates: list[str]) -> DataFrame:
         return L.attach_to_all_conditions(OD.cast_dates(df, dates), cond, ["condition_id"])
@@ -153,7 +155,7 @@ def registry_facts(source: Source, conditions: DataFrame) -> Builders:
         "performance_status": lambda: by_condition(V.performance_status(obs), ["effective_dateTime"]),
         "vital_status": lambda: L.restrict_inner(
             status,
-            conditions.select("condition_id", "patient_resource_id", "asserted_date"),
+            persons,
             ["patient_resource_id"],
         ),
         "other_classifications": lambda: L.restrict_inner(

@@ -240,11 +240,15 @@ def study_pca(
 ) -> Tables:
     """Prostate cancer: facts, therapy sequences and site aggregates."""
     base = keep(prostate_base(source), "prostate-base")
+    # One row per condition: several causes of death must not count a tumour twice.
+    tumours = O.top_per_key(
+        base, ["condition_id"], [F.col("death_cause_icd10"), F.col("observation_resource_id")]
+    )
     surgeries = T.group_surgeries(V.surgeries(source["Procedure"]))
     therapies = T.all_therapies(surgeries, radiotherapies(source), system_therapies(source))
-    sequence = T.therapy_sequence(base, therapies)
+    sequence = T.therapy_sequence(tumours, therapies)
     first_line = keep(
-        T.therapy_sequence(base, therapies, first_line_months=first_line_months), "first-line"
+        T.therapy_sequence(tumours, therapies, first_line_months=first_line_months), "first-line"
     )
     cohort = first_line.where(F.col("cohort_flag") == 1)
     rest = first_line.where(F.col("cohort_flag") == 0)

@@ -15,9 +15,7 @@ from cohortloom.sources.resources import bundle_entries, parse_resources
 
 def stream_bundle_files(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     """Raw bundle text as it arrives in a folder."""
-    return (
-        spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", max_files).text(path)
-    )
+    return spark.readStream.option("maxFilesPerTrigger", max_files).text(path, wholetext=True)
 
 
 def stream_bundle_topics(spark: SparkSession, servers: str, topics: str) -> DataFrame:
