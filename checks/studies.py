@@ -136,8 +136,8 @@ query(
 
 FIRST_DEATHS_SQL = f"""SELECT * FROM ({VQ.DEATH_CAUSES_SQL}) WHERE date_death IS NOT NULL
     QUALIFY rank() OVER (PARTITION BY {CQ.DEAD} ORDER BY date_death, observation_resource_id) = 1"""
-PRIMARY_SQL = f"""SELECT *, CASE WHEN count(patid_pseudonym) OVER (PARTITION BY patid_pseudonym) > 1 THEN 1 ELSE 0 END AS double_patid
-    FROM (SELECT * FROM ({VQ.CONDITION_SQL}) WHERE meta_profile LIKE '%primaertumor%') LEFT JOIN ({VQ.PATIENTS_SQL}) ON condition_patient_resource_id = patient_resource_id
+PRIMARY_SQL = f"""SELECT * FROM (SELECT *, CASE WHEN count(patid_pseudonym) OVER (PARTITION BY patid_pseudonym) > 1 THEN 1 ELSE 0 END AS double_patid
+    FROM (SELECT * FROM ({VQ.CONDITION_SQL}) WHERE meta_profile LIKE '%primaertumor%') LEFT JOIN ({VQ.PATIENTS_SQL}) ON condition_patient_resource_id = patient_resource_id)
     LEFT JOIN ({FIRST_DEATHS_SQL}) ON {CQ.DEAD} = patient_resource_id"""
 CLEAN_SQL = f"""SELECT *, round(datediff('day', cast(birthdate as date), ad) / cast(365.25 as double), 2) AS age_at_diagnosis, split_part(icd10_code, '.', 1) AS parent
     FROM (SELECT *, {middle_of('asserted_date')} AS ad FROM ({PRIMARY_SQL})) WHERE ad > date '1970-12-31' AND round(datediff('day', cast(birthdate as date), ad) / cast(365.25 as double), 2) > 0
@@ -207,7 +207,7 @@ query(
 # Two tumours ------------------------------------------------------------------------------------
 
 _NUM = f"""SELECT *, row_number() OVER (PARTITION BY patient_resource_id ORDER BY ad, condition_id) AS n, count(*) OVER (PARTITION BY patient_resource_id) AS total,
-    CASE {CQ.ENTITY_CASES} ELSE parent END AS entity FROM ({CLEAN_SQL}) WHERE double_patid = 1"""
+    CASE {CQ.ENTITY_CASES} ELSE parent END AS entity FROM (SELECT DISTINCT patient_resource_id, condition_id, ad, parent, double_patid FROM ({CLEAN_SQL})) WHERE double_patid = 1"""
 query(
     "study_d_pairs",
     f"""SELECT e1 AS entity_or_parent_1, e2 AS entity_or_parent_2, count(*) AS count_pair FROM (SELECT max(entity) FILTER (n = 1) AS e1, max(entity) FILTER (n = 2) AS e2

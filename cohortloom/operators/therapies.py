@@ -47,12 +47,14 @@ def ordered_concat(
         cut = F.substring(order, 1, id_prefix or 12)
     else:
         cut = F.floor(F.col(order) / F.lit(part_rows))
-    numbered = number_rows(df, keys, [order, *[c for c in cols if c != order]], {"id": cut}, name="_at")
-    numbered = numbered.withColumn("part", F.floor((F.col("_at") - 1) / F.lit(part_rows)).cast("int"))
+    rest = [c for c in cols if c != order]
+    numbered = number_rows(df, keys, [order, *rest], {"id": cut}, name="_at").withColumn(
+        "part", F.floor((F.col("_at") - 1) / F.lit(part_rows)).cast("int")
+    )
 
     def cell(c: str) -> Column:
-        ordered = F.array_sort(F.collect_list(F.struct(F.col("_at"), F.col(c).alias("v"))))
-        return F.array_join(F.transform(ordered, lambda x: x["v"].cast("string")), sep).alias(c)
+        ordered = F.array_sort(F.collect_list(F.struct(F.col("_at"), F.col(c).alias("_v"))))
+        return F.array_join(F.transform(ordered, lambda x: x["_v"].cast("string")), sep).alias(c)
 
     return numbered.groupBy(*keys, "part").agg(*[cell(c) for c in cols])
 

@@ -52,17 +52,28 @@ def lazily(df: DataFrame, label: str) -> DataFrame:
 
 
 def conditions_patients_deaths(source: Source, *, primary_only: bool = False) -> DataFrame:
-    """Conditions with patient, first death event (all of its causes), flags."""
+    """Conditions with patient, flag for several conditions, first death event (all its causes).
+
+    The flag is set before the deaths are attached: a second cause of death repeats a condition's
+    row but is no second tumour.
+    """
     view = V.primary_conditions if primary_only else V.conditions
     joined = L.conditions_with_patients(view(source["Condition"]), V.patients(source["Patient"]))
+    flagged = O.multi_flag(joined, "patid_pseudonym", "double_patid")
     first = O.first_event_with_ties(
         V.deaths(source["Observation"], every_cause=True),
         DE.PATIENT,
         "date_death",
         "observation_resource_id",
     )
-    flagged = DE.is_deceased(L.attach_deaths(joined, first))
-    return O.multi_flag(flagged, "patid_pseudonym", "double_patid")
+    return DE.is_deceased(L.attach_deaths(flagged, first))
+
+
+def one_row_per_condition(df: DataFrame) -> DataFrame:
+    """Conditions with the alphabetically first cause of death only."""
+    return O.top_per_key(
+        df, ["condition_id"], [F.col("death_cause_icd10"), F.col("observation_resource_id")]
+    )
 
 
 def first_gleason(source: Source) -> DataFrame:
@@ -206,6 +217,7 @@ __all__ = [
     "first_gleason",
     "lazily",
     "materialise",
+    "one_row_per_condition",
     "radiotherapies",
     "registry_facts",
     "save",

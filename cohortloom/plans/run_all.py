@@ -9,16 +9,16 @@ from cohortloom.plans.treatment_question import treatment_question
 from cohortloom.sources.sinks import StudyLayout
 
 STUDIES = {
-    "embark_rwd": treatment_question,
-    "study_protocol_a": lambda s: Tables({"study_a": lambda: ST.study_a(s)}),
-    "study_protocol_d": ST.study_d,
-    "study_protocol_pca1": ST.study_pca,
-    "study_aml_filter": lambda s: Tables({"study_aml": lambda: ST.leukaemia_filter(s)}),
-    "reacto": ST.reacto_counts,
-    "all_obds_patients": ST.all_conditions,
+    "treatment_question": treatment_question,
+    "study_a": lambda s: Tables({"study_a": lambda: ST.study_a(s)}),
+    "study_d": ST.study_d,
+    "study_pca": ST.study_pca,
+    "leukaemia_filter": lambda s: Tables({"leukaemia": lambda: ST.leukaemia_filter(s)}),
+    "reacto_counts": ST.reacto_counts,
+    "all_conditions": ST.all_conditions,
     "data_quality": ST.data_quality,
 }
-DEIDENTIFIED = ("study_protocol_d", "study_protocol_pca1", "all_obds_patients")
+DEIDENTIFIED = ("study_d", "study_pca", "all_conditions")
 
 
 def run_study(name: str, source: Source, results: str, secret: RunSecret | None = None) -> Tables:

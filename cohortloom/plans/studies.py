@@ -30,6 +30,7 @@ from cohortloom.plans.base import (
     first_gleason,
     lazily,
     materialise,
+    one_row_per_condition,
     radiotherapies,
     registry_facts,
     server_conditions_of,
@@ -46,7 +47,7 @@ def study_a(source: Source, *, with_gleason: bool = True) -> DataFrame:
         V.conditions(source["Condition"]), V.patients(source["Patient"])
     )
     dead = DE.consolidate_deaths(V.deaths(source["Observation"], every_cause=True))
-    base = O.multi_flag(DE.is_deceased(L.attach_deaths(joined, dead)), "patid_pseudonym")
+    base = DE.is_deceased(L.attach_deaths(O.multi_flag(joined, "patid_pseudonym"), dead))
     if not with_gleason:
         return base
     anchor = base.select("condition_id", "asserted_date")
@@ -126,8 +127,9 @@ def study_d(source: Source, server: DataFrame | None = None, keep: Keep = materi
         ),
         "primary-tumours",
     )
-    two = keep(TU.two_malignancies(clean), "two-tumours")
-    one = TU.one_malignancy(clean)
+    tumours = one_row_per_condition(clean)
+    two = keep(TU.two_malignancies(tumours), "two-tumours")
+    one = TU.one_malignancy(tumours)
     pairs = TU.tumour_pairs(two)
     stats = TU.pair_statistics(pairs)
     shared = ["condition_id", "asserted_date", "patient_resource_id"]
@@ -240,10 +242,7 @@ def study_pca(
 ) -> Tables:
     """Prostate cancer: facts, therapy sequences and site aggregates."""
     base = keep(prostate_base(source), "prostate-base")
-    # One row per condition: several causes of death must not count a tumour twice.
-    tumours = O.top_per_key(
-        base, ["condition_id"], [F.col("death_cause_icd10"), F.col("observation_resource_id")]
-    )
+    tumours = one_row_per_condition(base)
     surgeries = T.group_surgeries(V.surgeries(source["Procedure"]))
     therapies = T.all_therapies(surgeries, radiotherapies(source), system_therapies(source))
     sequence = T.therapy_sequence(tumours, therapies)
