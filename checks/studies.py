@@ -218,6 +218,12 @@ query(
     )
 )
 
+query(
+    "study_d_timing_signs",
+    f"""SELECT count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS valid, 0 AS negative, count(*) FILTER (a = b) AS zero, count(*) FILTER (b > a) AS positive
+        FROM (SELECT max(ad) FILTER (n = 1) AS a, max(ad) FILTER (n = 2) AS b FROM ({_NUM}) WHERE total >= 2 AND n <= 2 GROUP BY patient_resource_id)""",
+)(lambda t: ST.study_d(H.source(t), keep=lazily)["timing_signs"])
+
 # Prostate ---------------------------------------------------------------------------------------
 
 C61_SQL = f"""SELECT condition_id, ad, age_at_diagnosis, gleason_score, CASE WHEN age_at_diagnosis < 65 AND gleason_score >= 8 THEN 1 ELSE 0 END AS cohort_flag, metastasis_loc

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,42 +51,74 @@ def parse_mixed_date(text: Column | str, fill: str = "mid") -> Column:
     """
     if fill not in ("mid", "start"):
         raise ValueError(f"fill must be 'mid' or 'start', not {fill!r}")
-    raw = F.nullif(F.trim(_col(text).cast("string")), F.lit(""))
-    norm = F.regexp_replace(raw, r"^(\d{4}-\d{2}-\d{2}).*$", "$1")
     month, year = ("-15", "-07-01") if fill == "mid" else ("-01", "-01-01")
-    full = (
-        F.when(norm.rlike(ISO_MONTH), F.concat(norm, F.lit(month)))
-        .when(norm.rlike(YEAR_ONLY), F.concat(norm, F.lit(year)))
-        .otherwise(norm)
-    )
-    dashed = F.regexp_replace(full, r"[./ ]", "-")
-    year_first = F.when(dashed.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(dashed, "yyyy-M-d"))
-    eight = F.when(
-        full.rlike(r"^\d{8}$"),
-        F.coalesce(F.try_to_date(full, "yyyyMMdd"), F.try_to_date(full, "ddMMyyyy")),
+
+    def parsed(full: Column) -> Column:
+        number = F.when(full.rlike(r"^\d{1,15}$"), full.cast("bigint"))
+        eight = F.when(
+            full.rlike(r"^\d{8}$"),
+            F.coalesce(F.try_to_date(full, "yyyyMMdd"), F.try_to_date(full, "ddMMyyyy")),
+        )
+        return F.coalesce(
+            _let(F.regexp_replace(full, r"[./ ]", "-"), _dashed_date),
+            eight,
+            _let(number, _numeric_date),
+        )
+
+    def described(raw: Column, norm: Column) -> Column:
+        precision = (
+            F.when(norm.rlike(ISO_DAY), F.lit("day"))
+            .when(norm.rlike(ISO_MONTH), F.lit("month"))
+            .when(norm.rlike(YEAR_ONLY), F.lit("year"))
+            .otherwise(F.lit("unknown"))
+        )
+        full = (
+            F.when(norm.rlike(ISO_MONTH), F.concat(norm, F.lit(month)))
+            .when(norm.rlike(YEAR_ONLY), F.concat(norm, F.lit(year)))
+            .otherwise(norm)
+        )
+        return _let(
+            full,
+            lambda f: F.struct(
+                raw.alias("raw"), f.alias("full"), parsed(f).alias("date"), precision.alias("precision")
+            ),
+        )
+
+    return _let(
+        F.nullif(F.trim(_col(text).cast("string")), F.lit("")),
+        lambda raw: _let(
+            F.regexp_replace(raw, r"^(\d{4}-\d{2}-\d{2}).*$", "$1"), lambda norm: described(raw, norm)
+        ),
     )
-    year_last = F.when(
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value computed once per row; without it every use repeats the expression,
+    and a plan with several such columns outgrows what Spark compiles."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _dashed_date(dashed: Column) -> Column:
+    return F.when(
+        dashed.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(dashed, "yyyy-M-d")
+    ).when(
         dashed.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"),
         F.coalesce(F.try_to_date(dashed, "d-M-yyyy"), F.try_to_date(dashed, "M-d-yyyy")),
     )
-    number = F.when(full.rlike(r"^\d{1,15}$"), full.cast("bigint"))
-    numeric = (
-        F.when(number.between(20_000, 80_000), F.date_add(F.lit("1899-12-30").cast("date"), number.cast("int")))
-        .when((number > 100_000_000) & (number <= 100_000_000_000), F.timestamp_seconds(number).cast("date"))
+
+
+def _numeric_date(number: Column) -> Column:
+    return (
+        F.when(
+            number.between(20_000, 80_000),
+            F.date_add(F.lit("1899-12-30").cast("date"), number.cast("int")),
+        )
+        .when(
+            (number > 100_000_000) & (number <= 100_000_000_000),
+            F.timestamp_seconds(number).cast("date"),
+        )
         .when(number > 100_000_000_000, F.timestamp_millis(number).cast("date"))
     )
-    precision = (
-        F.when(norm.rlike(ISO_DAY), F.lit("day"))
-        .when(norm.rlike(ISO_MONTH), F.lit("month"))
-        .when(norm.rlike(YEAR_ONLY), F.lit("year"))
-        .otherwise(F.lit("unknown"))
-    )
-    return F.struct(
-        raw.alias("raw"),
-        full.alias("full"),
-        F.coalesce(year_first, eight, year_last, numeric).alias("date"),
-        precision.alias("precision"),
-    )
 
 
 def prefix_date(text: Column | str) -> Column:

@@ -264,11 +264,11 @@ def date_quality_profile(df: DataFrame, cols: Sequence[str], fill: str = "mid")
 
 def epoch_raw_values(df: DataFrame, col: str, top_n: int = 20) -> DataFrame:
     """Raw text behind dates that parse to 1 January 1970, most frequent first."""
-    parsed = df.select(D.parse_mixed_date(col).alias("p"))
+    # Grouping by the parsed value parses each text once and keeps the plan small.
+    values = df.groupBy(D.parse_mixed_date(col).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     return (
-        parsed.where(F.col("p.date") == F.lit(EPOCH).cast("date"))
-        .groupBy(F.col("p.raw").alias("raw"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        values.where(F.col("p.date") == F.lit(EPOCH).cast("date"))
+        .select(F.col("p.raw").alias("raw"), "n")
         .orderBy(F.desc("n"), "raw")
         .limit(top_n)
     )

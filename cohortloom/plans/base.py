@@ -8,6 +8,7 @@ those pass through ``keep``, by default ``session.materialise``, which writes th
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,7 +116,7 @@ def radiotherapies(source: Source) -> DataFrame:
     ).fillna("", subset=["zielgebiet", "therapy_id_child"])
 
 
-def registry_facts(source: Source, conditions: DataFrame) -> Builders:
+def registry_facts(source: Source, conditions: Callable[[], DataFrame]) -> Builders:
     """All facts of a set of conditions (condition_id, patient_resource_id, asserted_date).
 
     Every table keeps each condition, with NULLs where nothing was reported; metastases keep every
@@ -123,57 +124,66 @@ def registry_facts(source: Source, conditions: DataFrame) -> Builders:
     fills several rows (one per cause of death) takes part once, so no fact is multiplied.
     """
     obs = source["Observation"]
-    persons = conditions.select("condition_id", "patient_resource_id", "asserted_date").distinct()
-    cond = persons.drop("patient_resource_id")
+
+    @cache
+    def persons() -> DataFrame:
+        return conditions().select("condition_id", "patient_resource_id", "asserted_date").distinct()
+
+    @cache
+    def parents() -> DataFrame:
+        return OD.cast_dates(V.tnm_parent(obs), ["parent_tnm_date"])
+
+    def cond() -> DataFrame:
+        return persons().drop("patient_resource_id")
 
     def by_condition(df: DataFrame, dates: list[str]) -> DataFrame:
-        return L.attach_to_all_conditions(OD.cast_dates(df, dates), cond, ["condition_id"])
+        return L.attach_to_all_conditions(OD.cast_dates(df, dates), cond(), ["condition_id"])
 
     def by_reason(df: DataFrame, dates: list[str]) -> DataFrame:
         return by_condition(df.withColumnRenamed("reason_reference", "condition_id"), dates)
 
-    parents = OD.cast_dates(V.tnm_parent(obs), ["parent_tnm_date"])
+    def staged(df: DataFrame, date: str) -> DataFrame:
+        return L.tnm_with_parent(by_condition(df, [date]), parents())
 
-    def staged(df: DataFrame, date: str, observation: str = "observation_id") -> DataFrame:
-        return L.tnm_with_parent(by_condition(df, [date]), parents, observation)
+    def metastasis() -> DataFrame:
+        dated = OD.cast_dates(V.metastases(obs), ["metastasis_date"])
+        return L.attach_left(dated, cond(), ["condition_id"])
 
-    surgeries = V.surgeries(source["Procedure"])
-    grouped = T.group_surgeries(OD.cast_dates(surgeries, ["therapy_start_date"]))
-    status = OD.cast_dates(V.vital_status(obs), ["effective_dateTime"]).withColumnRenamed(
-        "observation_patient_reference", "patient_resource_id"
-    )
+    def ops_grouped() -> DataFrame:
+        dated = OD.cast_dates(V.surgeries(source["Procedure"]), ["therapy_start_date"])
+        grouped = T.group_surgeries(dated).withColumnRenamed("reason_reference", "condition_id")
+        return L.attach_to_all_conditions(grouped, cond(), ["condition_id"])
+
+    def vital_status() -> DataFrame:
+        status = OD.cast_dates(V.vital_status(obs), ["effective_dateTime"])
+        return L.restrict_inner(
+            status.withColumnRenamed("observation_patient_reference", "patient_resource_id"),
+            persons(),
+            ["patient_resource_id"],
+        )
+
+    def other_classifications() -> DataFrame:
+        dated = OD.cast_dates(V.other_classifications(obs), ["weitere_klassifikation_date"])
+        return L.restrict_inner(dated, cond(), ["condition_id"])
+
+    period = ["therapy_start_date", "therapy_end_date"]
+    seen = ["effective_dateTime"]
     return {
-        "metastasis": lambda: L.attach_left(
-            OD.cast_dates(V.metastases(obs), ["metastasis_date"]), cond, ["condition_id"]
-        ),
-        "system_therapies": lambda: by_reason(
-            system_therapies(source), ["therapy_start_date", "therapy_end_date"]
-        ),
-        "radiotherapies_joined": lambda: by_reason(
-            radiotherapies(source), ["therapy_start_date", "therapy_end_date"]
-        ),
-        "ops": lambda: by_reason(surgeries, ["therapy_start_date"]).drop("meta_profile"),
-        "ops_grouped": lambda: L.attach_to_all_conditions(
-            grouped.withColumnRenamed("reason_reference", "condition_id"), cond, ["condition_id"]
-        ),
+        "metastasis": metastasis,
+        "system_therapies": lambda: by_reason(system_therapies(source), period),
+        "radiotherapies_joined": lambda: by_reason(radiotherapies(source), period),
+        "ops": lambda: by_reason(V.surgeries(source["Procedure"]), period[:1]).drop("meta_profile"),
+        "ops_grouped": ops_grouped,
         "tnm_t": lambda: staged(V.tnm_t(obs), "t_tnm_date"),
         "tnm_n": lambda: staged(V.tnm_n(obs), "n_tnm_date"),
         "tnm_m": lambda: staged(V.tnm_m(obs), "m_tnm_date"),
         "tnm_uicc": lambda: by_condition(V.tnm_uicc(obs), ["uicc_tnm_date"]),
         "tnm_y": lambda: staged(V.tnm_y(obs), "y_tnm_date"),
-        "progressions": lambda: by_condition(V.progressions(obs), ["effective_dateTime"]),
+        "progressions": lambda: by_condition(V.progressions(obs), seen),
         "gradings": lambda: by_condition(V.gradings(obs), ["grading_date"]),
-        "performance_status": lambda: by_condition(V.performance_status(obs), ["effective_dateTime"]),
-        "vital_status": lambda: L.restrict_inner(
-            status,
-            persons,
-            ["patient_resource_id"],
-        ),
-        "other_classifications": lambda: L.restrict_inner(
-            OD.cast_dates(V.other_classifications(obs), ["weitere_klassifikation_date"]),
-            cond,
-            ["condition_id"],
-        ),
+        "performance_status": lambda: by_condition(V.performance_status(obs), seen),
+        "vital_status": vital_status,
+        "other_classifications": other_classifications,
     }
 
 

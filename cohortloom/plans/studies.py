@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,63 +99,124 @@ def prepare_conditions(df: DataFrame) -> DataFrame:
     )
 
 
+def _clean_primary_tumours(source: Source) -> DataFrame:
+    return PR.clean_conditions(
+        prepare_conditions(conditions_patients_deaths(source, primary_only=True))
+    )
+
+
 def all_conditions(
     source: Source, server: DataFrame | None = None, keep: Keep = materialise
 ) -> Tables:
     """All primary tumours with all of their registry facts."""
-    clean = keep(
-        PR.clean_conditions(
-            prepare_conditions(conditions_patients_deaths(source, primary_only=True))
-        ),
-        "all-conditions",
-    )
+
+    @cache
+    def clean() -> DataFrame:
+        return keep(_clean_primary_tumours(source), "all-conditions")
+
     out = {
-        "all_obds_clean": lambda: clean,
-        "year_range": lambda: OD.year_range(clean),
-        "entity_summary": lambda: S.entity_summary(clean, "entity_or_parent"),
+        "all_obds_clean": clean,
+        "year_range": lambda: OD.year_range(clean()),
+        "entity_summary": lambda: S.entity_summary(clean(), "entity_or_parent"),
         **registry_facts(source, clean),
     }
     if server is not None:
-        out["mii_conditions"] = lambda: server_conditions_of(clean, server)
+        out["mii_conditions"] = lambda: server_conditions_of(clean(), server)
     return Tables(out)
 
 
+def earliest_metastasis(source: Source) -> DataFrame:
+    """Per condition the first day with metastases and all sites of that day."""
+    days = T.metastasis_by_day(V.metastases(source["Observation"])).withColumnRenamed(
+        "metastasis_date", "metastasis_date_first"
+    )
+    return O.first_per_key(
+        days.where(F.col("condition_id").isNotNull()),
+        ["condition_id"],
+        "metastasis_date_first",
+        ["metastasis_loc"],
+    )
+
+
 def study_d(source: Source, server: DataFrame | None = None, keep: Keep = materialise) -> Tables:
     """Patients with two primary tumours against those with one."""
-    clean = keep(
-        PR.clean_conditions(
-            prepare_conditions(conditions_patients_deaths(source, primary_only=True))
-        ),
-        "primary-tumours",
-    )
-    tumours = one_row_per_condition(clean)
-    two = keep(TU.two_malignancies(tumours), "two-tumours")
-    one = TU.one_malignancy(tumours)
-    pairs = TU.tumour_pairs(two)
-    stats = TU.pair_statistics(pairs)
-    shared = ["condition_id", "asserted_date", "patient_resource_id"]
-    both = one.select(*shared).unionByName(two.select(*shared))
+
+    @cache
+    def clean() -> DataFrame:
+        return keep(_clean_primary_tumours(source), "primary-tumours")
+
+    @cache
+    def tumours() -> DataFrame:
+        return one_row_per_condition(clean())
+
+    @cache
+    def two() -> DataFrame:
+        return keep(TU.two_malignancies(tumours()), "two-tumours")
+
+    @cache
+    def one() -> DataFrame:
+        return TU.one_malignancy(tumours())
+
+    @cache
+    def stats() -> DataFrame:
+        return TU.pair_statistics(TU.tumour_pairs(two()))
+
+    def both() -> DataFrame:
+        shared = ["condition_id", "asserted_date", "patient_resource_id"]
+        return one().select(*shared).unionByName(two().select(*shared))
+
+    @cache
+    def timing() -> Tables:
+        sites = earliest_metastasis(source)
+        spread = ["metastasis_loc", "metastasis_date_first"]
+        wide = TU.pivot_tumours(
+            two().join(sites, "condition_id", "left"),
+            one().join(sites, "condition_id", "left"),
+            [*TU.TUMOUR_COLUMNS, *spread],
+        )
+        return two_tumour_timing(wide)
+
+    def timed(name: str) -> Callable[[], DataFrame]:
+        return lambda: timing()[name]
+
     out = {
-        "oBDS_primaerdiagnosen": lambda: clean,
-        "year_range": lambda: OD.year_range(clean),
-        "2_malignancies": lambda: two,
-        "1_malignancy": lambda: one,
-        "1_malignancy_check": lambda: TU.one_row_per_patient(one),
-        "pivot_multi_single": lambda: TU.pivot_tumours(two, one),
-        "pair_statistics": lambda: stats,
-        "pair_outliers": lambda: TU.pair_outliers(pairs),
-        "pair_matrix_top30": lambda: S.pair_matrix(stats, top_n=30),
-        "pair_matrix_top100": lambda: S.pair_matrix(stats, top_n=100),
-        "pair_matrix_gt5": lambda: S.pair_matrix(stats, min_count=5),
+        "oBDS_primaerdiagnosen": clean,
+        "year_range": lambda: OD.year_range(clean()),
+        "2_malignancies": two,
+        "1_malignancy": one,
+        "1_malignancy_check": lambda: TU.one_row_per_patient(one()),
+        "pivot_multi_single": lambda: TU.pivot_tumours(two(), one()),
+        "pair_statistics": stats,
+        "pair_outliers": lambda: TU.pair_outliers(TU.tumour_pairs(two())),
+        "pair_matrix_top30": lambda: S.pair_matrix(stats(), top_n=30),
+        "pair_matrix_top100": lambda: S.pair_matrix(stats(), top_n=100),
+        "pair_matrix_gt5": lambda: S.pair_matrix(stats(), min_count=5),
+        **{f"timing_{name}": timed(name) for name in TIMING_TABLES},
         **registry_facts(source, both),
     }
     if server is not None:
         out["mii_conditions_2_mals"] = lambda: server_conditions_of(
-            two.where(F.col("malignancy_number") == 1), server
+            two().where(F.col("malignancy_number") == 1), server
         )
     return Tables(out)
 
 
+TIMING_TABLES = [
+    "flags",
+    "date_quality",
+    "signs",
+    "flag_by_entity",
+    "location_counts",
+    "location_counts_by_entity",
+    "timediff_quantiles",
+    "timediff_histogram",
+    "cumulative_all",
+    "cumulative_by_flag",
+    "kaplan_meier",
+    "kaplan_meier_by_entity",
+]
+
+
 def two_tumour_timing(wide: DataFrame, months: int = 3) -> Tables:
     """Time from first to second tumour, by whether the first had spread before.
 
@@ -212,18 +274,10 @@ def prostate_base(source: Source) -> DataFrame:
     grades = first_gleason(source).withColumnRenamed(
         "observation_gleason_condition_resource_id", "condition_id"
     )
-    sites = O.first_per_key(
-        T.metastasis_by_day(V.metastases(source["Observation"])).withColumnRenamed(
-            "metastasis_date", "metastasis_date_first"
-        ),
-        ["condition_id"],
-        "metastasis_date_first",
-        ["metastasis_loc"],
-    )
     joined = (
         base.join(grades, "condition_id", "left")
         .withColumn("gleason_score", C.gleason_score("gleason_sct"))
-        .join(sites.where(F.col("condition_id").isNotNull()), "condition_id", "left")
+        .join(earliest_metastasis(source), "condition_id", "left")
     )
     dated = OD.compute_age(
         OD.cast_dates(joined, ["asserted_date", "birthdate", "gleason_date", "metastasis_date_first"])
@@ -241,42 +295,65 @@ def study_pca(
     keep: Keep = materialise,
 ) -> Tables:
     """Prostate cancer: facts, therapy sequences and site aggregates."""
-    base = keep(prostate_base(source), "prostate-base")
-    tumours = one_row_per_condition(base)
-    surgeries = T.group_surgeries(V.surgeries(source["Procedure"]))
-    therapies = T.all_therapies(surgeries, radiotherapies(source), system_therapies(source))
-    sequence = T.therapy_sequence(tumours, therapies)
-    first_line = keep(
-        T.therapy_sequence(tumours, therapies, first_line_months=first_line_months), "first-line"
-    )
-    cohort = first_line.where(F.col("cohort_flag") == 1)
-    rest = first_line.where(F.col("cohort_flag") == 0)
-    sliced = first_line.withColumn("year_slice", PR.year_slice("asserted_date")).where(
-        F.col("year_slice").isNotNull()
-    )
-    out = {
-        "c61_base": lambda: base,
-        "therapy_sequence": lambda: sequence,
-        "therapy_sequence_first_line": lambda: first_line,
-        "sequence_export": lambda: T.leading_ordinals(sequence),
-        "sequence_counts": lambda: T.sequence_counts(first_line),
-        "diagnosis_year": lambda: S.counts_by_year(first_line),
-        "metastasis_loc": lambda: S.counts_by_metastasis(first_line),
-        "age_class": lambda: S.counts_by_age_class(first_line),
-        "therapy_combinations_cohort": lambda: T.therapy_combinations(cohort),
-        "therapy_combinations_rest": lambda: T.therapy_combinations(rest),
-        "therapy_combinations_met_cohort": lambda: T.therapy_combinations_by_metastasis(cohort),
-        "therapy_combinations_met_rest": lambda: T.therapy_combinations_by_metastasis(rest),
-        "therapy_combinations_met_by_period": lambda: T.therapy_combinations_by_metastasis(
-            sliced, ["cohort_flag", "year_slice"]
-        ),
-        **registry_facts(source, base),
-    }
-    if atc_mapping is not None:
-        out["sequence_export"] = lambda: T.atc_groups(
-            T.leading_ordinals(sequence), atc_mapping, "condition_id"
+
+    @cache
+    def base() -> DataFrame:
+        return keep(prostate_base(source), "prostate-base")
+
+    @cache
+    def tumours() -> DataFrame:
+        return one_row_per_condition(base())
+
+    @cache
+    def therapies() -> DataFrame:
+        surgeries = T.group_surgeries(V.surgeries(source["Procedure"]))
+        return T.all_therapies(surgeries, radiotherapies(source), system_therapies(source))
+
+    @cache
+    def sequence() -> DataFrame:
+        return T.therapy_sequence(tumours(), therapies())
+
+    @cache
+    def first_line() -> DataFrame:
+        return keep(
+            T.therapy_sequence(tumours(), therapies(), first_line_months=first_line_months),
+            "first-line",
         )
-    return Tables(out)
+
+    def flagged(flag: int) -> DataFrame:
+        return first_line().where(F.col("cohort_flag") == flag)
+
+    def sliced() -> DataFrame:
+        periods = first_line().withColumn("year_slice", PR.year_slice("asserted_date"))
+        return periods.where(F.col("year_slice").isNotNull())
+
+    def export() -> DataFrame:
+        leading = T.leading_ordinals(sequence())
+        if atc_mapping is None:
+            return leading
+        return T.atc_groups(leading, atc_mapping, "condition_id")
+
+    combinations, by_metastasis = T.therapy_combinations, T.therapy_combinations_by_metastasis
+    return Tables(
+        {
+            "c61_base": base,
+            "therapy_sequence": sequence,
+            "therapy_sequence_first_line": first_line,
+            "sequence_export": export,
+            "sequence_counts": lambda: T.sequence_counts(first_line()),
+            "diagnosis_year": lambda: S.counts_by_year(first_line()),
+            "metastasis_loc": lambda: S.counts_by_metastasis(first_line()),
+            "age_class": lambda: S.counts_by_age_class(first_line()),
+            "therapy_combinations_cohort": lambda: combinations(flagged(1)),
+            "therapy_combinations_rest": lambda: combinations(flagged(0)),
+            "therapy_combinations_met_cohort": lambda: by_metastasis(flagged(1)),
+            "therapy_combinations_met_rest": lambda: by_metastasis(flagged(0)),
+            "therapy_combinations_met_by_period": lambda: by_metastasis(
+                sliced(), ["cohort_flag", "year_slice"]
+            ),
+            **registry_facts(source, base),
+        }
+    )
 
 
 def pca_federated(sites: Mapping[str, DataFrame]) -> Tables:
