@@ -636,3 +636,12 @@ query(
         for_each_or_null=(F.col("component"), "_c"),
     )
 )
+
+query(
+    "observation_kinds",
+    f"""SELECT CASE {KIND} WHEN 0 THEN 'death' WHEN 1 THEN 'gleason' WHEN 2 THEN 'uicc' WHEN 3 THEN 't' WHEN 4 THEN 'n' WHEN 5 THEN 'm' WHEN 6 THEN 'uncoded' WHEN 7 THEN 'y'
+        WHEN 8 THEN 'metastasis' WHEN 9 THEN 'progression' WHEN 10 THEN 'grading' WHEN 11 THEN 'classification' WHEN 12 THEN 'performance' WHEN 13 THEN 'vital_status'
+        WHEN 14 THEN 'genetic_variant' ELSE 'laboratory' END AS kind, count(*) AS n FROM lineitem GROUP BY 1""",
+)(
+    lambda t: H.observation(t).groupBy(V.observation_kind().alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+)

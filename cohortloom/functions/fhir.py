@@ -33,7 +33,7 @@ def reference_key(ref: Column | str) -> Column:
     """``Type/id`` of a reference struct; server address and version are cut off."""
     text = _col(ref).getField("reference")
     found = F.regexp_extract(text, r"([A-Za-z]+/[^/]+)(?:/_history/.*)?$", 1)
-    return F.when(found != "", found)
+    return F.nullif(found, F.lit(""))
 
 
 def first_reference_key(refs: Column | str) -> Column:

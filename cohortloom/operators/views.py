@@ -7,6 +7,7 @@ scan stage and only the nested fields a view needs are read.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +65,70 @@ def _extension_code(url: str, system: str) -> Column:
     return P.coding_code(P.extension_value(url, "valueCodeableConcept"), system)
 
 
+# Kinds of observations ----------------------------------------------------------------------
+#
+# Every observation view reads one kind. A lake written by ``sources.resources.write_lake`` is
+# partitioned by kind, so a view over it opens only its own partition.
+
+
+def observation_kinds() -> dict[str, Column]:
+    """Which observations each view is about."""
+    # The Karnofsky code counts under any system: "system and a, or b".
+    karnofsky = F.coalesce(
+        F.exists("code.coding", lambda c: c["code"] == K.KARNOFSKY_CODE), F.lit(False)
+    )
+    laboratory = F.coalesce(
+        F.exists(
+            "category",
+            lambda k: F.exists(
+                k["coding"],
+                lambda c: (c["system"] == K.OBSERVATION_CATEGORY) & (c["code"] == "laboratory"),
+            ),
+        ),
+        F.lit(False),
+    )
+    return {
+        "death": _snomed(K.DEATH_CODE),
+        "gleason": _snomed(K.GLEASON_CODE),
+        "t": _snomed(*K.TNM_CODES["t"]),
+        "n": _snomed(*K.TNM_CODES["n"]),
+        "m": _snomed(*K.TNM_CODES["m"]),
+        "uicc": _snomed(*K.TNM_CODES["uicc"]),
+        "y": _loinc(K.Y_SYMBOL_LOINC),
+        "metastasis": _snomed(K.METASTASIS_CODE),
+        "progression": _snomed(K.PROGRESSION_CODE),
+        "grading": _loinc(K.GRADING_LOINC),
+        "classification": P.profile_is(K.OTHER_CLASSIFICATION),
+        "performance": _snomed(K.ECOG_CODE) | karnofsky,
+        "vital_status": _loinc(K.VITAL_STATUS_LOINC),
+        "genetic_variant": _loinc(K.GENETIC_VARIANT_LOINC),
+        "laboratory": laboratory,
+        "uncoded": P.lacks_code("code"),
+    }
+
+
+KIND_COLUMN = "kind"
+
+
+def observation_kind() -> Column:
+    """The kind of an observation; ``several`` if it belongs to more than one, else ``other``."""
+    hits = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in observation_kinds().items()]))
+    return (
+        F.when(F.size(hits) == 0, F.lit("other"))
+        .when(F.size(hits) == 1, F.get(hits, F.lit(0)))
+        .otherwise(F.lit("several"))
+    )
+
+
+def of_kind(observation: DataFrame, *kinds: str) -> DataFrame:
+    """Observations of the given kinds, by partition where there is one and by test in any case."""
+    tests = observation_kinds()
+    rows = observation
+    if KIND_COLUMN in observation.columns:
+        rows = rows.where(F.col(KIND_COLUMN).isin(*kinds, "several"))
+    return rows.where(reduce(lambda a, b: a | b, [tests[k] for k in kinds]))
+
+
 # Patients and conditions --------------------------------------------------------------------
 
 
@@ -166,7 +231,7 @@ def deaths(observation: DataFrame, *, every_cause: bool = False) -> DataFrame:
         causes = F.filter("valueCodeableConcept.coding", lambda c: c["system"] == K.ICD10)
         bound, cause = (causes, "_cause"), F.col("_cause.code")
     return view(
-        observation,
+        of_kind(observation, "death"),
         {
             "observation_resource_id": P.resource_key("Observation"),
             "death_cause_icd10": cause,
@@ -174,14 +239,13 @@ def deaths(observation: DataFrame, *, every_cause: bool = False) -> DataFrame:
             "date_death": F.col("effectiveDateTime"),
             "observation_death_patient_resource_id": _subject(),
         },
-        _snomed(K.DEATH_CODE),
         for_each_or_null=bound,
     )
 
 
 def gleason(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "gleason"),
         {
             "observation_gleason_resource_id": P.resource_key("Observation"),
             "observation_gleason_condition_resource_id": _focus(),
@@ -189,20 +253,18 @@ def gleason(observation: DataFrame) -> DataFrame:
             "gleason_sct": _value(K.SNOMED),
             "gleason_date": F.col("effectiveDateTime"),
         },
-        _snomed(K.GLEASON_CODE),
     )
 
 
 def tnm_parent(observation: DataFrame) -> DataFrame:
     """Staging groups, one row per member observation."""
     return view(
-        observation,
+        of_kind(observation, "uicc"),
         {
             "parent_tnm_observation_id": P.resource_key("Observation"),
             "parent_tnm_date": F.col("effectiveDateTime"),
             "has_member": P.reference_key("_member"),
         },
-        _snomed(*K.TNM_CODES["uicc"]),
         for_each=(F.col("hasMember"), "_member"),
     )
 
@@ -213,7 +275,7 @@ def tnm_category(observation: DataFrame, dimension: str) -> DataFrame:
     snomed = P.coding_code("code", K.SNOMED)
     d = dimension
     return view(
-        observation,
+        of_kind(observation, d),
         {
             "observation_id": P.resource_key("Observation"),
             "condition_id": _focus(),
@@ -223,7 +285,6 @@ def tnm_category(observation: DataFrame, dimension: str) -> DataFrame:
             f"{d}_tnm_date": F.col("effectiveDateTime"),
             f"{d}_tnm_prefix_sct": C.lookup(K.TNM_CODES[d], snomed),
         },
-        _snomed(*K.TNM_CODES[d]),
     )
 
 
@@ -242,7 +303,7 @@ def tnm_m(observation: DataFrame) -> DataFrame:
 def tnm_uicc(observation: DataFrame) -> DataFrame:
     snomed = P.coding_code("code", K.SNOMED)
     return view(
-        observation,
+        of_kind(observation, "uicc"),
         {
             "uicc_observation_id": P.resource_key("Observation"),
             "condition_id": _focus(),
@@ -251,20 +312,18 @@ def tnm_uicc(observation: DataFrame) -> DataFrame:
             "uicc_tnm_date": F.col("effectiveDateTime"),
             "uicc_tnm_prefix_sct": C.lookup(K.TNM_CODES["uicc"], snomed),
         },
-        _snomed(*K.TNM_CODES["uicc"]),
     )
 
 
 def tnm_y(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "y"),
         {
             "observation_id": P.resource_key("Observation"),
             "condition_id": _focus(),
             "y_tnm_421755005": _value(K.SNOMED),
             "y_tnm_date": F.col("effectiveDateTime"),
         },
-        _loinc(K.Y_SYMBOL_LOINC),
     )
 
 
@@ -272,7 +331,7 @@ def tnm_nm_staging(observation: DataFrame) -> DataFrame:
     """Clinical and pathological N and M categories, one row per coding of the code."""
     wanted = [c for d in ("n", "m") for c, label in K.TNM_CODES[d].items() if label[0] in "cp"]
     return view(
-        observation,
+        of_kind(observation, "n", "m"),
         {
             "observation_id": P.resource_key("Observation"),
             "patient_id": _subject(),
@@ -290,20 +349,19 @@ def tnm_nm_staging(observation: DataFrame) -> DataFrame:
 
 def metastases(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "metastasis"),
         {
             "observation_metastasis_resource_id": P.resource_key("Observation"),
             "condition_id": _focus(),
             "metastasis_loc": _value(K.METASTASIS_SITE),
             "metastasis_date": F.col("effectiveDateTime"),
         },
-        _snomed(K.METASTASIS_CODE),
     )
 
 
 def progressions(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "progression"),
         {
             "observation_id": P.resource_key("Observation"),
             "observation_patient_reference": _subject(),
@@ -314,27 +372,25 @@ def progressions(observation: DataFrame) -> DataFrame:
             "lymph_node_status": P.component_code(K.SNOMED, K.LYMPH_NODE_STATUS_CODE),
             "distant_metastasis_status": P.component_code(K.SNOMED, K.DISTANT_STATUS_CODE),
         },
-        _snomed(K.PROGRESSION_CODE),
     )
 
 
 def gradings(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "grading"),
         {
             "observation_id": P.resource_key("Observation"),
             "condition_id": _focus(),
             "grading": _value(K.GRADING),
             "grading_date": F.col("effectiveDateTime"),
         },
-        _loinc(K.GRADING_LOINC),
     )
 
 
 def other_classifications(observation: DataFrame) -> DataFrame:
     """Further classifications, one row per coding of the value."""
     return view(
-        observation,
+        of_kind(observation, "classification"),
         {
             "weitere_klassifikation_name": F.col("code.text"),
             "meta_profile": P.first_profile(),
@@ -344,7 +400,6 @@ def other_classifications(observation: DataFrame) -> DataFrame:
             "weitere_klassifikation_value_system": F.col("_coding.system"),
             "weitere_klassifikation_value_code": F.col("_coding.code"),
         },
-        P.profile_is(K.OTHER_CLASSIFICATION),
         for_each=(F.col("valueCodeableConcept.coding"), "_coding"),
     )
 
@@ -352,7 +407,7 @@ def other_classifications(observation: DataFrame) -> DataFrame:
 def first_classifications(observation: DataFrame) -> DataFrame:
     """Further classifications with the first coding of the value only."""
     return view(
-        observation,
+        of_kind(observation, "classification"),
         {
             "observation_id": P.resource_key("Observation"),
             "meta_profile": P.first_profile(),
@@ -361,14 +416,13 @@ def first_classifications(observation: DataFrame) -> DataFrame:
             "weitere_klassifikation_code": P.first_code("valueCodeableConcept"),
             "weitere_klassifikation_date": F.col("effectiveDateTime"),
         },
-        P.profile_is(K.OTHER_CLASSIFICATION),
     )
 
 
 def patient_classifications(observation: DataFrame) -> DataFrame:
     """Further classifications with patient and condition, one row per coding of the value."""
     return view(
-        observation,
+        of_kind(observation, "classification"),
         {
             "observation_id": P.resource_key("Observation"),
             "observation_patient_reference": _subject(),
@@ -379,18 +433,13 @@ def patient_classifications(observation: DataFrame) -> DataFrame:
             "value_system": F.col("_coding.system"),
             "value_code": F.col("_coding.code"),
         },
-        P.profile_is(K.OTHER_CLASSIFICATION),
         for_each=(F.col("valueCodeableConcept.coding"), "_coding"),
     )
 
 
 def performance_status(observation: DataFrame) -> DataFrame:
-    # The second code counts under any system: "system and a, or b".
-    karnofsky = F.coalesce(
-        F.exists("code.coding", lambda c: c["code"] == K.KARNOFSKY_CODE), F.lit(False)
-    )
     return view(
-        observation,
+        of_kind(observation, "performance"),
         {
             "observation_id": P.resource_key("Observation"),
             "observation_patient_reference": _subject(),
@@ -399,13 +448,12 @@ def performance_status(observation: DataFrame) -> DataFrame:
             "ecog_performance_status": _value(K.ECOG),
             "karnofsky_performance_status": _value(K.KARNOFSKY),
         },
-        _snomed(K.ECOG_CODE) | karnofsky,
     )
 
 
 def ecog_status(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "performance"),
         {
             "observation_id": P.resource_key("Observation"),
             "observation_patient_reference": _subject(),
@@ -418,7 +466,7 @@ def ecog_status(observation: DataFrame) -> DataFrame:
 
 def vital_status(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "vital_status"),
         {
             "observation_id": P.resource_key("Observation"),
             "meta_profile": P.first_profile(),
@@ -427,14 +475,13 @@ def vital_status(observation: DataFrame) -> DataFrame:
             "vitalstatus_system": F.col("_coding.system"),
             "vitalstatus_code": F.col("_coding.code"),
         },
-        _loinc(K.VITAL_STATUS_LOINC),
         for_each=(F.col("valueCodeableConcept.coding"), "_coding"),
     )
 
 
 def genetic_variants(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "genetic_variant"),
         {
             "observation_id": P.resource_key("Observation"),
             "observation_patient_reference": _subject(),
@@ -443,23 +490,12 @@ def genetic_variants(observation: DataFrame) -> DataFrame:
             "genetic_variant_trait": P.list_coding_code("interpretation", K.VARIANT_TRAIT),
             "genetic_variant_name": P.first("note").getField("text"),
         },
-        _loinc(K.GENETIC_VARIANT_LOINC),
     )
 
 
 def labs(observation: DataFrame) -> DataFrame:
-    laboratory = F.coalesce(
-        F.exists(
-            "category",
-            lambda k: F.exists(
-                k["coding"],
-                lambda c: (c["system"] == K.OBSERVATION_CATEGORY) & (c["code"] == "laboratory"),
-            ),
-        ),
-        F.lit(False),
-    )
     return view(
-        observation,
+        of_kind(observation, "laboratory"),
         {
             "observation_id": F.col("id"),
             "observation_patient_reference": F.col("subject.reference"),
@@ -472,18 +508,17 @@ def labs(observation: DataFrame) -> DataFrame:
             "lab_quantity_unit": F.col("valueQuantity.code"),
             "lab_codeableconcept_code": _value(K.SNOMED),
         },
-        laboratory,
     )
 
 
 def uncoded_observations(observation: DataFrame) -> DataFrame:
     return view(
-        observation,
+        of_kind(observation, "uncoded"),
         {"name": F.col("code.text"), "stadium": P.first_code("valueCodeableConcept")},
-        P.lacks_code("code"),
     )
 
 
+
 # Therapies ----------------------------------------------------------------------------------
 
 

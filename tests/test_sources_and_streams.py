@@ -30,6 +30,19 @@ def test_bundles_one_per_line_and_lake(spark, tmp_path, rows):
     assert RS.read_lake(spark, str(tmp_path / "lake"), "Patient").schema == schema_of("Patient")
 
 
+def test_views_over_a_lake_open_only_their_partition(spark, tmp_path, rows):
+    from checks import shape
+    from checks.registry import Tables
+
+    observations = shape.observation(Tables(spark, "/root/testdata/sf0.001"))
+    RS.write_lake(observations, str(tmp_path), "Observation")
+    stored = RS.read_lake(spark, str(tmp_path), "Observation")
+    for make in (V.deaths, V.tnm_nm_staging, V.performance_status, V.labs, V.uncoded_observations, V.other_classifications):
+        assert rows(make(stored)) == rows(make(observations)), make.__name__
+    plan = V.metastases(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [kind" in plan and "metastasis" in plan
+
+
 def test_ndjson(spark, tmp_path):
     (tmp_path / "e.ndjson").write_text('{"resourceType":"Encounter","id":"1","status":"finished","class":{"code":"IMP"},"unknown":5}\n')
     assert RS.read_ndjson(spark, str(tmp_path / "e.ndjson"), "Encounter").first()["class"]["code"] == "IMP"
