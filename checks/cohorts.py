@@ -394,7 +394,7 @@ query(
             "l_linenumber",
             "l_partkey",
             "l_suppkey",
-            f"{H.OBS_ID} AS id",
+            f"concat_ws('-', {H.OBS_ID}, {H.day('l_shipdate')}) AS id",
             f"{CODE_CELL} AS code_1",
             "CASE WHEN l_linenumber > 3 THEN cast(l_partkey % 40 as string) END AS code_2",
         ),

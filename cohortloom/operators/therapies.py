@@ -251,6 +251,8 @@ def atc_groups(
 ) -> DataFrame:
     """Replace the codes in every ordinal column by their groups, order kept, unknown ones gone.
 
+    ``id_col`` names each row.
+
     All columns are unfolded together, joined to the mapping once, and folded back: the mapping may
     be of any size and never visits the driver.
     """
