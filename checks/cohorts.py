@@ -167,7 +167,7 @@ def two(t):
 
 query(
     "two_malignancies",
-    f"SELECT o_custkey, o_orderkey, malignancy_number, malignancy_count, cast(date_prev as varchar) AS date_prev, years_between, months_between FROM ({TWO_SQL})",
+    f"SELECT o_custkey, o_orderkey, cast(malignancy_number as int) AS malignancy_number, malignancy_count, cast(date_prev as varchar) AS date_prev, years_between, months_between FROM ({TWO_SQL})",
 )(
     lambda t: strings(
         two(t).select(
@@ -344,7 +344,7 @@ query("therapy_sequence_first_line", FIRST_LINE_WIDE_SQL)(lambda t: first_line(t
 
 query(
     "therapy_index",
-    f"SELECT therapy_id, cast(l_orderkey as varchar) AS reason_reference, n AS therapy_index FROM ({SEQUENCED_SQL}) WHERE n <= 10",
+    f"SELECT therapy_id, cast(l_orderkey as varchar) AS reason_reference, cast(n as int) AS therapy_index FROM ({SEQUENCED_SQL}) WHERE n <= 10",
 )(
     lambda t: T.therapy_index(line_therapies(t), dated_conditions(t)).select("therapy_id", "reason_reference", "therapy_index")
 )

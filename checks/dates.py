@@ -160,7 +160,7 @@ query(
     f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
         round({months('ship_date', 'asserted_date')}, 2) AS months_between_asserted_ship_date,
         round({months('(ship_date + 40)', 'asserted_date')}, 2) AS months_between_asserted_end_date,
-        year(asserted_date) AS asserted_year FROM ({LINES})""",
+        cast(year(asserted_date) as int) AS asserted_year FROM ({LINES})""",
 )(
     lambda t: OD.drop_date_columns(
         OD.year_columns(
@@ -171,7 +171,7 @@ query(
 
 query(
     "year_range",
-    "SELECT min(year(o_orderdate)) AS year_min, max(year(o_orderdate)) AS year_max FROM orders",
+    "SELECT cast(min(year(o_orderdate)) as int) AS year_min, cast(max(year(o_orderdate)) as int) AS year_max FROM orders",
 )(lambda t: OD.year_range(people(t)))
 
 query(
@@ -312,7 +312,7 @@ query(
     )
 )
 
-query("birth_year", f"SELECT c_custkey, year(cast({H.BIRTHDATE_DUCK} as date)) AS birth_year FROM customer")(
+query("birth_year", f"SELECT c_custkey, cast(year(cast({H.BIRTHDATE_DUCK} as date)) as int) AS birth_year FROM customer")(
     lambda t: t.customer.selectExpr("c_custkey", f"cast({H.BIRTHDATE} as date) AS b").select(
         "c_custkey", D.birth_year("b").alias("birth_year")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import shape as H
+from checks import views as VQ
 from checks.dates import DAY, ISO_TEXT, months, people, stamps
 from checks.registry import query
 from cohortloom.functions import deid as X
@@ -42,7 +43,7 @@ query(
         SELECT {hmac_sql("concat('Condition/', o_orderkey)")} AS condition_id_hash,
             {hmac_sql("concat('Patient/', o_custkey)")} AS patient_resource_id_hash, gender, icd10_code,
             round({months('b', 'd')}, 2) AS months_between_asserted_birthdate,
-            year(d) AS asserted_year FROM p""",
+            cast(year(d) as int) AS asserted_year FROM p""",
 )(
     lambda t: G.deidentify(
         people(t).select(
@@ -73,7 +74,7 @@ query(
         {hmac_sql("c_name")} AS patient_mrn, {H.GENDER} AS gender,
         strftime(CASE o_orderkey % 6 WHEN 0 THEN o_orderdate WHEN 1 THEN o_orderdate + INTERVAL 570 MINUTE
             WHEN 2 THEN o_orderdate + INTERVAL 630 MINUTE END + INTERVAL 11 DAY, '%Y-%m-%d %H:%M:%S') AS "diagnosis_recordedDate",
-        year(cast({H.BIRTHDATE_DUCK} as date)) AS birth_year
+        cast(year(cast({H.BIRTHDATE_DUCK} as date)) as int) AS birth_year
         FROM orders JOIN customer ON c_custkey = o_custkey""",
 )(
     lambda t: stamps(
@@ -232,3 +233,55 @@ query(
     )
 )
 
+
+_LAB_REF = f"CASE WHEN {H.Q} % 5 = 0 THEN concat('http://server/fhir/', {H.OBS_PATIENT}, '/_history/3') ELSE {H.OBS_PATIENT} END"
+query(
+    "deidentify_labs",
+    f"""SELECT {hmac_sql(H.OBS_ID)} AS observation_id, {hmac_sql(_LAB_REF)} AS observation_patient_reference, {H.pick(H.Q, H.LAB_CODES)} AS loinc_code,
+        l_quantity * 1.5 AS lab_quantity_value, strftime(l_shipdate + INTERVAL 11 DAY, '%Y-%m-%d %H:%M:%S') AS "lab_dateTime" FROM lineitem WHERE {H.OBS_KIND} = 15""",
+)(
+    lambda t: stamps(
+        G.deidentify_table(V.labs(H.observation(t)), G.TABLE_SPECS["labs"], SECRET).select(
+            "observation_id", "observation_patient_reference", "loinc_code", "lab_quantity_value", "lab_dateTime"
+        ),
+        "lab_dateTime",
+    )
+)
+
+query(
+    "deidentify_medication_events",
+    f"""SELECT type, {hmac_sql('id')} AS id, {hmac_sql('patient_reference')} AS patient_reference,
+        CASE WHEN medication_reference IS NOT NULL THEN {hmac_sql('medication_reference')} END AS medication_reference,
+        strftime(cast(datetime as timestamp) + INTERVAL 11 DAY, '%Y-%m-%d %H:%M:%S') AS datetime FROM ({VQ.REQUEST_SQL} UNION ALL {VQ.ADMINISTRATION_SQL})""",
+)(
+    lambda t: stamps(
+        G.deidentify_table(
+            V.request_events(H.medication_request(t)).unionByName(V.administration_events(H.medication_administration(t))),
+            G.TABLE_SPECS["medication_events"],
+            SECRET,
+        ).select("type", "id", "patient_reference", "medication_reference", "datetime"),
+        "datetime",
+    )
+)
+
+query(
+    "deidentify_letter_findings",
+    f"""SELECT {hmac_sql('cast(user_id as varchar)')} AS patient_mrn, {hmac_sql("concat('letter-', event_id)")} AS source_file, event_type AS gene,
+        strftime(date_trunc('day', ts) + INTERVAL 11 DAY, '%Y-%m-%d %H:%M:%S') AS document_date, '2019-12-12 00:00:00' AS date FROM events""",
+)(
+    lambda t: stamps(
+        G.deidentify_table(
+            t.events.selectExpr(
+                "cast(user_id as string) AS patient_mrn",
+                "concat('letter-', event_id) AS source_file",
+                "event_type AS gene",
+                "date_format(ts, 'yyyy-MM-dd') AS document_date",
+                "'2019-12' AS date",
+            ),
+            G.TABLE_SPECS["letter_findings"],
+            SECRET,
+        ),
+        "document_date",
+        "date",
+    )
+)

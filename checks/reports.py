@@ -20,6 +20,7 @@ from cohortloom.operators import stats as S
 from cohortloom.operators import survival as SV
 from cohortloom.operators import tumours as TU
 from cohortloom.operators import views as V
+from cohortloom.plans.studies import pca_federated
 from cohortloom.sources import sinks as SK
 
 Q = H.Q
@@ -47,7 +48,7 @@ def cohort(t):
 
 query(
     "counts_by_year",
-    f'SELECT year(asserted_date) AS diagnosis_year, count(*) AS "count", sum(cohort_flag)::bigint AS cohort_count, {GLEASON_COUNTS} FROM ({COHORT_SQL}) GROUP BY 1',
+    f'SELECT cast(year(asserted_date) as int) AS diagnosis_year, count(*) AS "count", sum(cohort_flag)::bigint AS cohort_count, {GLEASON_COUNTS} FROM ({COHORT_SQL}) GROUP BY 1',
 )(lambda t: S.counts_by_year(cohort(t)))
 
 KIND_SQL = f"""SELECT *, CASE o_orderkey % 5 WHEN 0 THEN 'OSS' WHEN 1 THEN 'OSS|PUL' WHEN 3 THEN 'HEP' ELSE 'NON' END AS metastasis_kind FROM ({COHORT_SQL})"""
@@ -330,14 +331,14 @@ query("day_histogram", f"SELECT CASE {_BINS} END AS bin, count(*) AS n FROM {_DA
     lambda t: S.day_histogram(lines(t).withColumn("days", D.days_between("ship_date", "asserted_date")), "days")
 )
 
-query("seeded_sample")(lambda t: S.seeded_sample(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", 20))
+query("seeded_sample", "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(concat(o_orderkey, '|42')), o_orderkey LIMIT 20")(lambda t: S.seeded_sample(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", 20))
 
 query("tail_rows", "SELECT event_id, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 20")(
     lambda t: S.head_by(t.events.select("event_id", "user_id", "ts"), ["ts", "event_id"], 20, tail=True).drop("ts")
 )
 
 # Federation: every nation is a site.
-SITE_SQL = f"""SELECT n_name AS site, year(asserted_date) AS diagnosis_year, count(*) AS "count", sum(cohort_flag)::bigint AS cohort_count
+SITE_SQL = f"""SELECT n_name AS site, cast(year(asserted_date) as int) AS diagnosis_year, count(*) AS "count", sum(cohort_flag)::bigint AS cohort_count
     FROM ({COHORT_SQL}) JOIN orders USING (o_orderkey) JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2"""
 
 
@@ -400,7 +401,7 @@ query(
     f"SELECT metastasis_kind, overall_count, cohort_count FROM ({METASTASIS_COUNTS_SQL}) WHERE (overall_count > 3 OR cohort_count > 3) AND metastasis_kind <> 'NON'",
 )(lambda t: FE.min_cell_filter(S.counts_by_metastasis(cohort(t))).select("metastasis_kind", "overall_count", "cohort_count"))
 
-query("recent_years", 'SELECT year(o_orderdate) AS diagnosis_year, count(*) AS n FROM orders GROUP BY 1 HAVING year(o_orderdate) >= 1998')(
+query("recent_years", 'SELECT cast(year(o_orderdate) as int) AS diagnosis_year, count(*) AS n FROM orders GROUP BY 1 HAVING cast(year(o_orderdate) as int) >= 1998')(
     lambda t: FE.recent_years(t.orders.groupBy(F.year("o_orderdate").alias("diagnosis_year")).agg(F.count(F.lit(1)).alias("n")), since=1998)
 )
 
@@ -472,3 +473,38 @@ query(
         "event_id", F.round(F.col("v").try_cast("double"), 4).alias("number")
     )
 )
+
+# Federated totals -------------------------------------------------------------------------------
+
+
+def site_tables(t):
+    """The four aggregates of every site, stacked."""
+
+    def counts(by):
+        return sites(t, by).agg(
+            F.count(F.lit(1)).alias("count"),
+            F.count(F.lit(1)).alias("overall_count"),
+            F.sum("cohort_flag").alias("cohort_count"),
+            *[F.count_if(F.col("gleason_score") == g).alias(f"gleason_{g}_count") for g in S.GLEASON],
+        )
+
+    kind = C.normalise_set_string("metastasis_loc")
+    flag = F.expr("CASE WHEN cohort_flag = 1 THEN 'metastatic' ELSE 'non_metastatic' END")
+    return {
+        "diagnosis_year": counts([F.year("asserted_date").alias("diagnosis_year")]),
+        "age_class": counts([C.age_class("age_at_diagnosis").alias("age_class")]),
+        "metastasis_loc": counts([kind.alias("metastasis_kind")]),
+        "therapy_combinations_met": counts([kind.alias("combo_label"), flag.alias("metastatic_flag")]),
+    }
+
+
+query(
+    "pca_federated_split",
+    f"""SELECT lower(metastasis_kind) AS combo_label, sum(cohort_flag)::double AS metastatic, sum(1 - cohort_flag)::double AS non_metastatic, count(*)::double AS total
+        FROM ({KIND_SQL}) GROUP BY 1""",
+)(lambda t: pca_federated(site_tables(t))["therapies_metastasis_split"])
+query(
+    "pca_federated_sites",
+    f"""SELECT metastasis_kind, count(*)::double AS overall_count, sum(cohort_flag)::double AS cohort_count FROM ({KIND_SQL}) WHERE metastasis_kind <> 'NON' GROUP BY 1
+        HAVING count(*) > 3 OR sum(cohort_flag) > 3""",
+)(lambda t: pca_federated(site_tables(t))["metastasis_loc"].select("metastasis_kind", "overall_count", "cohort_count"))

@@ -100,8 +100,18 @@ query(
     """SELECT concat_ws('_', cast(doc_id as varchar), concat('A-', doc_id % 7), '2019-12-13') AS letter_key FROM documents WHERE doc_id % 10 IN (2, 4, 6, 8)""",
 )(lambda t: LT.letter_key(LT.letters_from_documents(documents(t))).where("document_date IS NOT NULL").select("letter_key"))
 
-query("letter_key_collisions", "SELECT '' AS letter_key, 0 AS n WHERE false")(
-    lambda t: LT.key_collisions(LT.letter_key(LT.letters_from_documents(documents(t))))
+query(
+    "letter_key_collisions",
+    """SELECT concat_ws('_', cast(doc_id % 40 as varchar), concat('A-', doc_id % 7), '2019-12-13') AS letter_key, count(*) AS n FROM documents
+        WHERE doc_id % 2 = 0 AND doc_id % 5 <> 0 GROUP BY 1 HAVING count(*) > 1""",
+)(
+    lambda t: LT.key_collisions(
+        LT.letter_key(
+            LT.letters_from_documents(documents(t)).withColumn(
+                "patient_id", (F.col("patient_id").cast("bigint") % 40).cast("string")
+            )
+        )
+    )
 )
 
 query(
@@ -275,13 +285,17 @@ query(
 )
 
 
-def first_word(letter: dict) -> dict:
+def first_word_extractor():
     """A stand-in for a model: reports the first word of the letter as a gene."""
-    words = (letter.get("therapie_text") or "").split()
-    if not words:
-        return {}
-    gene = {"gene": words[0][:50], "mutated": True, "variant_detail": None, "date": None, "evidence_text": None}
-    return {"genes": [gene], "karyotypes": [], "eln_risk": [], "notes": None}
+
+    def extract(letter: dict) -> dict:
+        words = (letter.get("therapie_text") or "").split()
+        if not words:
+            return {}
+        gene = {"gene": words[0][:50], "mutated": True, "variant_detail": None, "date": None, "evidence_text": None}
+        return {"genes": [gene]}
+
+    return extract
 
 
 query(
@@ -291,7 +305,7 @@ query(
 )(
     lambda t: LT.extract_findings(
         LT.letters_from_documents(documents(t)).withColumn("letter_key", F.col("patient_id")),
-        first_word,
+        first_word_extractor(),
         t.documents.where("doc_id % 4 = 0").select(F.col("doc_id").cast("string").alias("letter_key")),
     ).select("patient_id", F.col("genes")[0]["gene"].alias("gene"), "attempts")
 )

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +13,9 @@ from cohortloom.functions.deid import clean_mrn
 from cohortloom.operators.ordering import top_per_key
 from cohortloom.operators.predicates import row_digest
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 THERAPY_SECTION = "M5_Therapie"
 DIAGNOSIS_SECTION = "M5_Diagnosen"
 
@@ -238,10 +241,6 @@ Extractor = Callable[[dict], dict]
 MAX_RETRIES = 3
 
 
-def _is_empty(result: dict) -> bool:
-    return not (result.get("genes") or result.get("karyotypes") or result.get("eln_risk"))
-
-
 def extract_findings(
     letters: DataFrame,
     extractor: Extractor | None = None,
@@ -265,36 +264,32 @@ def extract_findings(
             }
         )
 
-    names = prompted.columns
+    names, retries = prompted.columns, MAX_RETRIES
+    arrays = ["genes", "karyotypes", "eln_risk"]
 
+    # Self-contained, so that executors need nothing but pandas and the extractor itself.
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas
+
         for batch in batches:
             out = []
             for row in batch.to_dict("records"):
                 letter = {k: (None if v is None or v != v else v) for k, v in row.items()}
                 result, error, attempts = {}, None, 0
                 try:
-                    while attempts <= MAX_RETRIES:
+                    while attempts <= retries:
                         attempts += 1
                         result = extractor(letter)
-                        if not _is_empty(result):
+                        if any(result.get(a) for a in arrays):
                             break
                 except Exception as e:  # a bad letter must not stop the others
                     result, error = {}, f"{type(e).__name__}: {e}"
                 out.append(
-                    {
-                        **{n: letter[n] for n in names},
-                        "genes": result.get("genes") or [],
-                        "karyotypes": result.get("karyotypes") or [],
-                        "eln_risk": result.get("eln_risk") or [],
-                        "notes": result.get("notes"),
-                        "attempts": attempts,
-                        "error": error,
-                    }
+                    [letter[n] for n in names]
+                    + [result.get(a) or [] for a in arrays]
+                    + [result.get("notes"), attempts, error]
                 )
-            yield pd.DataFrame(
-                out, columns=[*names, "genes", "karyotypes", "eln_risk", "notes", "attempts", "error"]
-            )
+            yield pandas.DataFrame(out, columns=[*names, *arrays, "notes", "attempts", "error"])
 
     letter_ddl = ", ".join(f"`{n}` {t}" for n, t in prompted.dtypes)
     return prompted.mapInPandas(run, f"{letter_ddl}, {RESULT_DDL}, attempts int, error string")

@@ -95,9 +95,13 @@ def before_after(
 ) -> DataFrame:
     """Patients before, and on or after, a reference date; partial dates compare as text."""
     early = F.col(date_text) < F.lit(reference)
-    return df.groupBy(*by).agg(
-        F.count_distinct(F.when(early, F.col(patient))).alias("num_patients_before"),
-        F.count_distinct(F.when(~early, F.col(patient))).alias("num_patients_after"),
+    per_patient = df.groupBy(*by, patient).agg(
+        F.bool_or(early).alias("_before"), F.bool_or(~early).alias("_after")
+    )
+    known = F.col(patient).isNotNull()
+    return per_patient.groupBy(*by).agg(
+        F.count_if(known & F.col("_before")).alias("num_patients_before"),
+        F.count_if(known & F.col("_after")).alias("num_patients_after"),
     )
 
 

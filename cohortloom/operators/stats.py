@@ -83,13 +83,17 @@ def distinct_patients_by(
 
 
 def cohort_funnel(df: DataFrame, steps: Mapping[str, Column], patient: str) -> DataFrame:
-    """Patients per step as (step_no, step, n) from one aggregation over flags."""
-    sums = df.agg(
-        *[
-            F.count_distinct(F.when(cond, F.col(patient))).alias(f"_s{i}")
-            for i, cond in enumerate(steps.values())
-        ]
+    """Patients per step as (step_no, step, n).
+
+    Flags are combined per patient first, map-side included, and then summed: several distinct
+    counts side by side would repeat every row once per step.
+    """
+    reached = (
+        df.where(F.col(patient).isNotNull())
+        .groupBy(patient)
+        .agg(*[F.bool_or(cond).alias(f"_s{i}") for i, cond in enumerate(steps.values())])
     )
+    sums = reached.agg(*[F.count_if(F.col(f"_s{i}")).alias(f"_s{i}") for i in range(len(steps))])
     rows = F.array(
         *[
             F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.col(f"_s{i}").alias("n"))
@@ -319,8 +323,9 @@ def day_histogram(df: DataFrame, col: str, breaks: Sequence[float] = DAY_BREAKS)
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """A reproducible handful of rows for looking at."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """A reproducible handful of rows for looking at, by the digest of key and seed."""
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.orderBy(digest, key).limit(n)
 
 
 def head_by(df: DataFrame, order: Sequence[str], n: int = 20, *, tail: bool = False) -> DataFrame:

@@ -93,7 +93,7 @@ def upsert_latest(
 
 
 def current_state(spark: SparkSession, root: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    parts = spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/batch=*")
+    parts = spark.read.parquet(root)
     return latest_rows(parts, key, [*order, "batch"]).drop("batch")
 
 

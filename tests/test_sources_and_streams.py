@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from cohortloom.dictionary import TABLES
 from cohortloom.functions.deid import hmac_sha256
 from cohortloom.operators import views as V
 from cohortloom.operators.letters import rebuild_tables
@@ -98,6 +99,8 @@ def test_sinks(spark, tmp_path, rows):
     assert spark.read.parquet(layout.parquet("x")).count() == 2
     dictionary = SK.data_dictionary(spark, {"t": {"a": "A", "b": "B"}})
     assert rows(dictionary) == [("t", "a", "A"), ("t", "b", "B")]
+    everything = SK.data_dictionary(spark, TABLES)
+    assert everything.count() == everything.select("table_name", "column_name").distinct().count() > 60
     assert SK.describe_columns(df, {"t": "text"}).schema["t"].metadata == {"comment": "text"}
 
 
