@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,23 +48,31 @@ def number_rows(
     cuts = [f"_slice_{s}" for s in slices]
     sliced = df.withColumns({f"_slice_{s}": c for s, c in slices.items()})
 
+    # Text stand-ins without NULLs let the join and the window share one shuffle of the rows.
+    stand_in = {
+        c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+        for c in [*keys, *cuts]
+    }
+    places = [f"_at_{c}" for c in stand_in]
+    key_places = places[: len(keys)]
+    sliced = sliced.withColumns({f"_at_{c}": e for c, e in stand_in.items()})
+
     order_key = F.struct(*[F.col(c) for c in order])
     last = F.struct(*[F.col(c) for c in previous]) if previous else F.lit(None)
-    per_slice = sliced.groupBy(*keys, *cuts).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max_by(last, order_key).alias("_last")
+    per_slice = sliced.groupBy(*places).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.max_by(last, order_key).alias("_last"),
+        *[F.first(c).alias(c) for c in cuts],
     )
-    across = Window.partitionBy(*keys).orderBy(*cuts)
+    across = Window.partitionBy(*key_places).orderBy(*cuts)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
-        *[F.col(c).alias(f"_o_{c}") for c in [*keys, *cuts]],
+        *places,
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
         F.lag("_last").over(across).alias("_carried"),
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in [*keys, *cuts]]
-    inside = Window.partitionBy(*keys, *cuts).orderBy(*order)
-    numbered = sliced.join(offsets, reduce(lambda a, b: a & b, same), "inner").withColumn(
-        "_rn", F.row_number().over(inside)
-    )
+    inside = Window.partitionBy(*places).orderBy(*order)
+    numbered = sliced.join(offsets, places, "inner").withColumn("_rn", F.row_number().over(inside))
     added = {name: (F.col("_rn") + F.col("_offset")).cast("bigint")}
     for source, target in previous.items():
         added[target] = F.when(F.col("_rn") == 1, F.col(f"_carried.{source}")).otherwise(
