@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import secrets
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -48,6 +49,8 @@ IDENTIFYING = [
     "observation_patient_reference",
     "patient_id",
     "patient_id_prefixed",
+    # Not a fixed value: a raw reference to another procedure must not survive either.
+    "part_of_reference",
 ]
 SERVER_HASHED = ["condition_id", "condition_patient_reference", "observation_patient_reference"]
 
@@ -76,12 +79,17 @@ def hash_columns(
     return out.drop(*there) if drop and suffix else out
 
 
+def _named(columns: Sequence[str], names: Sequence[str]) -> list[str]:
+    """Columns with one of the names, or with one of them and an ordinal (``therapy_id_3``)."""
+    return [c for c in columns if c in names or re.sub(r"_\d+$", "", c) in names]
+
+
 def deidentify(
     df: DataFrame, key: bytes, *, drop_original: bool = True, identifying: Sequence[str] = IDENTIFYING
 ) -> DataFrame:
     """Hash the keys, drop what identifies, turn dates into months since diagnosis and years."""
-    out = hash_columns(df, key, HASHED, drop=drop_original)
-    out = out.drop(*[c for c in identifying if c in out.columns])
+    out = hash_columns(df, key, _named(df.columns, HASHED), drop=drop_original)
+    out = out.drop(*_named(out.columns, identifying))
     if "asserted_date" in out.columns:
         out = OD.months_to_reference_all(out)
     return OD.drop_date_columns(OD.year_columns(out))

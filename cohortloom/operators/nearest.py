@@ -24,7 +24,7 @@ def nearest_event(
     tie: str,
     *,
     how: str = "left",
-    slice_days: int = 30,
+    slice_days: int = 1,
     suffix: str = "_first",
 ) -> DataFrame:
     """For every base row the event of the same key closest in time, before or after.

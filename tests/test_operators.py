@@ -184,6 +184,8 @@ def test_deidentified_tables_keep_no_raw_key(spark):
     assert out.columns == ["condition_id_hash", "patient_resource_id_hash", "months_between_asserted_grading_date", "asserted_year"]
     raw = {"Condition/1", "Patient/1", "o", "s1"}
     assert not raw & {str(v) for v in out.first()}
+    wide = spark.createDataFrame([("a", "b", "c", "OP")], "condition_id_2 string, therapy_id_1 string, part_of_reference string, therapy_type_1 string")
+    assert G.deidentify(wide, b"k").columns == ["therapy_type_1", "condition_id_2_hash"]
     for name, spec in G.TABLE_SPECS.items():
         cols = [*spec.hashed, *spec.shifted]
         one = spark.createDataFrame([tuple("2020-01-02" if c in spec.shifted else f"raw-{c}" for c in cols)], ", ".join(f"`{c}` string" for c in cols))
