@@ -130,6 +130,7 @@ def right_closed_bins(value: Column | str, edges: Sequence[float], labels: Seque
     return _case(branches, F.lit(None))
 
 
+# Edges and names of the age groups.
 AGE_GROUP_EDGES = [0, 18, 30, 45, 60, 75, 90, 120]
 AGE_GROUP_LABELS = ["0-18", "18-30", "30-45", "45-60", "60-75", "75-90", "90+"]
 

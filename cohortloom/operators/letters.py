@@ -16,6 +16,7 @@ from cohortloom.operators.predicates import row_digest
 if TYPE_CHECKING:
     import pandas as pd
 
+# Section ids of the XML letters.
 THERAPY_SECTION = "M5_Therapie"
 DIAGNOSIS_SECTION = "M5_Diagnosen"
 
@@ -113,6 +114,7 @@ def key_collisions(letters: DataFrame, name: str = "letter_key") -> DataFrame:
     return letters.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+# Section titles in order.
 PROMPT_SECTIONS = [
     ("Document date", "document_date"),
     ("Diagnosis summary", "diagnosis_text"),
@@ -295,6 +297,7 @@ def extract_findings(
     return prompted.mapInPandas(run, f"{letter_ddl}, {RESULT_DDL}, attempts int, error string")
 
 
+# Date form and categories of valid findings.
 DATE_PATTERN = r"^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?$"
 CLASSIFICATIONS = ["normal", "aberrant", "complex_aberrant", "not_performed", "unknown"]
 RISK_CATEGORIES = ["favorable", "intermediate", "adverse"]
@@ -357,6 +360,7 @@ def rejected_findings(df: DataFrame) -> DataFrame:
     return df.where(F.size("problems") > 0)
 
 
+# Columns of the finding tables.
 METADATA = ["patient_mrn", "account_id", "document_date", "letter_status", "template_name", "source_type", "source_file"]
 FINDING_FIELDS = {
     "genes": ["gene", "date", "mutated", "variant_detail", "evidence_text"],

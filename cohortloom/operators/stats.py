@@ -289,6 +289,7 @@ def sign_counts(df: DataFrame, later: str, earlier: str) -> DataFrame:
     )
 
 
+# Probabilities and day breaks of the timing reports.
 PROBS = [0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0]
 DAY_BREAKS = [-1, 0, 30, 90, 180, 365, 730, 1825, 3650]
 

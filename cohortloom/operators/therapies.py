@@ -75,6 +75,7 @@ def metastasis_by_day(
     return concat_children(metastases, [condition, date], ["metastasis_loc"], "|")
 
 
+# Columns of the common therapy table, and those laid out in sequence.
 THERAPY_COLUMNS = {
     "therapy_id": "string",
     "meta_profile": "string",

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom import constants as K
 from cohortloom.functions import codes as C
 from cohortloom.functions import dates as D
 from cohortloom.functions import fhir as P
@@ -272,6 +271,7 @@ def summary(
 
 # Drug preparation exports ---------------------------------------------------------------------
 
+# Columns of both export layouts, and where the second one finds them.
 DRUG_LAYOUT = [
     "Datum", "Zeit", "Herstellungs-ID", "Herstellungsdatum", "Herstellungszeit", "Privatpatient",
     "Patienten-ID", "KIS-Patienten-ID", "Kostenstellennummer", "Station", "Wirkstoff", "Dosierung",
@@ -320,6 +320,3 @@ def zenzy_layout(df: DataFrame) -> DataFrame:
 def registry_patient_id(df: DataFrame, col: str) -> DataFrame:
     """Registry patient numbers without leading zeros; alphanumeric ones as they are."""
     return df.withColumn(col, numeric_id(col))
-
-
-PRIMARY_PROFILE = K.PRIMARY_TUMOUR

@@ -29,7 +29,6 @@ from cohortloom.plans.base import (
     Tables,
     conditions_patients_deaths,
     first_gleason,
-    lazily,
     materialise,
     one_row_per_condition,
     radiotherapies,
