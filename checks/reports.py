@@ -344,7 +344,7 @@ SITE_SQL = f"""SELECT n_name AS site, cast(year(asserted_date) as int) AS diagno
 
 def sites(t, by):
     """Cohort rows with their site."""
-    home = t.customer.join(F.broadcast(t.nation), F.col("n_nationkey") == F.col("c_nationkey")).select(
+    home = t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey")).select(
         F.col("c_custkey").alias("o_custkey"), F.col("n_name").alias("site")
     )
     return cohort(t).join(home, "o_custkey").groupBy("site", *by)
