@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import simhash
+from cohortloom.llm import bpe, mix, quality, simhash
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,7 +20,25 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix.mix(table(spark, folder, "documents"))
+
+
+SQL["op1_source_mix"] = mix.ORACLE
+
+
+@query
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
