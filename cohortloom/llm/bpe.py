@@ -71,15 +71,13 @@ class Vocabulary:
         """
         out = [b""] * len(pieces)
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        width = 2
-        while (lengths > width // 2).any():
-            at = np.flatnonzero((lengths > width // 2) & (lengths <= width))
-            if width == 2:
-                at = np.flatnonzero((lengths > 0) & (lengths <= width))
+        shorter, width = 0, 2
+        while (lengths > shorter).any():
+            at = np.flatnonzero((lengths > shorter) & (lengths <= width))
             most = max(1, (1 << 20) // width)
             for i in range(0, len(at), most):
                 self._lockstep(pieces, at[i : i + most], lengths, width, out)
-            width *= 2
+            shorter, width = width, 2 * width
         return out
 
     def _lockstep(self, pieces: list[bytes], at: np.ndarray, lengths: np.ndarray, width: int, out: list[bytes]) -> None:
