@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, mix, quality, simhash
+from cohortloom.llm import bpe, mix, quality, simhash, suffixes
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op1_source_mix"] = mix.ORACLE
 
 
+@query
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.removal_digests(table(spark, folder, "documents"))
+
+
 @query
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
