@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, mix, quality, simhash, suffixes
+from cohortloom.llm import bpe, mix, quality, simhash, suffixes, topk
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,26 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    found = topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+SQL["op6_exact_top_k"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
 @query
 def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
