@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, mix, quality, simhash, suffixes, topk
+from cohortloom.llm import bpe, fingerprints, mix, quality, simhash, suffixes, topk, toxicity
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 SQL["op1_source_mix"] = mix.ORACLE
 
 
+@query
+def op2_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared(table(spark, folder, "documents"))
+
+
 @query
 def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.removal_digests(table(spark, folder, "documents"))
@@ -67,3 +72,8 @@ def op7_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
