@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, fingerprints, mix, quality, simhash, suffixes, topk, toxicity
+from cohortloom.llm import bpe, fingerprints, mix, quality, simhash, suffixes, topk, toxicity, warc
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,25 @@ def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.removal_digests(table(spark, folder, "documents"))
 
 
+@query
+def op4_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages"))
+
+
+SQL["op4_warc_revisits"] = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages
+), firsts AS (
+    SELECT *, sha256(html) AS payload_digest,
+           CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first
+    FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
 @query
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
