@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, fingerprints, mix, quality, simhash, suffixes, topk, toxicity, warc
+from cohortloom.llm import bpe, fingerprints, lmscore, mix, quality, simhash, suffixes, topk, toxicity, warc
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,12 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op9_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lmscore.scored(docs, lmscore.labelled_target(docs, table(spark, folder, "labels")))
+
+
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
