@@ -20,14 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import steps, stored, texts_of
+from cohortloom.llm.common import STEP_BYTES, steps, stored, texts_of
 from cohortloom.operators.skew import spread_join
 
 LENGTH = 200
 GRAM = 64
 #: Bytes of passages that one suffix array covers.
 SHARD = 1 << 20
-#: An anchor gram with more different passages than this is counted string by string instead.
+#: Passages of an anchor gram that occurs more often than this are counted string by string instead.
 HOT = 1024
 _SEGMENT = 1 << 20
 _BYTE = np.array([int.from_bytes(hashlib.sha256(bytes([b])).digest()[:8], "big") for b in range(256)], np.uint64)
@@ -91,15 +91,15 @@ def _words(data: np.ndarray) -> np.ndarray:
     return w
 
 
-def suffix_array(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Places sorted by what follows them, at least to ``depth`` bytes (equal beyond: any order).
+def suffix_array(data: np.ndarray) -> np.ndarray:
+    """Places sorted by what follows them.
 
     Larsson-Sadakane: places sorted by eight bytes form groups; a group that isn't sorted yet is
     refined by the group numbers at twice the depth, groups of one rest.
     """
     n = len(data)
     w = _words(data)[:n]
-    sa = np.argsort(w, kind="stable")
+    sa = np.argsort(w)
     ranked = w[sa]
     new = np.concatenate(([True], ranked[1:] != ranked[:-1])) if n else np.empty(0, bool)
     head = np.maximum.accumulate(np.where(new, np.arange(n), 0)) if n else new
@@ -107,7 +107,7 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     group[n] = -1
     group[sa] = head
     h = 8
-    while h < depth:
+    while h < 2 * n:
         open_ = ~new
         open_[:-1] |= ~new[1:]
         at = np.flatnonzero(open_)
@@ -115,7 +115,7 @@ def suffix_array(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
             break
         places = sa[at]
         key = group[places] * (n + 2) + group[np.minimum(places + h, n)] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         places, key = places[order], key[order]
         sa[at] = places
         differs = np.concatenate(([True], key[1:] != key[:-1]))
@@ -139,7 +139,7 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, depth: int = LENGTH) -> np
     rank[sa] = np.arange(n)
     before = np.where(rank > 0, sa[rank - 1], -1)
     out = np.zeros(n, np.int64)
-    stretch = 256
+    stretch = 64
     lanes = np.arange(0, n, stretch)
     h = np.zeros(len(lanes), np.int64)
     for t in range(stretch):
@@ -156,7 +156,7 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, depth: int = LENGTH) -> np
                 equal += (x >> np.uint64(bits)) == 0
             own[going] += equal
             going = going[(equal == 8) & (own[going] < depth)]
-        own = np.minimum(own, depth)
+        own = np.minimum(np.minimum(own, depth), n - np.maximum(i, j))  # words end in zeros
         h[live] = own
         out[i] = own
     return out[sa]
@@ -197,7 +197,7 @@ class _Shard:
     def __init__(self, passages: list[bytes], copies: np.ndarray, length: int):
         self.data, self.starts = _joined(passages)
         sizes = np.diff(np.append(self.starts, len(self.data)))
-        self.sa = suffix_array(self.data, length)
+        self.sa = suffix_array(self.data)
         shared = common_prefixes(self.data, self.sa, length)
         self.run = np.cumsum(shared < length) - 1  # equal strings follow each other
         owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -254,123 +254,132 @@ def repeated_strings(gram: np.ndarray, passages: list[bytes], copies: np.ndarray
 
 
 def removals(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``d1``, ``d2`` (digest of a text) and ``runs``: flat first and last places of the strings
+    """``d1``, ``d2`` (digests of a text) and ``runs``: flat first and last places of the strings
     of ``length`` bytes that also start elsewhere. Texts without any are left out."""
     texts = _digested(docs.select(F.col(text).cast("string").alias("text")))
+    long_texts = texts.filter(F.octet_length("text") >= length)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             data, starts = _joined(texts_of(batch))
             doc, at, first, last, gram = anchors(data, starts, length)
-            own = first - starts[doc]
-            spot = (own << 24) | ((at - first) << 12) | (last - first)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram), batch.column("d1").take(pa.array(doc)), batch.column("d2").take(pa.array(doc)), pa.array(spot)],
-                ["gram", "d1", "d2", "spot"],
-            )
+            spot = ((first - starts[doc]) << 25) | ((at - first) << 13) | ((last - first) << 1)
+            columns = [pa.array(gram), *(batch.column(d).take(pa.array(doc)) for d in ("d1", "d2")), pa.array(spot)]
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "d1", "d2", "spot"])
 
-    long_texts = texts.filter(F.octet_length("text") >= length)
-    grams = long_texts.mapInArrow(find, "gram bigint, d1 bigint, d2 bigint, spot bigint")
-    again = grams.groupBy("gram").count().filter("count > 1").select("gram")
-    near = spread_join(grams, again, ["gram"], "left_semi")
-    spots = stored(near.groupBy("d1", "d2").agg(F.collect_set("spot").alias("spots")), "spots")
+    grams = long_texts.mapInArrow(find, "gram bigint, d1 bigint, d2 int, spot bigint")
+    again = grams.groupBy("gram").count().filter("count > 1")
+    again = again.select("gram", (F.col("count") > HOT).cast("bigint").alias("frequent"))
+    near = spread_join(grams, again, ["gram"], "inner").select("d1", "d2", F.col("spot").bitwiseOR(F.col("frequent")).alias("spot"))
+    spots = near.groupBy("d1", "d2").agg(F.collect_set("spot").alias("spots"))
+    spots = stored(spots.withColumn("doc", F.monotonically_increasing_id()), "spots")
+
+    names = ["doc", "first", "gram", "digest", "frequent", "copies", "passage"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        """A row for each passage of each text, and one for each different passage with its bytes."""
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+        held: dict[tuple[int, int], list] = {}
+        met: set[int] = set()
+        size = 0
         for batch in steps(batches):
             rows = []
-            for d1, d2, text_, own in zip(batch.column("d1").to_pylist(), batch.column("d2").to_pylist(), texts_of(batch), batch.column("spots").to_pylist()):
+            for doc, text_, own in zip(batch.column("doc").to_pylist(), texts_of(batch), batch.column("spots").to_pylist()):
+                new = doc not in met  # the places of a repeated text are asked for once
+                met.add(doc)
                 for spot in own:
-                    first, at, more = spot >> 24, spot >> 12 & 0xFFF, spot & 0xFFF
+                    first, at, more = spot >> 25, spot >> 13 & 0xFFF, spot >> 1 & 0xFFF
                     passage = text_[first : first + more + length]
-                    gram = xxhash.xxh3_64_intdigest(passage[at : at + GRAM]) >> 1
-                    digest = xxhash.xxh3_128_digest(passage)
-                    known = digest in seen
-                    seen.add(digest)
-                    rows.append((d1, d2, first, gram, digest, None if known else passage))
-            if len(seen) > 500_000:
-                seen.clear()  # repeats are met again below
-            names = ["d1", "d2", "first", "gram", "digest", "passage"]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            columns = list(zip(*rows)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    with_spots = long_texts.join(spots.hint("shuffle_hash"), ["d1", "d2"])
-    schema = "d1 bigint, d2 bigint, first bigint, gram bigint, digest binary, passage binary"
-    met = stored(with_spots.mapInArrow(cut, schema), "passages")
+                    gram = xxhash.xxh3_64_intdigest(passage[at : at + GRAM]) - (1 << 63)
+                    digest = xxhash.xxh3_64_intdigest(passage, 1) - (1 << 63)
+                    if new:
+                        rows.append((doc, first, gram, digest, None, None, None))
+                    if (known := held.get((gram, digest))) is not None:
+                        known[1] += 1
+                    else:
+                        held[gram, digest] = [bool(spot & 1), 1, passage]
+                        size += len(passage)
+            if size > 4 * STEP_BYTES:
+                rows += [(None, None, *k, *v) for k, v in held.items()]
+                held, size = {}, 0
+            if len(met) > 1_000_000:
+                met.clear()
+            if rows:
+                yield out(rows)
+        if held:
+            yield out([(None, None, *k, *v) for k, v in held.items()])
 
-    counted = met.groupBy("gram", "digest").agg(F.count("*").alias("copies"))
-    sizes = counted.groupBy("gram").count().withColumnRenamed("count", "passages")
-    hot = sizes.filter(F.col("passages") > HOT).select("gram", F.lit(True).alias("hot"))
-    # One row for each passage of a task; equal ones of several tasks meet before the shard.
-    given = spread_join(met.filter("passage is not null"), hot, ["gram"], "left").select("gram", "digest", "passage", "hot")
+    with_spots = long_texts.join(spots.hint("shuffle_hash"), ["d1", "d2"]).select("doc", "text", "spots")
+    schema = "doc bigint, first bigint, gram bigint, digest bigint, frequent boolean, copies bigint, passage binary"
+    met = stored(with_spots.mapInArrow(cut, schema), "passages")
+    given = met.filter("doc is null").select("gram", "digest", "passage", "copies", "frequent")
+
+    def solved(rows: list[tuple]) -> pa.RecordBatch:
+        gram = np.array([r[0] for r in rows], np.int64)
+        copies = np.array([r[3] for r in rows], np.int64)
+        starts = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+        # Where every passage of a gram has copies, all of their strings repeat anyway.
+        single = np.minimum.reduceat(copies, starts) == 1
+        asked = np.flatnonzero(np.repeat(single, np.diff(np.append(starts, len(rows)))))
+        runs = [np.array([0, len(r[2]) - length]) for r in rows]
+        if len(asked):
+            for i, own in zip(asked, repeated_strings(gram[asked], [rows[i][2] for i in asked], copies[asked], length)):
+                runs[i] = own
+        some = [i for i, r in enumerate(runs) if len(r)]
+        columns = [pa.array([rows[i][c] for i in some], pa.int64()) for c in (0, 1)]
+        columns.append(pa.array([runs[i].tolist() for i in some], pa.list_(pa.int32())))
+        return pa.RecordBatch.from_arrays(columns, ["gram", "digest", "found"])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(rows: list[tuple]) -> pa.RecordBatch:
-            gram = np.array([r[0] for r in rows], np.int64)
-            runs = repeated_strings(gram, [r[2] for r in rows], np.array([r[3] for r in rows], np.int64), length)
-            some = [i for i, r in enumerate(runs) if len(r)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([rows[i][1] for i in some], pa.binary()), pa.array([runs[i].tolist() for i in some], pa.list_(pa.int32()))],
-                ["digest", "found"],
-            )
-
         held: list[tuple] = []
         size = 0
         for row in chain.from_iterable(zip(*(c.to_pylist() for c in b.columns)) for b in steps(batches, "passage")):
-            if held and row[1] == held[-1][1]:
-                held[-1] = (*held[-1][:3], held[-1][3] + 1)  # another task's copy
+            if held and row[:2] == held[-1][:2]:  # the same passage, met by another task
+                held[-1] = (*held[-1][:3], held[-1][3] + row[3])
                 continue
             if size > 4 * SHARD and row[0] != held[-1][0]:
                 yield solved(held)
                 held, size = [], 0
-            held.append((*row[:3], row[3] or 1))
+            held.append(row)
             size += len(row[2])
         if held:
             yield solved(held)
 
-    # A passage that occurs twice repeats as a whole; its count decides, not the tasks that saw it.
-    times = counted.select("digest", "copies")
-    dealt = (
-        given.filter("hot is null")
-        .select("gram", "digest", "passage")
-        .join(times.filter("copies > 1").withColumnRenamed("copies", "times"), "digest", "left")
-        .select("gram", "digest", "passage", "times")
-        .repartition("gram")
-        .sortWithinPartitions("gram", "digest")
-    )
-    by_shard = dealt.mapInArrow(shards, "digest binary, found array<int>")
+    found = "gram bigint, digest bigint, found array<int>"
+    dealt = given.filter("not frequent").drop("frequent").repartition("gram").sortWithinPartitions("gram", "digest")
+    by_shard = dealt.mapInArrow(shards, found)
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "passage"):
-            digests, places, own = [], [], []
-            for digest, passage in zip(batch.column("digest").to_pylist(), batch.column("passage").to_pylist()):
-                n = len(passage) - length + 1
-                places += range(n)
-                digests += [digest] * n
-                own += [xxhash.xxh3_128_digest(passage[i : i + length]) for i in range(n)]
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(places, pa.int32()), pa.array(own, pa.binary())], ["digest", "place", "string"])
-
-    hot_passages = given.filter("hot").dropDuplicates(["digest"]).join(times, "digest").select("digest", "passage", "copies")
-    single = hot_passages.select("digest", "passage").mapInArrow(strings, "digest binary, place int, string binary")
-    twice = single.groupBy("string").count().filter("count > 1").select("string")
+            passages = batch.column("passage").to_pylist()
+            counts = np.array([len(p) - length + 1 for p in passages], np.int64)
+            row = pa.array(np.repeat(np.arange(len(passages)), counts))
+            own = [xxhash.xxh3_128_digest(p[i : i + length]) for p, n in zip(passages, counts.tolist()) for i in range(n)]
+            places = np.concatenate([np.arange(n, dtype=np.int32) for n in counts]) if len(counts) else np.empty(0, np.int32)
+            columns = [*(batch.column(c).take(row) for c in ("gram", "digest", "copies")), pa.array(places), pa.array(own, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "digest", "copies", "place", "string"])
+
+    single = given.filter("frequent").drop("frequent").mapInArrow(strings, "gram bigint, digest bigint, copies bigint, place int, string binary")
+    twice = single.groupBy("string").agg(F.sum("copies").alias("n")).filter("n > 1").select("string")
     by_string = (
         spread_join(single, twice, ["string"], "left_semi")
-        .select("digest", F.array("place", "place").alias("found"))
-        .unionByName(
-            hot_passages.filter("copies > 1").select("digest", F.array(F.lit(0), (F.octet_length("passage") - length).cast("int")).alias("found"))
-        )
-        .groupBy("digest")
-        .agg(F.flatten(F.collect_list("found")).alias("found"))
+        .groupBy("gram", "digest")
+        .agg(F.flatten(F.collect_set(F.array("place", "place"))).alias("found"))
     )
     repeats = by_shard.unionByName(by_string)
-    placed = spread_join(met.select("d1", "d2", "first", "digest"), repeats, ["digest"], "inner")
-    moved = placed.select("d1", "d2", F.transform("found", lambda x: x + F.col("first")).alias("found"))
-    return moved.groupBy("d1", "d2").agg(F.flatten(F.collect_set("found")).alias("runs"))
+    wanted = met.filter("doc is not null").select("doc", "first", "gram", "digest")
+    placed = spread_join(wanted, repeats, ["gram", "digest"], "inner")
+    moved = placed.select("doc", F.transform("found", lambda x: x + F.col("first")).alias("found"))
+    runs = moved.groupBy("doc").agg(F.flatten(F.collect_set("found")).alias("runs"))
+    return spots.select("doc", "d1", "d2").join(runs, "doc").select("d1", "d2", "runs")
 
 
 def _digested(docs: DataFrame, text: str = "text") -> DataFrame:
-    return docs.withColumns({"d1": F.xxhash64(text), "d2": F.xxhash64(F.lit(1), F.col(text))})
+    return docs.withColumns({"d1": F.xxhash64(text), "d2": F.hash(text)})
 
 
 def _spans(runs: list[int] | None, size: int, length: int) -> np.ndarray:
@@ -389,7 +398,7 @@ def removed_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     """``docs`` with ``_runs``, from which ``_spans`` gives what to remove (NULL: nothing)."""
     runs = removals(docs, text, length).withColumnsRenamed({"d1": "_d1", "d2": "_d2", "runs": "_runs"})
     own = F.col(text).cast("string")
-    marked = docs.withColumns({"_d1": F.xxhash64(own), "_d2": F.xxhash64(F.lit(1), own)})
+    marked = docs.withColumns({"_d1": F.xxhash64(own), "_d2": F.hash(own)})
     return marked.join(runs.hint("shuffle_hash"), ["_d1", "_d2"], "left").select(*[docs[c] for c in docs.columns], "_runs")
 
 
