@@ -104,25 +104,30 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("id"), own.alias("text"))
     rows = rows.withColumns({"n": F.char_length("text").cast("bigint"), "h": F.xxhash64("text")})
-    keys = rows.select("id", "n", "h").distinct()
+    keys = rows.groupBy("id", "n", "h").agg(F.count("*").alias("times"))
 
     def tag(at: str = "") -> Column:
         return F.xxhash64(F.lit(7), F.col(f"{at}id"), F.col(f"{at}n"))
 
-    follows = followers(keys).withColumns({"t": tag(), "next_t": tag("next."), "next_h": F.col("next.h")})
-    follows = stored(follows.select("t", "h", "n", "next_t", "next_h"), "next")
+    follows = followers(keys).withColumns({"t": tag(), "next_t": tag("next."), "next_h": F.col("next.h"), "next_times": F.col("next.times")})
+    follows = stored(follows.select("id", "t", "h", "n", "next_t", "next_h", "next_times"), "next")
     before = follows.select(
-        F.col("next_t").alias("t"), F.col("next_h").alias("h"), F.col("t").alias("to_t"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).cast("int").alias("asked")
+        F.col("next_t").alias("t"), F.col("next_h").alias("h"), F.col("t").alias("to_t"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).cast("int").alias("asked"), "next_times"
     )
-    placed = sketched(rows.withColumn("t", tag()), "text", "sketch").repartition("t", "h")
-    given = (
-        before.join(placed.select("t", "h", "text", "sketch"), ["t", "h"])
-        .select(F.col("to_t").alias("t"), F.col("to_h").alias("h"), F.substring("text", F.lit(1), F.col("asked")).alias("head"), F.col("sketch").alias("next_sketch"))
-        .dropDuplicates(["t", "h"])
-    )
-    both = placed.join(given, ["t", "h"], "left")
+    # Both uses of this table read the same columns, so its shuffle is made once.
+    placed = sketched(rows.withColumn("t", tag()).select("t", "h", "text"), "text", "sketch").repartition("t", "h")
+    head = F.substring("text", F.lit(1), F.col("asked")).alias("head")
+
+    def given(part: DataFrame) -> DataFrame:
+        joined = placed.join(part.hint("shuffle_hash"), ["t", "h"])
+        return joined.select(F.col("to_t").alias("t"), F.col("to_h").alias("h"), head, F.col("sketch").alias("next_sketch"))
+
+    once = given(before.filter("next_times = 1"))
+    again = given(before.filter("next_times > 1")).dropDuplicates(["t", "h"])
+    known = placed.join(follows.select("t", "h", "id", "n").hint("shuffle_hash"), ["t", "h"])
+    both = known.join(once.unionByName(again), ["t", "h"])
     kept = F.substring("text", F.lit(1), (F.col("n") - F.floor(F.col("n") / 2)).cast("int"))
-    edited = both.withColumn("edited", F.concat(kept, F.coalesce("head", F.lit(""))))
+    edited = both.withColumn("edited", F.concat(kept, "head"))
     done = sketched(edited, "edited", "edited_sketch")
     return done.select(
         F.col("id").alias(key),
