@@ -264,18 +264,18 @@ _SURGERY_CELLS = ", ".join(
 )
 query(
     "group_surgeries",
-    f"SELECT reason_reference, subject_reference, therapy_start_date, cast(0 as int) AS part, {_SURGERY_CELLS} FROM ({VQ.SURGERY_SQL}) GROUP BY 1, 2, 3",
+    f"""SELECT reason_reference, subject_reference, therapy_start_date, {_SURGERY_CELLS} FROM ({VQ.SURGERY_SQL})
+        WHERE reason_reference IS NOT NULL AND subject_reference IS NOT NULL AND therapy_start_date IS NOT NULL GROUP BY 1, 2, 3
+        UNION ALL SELECT reason_reference, subject_reference, therapy_start_date, coalesce(ops_code, ''), coalesce(surgery_outcome, ''), coalesce(therapy_intention, ''), coalesce(therapy_id, '')
+        FROM ({VQ.SURGERY_SQL}) WHERE reason_reference IS NULL OR subject_reference IS NULL OR therapy_start_date IS NULL""",
 )(lambda t: T.group_surgeries(V.surgeries(H.procedure(t))))
 
-# One group per return flag: far more rows than fit one part, so the parts continue.
+# One group per return flag, of tens of thousands of rows: its shape is that of a small one.
 query(
-    "ordered_concat_in_parts",
-    """SELECT l_returnflag, cast(floor((n - 1) / 500) as int) AS part, string_agg(cast(l_orderkey as varchar), '| ' ORDER BY n) AS l_orderkey
-        FROM (SELECT l_returnflag, l_orderkey, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey) AS n FROM lineitem) GROUP BY 1, 2""",
+    "ordered_concat",
+    """SELECT l_returnflag, string_agg(cast(l_orderkey as varchar), '| ' ORDER BY l_orderkey) AS l_orderkey FROM lineitem GROUP BY 1""",
 )(
-    lambda t: T.ordered_concat(
-        t.lineitem.select("l_returnflag", "l_orderkey"), ["l_returnflag"], "l_orderkey", ["l_orderkey"], part_rows=500
-    )
+    lambda t: T.ordered_concat(t.lineitem.select("l_returnflag", "l_orderkey"), ["l_returnflag"], "l_orderkey", ["l_orderkey"])
 )
 
 METASTASIS_SQL = VQ.METASTASES_SQL
@@ -355,6 +355,11 @@ query("therapy_combinations", f'SELECT combo_label, count(*) AS "count" FROM ({C
     lambda t: T.therapy_combinations(first_line(t))
 )
 
+_FIRST_TYPES_SQL = f"SELECT l_orderkey, string_agg(DISTINCT therapy_type, '+' ORDER BY therapy_type) AS combo_label FROM ({FIRST_LINE_SQL}) GROUP BY 1"
+query("therapy_combinations_of_all", f'SELECT combo_label, count(*) AS "count" FROM orders JOIN ({_FIRST_TYPES_SQL}) ON l_orderkey = o_orderkey GROUP BY 1')(
+    lambda t: T.therapy_combinations(T.all_combinations(dated_conditions(t), line_therapies(t), 1))
+)
+
 query(
     "therapy_combinations_by_metastasis",
     f"""SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'metastatic' ELSE 'non_metastatic' END AS metastatic_flag, combo_label, count(*) AS "count"

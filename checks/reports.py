@@ -123,7 +123,7 @@ query(
     "entity_summary",
     f"""SELECT entity_or_parent, n AS "count", round(m, 6) AS mean_age FROM (SELECT entity_or_parent, count(*) AS n, avg(age_at_diagnosis) AS m
         FROM ({CQ.ENTITIES_SQL}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20)""",
-)(lambda t: S.entity_summary(CQ.tumours(t), "entity_or_parent").withColumn("mean_age", F.round("mean_age", 6)))
+)(lambda t: S.entity_summary(CQ.tumours(t), "entity_or_parent", top_n=20).withColumn("mean_age", F.round("mean_age", 6)))
 
 query(
     "pair_matrix_top30",

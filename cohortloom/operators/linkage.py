@@ -2,7 +2,6 @@
 
 Large sides meet in ordinary joins, whose hot keys the adaptive skew join splits at run time. Where
 one side is aggregated first - which hides its shuffle from that rule - ``spread_join`` is used.
-Code lists are broadcast only up to a checked number of rows.
 """
 
 from __future__ import annotations
@@ -62,7 +61,7 @@ def exclude_codes(df: DataFrame, codes: DataFrame, col: str, code_col: str) -> D
 
 def code_list_join(df: DataFrame, codes: DataFrame, col: str, code_col: str) -> DataFrame:
     """Rows whose code is listed. The list is made distinct, so nothing is multiplied."""
-    return df.join(codes.select(F.col(code_col).alias(col)).distinct(), col, "inner")
+    return spread_join(df, codes.select(F.col(code_col).alias(col)).distinct(), [col], "inner")
 
 
 def resolve_medication(

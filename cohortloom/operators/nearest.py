@@ -35,7 +35,7 @@ def nearest_event(
     nearest event outside the slice comes from a summary with one row per key and slice.
 
     Equal distances resolve to the earlier event, equal times to the smaller ``tie``. Events
-    without a time never match; a base row without a time or key has no match. ``how="left"``
+    without a readable time never match; a base row without such a time or a key has no match. ``how="left"``
     keeps unmatched base rows, ``"inner"`` drops them. ``event_time`` comes out with ``suffix``.
     """
     width = slice_days * DAY_MICROS
@@ -50,7 +50,7 @@ def nearest_event(
         F.struct("*").alias("_b"),
         F.lit(None).cast(events.schema[tie].dataType).alias("_tie"),
     )
-    right = events.where(F.col(key).isNotNull() & F.col(event_time).isNotNull()).select(
+    right = events.where(F.col(key).isNotNull() & _micros(event_time).isNotNull()).select(
         F.col(key).alias("_k"),
         _micros(event_time).alias("_t"),
         F.struct(*taken).alias("_e"),

@@ -45,17 +45,12 @@ def first_event_with_ties(
 
     An event without a date is dropped even if it is the only one, unless ``keep_undated``.
     """
-    known = df if keep_undated else df.where(F.col(date).isNotNull())
-    order = F.struct(F.col(date).isNull().alias("u"), F.col(date).alias("d"), F.col(event_id).alias("e"))
-    first = (
-        known.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(order).alias("_f"))
-        .select(key, F.col("_f.e").alias(event_id), F.col("_f.d").alias("_first_date"))
-    )
-    return spread_join(known, first, [key, event_id], "inner").where(
-        F.col(date).eqNullSafe(F.col("_first_date"))
-    ).drop("_first_date")
+    known = df.where(F.col(key).isNotNull())
+    if not keep_undated:
+        known = known.where(F.col(date).isNotNull())
+    order = Window.partitionBy(key).orderBy(F.col(date).asc_nulls_last(), event_id)
+    # One scan; ``rank() = 1`` is cut to the leading rows of each key before the shuffle.
+    return known.withColumn("_rank", F.rank().over(order)).where("_rank = 1").drop("_rank")
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -81,17 +76,21 @@ def dup_members(df: DataFrame, key: str) -> DataFrame:
     return spread_join(df, repeated_keys(df, key), [key], "left_semi")
 
 
-def number_malignancies(
-    df: DataFrame, patient: str, date: str, condition: str, id_prefix: int = 4
-) -> DataFrame:
-    """Ordinal, previous date and gap in months and years per tumour of a patient."""
+def number_malignancies(df: DataFrame, patient: str, date: str, condition: str) -> DataFrame:
+    """Ordinal, previous date and gap in months and years per tumour of a patient.
+
+    Slices are days, then ranges of the condition id: the part behind ``Condition/`` by its first
+    three characters, so that a common day of the NULL patient is shared by tasks.
+    """
+    name = F.col(condition).cast("string")
+    start = F.when(F.contains(name, F.lit("/")), F.instr(name, "/") + 3).otherwise(F.lit(3))
     numbered = number_rows(
         df,
         [patient],
         [date, condition],
         {
             "day": F.col(date),
-            "id": F.substring(F.col(condition).cast("string"), 1, id_prefix),
+            "id": F.substring(name, F.lit(1), start),
         }
         if dict(df.dtypes)[condition] == "string"
         else {"day": F.col(date), "id": F.floor(F.col(condition) / F.lit(1_000_000))},

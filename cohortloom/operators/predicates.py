@@ -138,7 +138,7 @@ def classification_is(
 def limit_entities(df: DataFrame, key: str, n: int) -> DataFrame:
     """All rows of the first ``n`` keys, for looking at a study by eye."""
     few = df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).limit(n)
-    return df.join(F.broadcast(few), key, "left_semi")
+    return df.join(few, key, "left_semi")
 
 
 # Half-open diagnosis periods.

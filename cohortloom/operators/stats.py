@@ -11,6 +11,7 @@ from cohortloom.functions import codes as C
 from cohortloom.functions import dates as D
 from cohortloom.operators.nearest import nearest_event
 from cohortloom.operators.ordering import share_of_total, share_within_group
+from cohortloom.operators.skew import spread_join
 
 GLEASON = [6, 7, 8, 9, 10]
 
@@ -104,16 +105,13 @@ def cohort_funnel(df: DataFrame, steps: Mapping[str, Column], patient: str) -> D
 
 
 def entity_summary(
-    df: DataFrame, entity: str, age: str = "age_at_diagnosis", top_n: int = 20
+    df: DataFrame, entity: str, age: str = "age_at_diagnosis", top_n: int | None = None
 ) -> DataFrame:
-    """Count and mean age of the most frequent entities, ordered by mean age."""
-    return (
-        df.groupBy(entity)
-        .agg(F.count(F.lit(1)).alias("count"), F.avg(age).alias("mean_age"))
-        .orderBy(F.desc("count"), entity)
-        .limit(top_n)
-        .orderBy("mean_age", entity)
-    )
+    """Count and mean age of all entities, or of the ``top_n`` most frequent, ordered by mean age."""
+    counted = df.groupBy(entity).agg(F.count(F.lit(1)).alias("count"), F.avg(age).alias("mean_age"))
+    if top_n is not None:
+        counted = counted.orderBy(F.desc("count"), entity).limit(top_n)
+    return counted.orderBy("mean_age", entity)
 
 
 def pair_matrix(
@@ -184,7 +182,7 @@ def location_entity_counts(
     rows = df
     if entity_1 and min_n is not None:
         big = df.groupBy(entity_1).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_n)
-        rows = df.join(big.select(entity_1), entity_1, "left_semi")
+        rows = spread_join(df, big.select(entity_1), [entity_1], "left_semi")
     sites = F.split(F.col(loc), "\\Q" + sep + "\\E")
     return (
         rows.where(F.trim(loc) != "")
@@ -266,7 +264,7 @@ def date_quality_profile(df: DataFrame, cols: Sequence[str], fill: str = "mid")
     )
 
 
-def epoch_raw_values(df: DataFrame, col: str, top_n: int = 20) -> DataFrame:
+def epoch_raw_values(df: DataFrame, col: str, top_n: int) -> DataFrame:
     """Raw text behind dates that parse to 1 January 1970, most frequent first."""
     # Grouping by the parsed value parses each text once and keeps the plan small.
     values = df.groupBy(D.parse_mixed_date(col).alias("p")).agg(F.count(F.lit(1)).alias("n"))
@@ -329,6 +327,6 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(digest, key).limit(n)
 
 
-def head_by(df: DataFrame, order: Sequence[str], n: int = 20, *, tail: bool = False) -> DataFrame:
+def head_by(df: DataFrame, order: Sequence[str], n: int, *, tail: bool = False) -> DataFrame:
     keys = [F.desc(c) if tail else F.asc(c) for c in order]
     return df.orderBy(*keys).limit(n)

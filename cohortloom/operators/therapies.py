@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.dates import months_since
 from cohortloom.operators.ordering import top_per_key
-from cohortloom.operators.skew import number_rows, spread_join
+from cohortloom.operators.skew import spread_join
 
 SEP = "| "
 
@@ -33,34 +33,29 @@ def ordered_concat(
     order: str,
     cols: Sequence[str],
     sep: str = SEP,
-    part_rows: int = 10_000,
-    id_prefix: int | None = None,
 ) -> DataFrame:
     """Children of a group in id order, repeats kept, NULLs skipped, as one cell per column.
 
-    Groups of up to ``part_rows`` rows give one row with ``part`` 0. A larger group continues in
-    parts 1, 2, ..., which read in order give the whole list, so no task ever holds more than
-    ``part_rows`` values of it. Rows are numbered by slices of the id (its first ``id_prefix``
-    characters, or ranges of a numeric id).
+    Rows whose keys are all known give one row for each group, whatever its size. Rows with a NULL
+    key belong to no group and stay single, so the only group without natural bound is never built.
     """
-    if dict(df.dtypes)[order] == "string":
-        cut = F.substring(order, 1, id_prefix or 12)
-    else:
-        cut = F.floor(F.col(order) / F.lit(part_rows))
-    rest = [c for c in cols if c != order]
-    numbered = number_rows(df, keys, [order, *rest], {"id": cut}, name="_at").withColumn(
-        "part", F.floor((F.col("_at") - 1) / F.lit(part_rows)).cast("int")
+    text = {c: F.col(c).cast("string") for c in cols}
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    child = F.struct(F.col(order).alias("_by"), *[text[c].alias(f"_{i}") for i, c in enumerate(cols)])
+    grouped = (
+        df.where(known)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list(child)).alias("_all"))
+        .select(*keys, *[F.array_join(F.col(f"_all._{i}"), sep).alias(c) for i, c in enumerate(cols)])
     )
-
-    def cell(c: str) -> Column:
-        ordered = F.array_sort(F.collect_list(F.struct(F.col("_at"), F.col(c).alias("_v"))))
-        return F.array_join(F.transform(ordered, lambda x: x["_v"].cast("string")), sep).alias(c)
-
-    return numbered.groupBy(*keys, "part").agg(*[cell(c) for c in cols])
+    single = df.where(~known).select(*keys, *[F.coalesce(text[c], F.lit("")).alias(c) for c in cols])
+    return grouped.unionByName(single)
 
 
 def group_surgeries(surgeries: DataFrame) -> DataFrame:
-    """Surgeries of one condition, patient and day in one row."""
+    """Surgeries of one known condition, patient and day in one row; others stay single."""
     return ordered_concat(
         surgeries,
         ["reason_reference", "subject_reference", "therapy_start_date"],
@@ -133,6 +128,18 @@ def all_therapies(surgeries: DataFrame, radio: DataFrame, system: DataFrame) ->
     )
 
 
+def dated_therapies(
+    therapies: DataFrame, conditions: DataFrame, first_line_months: float | None = None
+) -> DataFrame:
+    """Therapies with the months since the diagnosis of their condition; on request early ones only."""
+    diagnosed = conditions.select(
+        F.col("condition_id").alias("reason_reference"), "asserted_date"
+    ).distinct()
+    months = months_since("therapy_start_date", "asserted_date")
+    dated = spread_join(therapies, diagnosed, ["reason_reference"]).withColumn("months_diff", months)
+    return dated if first_line_months is None else dated.where(F.col("months_diff").between(0, first_line_months))
+
+
 def therapy_index(
     therapies: DataFrame,
     conditions: DataFrame,
@@ -144,14 +151,8 @@ def therapy_index(
     A condition that fills several rows (one per cause of death) counts once. Conditions are cut to
     ``max_n`` therapies before the shuffle.
     """
-    diagnosed = conditions.select(
-        F.col("condition_id").alias("reason_reference"), "asserted_date"
-    ).distinct()
-    dated = spread_join(therapies, diagnosed, ["reason_reference"]).withColumn("months_diff", months_since("therapy_start_date", "asserted_date"))
-    if first_line_months is not None:
-        dated = dated.where(F.col("months_diff").between(0, first_line_months))
     return top_per_key(
-        dated,
+        dated_therapies(therapies, conditions, first_line_months),
         ["reason_reference"],
         [F.col("months_diff").asc_nulls_first(), F.col("therapy_id"), F.col("therapy_type")],
         max_n,
@@ -202,6 +203,26 @@ def leading_ordinals(df: DataFrame, keep: int = 3) -> DataFrame:
     return df.select(*cols)
 
 
+def all_combinations(
+    conditions: DataFrame, therapies: DataFrame, first_line_months: float | None = None, name: str = "combo_label"
+) -> DataFrame:
+    """Conditions with the distinct therapy types of all of their therapies, sorted, as ``A+B``.
+
+    Taken from the therapies themselves, not from the ordinals of a wide table, so no therapy is
+    left out. With ``first_line_months`` only therapies that early count, and only conditions with
+    one stay; otherwise a condition without therapies has the empty combination.
+    """
+    dated = dated_therapies(therapies, conditions, first_line_months)
+    types = (
+        dated.where(F.col("reason_reference").isNotNull())
+        .groupBy(F.col("reason_reference").alias("condition_id"))
+        .agg(F.array_join(F.array_sort(F.collect_set("therapy_type")), "+").alias(name))
+    )
+    how = "left" if first_line_months is None else "inner"
+    joined = spread_join(conditions, types, ["condition_id"], how)
+    return joined.withColumn(name, F.coalesce(name, F.lit("")))
+
+
 def combination_label(df: DataFrame, prefix: str = "therapy_type") -> Column:
     """Distinct therapy types of a sequence, sorted, as ``A+B``."""
     types = F.array(*[F.col(c) for c in ordinal_columns(df, prefix)])
@@ -209,10 +230,10 @@ def combination_label(df: DataFrame, prefix: str = "therapy_type") -> Column:
 
 
 def therapy_combinations(df: DataFrame, by: Sequence[str] = (), prefix: str = "therapy_type") -> DataFrame:
-    """Conditions per combination of therapy types."""
+    """Conditions per combination of therapy types: ``combo_label`` if there, else the ordinals."""
+    labelled = df if "combo_label" in df.columns else df.withColumn("combo_label", combination_label(df, prefix))
     return (
-        df.withColumn("combo_label", combination_label(df, prefix))
-        .groupBy(*by, "combo_label")
+        labelled.groupBy(*by, "combo_label")
         .agg(F.count(F.lit(1)).alias("count"))
     )
 
@@ -278,7 +299,7 @@ def atc_groups(
         .groupBy("_code")
         .agg(F.min("_group").alias("_group"))
     )
-    joined = long.join(known, "_code", "inner")
+    joined = spread_join(long, known, ["_code"], "inner")
 
     def cell(n: int) -> Column:
         entries = F.array_sort(F.collect_list(F.when(F.col("_n") == n, F.struct("_pos", "_group"))))

@@ -116,11 +116,11 @@ def all_conditions(
     out = {
         "all_obds_clean": clean,
         "year_range": lambda: OD.year_range(clean()),
-        "entity_summary": lambda: S.entity_summary(clean(), "entity_or_parent"),
+        "entity_summary": lambda: S.entity_summary(one_row_per_condition(clean()), "entity_or_parent"),
         **registry_facts(source, clean),
     }
     if server is not None:
-        out["mii_conditions"] = lambda: server_conditions_of(clean(), server)
+        out["mii_conditions"] = lambda: server_conditions_of(one_row_per_condition(clean()), server)
     return Tables(out)
 
 
@@ -197,6 +197,7 @@ def study_d(source: Source, server: DataFrame | None = None, keep: Keep = materi
         out["mii_conditions_2_mals"] = lambda: server_conditions_of(
             two().where(F.col("malignancy_number") == 1), server
         )
+        out["mii_conditions_1_mal"] = lambda: server_conditions_of(one(), server)
     return Tables(out)
 
 
@@ -319,11 +320,15 @@ def study_pca(
             "first-line",
         )
 
+    @cache
+    def combined() -> DataFrame:
+        return keep(T.all_combinations(tumours(), therapies(), first_line_months), "combinations")
+
     def flagged(flag: int) -> DataFrame:
-        return first_line().where(F.col("cohort_flag") == flag)
+        return combined().where(F.col("cohort_flag") == flag)
 
     def sliced() -> DataFrame:
-        periods = first_line().withColumn("year_slice", PR.year_slice("asserted_date"))
+        periods = combined().withColumn("year_slice", PR.year_slice("asserted_date"))
         return periods.where(F.col("year_slice").isNotNull())
 
     def export() -> DataFrame:

@@ -148,12 +148,30 @@ def test_tumour_tables(spark, rows):
     assert (pair["entity_or_parent_1"], pair["entity_or_parent_2"], pair["count_pair"], pair["months_between_median_2"]) == ("C61", "C67", 1, 12.0)
 
 
-def test_ordered_concat_parts(spark, rows):
+def test_ordered_concat_has_one_shape(spark, rows):
     df = spark.createDataFrame([("g", f"{i:03d}", None if i == 3 else f"v{i}") for i in range(7)], "g string, id string, v string")
-    out = T.ordered_concat(df, ["g"], "id", ["v"], part_rows=3, id_prefix=2)
-    assert rows(out, "g", "part", "v") == [("g", 0, "v0| v1| v2"), ("g", 1, "v4| v5"), ("g", 2, "v6")]
     whole = T.ordered_concat(df, ["g"], "id", ["v"])
-    assert rows(whole, "part", "v") == [(0, "v0| v1| v2| v4| v5| v6")]
+    assert rows(whole, "g", "v") == [("g", "v0| v1| v2| v4| v5| v6")]
+    many = spark.range(10_001).selectExpr("'g' AS g", "lpad(cast(id as string), 6, '0') AS id", "'v' AS v")
+    (row,) = T.ordered_concat(many, ["g"], "id", ["v"]).collect()
+    assert row.v.count("v") == 10_001
+    alone = spark.createDataFrame([(None, "1", "a"), (None, "2", None)], "g string, id string, v string")
+    assert rows(T.ordered_concat(alone, ["g"], "id", ["v"]), "g", "v") == [(None, ""), (None, "a")]
+
+
+def test_nearest_event_ignores_unreadable_times(spark, rows):
+    base = spark.createDataFrame([("k", "2020-05-01"), ("m", "2020-05-01")], "k string, day string")
+    events = spark.createDataFrame([("k", "unbekannt", 1), ("m", "31.12.2019", 2), ("m", "2021-01", 3)], "k string, at string, e int")
+    out = N.nearest_event(base, events, "k", "day", "at", "e")
+    assert rows(out, "k", "e") == [("k", None), ("m", 3)]
+
+
+def test_combinations_count_every_therapy(spark, rows):
+    conditions = spark.createDataFrame([("c", dt.date(2020, 1, 1)), ("d", dt.date(2020, 1, 1))], "condition_id string, asserted_date date")
+    kinds = ["CH"] * 12 + ["OP"]
+    therapies = spark.createDataFrame([(f"t{i:02d}", "c", k, dt.date(2020, 1, 2 + i)) for i, k in enumerate(kinds)], "therapy_id string, reason_reference string, therapy_type string, therapy_start_date date")
+    assert rows(T.all_combinations(conditions, therapies), "condition_id", "combo_label") == [("c", "CH+OP"), ("d", "")]
+    assert rows(T.all_combinations(conditions, therapies, 4), "condition_id", "combo_label") == [("c", "CH+OP")]
 
 
 def test_atc_groups(spark, rows):
