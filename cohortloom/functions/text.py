@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,12 +26,38 @@ def strip_tags(text: Column | str) -> Column:
     return F.nullif(strip_blank(F.regexp_replace(_col(text).cast("string"), TAG, "")), F.lit(""))
 
 
+def _named_characters() -> dict[str, str]:
+    """Entity names of XML, of Latin-1 and of common punctuation; a no-break space becomes a blank."""
+    more = "ndash mdash lsquo rsquo sbquo ldquo rdquo bdquo hellip bull dagger permil euro trade le ge ne asymp"
+    named = {n: chr(p) for n, p in name2codepoint.items() if p < 256 or n in more.split()}
+    return {**named, "apos": "'", "nbsp": " "}
+
+
 def decode_entities(text: Column | str) -> Column:
-    """The five named entities of XML and the no-break space; the ampersand last."""
-    c = _col(text)
-    for name, char in [("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("#39", "'"), ("amp", "&")]:
-        c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
-    return c
+    """Named and numeric character references, each decoded once; unknown ones stay as they are.
+
+    Numbers that are no characters become the replacement character, as in a browser.
+    """
+    names = F.create_map(*[F.lit(x) for pair in _named_characters().items() for x in pair])
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, "^(#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
+        number = F.when(
+            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 9), 16, 10)
+        ).when(name.startswith("#"), F.substring(name, 2, 9)).cast("bigint")
+        wide = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        sound = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        char = (
+            F.when(number == 160, F.lit(" "))
+            .when(sound, wide)
+            .when(number.isNotNull(), F.lit("\ufffd"))
+            .otherwise(F.get(F.transform(F.array(name), lambda n: names[n]), 0))
+        )
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        return F.coalesce(F.when(name != "", F.concat(char, rest)), F.concat(F.lit("&"), part))
+
+    parts = F.split(_col(text), "&", -1)
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
 
 
 def html_to_text(html: Column | str) -> Column:
@@ -57,12 +85,22 @@ def html_to_text(html: Column | str) -> Column:
 def extract_section(xml: Column | str, section_id: str) -> Column:
     """Text of all ``content`` elements of a section, joined by a blank line.
 
-    Tag names are matched in any case and stray tags are tolerated, as an HTML parser would.
+    Tag names are matched in any case and stray tags are tolerated, as an HTML parser would. The
+    section ends at its own closing tag, behind those of sections inside it, or with the document.
     NULL where the section is missing or empty.
     """
-    body = F.regexp_extract(
-        _col(xml), r"(?is)<section\b[^>]*\bid=[\"']" + section_id + r"[\"'][^>]*>(.*?)</section\s*>", 1
-    )
+    start = r"(?is)<section\b[^>]*\bid=[\"']" + section_id + r"[\"'][^>]*>(.*)$"
+    # Pieces that begin at the tags of sections; the depth says which closing tag is the own one.
+    pieces = F.split(F.regexp_extract(_col(xml), start, 1), r"(?i)(?=</?section\b)", -1)
+    first = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+
+    def step(state: Column, piece: Column) -> Column:
+        low = F.lower(F.substring(piece, 1, 9))
+        change = F.when(low.startswith("</section"), -1).when(low.startswith("<section"), 1).otherwise(0)
+        depth = F.when(state["depth"] > 0, state["depth"] + change).otherwise(0)
+        return F.struct(depth.alias("depth"), (state["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n"))
+
+    body = F.array_join(F.slice(pieces, 1, F.aggregate(pieces, first, step)["n"]), "")
     contents = F.regexp_extract_all(
         body, F.lit(r"(?is)<content\b[^>]*>(.*?)</content\s*>"), F.lit(1)
     )
@@ -120,6 +158,19 @@ def normalise_finding_date(text: Column | str, document_date: Column | str | Non
     return F.coalesce(result, F.nullif(fallback, F.lit("")))
 
 
+# A date as letters write it, with nothing numeric around it.
+_DAY, _MONTH, _YEAR = "(?:0?[1-9]|[12][0-9]|3[01])", "(?:0?[1-9]|1[0-2])", "(?:[12][0-9]{3}|[0-9]{2})"
+DATE_IN_TEXT = (
+    rf"(?:^|[^0-9./-])({_DAY}[.]{_MONTH}[.]{_YEAR}|{_MONTH}/{_YEAR}|{_MONTH}[.][12][0-9]{{3}}|[12][0-9]{{3}}-[01][0-9](?:-[0-3][0-9])?)"
+    r"(?:$|[^0-9./-]|[.](?:$|[^0-9]))"
+)
+
+
+def date_in(sentence: Column | str) -> Column:
+    """The first date a sentence names, as it is written; '' without one."""
+    return F.regexp_extract(_col(sentence), DATE_IN_TEXT, 1)
+
+
 def vaf_to_mutated(percent: Column | str) -> Column:
     """Allele frequency text (``12,5 %``) -> mutated above zero; NULL if not a number."""
     number = F.replace(F.regexp_replace(_col(percent).cast("string"), r"[%\s]", ""), F.lit(","), F.lit("."))

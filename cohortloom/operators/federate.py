@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 def read_site_tables(spark: SparkSession, paths: Iterable[str], keys: Sequence[str], sep: str = ";") -> DataFrame:
     """All sites' tables under one header: trimmed names, index column gone, by name.
 
-    A site whose table lacks a key column is left out.
+    A site whose table lacks a key column is an error that names it.
     """
     frames = []
     for p in paths:
         raw = spark.read.option("header", True).option("sep", sep).csv(p)
         df = raw.toDF(*[c.strip() for c in raw.columns])
         df = df.drop(*[c for c in df.columns if c == "" or c.startswith("_c")])
-        if set(keys) <= set(df.columns):
-            frames.append(df)
+        if missing := sorted(set(keys) - set(df.columns)):
+            raise ValueError(f"{p} has no column {', '.join(missing)}")
+        frames.append(df)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

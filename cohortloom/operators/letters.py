@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,7 +51,7 @@ def _letter(df: DataFrame, values: dict[str, Column]) -> DataFrame:
 def letters_from_documents(
     docs: DataFrame, therapy_id: str = THERAPY_SECTION, diagnosis_id: str = DIAGNOSIS_SECTION
 ) -> DataFrame:
-    """Letters with a therapy section out of XML documents; others are left out."""
+    """Letters with a therapy section out of XML documents; ``skipped_documents`` counts the others."""
     sections = docs.withColumns(
         {
             "_therapy": X.extract_section("xmldocument", therapy_id),
@@ -76,6 +77,12 @@ def letters_from_documents(
     )
 
 
+def skipped_documents(docs: DataFrame, therapy_id: str = THERAPY_SECTION) -> DataFrame:
+    """How many documents there are, and how many give no letter for want of a therapy section."""
+    missing = X.extract_section("xmldocument", therapy_id).isNull()
+    return docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if(missing).alias("skipped"))
+
+
 ENTRY_TEXTS = {
     "histologie_text": "Histologie/Zytologie:",
     "molekularpatho_text": "Molekularpatho/zytologie:",
@@ -103,8 +110,7 @@ def letters_from_entries(
 
 def letter_key(letters: DataFrame, name: str = "letter_key") -> DataFrame:
     """``patient_account_date``; a letter without date gets a digest of its content instead."""
-    digest = F.substring(row_digest(letters), 1, 12)
-    date = F.coalesce(F.nullif(X.safe_name("document_date"), F.lit("")), digest)
+    date = F.coalesce(F.nullif(X.safe_name("document_date"), F.lit("")), row_digest(letters))
     return letters.withColumn(
         name, F.concat_ws("_", X.safe_name("patient_id"), X.safe_name("account_id"), date)
     )
@@ -162,10 +168,15 @@ def rule_findings(
     """Baseline extraction from the whole text, sentence by sentence, without Python.
 
     A gene counts where its sentence states a result; negative phrases win. Karyotypes come from
-    sentences that name them, risk categories only where stated.
+    sentences that name them, risk categories only where stated. Findings stand in the order of
+    their sentences, which are kept whole as evidence; the date is that of the sentence, without
+    one that of the document.
     """
     c = F.col(text) if isinstance(text, str) else text
-    date = X.normalise_finding_date(F.lit(None).cast("string"), document_date)
+
+    def date_of(s: Column) -> Column:
+        return X.normalise_finding_date(F.nullif(X.date_in(s), F.lit("")), document_date)
+
     sentences = F.filter(
         F.transform(F.split(c, r"(?<=[.;!?])\s+|\n+"), X.strip_blank), lambda s: s != ""
     )
@@ -183,8 +194,8 @@ def rule_findings(
                     F.lit(g).alias("gene"),
                     (~_any(s, wildtype)).alias("mutated"),
                     F.lit(None).cast("string").alias("variant_detail"),
-                    date.alias("date"),
-                    F.substring(s, 1, 300).alias("evidence_text"),
+                    date_of(s).alias("date"),
+                    s.alias("evidence_text"),
                 ),
             )
             for g in genes
@@ -220,19 +231,19 @@ def rule_findings(
         "karyotypes": F.transform(
             karyo,
             lambda s: F.struct(
-                F.substring(s, 1, 300).alias("raw_text"),
+                s.alias("raw_text"),
                 classify(s).alias("classification"),
-                date.alias("date"),
-                F.substring(s, 1, 300).alias("evidence_text"),
+                date_of(s).alias("date"),
+                s.alias("evidence_text"),
             ),
         ),
         "eln_risk": F.transform(
             risk,
             lambda s: F.struct(
                 category(s).alias("risk_category"),
-                F.substring(s, 1, 200).alias("raw_text"),
-                date.alias("date"),
-                F.substring(s, 1, 300).alias("evidence_text"),
+                s.alias("raw_text"),
+                date_of(s).alias("date"),
+                s.alias("evidence_text"),
             ),
         ),
         "notes": F.lit(None).cast("string"),
@@ -347,6 +358,71 @@ def finding_problems(df: DataFrame) -> Column:
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in checks.items()]))
 
 
+# Limits of single findings: problem name and test of one finding, by array.
+_SINGLE: dict[str, dict[str, Callable[[Column], Column]]] = {
+    "genes": {
+        "gene_length": lambda g: _fits(g["gene"], 50, True),
+        "gene_status": lambda g: g["mutated"].isNotNull(),
+        "detail_length": lambda g: _fits(g["variant_detail"], 100),
+        "gene_date": lambda g: _date_ok(g["date"]),
+        "gene_evidence": lambda g: _fits(g["evidence_text"], 300),
+    },
+    "karyotypes": {
+        "karyotype_text": lambda k: _fits(k["raw_text"], 300, True),
+        "karyotype_class": lambda k: F.coalesce(k["classification"].isin(CLASSIFICATIONS), F.lit(False)),
+        "karyotype_date": lambda k: _date_ok(k["date"]),
+        "karyotype_evidence": lambda k: _fits(k["evidence_text"], 300),
+    },
+    "eln_risk": {
+        "risk_text": lambda e: _fits(e["raw_text"], 200, True),
+        "risk_category": lambda e: F.coalesce(e["risk_category"].isin(RISK_CATEGORIES), F.lit(False)),
+        "risk_date": lambda e: _date_ok(e["date"]),
+        "risk_evidence": lambda e: _fits(e["evidence_text"], 300),
+    },
+}
+
+
+def _sound(array: str) -> Callable[[Column], Column]:
+    def test(x: Column) -> Column:
+        out = F.lit(True)
+        for check in _SINGLE[array].values():
+            out = out & check(x)
+        return out
+
+    return test
+
+
+def sound_findings(df: DataFrame) -> DataFrame:
+    """Results without the single findings that break a limit; no letter goes with them."""
+    return df.withColumns({a: F.filter(a, _sound(a)) for a in _SINGLE})
+
+
+def rejected_single_findings(df: DataFrame, key: str = "letter_key") -> DataFrame:
+    """``kind``, ``problems`` and the whole finding as JSON for each finding that breaks a limit."""
+    parts = []
+    for array, checks in _SINGLE.items():
+        found = df.select(key, F.explode(array).alias("_f")).where(~_sound(array)(F.col("_f")))
+        names = F.array_compact(F.array(*[F.when(~c(F.col("_f")), F.lit(n)) for n, c in checks.items()]))
+        parts.append(found.select(key, F.lit(array).alias("kind"), F.array_join(names, ",").alias("problems"), F.to_json("_f").alias("finding")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def unique_findings(df: DataFrame) -> DataFrame:
+    """Each gene, classification and risk category of a letter once: the earliest dated one, undated
+    ones last, then the first in the text."""
+
+    def once(array: str, name: str) -> Column:
+        placed = F.transform(
+            array, lambda x, i: F.struct(x["date"].isNull().alias("undated"), x["date"].alias("date"), i.alias("at"), x.alias("f"))
+        )
+        ordered = F.transform(F.array_sort(placed), lambda x: x["f"])
+        names = F.transform(ordered, lambda x: x[name])
+        return F.filter(ordered, lambda x, i: F.array_position(names, x[name]) == i + 1)
+
+    keys = {"genes": "gene", "karyotypes": "classification", "eln_risk": "risk_category"}
+    return df.withColumns({a: F.when(F.col(a).isNotNull(), once(a, n)) for a, n in keys.items()})
+
+
 def validate_findings(df: DataFrame) -> DataFrame:
     """Add ``problems``; split with ``valid_findings`` and ``rejected_findings``."""
     return df.withColumn("problems", finding_problems(df))

@@ -209,12 +209,20 @@ def deidentified(tables: Tables, secret: RunSecret) -> Tables:
     return Tables({name: build(name) for name in tables})
 
 
-def save(tables: Tables, layout: StudyLayout, *, is_deidentified: bool = False, csv: bool = True) -> None:
-    """Write every table of a study as Parquet and, unless switched off, CSV."""
+def save(tables: Tables, layout: StudyLayout, *, is_deidentified: bool = False, csv: bool = True) -> Tables:
+    """Write every table of a study once, as Parquet; CSV, unless switched off, comes from that.
+
+    Returns the tables as they were saved, so that nothing derived from them computes them again.
+    """
+    saved: Builders = {}
     for name, df in tables.items():
-        write_parquet(df, layout.parquet(name, is_deidentified))
+        path = layout.parquet(name, is_deidentified)
+        write_parquet(df, path)
+        kept = df.sparkSession.read.schema(df.schema).parquet(path)
         if csv:
-            write_csv(df, layout.csv(name, is_deidentified))
+            write_csv(kept, layout.csv(name, is_deidentified))
+        saved[name] = lambda kept=kept: kept
+    return Tables(saved)
 
 
 __all__ = [

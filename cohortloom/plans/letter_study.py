@@ -25,14 +25,22 @@ def letter_study(
         parts.append(LT.letters_from_entries(entries))
     letters = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     keyed = LT.letter_key(letters)
-    results = LT.validate_findings(LT.extract_findings(keyed, extractor, done))
-    valid = LT.valid_findings(results)
+    found = LT.extract_findings(keyed, extractor, done)
+    if extractor is None:
+        # The rules find what is there: a finding may break a limit, a letter can't.
+        rejected = LT.rejected_single_findings(found)
+        valid = LT.unique_findings(LT.sound_findings(found))
+    else:
+        results = LT.validate_findings(LT.unique_findings(found))
+        rejected, valid = LT.rejected_findings(results), LT.valid_findings(results)
     tables = LT.findings_tables(valid)
+    more = {} if documents is None else {"skipped": lambda: LT.skipped_documents(documents)}
     return Tables({
+        **more,
         "letters": lambda: keyed,
         "key_collisions": lambda: LT.key_collisions(keyed),
         "results": lambda: valid,
-        "rejected": lambda: LT.rejected_findings(results),
+        "rejected": lambda: rejected,
         "genes": lambda: LT.dedupe_genes(tables["genes"]),
         "karyotypes": lambda: LT.distinct_assessments(tables["karyotypes"], "source_file", "classification"),
         "eln_risk": lambda: LT.distinct_assessments(tables["eln_risk"], "source_file", "risk_category"),

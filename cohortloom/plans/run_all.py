@@ -22,9 +22,8 @@ DEIDENTIFIED = ("study_d", "study_pca", "all_conditions")
 
 
 def run_study(name: str, source: Source, results: str, secret: RunSecret | None = None) -> Tables:
-    tables = STUDIES[name](source)
     layout = StudyLayout(results, name)
-    save(tables, layout)
+    tables = save(STUDIES[name](source), layout)
     if name in DEIDENTIFIED:
         save(deidentified(tables, secret or run_secret()), layout, is_deidentified=True)
     return tables

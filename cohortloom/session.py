@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,8 @@ RUNTIME_CONF = {
     # the extra exchange is cheaper than one task holding a third of the rows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Keys of keyed hashes are binary literals; plan texts must not show them.
+    "spark.sql.redaction.string.regex": r"(?:0x|X')[0-9A-Fa-f]{32,}'?|\[[0-9A-F]{2}(?: [0-9A-F]{2}){15,}\]",
     # Resource tables are nested; keep the flattening projections code-generated.
     "spark.sql.codegen.maxFields": "200",
 }
@@ -44,12 +47,16 @@ def build_session(app: str = "cohortloom", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) a fresh local folder is set up.
+    Only where nothing is named and all runs in one process on one machine (``local`` masters, as in
+    tests) a fresh local folder is set up; on a cluster a missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         named = tempfile.mkdtemp(prefix="cohortloom-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -67,4 +74,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_shared_path(df.sparkSession, label)
     df.write.parquet(path)
+    delete_on_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove a folder when the application ends."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)

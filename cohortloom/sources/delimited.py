@@ -57,13 +57,15 @@ def raw_field(line: Column | str, index: int, sep: str = ";") -> Column:
 def read_raw_column(spark: SparkSession, path: str, name: str, sep: str = ";") -> DataFrame:
     """One column of a file whose quoting is broken, split on the separator alone.
 
-    ``short_line`` marks rows without that field.
+    ``short_line`` marks rows without that field. Only the header line of each file goes, not rows
+    that happen to equal it.
     """
-    lines = spark.read.text(path)
-    header = lines.first()["value"]
+    header = spark.read.text(path).first()["value"]
     index = [h.strip().strip('"') for h in header.split(sep)].index(name)
+    # A separator that text can't hold keeps each line in one field; the reader drops the headers.
+    lines = spark.read.schema("value string").option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
     field = raw_field("value", index, sep)
-    return lines.where(F.col("value") != header).select(
+    return lines.select(
         field.alias(name), field.isNull().alias("short_line")
     )
 

@@ -23,6 +23,12 @@ def bundle_entries(bundles: DataFrame, text: Column | str = "value") -> DataFram
     )
 
 
+def bundle_rejects(bundles: DataFrame, text: Column | str = "value") -> DataFrame:
+    """Bundles that can't be read as such (cut off, not JSON, no entries), with all of their columns."""
+    c = F.col(text) if isinstance(text, str) else text
+    return bundles.where(F.from_json(c, "entry array<struct<resource:string>>")["entry"].isNull())
+
+
 def parse_resources(entries: DataFrame, resource_type: str) -> DataFrame:
     """Typed resources of one type out of ``bundle_entries``."""
     return (
@@ -39,11 +45,34 @@ def read_bundles(
     *,
     one_per_line: bool = False,
 ) -> dict[str, DataFrame]:
-    """A directory of bundle files as one DataFrame per resource type."""
+    """A directory of bundle files as one DataFrame per resource type.
+
+    For many types or views land the entries once with ``land_bundles``: each type parses the text
+    of all bundles anew here.
+    """
     entries = bundle_entries(spark.read.text(path, wholetext=not one_per_line))
     return {t: parse_resources(entries, t) for t in types}
 
 
+def land_bundles(
+    spark: SparkSession, path: str, lake: str, types: Iterable[str] = RESOURCE_TYPES, *, one_per_line: bool = False
+) -> DataFrame:
+    """Bundles into a lake: their text is parsed once, entries are stored by type, then typed.
+
+    Returns how many bundles were read and how many rejected; the rejects lie under ``_rejected``.
+    """
+    bundles = spark.read.text(path, wholetext=not one_per_line)
+    root = lake.rstrip("/")
+    landed = f"{root}/_entries"
+    bundle_entries(bundles).write.mode("overwrite").partitionBy("resource_type").parquet(landed)
+    bundle_rejects(bundles).write.mode("overwrite").parquet(f"{root}/_rejected")
+    entries = spark.read.parquet(landed)
+    for t in types:
+        write_lake(parse_resources(entries, t), root, t, mode="overwrite")
+    rejected = spark.read.parquet(f"{root}/_rejected").agg(F.count(F.lit(1)).alias("rejected"))
+    return bundles.agg(F.count(F.lit(1)).alias("bundles")).join(rejected, F.lit(True))
+
+
 def read_lake(spark: SparkSession, path: str, resource_type: str, fmt: str = "parquet") -> DataFrame:
     """One columnar table per resource type; ``fmt="delta"`` where that format is installed."""
     return spark.read.format(fmt).load(f"{path.rstrip('/')}/{resource_type}")
