@@ -27,8 +27,11 @@ LENGTH = 200
 GRAM = 64
 #: Bytes of passages that one suffix array covers.
 SHARD = 1 << 20
-#: Passages of an anchor gram that occurs more often than this are counted string by string instead.
-HOT = 1024
+#: Passages of an anchor gram that occurs more often than this are cut into pieces of so many
+#: strings, which are dealt by all that the strings of a piece have in common.
+HOT, PIECE = 1024, 16
+#: Where even so more different passages than this share a key, single strings are counted instead.
+DEEP = 50_000
 _SEGMENT = 1 << 20
 _BYTE = np.array([int.from_bytes(hashlib.sha256(bytes([b])).digest()[:8], "big") for b in range(256)], np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -253,6 +256,22 @@ def repeated_strings(gram: np.ndarray, passages: list[bytes], copies: np.ndarray
     return [_runs(f) for f in flags]
 
 
+def _pieces(passage: bytes, at: int, length: int) -> list[tuple[int, int, bytes]]:
+    """Offset, key and bytes of the pieces of a passage whose anchor is at ``at``.
+
+    Equal strings have their anchor at the same distance, so they fall into pieces of the same
+    number, and all strings of a piece hold the bytes that are its key.
+    """
+    out = []
+    last = len(passage) - length
+    for j in range((at - last) // PIECE, at // PIECE + 1):
+        high = at - PIECE * j
+        core = passage[high : high - PIECE + 1 + length]
+        low, high = max(0, high - PIECE + 1), min(last, high)
+        out.append((low, xxhash.xxh3_64_intdigest(core, 2 + j) - (1 << 63), passage[low : high + length]))
+    return out
+
+
 def removals(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """``d1``, ``d2`` (digests of a text) and ``runs``: flat first and last places of the strings
     of ``length`` bytes that also start elsewhere. Texts without any are left out."""
@@ -274,8 +293,8 @@ def removals(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataF
     spots = near.groupBy("d1", "d2").agg(F.collect_set("spot").alias("spots"))
     spots = stored(spots.withColumn("doc", F.monotonically_increasing_id()), "spots")
 
-    names = ["doc", "first", "gram", "digest", "frequent", "copies", "passage"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+    names = ["doc", "first", "gram", "digest", "copies", "passage"]
+    kinds = [*[pa.int64()] * 5, pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each passage of each text, and one for each different passage with its bytes."""
@@ -295,14 +314,16 @@ def removals(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataF
                     first, at, more = spot >> 25, spot >> 13 & 0xFFF, spot >> 1 & 0xFFF
                     passage = text_[first : first + more + length]
                     gram = xxhash.xxh3_64_intdigest(passage[at : at + GRAM]) - (1 << 63)
-                    digest = xxhash.xxh3_64_intdigest(passage, 1) - (1 << 63)
-                    if new:
-                        rows.append((doc, first, gram, digest, None, None, None))
-                    if (known := held.get((gram, digest))) is not None:
-                        known[1] += 1
-                    else:
-                        held[gram, digest] = [bool(spot & 1), 1, passage]
-                        size += len(passage)
+                    parts = [(0, gram, passage)] if not spot & 1 else _pieces(passage, at, length)
+                    for offset, key, part in parts:
+                        digest = xxhash.xxh3_64_intdigest(part, 1) - (1 << 63)
+                        if new:
+                            rows.append((doc, first + offset, key, digest, None, None))
+                        if (known := held.get((key, digest))) is not None:
+                            known[0] += 1
+                        else:
+                            held[key, digest] = [1, part]
+                            size += len(part)
             if size > 4 * STEP_BYTES:
                 rows += [(None, None, *k, *v) for k, v in held.items()]
                 held, size = {}, 0
@@ -314,9 +335,12 @@ def removals(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataF
             yield out([(None, None, *k, *v) for k, v in held.items()])
 
     with_spots = long_texts.join(spots.hint("shuffle_hash"), ["d1", "d2"]).select("doc", "text", "spots")
-    schema = "doc bigint, first bigint, gram bigint, digest bigint, frequent boolean, copies bigint, passage binary"
+    schema = "doc bigint, first bigint, gram bigint, digest bigint, copies bigint, passage binary"
     met = stored(with_spots.mapInArrow(cut, schema), "passages")
-    given = met.filter("doc is null").select("gram", "digest", "passage", "copies", "frequent")
+    given = met.filter("doc is null").select("gram", "digest", "passage", "copies")
+    deep = given.groupBy("gram").count().filter(F.col("count") > DEEP).select("gram")
+    deep = stored(deep, "deep")
+    some_deep = not deep.isEmpty()
 
     def solved(rows: list[tuple]) -> pa.RecordBatch:
         gram = np.array([r[0] for r in rows], np.int64)
@@ -350,8 +374,9 @@ def removals(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataF
             yield solved(held)
 
     found = "gram bigint, digest bigint, found array<int>"
-    dealt = given.filter("not frequent").drop("frequent").repartition("gram").sortWithinPartitions("gram", "digest")
-    by_shard = dealt.mapInArrow(shards, found)
+    usual = spread_join(given, deep, ["gram"], "left_anti") if some_deep else given
+    dealt = usual.select("gram", "digest", "passage", "copies").repartition("gram").sortWithinPartitions("gram", "digest")
+    repeats = dealt.mapInArrow(shards, found)
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "passage"):
@@ -363,14 +388,13 @@ def removals(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataF
             columns = [*(batch.column(c).take(row) for c in ("gram", "digest", "copies")), pa.array(places), pa.array(own, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["gram", "digest", "copies", "place", "string"])
 
-    single = given.filter("frequent").drop("frequent").mapInArrow(strings, "gram bigint, digest bigint, copies bigint, place int, string binary")
-    twice = single.groupBy("string").agg(F.sum("copies").alias("n")).filter("n > 1").select("string")
-    by_string = (
-        spread_join(single, twice, ["string"], "left_semi")
-        .groupBy("gram", "digest")
-        .agg(F.flatten(F.collect_set(F.array("place", "place"))).alias("found"))
-    )
-    repeats = by_shard.unionByName(by_string)
+    if some_deep:
+        given = spread_join(given, deep, ["gram"], "left_semi").select("gram", "digest", "passage", "copies")
+        single = given.mapInArrow(strings, "gram bigint, digest bigint, copies bigint, place int, string binary")
+        twice = single.groupBy("string").agg(F.sum("copies").alias("n")).filter("n > 1").select("string")
+        by_string = spread_join(single, twice, ["string"], "left_semi").groupBy("gram", "digest")
+        by_string = by_string.agg(F.flatten(F.collect_set(F.array("place", "place"))).alias("found"))
+        repeats = repeats.unionByName(by_string)
     wanted = met.filter("doc is not null").select("doc", "first", "gram", "digest")
     placed = spread_join(wanted, repeats, ["gram", "digest"], "inner")
     moved = placed.select("doc", F.transform("found", lambda x: x + F.col("first")).alias("found"))

@@ -55,9 +55,10 @@ def test_against_brute_force(spark, seed):
     assert found(spark, rows) == wanted(rows)
 
 
-@pytest.mark.parametrize("hot", [0, 5])
-def test_hot_grams(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, deep", [(0, 50_000), (5, 3), (0, 0)])
+def test_hot_grams(spark, monkeypatch, hot, deep):
     monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "DEEP", deep)
     rows = corpus(3)
     assert found(spark, rows) == wanted(rows)
 
