@@ -59,7 +59,7 @@ query(
 query(
     "death_precedence",
     """WITH reg AS (SELECT user_id, max(date_trunc('day', ts)) AS d, arg_max(event_type, (date_trunc('day', ts), event_type)) AS cause
-            FROM events WHERE event_type IN ('error', 'view') AND event_id % 11 = 0 GROUP BY 1),
+            FROM events WHERE event_type IN ('error', 'view') GROUP BY 1),
         vs AS (SELECT user_id, max(CASE WHEN event_id % 20 = 0 THEN date_trunc('day', ts) END) AS dead,
             max(CASE WHEN event_id % 20 <> 0 THEN date_trunc('day', ts) END) AS alive FROM events WHERE event_type = 'click' GROUP BY 1)
         SELECT c_custkey, strftime(coalesce(dead, d, CASE WHEN c_custkey % 7 = 0 THEN timestamp '2003-05-01' END), '%Y-%m-%d %H:%M:%S') AS "deceased_dateTime",
@@ -76,7 +76,7 @@ query(
                 f"{H.DECEASED} AS deceased_boolean",
                 f"{H.DECEASED_AT} AS deceased_dateTime",
             ),
-            t.events.where("event_type IN ('error', 'view') AND event_id % 11 = 0").selectExpr(
+            t.events.where("event_type IN ('error', 'view')").selectExpr(
                 "cast(user_id as string) AS patient_mrn",
                 "date_format(ts, 'yyyy-MM-dd') AS death_dateTime",
                 "'J' AS death_caused_by_tumor",

@@ -169,13 +169,15 @@ query(
 
 # Joins ------------------------------------------------------------------------------------------
 
-PATIENTS_SQL = f"""SELECT concat('Patient/', c_custkey) AS patient_resource_id, c_name AS patid_pseudonym, {H.GENDER} AS gender
-    FROM customer WHERE c_custkey % 4 <> 1"""
+# All patients; one in four has a reference that matches nothing.
+PATIENTS_SQL = f"""SELECT concat('Patient/', CASE WHEN c_custkey % 4 = 1 THEN -c_custkey ELSE c_custkey END) AS patient_resource_id, c_name AS patid_pseudonym, {H.GENDER} AS gender
+    FROM customer"""
 
 
 def some_patients(t):
-    return V.patients(H.patient(t)).where("cast(substring(patient_resource_id, 9) as bigint) % 4 <> 1").select(
-        "patient_resource_id", "patid_pseudonym", "gender"
+    number = "cast(substring(patient_resource_id, 9) as bigint)"
+    return V.patients(H.patient(t)).selectExpr(
+        f"concat('Patient/', CASE WHEN {number} % 4 = 1 THEN -{number} ELSE {number} END) AS patient_resource_id", "patid_pseudonym", "gender"
     )
 
 
@@ -385,12 +387,12 @@ query(
 query(
     "labs_in_treatment_window",
     """WITH w AS (SELECT user_id, min(ts) - INTERVAL 2 DAY AS a, max(ts) + INTERVAL 2 DAY AS b FROM events
-            WHERE event_type = 'purchase' AND event_id % 50 = 0 GROUP BY 1)
+            WHERE event_type = 'purchase' GROUP BY 1)
         SELECT e.event_id, e.user_id FROM events e JOIN w ON e.user_id = w.user_id WHERE ts BETWEEN a AND b AND event_type <> 'purchase'""",
 )(
     lambda t: N.in_treatment_window(
         t.events.where("event_type <> 'purchase'").select("event_id", "user_id", "ts"),
-        t.events.where("event_type = 'purchase' AND event_id % 50 = 0").select("user_id", "ts"),
+        t.events.where("event_type = 'purchase'").select("user_id", "ts"),
         "user_id",
         "ts",
         "ts",
@@ -431,11 +433,11 @@ query(
 query(
     "link_by_mrn",
     """SELECT event_id, concat('Patient/', user_id) AS patient_id_prefixed, cast(user_id as varchar) AS mrn, c_mktsegment
-        FROM events LEFT JOIN customer ON c_custkey = user_id AND c_custkey % 2 = 0""",
+        FROM events LEFT JOIN customer ON c_custkey * 2 = user_id""",
 )(
     lambda t: L.link_by_mrn(
         t.events.selectExpr("event_id", "cast(user_id as string) AS mrn"),
-        t.customer.where("c_custkey % 2 = 0").selectExpr("concat('Patient/', c_custkey) AS pseudonym", "c_mktsegment"),
+        t.customer.selectExpr("concat('Patient/', c_custkey * 2) AS pseudonym", "c_mktsegment"),
         "mrn",
         "pseudonym",
     )

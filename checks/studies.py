@@ -409,10 +409,10 @@ _BLANKS = ", ".join(
 query(
     "cato_layout",
     f"""SELECT strftime(ts, '%d.%m.%Y') AS "Datum", strftime(ts, '%H:%M') AS "Zeit", cast(event_id as varchar) AS "Herstellungs-ID", '' AS "Herstellungsdatum", '' AS "Herstellungszeit",
-        cast(user_id as varchar) AS "KIS-Patienten-ID", 'S1' AS "Station", event_type AS "Wirkstoff", '' AS "Dosierung", cast(round(value, 2) as varchar) AS "Dosis", '' AS "Reduktion", {_BLANKS} FROM events WHERE user_id > 0""",
+        CASE WHEN user_id = 0 THEN '' ELSE cast(user_id as varchar) END AS "KIS-Patienten-ID", 'S1' AS "Station", event_type AS "Wirkstoff", '' AS "Dosierung", cast(round(value, 2) as varchar) AS "Dosis", '' AS "Reduktion", {_BLANKS} FROM events""",
 )(
     lambda t: LK.cato_layout(
-        t.events.where("user_id > 0").selectExpr(
+        t.events.selectExpr(
             "date_format(ts, 'dd.MM.yyyy HH:mm') AS `Geplanter Verabreichungszeitpunkt`",
             "cast(event_id as string) AS `Herst.Nr.`",
             "concat('000', user_id) AS `Pat.Nr.`",
@@ -426,10 +426,10 @@ query(
 _SHORT = ", ".join(f"'' AS \"{c}\"" for c in LK.SHORT_LAYOUT if c not in ("Wirkstoff", "Dosis", "Herstellungs-ID"))
 query(
     "zenzy_layout",
-    f"""SELECT replace(text, chr(10), '|') AS "Wirkstoff", '' AS "Dosis", cast(doc_id as varchar) AS "Herstellungs-ID", {_SHORT} FROM documents WHERE text NOT LIKE '%' || chr(13) || '%'""",
+    f"""SELECT regexp_replace(text, '\\r?\\n', '|', 'g') AS "Wirkstoff", '' AS "Dosis", cast(doc_id as varchar) AS "Herstellungs-ID", {_SHORT} FROM documents""",
 )(
     lambda t: LK.zenzy_layout(
-        t.documents.where(~F.col("text").contains("\r")).select(
+        t.documents.select(
             F.col("text").alias("Wirkstoff"),
             F.lit(None).cast("string").alias("Dosis"),
             F.col("doc_id").cast("string").alias("Herstellungs-ID"),
@@ -438,6 +438,46 @@ query(
     )
 )
 
+# Every document carries a long report: many mentions of few genes, with dates in the sentences.
+_GENES = ["FLT3", "NPM1", "TP53", "IDH1", "IDH2", "KIT", "NRAS"]
+_REPORT = (
+    "12/19: NPM1 negativ. 03/20: NPM1 positiv. "
+    + " ".join(f"{g} positiv." for g in _GENES) * 4
+    + " Zytogenetik am 13.12.19: komplex aberranter Karyotyp. ELN-Risiko: ungünstig. "
+    + "Karyotyp " + "x" * 400 + ". TP53 " + "y" * 400 + " negativ."
+)
+
+
+def reports(t):
+    return t.documents.selectExpr(
+        f"concat('<section id=\"M5_Therapie\"><content>', '{_REPORT}', '</content></section>') AS xmldocument",
+        "doc_id AS patid",
+        "'A' AS patientaccountid",
+        "'2021-05-01' AS lastsaveddatetime",
+        "'final' AS letterstatus",
+        "source AS templatename",
+    )
+
+
+_OTHERS = " UNION ALL ".join(f"SELECT '{g}' AS gene, true AS mutated, '2021-05-01' AS date" for g in _GENES if g != "NPM1")
+query(
+    "letter_study_genes",
+    f"SELECT cast(doc_id as varchar) AS patient_mrn, gene, mutated, date FROM documents, (SELECT 'NPM1' AS gene, false AS mutated, '2019-12' AS date UNION ALL {_OTHERS})",
+)(lambda t: letter_study(reports(t))["genes"].select("patient_mrn", "gene", "mutated", "date"))
+query(
+    "letter_study_karyotypes",
+    "SELECT cast(doc_id as varchar) AS patient_mrn, 'complex_aberrant' AS classification, '2019-12-13' AS date FROM documents",
+)(lambda t: letter_study(reports(t))["karyotypes"].select("patient_mrn", "classification", "date"))
+query(
+    "letter_study_risks",
+    "SELECT cast(doc_id as varchar) AS patient_mrn, 'adverse' AS risk_category, '2021-05-01' AS date FROM documents",
+)(lambda t: letter_study(reports(t))["eln_risk"].select("patient_mrn", "risk_category", "date"))
+query(
+    "letter_study_rejected",
+    """SELECT concat_ws('_', cast(doc_id as varchar), 'A', '2021-05-01') AS letter_key, kind, problems FROM documents,
+        (SELECT 'genes' AS kind, 'gene_evidence' AS problems UNION ALL SELECT 'karyotypes', 'karyotype_text,karyotype_evidence')""",
+)(lambda t: letter_study(reports(t))["rejected"].drop("finding"))
+
 query("letter_study_letters", f"SELECT patient_id, therapie_text FROM ({TQ.LETTERS_SQL})")(
     lambda t: letter_study(TQ.documents(t))["letters"].select("patient_id", "therapie_text")
 )

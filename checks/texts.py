@@ -20,7 +20,7 @@ def untag_sql(c: str) -> str:
 
 
 def decode_sql(c: str) -> str:
-    for name, char in [("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "''"), ("#39", "''"), ("amp", "&")]:
+    for name, char in [("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "''"), ("#39", "''"), ("copy", "©"), ("middot", "·"), ("amp", "&")]:
         c = f"replace({c}, '&{name};', '{char}')"
     return c
 
@@ -95,10 +95,33 @@ query(
     )
 )
 
+# An undated letter has the whole digest of its content in the place of the date.
 query(
     "letter_keys",
-    """SELECT concat_ws('_', cast(doc_id as varchar), concat('A-', doc_id % 7), '2019-12-13') AS letter_key FROM documents WHERE doc_id % 10 IN (2, 4, 6, 8)""",
-)(lambda t: LT.letter_key(LT.letters_from_documents(documents(t))).where("document_date IS NOT NULL").select("letter_key"))
+    """SELECT concat_ws('_', cast(doc_id as varchar), concat('A-', doc_id % 7), CASE WHEN doc_id % 2 = 0 THEN '2019-12-13' ELSE 'digest' END) AS letter_key FROM documents WHERE doc_id % 5 <> 0""",
+)(
+    lambda t: LT.letter_key(LT.letters_from_documents(documents(t))).select(
+        F.regexp_replace("letter_key", "_[0-9a-f]{64}$", "_digest").alias("letter_key")
+    )
+)
+
+query(
+    "skipped_documents",
+    "SELECT count(*) AS documents, count(*) FILTER (doc_id % 5 = 0) AS skipped FROM documents",
+)(lambda t: LT.skipped_documents(documents(t)))
+
+# Entities, numeric references and nested sections, with the expected text written down.
+query("entities_decoded", """SELECT r_regionkey, 'Müller unauffällig ä &lt; 😀 &bogus; é' AS text FROM region""")(
+    lambda t: t.region.select(
+        "r_regionkey", X.decode_entities(F.lit("M&uuml;ller unauff&auml;llig &#228; &amp;lt; &#x1F600; &bogus; &eacute;")).alias("text")
+    )
+)
+_NESTED = '<d><SECTION ID="a"><content>one</content><section id="b"><content>two</content></section><content>three</content></SECTION><section><content>four</content></section></d>'
+query("nested_sections", "SELECT r_regionkey, concat('one', chr(10), chr(10), 'two', chr(10), chr(10), 'three') AS outer_text, 'two' AS inner_text FROM region")(
+    lambda t: t.region.select(
+        "r_regionkey", X.extract_section(F.lit(_NESTED), "a").alias("outer_text"), X.extract_section(F.lit(_NESTED), "b").alias("inner_text")
+    )
+)
 
 query(
     "letter_key_collisions",
@@ -153,7 +176,7 @@ def any_sql(column: str, phrases: list[str]) -> str:
 
 SENTENCES_SQL = f"""SELECT doc_id, s FROM (SELECT doc_id, {strip_sql("unnest(string_split_regex(regexp_replace(text, '([.;!?])\\s+', '\\1' || chr(1), 'g'), '\\x01|\\n+'))")} AS s FROM documents) WHERE s <> ''"""
 GENES_SQL = " UNION ALL ".join(
-    f"""SELECT doc_id, '{w}' AS gene, NOT {any_sql('s', NEGATIVE)} AS mutated, substr(s, 1, 300) AS evidence_text FROM ({SENTENCES_SQL})
+    f"""SELECT doc_id, '{w}' AS gene, NOT {any_sql('s', NEGATIVE)} AS mutated, s AS evidence_text FROM ({SENTENCES_SQL})
         WHERE regexp_matches(s, '(^|[^A-Za-z0-9]){w}([^A-Za-z0-9]|$)') AND ({any_sql('s', POSITIVE)} OR {any_sql('s', NEGATIVE)})"""
     for w in WORDS
 )

@@ -29,6 +29,9 @@ HASHED = [
     "uicc_observation_id",
     "has_member",
     "patient_mrn",
+    "all_condition_patient_reference",
+    "condition_encounter_reference",
+    "focus_reference",
 ]
 IDENTIFYING = [
     "meta_profile",
@@ -52,7 +55,56 @@ IDENTIFYING = [
     # Not a fixed value: a raw reference to another procedure must not survive either.
     "part_of_reference",
 ]
-SERVER_HASHED = ["condition_id", "condition_patient_reference", "observation_patient_reference"]
+SERVER_HASHED = [
+    "condition_id",
+    "condition_patient_reference",
+    "observation_patient_reference",
+    "all_condition_patient_reference",
+    "condition_encounter_reference",
+]
+
+# Columns of the study tables that may leave as they are (dates leave as years and months). A column
+# that is neither here nor hashed nor dropped has no rule, and its table isn't released.
+PLAIN = frozenset(
+    """
+    age_at_diagnosis age_class age_max age_median age_min age_q1 age_q3 asserted_date
+    asserted_date_precision bin birthdate birthdate_precision cohort_count cohort_flag col
+    combo_label condition_verificationStatus count count_female_pair count_male_pair count_pair
+    cumulative date date1 date2 date_death date_death_precision date_prev death_cause_icd10
+    death_cause_tumor deceased_datetime diagnosis_onsetDateTime diagnosis_recordedDate
+    diagnosis_year distant_metastasis_status double_patid ecog_performance_status effective_dateTime
+    effective_dateTime_precision entity_label entity_or_parent female_ratio gender gleason_10_count
+    gleason_6_count gleason_7_count gleason_8_count gleason_9_count gleason_date gleason_date_diff
+    gleason_date_precision gleason_score gleason_sct grading grading_date grading_date_precision
+    gruppe icd10_code icd10_parent_code icd_code icdo3_morphology icdo3_topography is_deceased
+    karnofsky_performance_status location lymph_node_status m_tnm m_tnm_c_p_snomed_prefix m_tnm_date
+    m_tnm_date_precision m_tnm_prefix m_tnm_prefix_sct malignancy_count malignancy_number max mean
+    mean_age measure medication_statement_atc_code medication_statement_text
+    meta_1_before_T2_interval meta_at_first meta_before_dx_T1_interval_yes meta_before_dx_T2
+    meta_date meta_date1 meta_date2 metastasis_date metastasis_date_first metastasis_date_first_diff
+    metastasis_date_first_precision metastasis_date_precision metastasis_kind metastasis_loc
+    metastatic_flag min months_between months_between_max months_between_median months_between_min
+    months_between_q1 months_between_q3 months_diff n n_event n_implausible_year n_inconsistent n_na
+    n_nonempty n_parsed n_patients n_risk n_rows n_tnm n_tnm_c_p_snomed_prefix n_tnm_date
+    n_tnm_date_precision n_tnm_prefix n_tnm_prefix_sct n_total negative ops_code
+    overall_assessment_of_tumor_regression overall_count parent_tnm_date parent_tnm_date_precision
+    pattern percentage positive prec_day prec_month prec_year primary_tumor_status q00 q01 q05 q100
+    q50 q95 q99 recorded_date stellung_op surgery_outcome survival synchron_count t_tnm
+    t_tnm_c_p_snomed_prefix t_tnm_date t_tnm_date_precision t_tnm_prefix t_tnm_prefix_sct
+    therapy_end_date therapy_end_date_precision therapy_end_reason therapy_intention
+    therapy_protocol_text therapy_start_date therapy_start_date_precision therapy_type time timediff
+    uicc_tnm uicc_tnm_c_p_snomed_prefix uicc_tnm_date uicc_tnm_date_precision uicc_tnm_prefix_sct
+    valid value vitalstatus_code vitalstatus_system weitere_klassifikation_date
+    weitere_klassifikation_date_precision weitere_klassifikation_name
+    weitere_klassifikation_value_code weitere_klassifikation_value_system
+    weitere_klassifikation_value_text y_tnm y_tnm_date y_tnm_date_precision year_max year_min
+    year_slice years_between zero zielgebiet
+""".split()
+)
+
+
+class UnknownColumn(ValueError):
+    """A column without a rule for de-identification."""
 
 
 @dataclass(frozen=True)
@@ -85,9 +137,21 @@ def _named(columns: Sequence[str], names: Sequence[str]) -> list[str]:
 
 
 def deidentify(
-    df: DataFrame, key: bytes, *, drop_original: bool = True, identifying: Sequence[str] = IDENTIFYING
+    df: DataFrame,
+    key: bytes,
+    *,
+    drop_original: bool = True,
+    identifying: Sequence[str] = IDENTIFYING,
+    plain: Sequence[str] = (),
 ) -> DataFrame:
-    """Hash the keys, drop what identifies, turn dates into months since diagnosis and years."""
+    """Hash the keys, drop what identifies, turn dates into months since diagnosis and years.
+
+    Every other column must be in ``PLAIN`` or named in ``plain``, else this raises.
+    """
+    ruled = _named(df.columns, [*HASHED, *identifying, *PLAIN, *plain])
+    dated = [c for c, t in df.dtypes if t in ("date", "timestamp")]
+    if unknown := sorted(set(df.columns) - set(ruled) - set(dated)):
+        raise UnknownColumn(f"no rule for {', '.join(unknown)}")
     out = hash_columns(df, key, _named(df.columns, HASHED), drop=drop_original)
     out = out.drop(*_named(out.columns, identifying))
     if "asserted_date" in out.columns:
@@ -96,7 +160,7 @@ def deidentify(
 
 
 def deidentify_server(df: DataFrame, key: bytes, *, drop_original: bool = True) -> DataFrame:
-    """Variant for server extracts: three key columns, dates untouched."""
+    """Variant for server extracts: key and reference columns, dates untouched."""
     return hash_columns(df, key, SERVER_HASHED, drop=drop_original)
 
 
@@ -117,7 +181,8 @@ class TableSpec:
     day_first: tuple[str, ...] = ()
 
 
-_FINDINGS = TableSpec(("patient_mrn",), ("document_date", "date"))
+# The letter's key starts with the record number.
+_FINDINGS = TableSpec(("patient_mrn", "account_id", "source_file", "letter_key"), ("document_date", "date"))
 _REGISTRY_OBSERVATION = ("observation_id", "observation_patient_reference", "patient_mrn", "patient_id")
 _REGISTRY_CONDITION = TableSpec(
     ("condition_id", "condition_patient_reference", "patient_mrn", "patient_id"),
@@ -137,7 +202,7 @@ TABLE_SPECS = {
         birth_date="birth_date",
     ),
     "conditions": TableSpec(
-        ("condition_id", "all_condition_patient_reference", "patient_mrn"),
+        ("condition_id", "all_condition_patient_reference", "condition_encounter_reference", "patient_mrn"),
         ("diagnosis_recordedDate", "diagnosis_onsetDateTime"),
     ),
     "encounters": TableSpec(
@@ -146,6 +211,7 @@ TABLE_SPECS = {
     ),
     "genes": _FINDINGS,
     "karyotypes": _FINDINGS,
+    "eln_risk": _FINDINGS,
     "medication_events": TableSpec(
         ("id", "patient_reference", "patient_mrn", "medication_reference"), ("datetime", "period_end")
     ),
@@ -196,8 +262,18 @@ TABLE_SPECS = {
 }
 
 
+# Names of columns that hold ids, references or record numbers.
+_TELLING = re.compile(r"reference|(^|_)id(_|$)|mrn|identifier|pseudonym|source_file|letter_key|account", re.IGNORECASE)
+
+
 def deidentify_table(df: DataFrame, spec: TableSpec, secret: RunSecret) -> DataFrame:
-    """Apply a table specification in one projection."""
+    """Apply a table specification in one projection.
+
+    A column whose name tells of an id, a reference or a record number must have a rule.
+    """
+    ruled = {*spec.hashed, *spec.shifted, *spec.dropped, *spec.defaults, spec.birth_date}
+    if unknown := [c for c in df.columns if _TELLING.search(c) and c not in ruled]:
+        raise UnknownColumn(f"no rule for {', '.join(sorted(unknown))}")
     if "REZEPT_ID" in spec.hashed and "REZEPT_ID" not in df.columns:
         df = df.withColumn("REZEPT_ID", row_digest(df))
     df = fill_missing_columns(df, spec.defaults)

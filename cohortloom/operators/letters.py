@@ -184,17 +184,24 @@ def rule_findings(
     def word(g: str, s: Column) -> Column:
         return s.rlike(r"(?<![A-Za-z0-9])\Q" + g + r"\E(?![A-Za-z0-9])")
 
-    stated = F.filter(sentences, lambda s: _any(s, wildtype) | _any(s, mutated))
+    def dated(picked: Column) -> Column:
+        """Sentences with what several findings of one share, worked out once."""
+        return F.transform(
+            picked, lambda s: F.struct(s.alias("s"), date_of(s).alias("date"), (~_any(s, wildtype)).alias("mutated"))
+        )
+
+    stated = dated(F.filter(sentences, lambda s: _any(s, wildtype) | _any(s, mutated)))
 
-    def genes_in(s: Column) -> Column:
+    def genes_in(x: Column) -> Column:
+        s = x["s"]
         found = [
             F.when(
                 word(g, s),
                 F.struct(
                     F.lit(g).alias("gene"),
-                    (~_any(s, wildtype)).alias("mutated"),
+                    x["mutated"].alias("mutated"),
                     F.lit(None).cast("string").alias("variant_detail"),
-                    date_of(s).alias("date"),
+                    x["date"].alias("date"),
                     s.alias("evidence_text"),
                 ),
             )
@@ -416,8 +423,13 @@ def unique_findings(df: DataFrame) -> DataFrame:
             array, lambda x, i: F.struct(x["date"].isNull().alias("undated"), x["date"].alias("date"), i.alias("at"), x.alias("f"))
         )
         ordered = F.transform(F.array_sort(placed), lambda x: x["f"])
-        names = F.transform(ordered, lambda x: x[name])
-        return F.filter(ordered, lambda x, i: F.array_position(names, x[name]) == i + 1)
+
+        def first_of_each(found: Column) -> Column:
+            names = F.transform(found, lambda y: y[name])
+            return F.filter(found, lambda x, i: F.array_position(names, x[name]) == i + 1)
+
+        # Bound once as an element; written out, it would be worked out again for each finding.
+        return F.get(F.transform(F.array(ordered), first_of_each), 0)
 
     keys = {"genes": "gene", "karyotypes": "classification", "eln_risk": "risk_category"}
     return df.withColumns({a: F.when(F.col(a).isNotNull(), once(a, n)) for a, n in keys.items()})

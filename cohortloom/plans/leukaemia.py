@@ -199,7 +199,12 @@ def deidentified_export(
     secret: RunSecret,
     drug_exports: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> tuple[Tables, DataFrame]:
-    """Every table with a specification, de-identified; and the lookup that must stay inside."""
+    """Every table, de-identified, and the lookup that must stay inside.
+
+    A table without a specification is an error: nothing falls out of an export unnoticed.
+    """
+    if unknown := sorted(set(tables) - set(TABLE_SPECS)):
+        raise KeyError(f"no specification for {', '.join(unknown)}")
 
     def table(name: str):
         return lambda: deidentify_table(tables[name], TABLE_SPECS[name], secret)
@@ -207,7 +212,7 @@ def deidentified_export(
     def drugs(name: str):
         return lambda: deidentify_drug_export(*drug_exports[name], secret)
 
-    builders = {name: table(name) for name in tables if name in TABLE_SPECS}
+    builders = {name: table(name) for name in tables}
     builders |= {name: drugs(name) for name in drug_exports or {}}
     return Tables(builders), mrn_lookup_table(tables["patients"], "patient_mrn", secret.key)
 

@@ -364,7 +364,8 @@ def pca_federated(sites: Mapping[str, DataFrame]) -> Tables:
     """Totals over all sites of the aggregates above.
 
     ``sites`` maps diagnosis_year, age_class, metastasis_loc and therapy_combinations_met to the
-    stacked tables of all sites.
+    stacked tables of all sites; therapy_combinations_met_by_period, where given, adds the totals of
+    cohort and rest for each period.
     """
     years = FE.merge_sites(sites["diagnosis_year"], ["diagnosis_year"])
     ages = FE.merge_sites(sites["age_class"], ["age_class"])
@@ -372,7 +373,14 @@ def pca_federated(sites: Mapping[str, DataFrame]) -> Tables:
     combos = FE.merge_sites(
         sites["therapy_combinations_met"], ["combo_label", "metastatic_flag"], normalise_keys=True
     )
+    by_period = sites.get("therapy_combinations_met_by_period")
+    more: dict[str, Callable[[], DataFrame]] = {}
+    if by_period is not None:
+        keys = ["cohort_flag", "year_slice", "combo_label", "metastatic_flag"]
+        merged = FE.merge_sites(by_period, keys, normalise_keys=True)
+        more["therapy_combinations_met_by_period"] = lambda: merged
     return Tables({
+        **more,
         "diagnosis_year": lambda: FE.recent_years(years),
         "age_class": lambda: FE.collapse_tail_classes(ages),
         "metastasis_loc": lambda: FE.min_cell_filter(kinds),

@@ -76,8 +76,18 @@ def union_csv_files(spark: SparkSession, paths: Iterable[str], sep: str = ";") -
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_merged(spark: SparkSession, directory: str, names: Iterable[str], sep: str = ";") -> dict[str, DataFrame]:
-    """Merged tables of a directory keyed by file name, every count column as a whole number."""
+def csv_names(spark: SparkSession, directory: str) -> list[str]:
+    """Names of the CSV files and folders of a directory, by the file system that holds it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    listed = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(place)
+    return sorted(n for n in (s.getPath().getName() for s in listed) if n.lower().endswith(".csv"))
+
+
+def read_merged(
+    spark: SparkSession, directory: str, names: Iterable[str] | None = None, sep: str = ";"
+) -> dict[str, DataFrame]:
+    """Merged tables of a directory (all of its CSV files, or ``names``) keyed by file name, every
+    count column as a whole number."""
 
     def whole(df: DataFrame) -> DataFrame:
         counts = {
@@ -90,5 +100,5 @@ def read_merged(spark: SparkSession, directory: str, names: Iterable[str], sep:
     root = directory.rstrip("/")
     return {
         n: whole(spark.read.option("header", True).option("sep", sep).csv(f"{root}/{n}"))
-        for n in names
+        for n in (csv_names(spark, root) if names is None else names)
     }
