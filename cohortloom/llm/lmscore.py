@@ -134,6 +134,9 @@ def scored(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str =
 
 
 def labelled_target(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``text`` of the rows of ``docs`` whose quality label is 1: the target corpus."""
+    """``text`` of the rows of ``docs`` whose quality label is 1: the target corpus.
+
+    The texts are shuffled at every size, so the plan of a small corpus is that of a large one.
+    """
     good = labels.filter("quality = 1").select(F.col(key).alias("_key")).distinct()
-    return docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(good, "_key").select("text")
+    return docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(good.hint("shuffle_hash"), "_key").select("text")
