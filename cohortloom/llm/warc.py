@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import re
 from collections.abc import Iterator
 
@@ -71,7 +72,7 @@ def captured(pages: DataFrame, key: str = "page_id", url: str = "url", payload:
 
 
 def write_archives(pages: DataFrame, path: str, **columns: str) -> None:
-    """Write every page as a record of uncompressed WARC files; equal payloads only once.
+    """Write every page as a record of gzipped WARC files; equal payloads only once.
 
     The record texts keep their payload bytes (UTF-8) and end as the format asks for, so the text
     writer's commit makes the files whole or not at all when executors are lost.
@@ -81,7 +82,7 @@ def write_archives(pages: DataFrame, path: str, **columns: str) -> None:
     same = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.tag") == F.col("b.tag")) & (F.col("a.digest") == F.col("b.digest"))
     tag = F.xxhash64("id", "digest")
     full = rows.withColumn("tag", tag).alias("a").join(headers.withColumn("tag", tag).alias("b"), same).select("a.id", "url", "payload", "a.digest", "a.bytes", "original")
-    records(full).write.option("lineSep", _END).option("maxRecordsPerFile", RECORDS).text(path)
+    records(full).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
 
 
 _HEAD = re.compile(rb"WARC/1\.[01]\r\n(?:[^\r\n]+\r\n)+\r\n")
@@ -115,7 +116,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in steps(batches, "content"):
             for content in batch.column("content"):
                 rows, size = [], 0
-                for fields, block in parse(content.as_py()):
+                for fields, block in parse(gzip.decompress(content.as_py())):
                     kind = fields["warc-type"]
                     ids = [fields.get(n, "")[len("<urn:record:") : -1] for n in ("warc-record-id", "warc-refers-to")]
                     body = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
