@@ -194,6 +194,10 @@ def medication_catalogue(
     })
 
 
+# Reports on the linkage itself, never part of an export.
+INTERNAL = frozenset({"lab_value_counts", "mrn_conflicts", "unmapped_ops_codes", "match_report", "labs_with_drugs"})
+
+
 def deidentified_export(
     tables: Mapping[str, DataFrame],
     secret: RunSecret,
@@ -201,9 +205,10 @@ def deidentified_export(
 ) -> tuple[Tables, DataFrame]:
     """Every table, de-identified, and the lookup that must stay inside.
 
-    A table without a specification is an error: nothing falls out of an export unnoticed.
+    Reports for use inside stay there. Any other table without a specification is an error: nothing
+    falls out of an export unnoticed.
     """
-    if unknown := sorted(set(tables) - set(TABLE_SPECS)):
+    if unknown := sorted(set(tables) - set(TABLE_SPECS) - INTERNAL):
         raise KeyError(f"no specification for {', '.join(unknown)}")
 
     def table(name: str):
@@ -212,7 +217,7 @@ def deidentified_export(
     def drugs(name: str):
         return lambda: deidentify_drug_export(*drug_exports[name], secret)
 
-    builders = {name: table(name) for name in tables}
+    builders = {name: table(name) for name in tables if name not in INTERNAL}
     builders |= {name: drugs(name) for name in drug_exports or {}}
     return Tables(builders), mrn_lookup_table(tables["patients"], "patient_mrn", secret.key)
 

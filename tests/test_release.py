@@ -85,3 +85,46 @@ def test_a_long_letter_loses_nothing(spark):
     rows = {(r.gene, r.mutated, r.date) for r in tables["genes"].collect()}
     assert rows == {("NPM1", False, "2019-12"), *((g, True, "2021-05-01") for g in genes if g != "NPM1")}
     assert tuple(tables["skipped"].first()) == (2, 1) and tables["rejected"].count() == 0
+
+
+def test_tables_are_computed_once(spark, tmp_path):
+    from cohortloom.plans.base import Tables as Results
+    from cohortloom.plans.base import save
+    from cohortloom.sources.sinks import StudyLayout
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([("c1", "C61"), ("c2", "C50")], "condition_id string, icd10_code string")
+    tables = Results({"facts": lambda: rows.mapInArrow(count, rows.schema)})
+    layout = StudyLayout(str(tmp_path), "s")
+    kept = save(tables, layout)
+    save(deidentified(kept, G.RunSecret(KEY, 1)), layout, is_deidentified=True)
+    assert seen.value == 2 and kept["facts"].count() == 2 and seen.value == 2
+
+
+def test_letters_are_saved(spark, tmp_path):
+    from cohortloom.plans.run_all import run_letters
+
+    docs = spark.createDataFrame(
+        [('<section id="M5_Therapie"><content>FLT3 positiv.</content></section>', "p", "a", "2021-05-01", "s", "t")],
+        "xmldocument string, patid string, patientaccountid string, lastsaveddatetime string, letterstatus string, templatename string",
+    )
+    tables = run_letters(docs, str(tmp_path))
+    assert [r.gene for r in tables["genes"].collect()] == ["FLT3"]
+
+
+def test_rejected_bundles_are_counted(spark, tmp_path):
+    from cohortloom.sources.resources import bundle_rejects, land_bundles
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "good.json").write_text('{"resourceType": "Bundle", "entry": [{"resource": {"resourceType": "Patient", "id": "p"}}]}')
+    (tmp_path / "in" / "cut.json").write_text('{"resourceType": "Bundle", "entry": [{"resource": {"resou')
+    assert bundle_rejects(spark.read.text(str(tmp_path / "in"), wholetext=True)).count() == 1
+    counts = land_bundles(spark, str(tmp_path / "in"), str(tmp_path / "lake"), ["Patient"]).first()
+    assert (counts.bundles, counts.rejected) == (2, 1)
+    assert spark.read.parquet(str(tmp_path / "lake" / "Patient")).count() == 1
