@@ -229,12 +229,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the least key.
 
-    Repeated rows of that key are reduced to one. Rows with NULL key stay only where no row of
-    their group has a key, one for each such group is not singled out.
+    Repeated rows of that key stay once for each different text. Rows with NULL key stay, once for
+    each different text, where no row of their group has a key.
     """
     groups = stored(near_duplicates(docs, key, text), "groups")
     kept = groups.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key).count()
     once, again = (kept.filter(c).select(F.col(key).alias("_kept")) for c in ("count = 1", "count > 1"))
     single = docs.join(once, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
     repeated = docs.join(again, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
-    return single.unionByName(repeated.dropDuplicates([key]))
+    return single.unionByName(repeated.dropDuplicates([key, text]))

@@ -90,7 +90,10 @@ def test_wide_links(n):
 def test_one_row_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(200))
     rows = [(5, text), (3, text), (3, text), (9, "other text of some words"), (1, None), (2, "")]
+    rows += [(None, text), (None, "one two three four"), (None, "five six seven eight"), (None, "five six seven eight")]
     df = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], SCHEMA)
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 9]
+    found = kept.collect()
+    assert sorted(r.doc_id for r in found if r.doc_id is not None) == [1, 3, 9]
+    assert sorted(r.text for r in found if r.doc_id is None) == ["five six seven eight", "one two three four"]
