@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom.llm.common import steps, stored, texts_of
 from cohortloom.llm.components import components
@@ -233,8 +234,22 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     each different text, where no row of their group has a key.
     """
     groups = stored(near_duplicates(docs, key, text), "groups")
-    kept = groups.filter(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key).count()
+    kept = groups.filter(F.col(key) == F.col("component_id")).groupBy(key).count()
     once, again = (kept.filter(c).select(F.col(key).alias("_kept")) for c in ("count = 1", "count > 1"))
-    single = docs.join(once, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = docs.join(again, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
-    return single.unionByName(repeated.dropDuplicates([key, text]))
+    single = docs.join(once, F.col(key) == F.col("_kept"), "left_semi")
+    repeated = docs.join(again, F.col(key) == F.col("_kept"), "left_semi").dropDuplicates([key, text])
+    return single.unionByName(repeated).unionByName(_unnamed(docs, groups, key, text))
+
+
+def _unnamed(docs: DataFrame, groups: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows with NULL key of groups in which no row has one, by their fingerprint."""
+    wanted = groups.filter(F.col("component_id").isNull()).select(F.col("fp").alias("_fp")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, text):
+            fp = pa.array(_fingerprints(texts_of(batch, text)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, "_fp"])
+
+    rows = docs.filter(F.col(key).isNull())
+    marked = rows.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
+    return marked.join(wanted, "_fp", "left_semi").dropDuplicates([text]).select(*docs.columns)
