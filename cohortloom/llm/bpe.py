@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -159,11 +158,6 @@ class Vocabulary:
         return b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def _vocabulary(text: str) -> Vocabulary:
-    return Vocabulary(text)
-
-
 def encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``ids`` (little-endian unsigned 32-bit) and ``decoded`` of every row's whole text.
 
@@ -195,7 +189,7 @@ def _mapped(docs: DataFrame, path: str, key: str, text: str, schema: str, made)
     names = ["key", *[c.split(" ")[0] for c in schema.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(sent.value)
+        vocabulary = Vocabulary(sent.value)
         known = dict(vocabulary.special)
         for batch in steps(batches):
             ids = vocabulary.encode([t.decode("utf-8", "replace") for t in texts_of(batch)], known)
