@@ -99,7 +99,8 @@ PLAIN = frozenset(
     weitere_klassifikation_value_code weitere_klassifikation_value_system
     weitere_klassifikation_value_text y_tnm y_tnm_date y_tnm_date_precision year_max year_min
     year_slice years_between zero zielgebiet
-""".split()
+    loinc_code loinc_display lab_dateTime lab_quantity_value lab_quantity_unit lab_codeableconcept_code
+    """.split()
 )
 
 

@@ -202,6 +202,17 @@ def server_conditions_of(clean: DataFrame, server: DataFrame) -> DataFrame:
     return base.join(dated, F.col("patid_pseudonym") == F.col("patient_mrn"), "left")
 
 
+def server_labs_of(base: DataFrame, labs: DataFrame) -> DataFrame:
+    """Laboratory values of the hospital system for the conditions of a study, by record number.
+
+    ``labs`` has patient_mrn and the columns of ``views.labs``. A condition that fills several rows
+    takes part once.
+    """
+    persons = base.select("condition_id", "patid_pseudonym", "asserted_date").distinct()
+    dated = labs.withColumn("lab_dateTime", F.try_to_date(F.substring("lab_dateTime", 1, 10), "yyyy-MM-dd"))
+    return persons.join(dated, F.col("patid_pseudonym") == F.col("patient_mrn"))
+
+
 def deidentified(tables: Tables, secret: RunSecret) -> Tables:
     def build(name: str) -> Callable[[], DataFrame]:
         return lambda: deidentify(tables[name], secret.key)
@@ -240,5 +251,6 @@ __all__ = [
     "registry_facts",
     "save",
     "server_conditions_of",
+    "server_labs_of",
     "system_therapies",
 ]

@@ -34,6 +34,7 @@ from cohortloom.plans.base import (
     radiotherapies,
     registry_facts,
     server_conditions_of,
+    server_labs_of,
     system_therapies,
 )
 
@@ -293,8 +294,9 @@ def study_pca(
     atc_mapping: DataFrame | None = None,
     first_line_months: float = 4,
     keep: Keep = materialise,
+    server_labs: DataFrame | None = None,
 ) -> Tables:
-    """Prostate cancer: facts, therapy sequences and site aggregates."""
+    """Prostate cancer: facts, therapy sequences, site aggregates, and linked laboratory values."""
 
     @cache
     def base() -> DataFrame:
@@ -338,8 +340,10 @@ def study_pca(
         return T.atc_groups(leading, atc_mapping, "condition_id")
 
     combinations, by_metastasis = T.therapy_combinations, T.therapy_combinations_by_metastasis
+    labs = {} if server_labs is None else {"mii_labs": lambda: server_labs_of(base(), server_labs)}
     return Tables(
         {
+            **labs,
             "c61_base": base,
             "therapy_sequence": sequence,
             "therapy_sequence_first_line": first_line,

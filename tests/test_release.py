@@ -128,3 +128,18 @@ def test_rejected_bundles_are_counted(spark, tmp_path):
     counts = land_bundles(spark, str(tmp_path / "in"), str(tmp_path / "lake"), ["Patient"]).first()
     assert (counts.bundles, counts.rejected) == (2, 1)
     assert spark.read.parquet(str(tmp_path / "lake" / "Patient")).count() == 1
+
+
+def test_linked_labs(spark):
+    from cohortloom.plans.base import server_labs_of
+
+    base = spark.createDataFrame([("c", "7", None), ("c", "7", None), ("d", "8", None)], "condition_id string, patid_pseudonym string, asserted_date date")
+    labs = spark.createDataFrame(
+        [("o1", "Patient/RAW", "718-7", "Hb", "2020-03-04T10:00:00", 1.5, "g/dL", None, "7"), ("o2", "Patient/X", "718-7", "Hb", "bad", 2.0, "g/dL", None, "9")],
+        "observation_id string, observation_patient_reference string, loinc_code string, loinc_display string, lab_dateTime string, lab_quantity_value double, lab_quantity_unit string, lab_codeableconcept_code string, patient_mrn string",
+    )
+    linked = server_labs_of(base, labs)
+    (row,) = linked.collect()
+    assert (row.condition_id, row.observation_id, str(row.lab_dateTime)) == ("c", "o1", "2020-03-04")
+    out = G.deidentify(linked, KEY)
+    assert leaking(out) == [] and not {"patient_mrn", "lab_dateTime", "observation_id"} & set(out.columns)
