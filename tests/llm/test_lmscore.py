@@ -64,3 +64,24 @@ def test_target_documents_score_higher(spark):
     rows = lmscore.scored(docs, lmscore.labelled_target(docs, labels)).join(labels, "doc_id").collect()
     good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
     assert np.mean(good) > np.mean(bad)
+
+
+def test_every_character_counts(spark):
+    """More different characters than the 30 of an earlier vocabulary, in several blocks; the rare ones tell."""
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789\n.,éèñäöüß漢字かなабвг"
+    rows = [(i, letters, "x", 1) for i in range(30)] + [(100, "qqqq 漢漢漢漢", "x", 1), (101, "vvvv 字字字字", "x", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in lmscore.scored(docs, docs.filter("doc_id = 100").select("text")).collect()}
+    assert got[100].target_loss < 2 < got[101].target_loss
+    models = [model([t for _, t, *_ in x], set("".join(t for _, t, *_ in rows))) for x in ([rows[-2]], rows)]
+    want = [loss(m, rows[-1][1], set(letters + "qv ")) for m in models]
+    assert np.allclose([got[101].target_loss, got[101].background_loss], want, atol=1e-5)
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    rows = [(i, f"text {i % 7} of {'éß漢'[i % 3]} words " * (i % 5), "x", 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    target = docs.filter("doc_id < 9").select("text")
+    whole = sorted(map(tuple, lmscore.scored(docs, target).collect()))
+    monkeypatch.setattr(lmscore, "BLOCK_BYTES", 200)
+    assert np.allclose(whole, sorted(map(tuple, lmscore.scored(docs, target).collect())))
