@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.common import stored
 
-#: A k-mer is so many words, its inner substrings so many; so many anchors make a fingerprint.
+#: A k-mer is so many words, its inner substrings so many; so many anchors make its short form.
 K, S, KEPT = 4, 2, 128
 
 
-def anchors(docs: DataFrame, text: str, name: str, k: int = K, s: int = S) -> DataFrame:
+def anchors(docs: DataFrame, text: str, name: str, k: int = K, s: int = S, places: bool = False) -> DataFrame:
     """``docs`` with column ``name``: the closed syncmers of a text as hashes of 32 bits.
 
     A k-mer of words is chosen if the least hash of its inner s-word strings is that of the first or
     the last of them; nothing outside the k-mer matters, so an edit moves no anchors but its own.
-    They stand in order of place. A text of fewer than k words is one anchor, an empty one has none.
+    They stand in order of place, repeats included; with ``places`` every k-mer has an entry,
+    NULL if it is not chosen. A text of fewer than k words is one anchor, an empty one has none.
     """
     words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     inner = F.transform(
@@ -29,13 +30,16 @@ def anchors(docs: DataFrame, text: str, name: str, k: int = K, s: int = S) -> Da
         between = [F.get("_inner", i + j) for j in range(1, k - s)]
         return ends <= (F.least(*between) if len(between) > 1 else between[0])
 
-    places = F.filter(F.sequence(F.lit(0), F.size("_words") - k), closed)
     held = [j * s for j in range(k // s)] + ([k - s] if k % s else [])  # inner strings that make up a k-mer
 
     def half(h: Column) -> Column:
         return F.shiftright(h, 32).cast("int")
 
-    chosen = F.transform(places, lambda i: half(F.xxhash64(*[F.get("_inner", i + j) for j in held])))
+    def kmer(i: Column) -> Column:
+        return half(F.xxhash64(*[F.get("_inner", i + j) for j in held]))
+
+    at = F.sequence(F.lit(0), F.size("_words") - k)
+    chosen = F.transform(at, lambda i: F.when(closed(i), kmer(i))) if places else F.transform(F.filter(at, closed), kmer)
     short = F.array(half(F.xxhash64(F.array_join("_words", " "))))
     found = (
         F.when(F.size("_words") >= k, chosen)
@@ -51,22 +55,20 @@ def anchors(docs: DataFrame, text: str, name: str, k: int = K, s: int = S) -> Da
     )
 
 
-def sketched(docs: DataFrame, text: str, name: str, kept: int = KEPT) -> DataFrame:
-    """``docs`` with column ``name``: the ``kept`` least different anchors, in order."""
-    least = F.slice(F.sort_array(F.array_distinct(F.col("_anchors"))), 1, kept)
-    return anchors(docs, text, "_anchors").withColumn(name, least).drop("_anchors")
+def likeness(a: str, b: str) -> Column:
+    """Share of all different anchors of both that both have; two without anchors are alike (1)."""
+    union = F.size(F.array_union(a, b))
+    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
-def likeness(a: str, b: str, kept: int = KEPT) -> Column:
-    """Share of the least anchors of both that both have; two without anchors are alike (1)."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, kept)
-    both = F.size(F.array_intersect(F.array_intersect(a, b), union))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
+def sketch(anchors: str, kept: int = KEPT) -> Column:
+    """The ``kept`` least of different anchors, in order."""
+    return F.slice(F.sort_array(anchors), 1, kept)
 
 
-def written(sketch: str) -> Column:
-    """A fingerprint as text: eight hexadecimal digits for each anchor."""
-    return F.array_join(F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "")
+def written(sketched: Column) -> Column:
+    """Anchors as text: eight hexadecimal digits for each, ``-`` for NULL."""
+    return F.array_join(F.transform(sketched, lambda h: F.lower(F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "", "-")
 
 
 def followers(keys: DataFrame) -> DataFrame:
@@ -90,7 +92,11 @@ def followers(keys: DataFrame) -> DataFrame:
 
 def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
-    ``near_edited``, ``near_next`` of every row.
+    ``near_edited``, ``near_next``, ``anchors``, ``edited_anchors`` of every row.
+
+    The last two hold all anchors at their places: for each k-mer in order eight hexadecimal digits,
+    or ``-`` if it is no anchor. Nearness is over all different anchors of both texts, wherever they
+    stand. The fingerprints are the short form, the ``KEPT`` least anchors.
 
     The edited text has the last half of the code points replaced by the first ones of the next
     document in order of the key, as many or all; after the last document comes the first. Rows
@@ -115,12 +121,12 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         F.col("next_t").alias("t"), F.col("next_h").alias("h"), F.col("t").alias("to_t"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).cast("int").alias("asked"), "next_times"
     )
     # Both uses of this table read the same columns, so its shuffle is made once.
-    placed = sketched(rows.withColumn("t", tag()).select("t", "h", "text"), "text", "sketch").repartition("t", "h")
+    placed = rows.withColumn("t", tag()).select("t", "h", "text").repartition("t", "h")
     head = F.substring("text", F.lit(1), F.col("asked")).alias("head")
 
     def given(part: DataFrame) -> DataFrame:
-        joined = placed.join(part.hint("shuffle_hash"), ["t", "h"])
-        return joined.select(F.col("to_t").alias("t"), F.col("to_h").alias("h"), head, F.col("sketch").alias("next_sketch"))
+        joined = anchors(placed.join(part.hint("shuffle_hash"), ["t", "h"]), "text", "_anchors")
+        return joined.select(F.col("to_t").alias("t"), F.col("to_h").alias("h"), head, F.array_distinct("_anchors").alias("_next"))
 
     once = given(before.filter("next_times = 1"))
     again = given(before.filter("next_times > 1")).dropDuplicates(["t", "h"])
@@ -128,13 +134,16 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     both = known.join(once.unionByName(again), ["t", "h"])
     kept = F.substring("text", F.lit(1), (F.col("n") - F.floor(F.col("n") / 2)).cast("int"))
     edited = both.withColumn("edited", F.concat(kept, "head"))
-    done = sketched(edited, "edited", "edited_sketch")
+    done = anchors(anchors(edited, "text", "_own", places=True), "edited", "_edited", places=True)
+    done = done.withColumns({f"{c}_all": F.array_distinct(F.array_compact(c)) for c in ("_own", "_edited")})
     return done.select(
         F.col("id").alias(key),
         F.col("n").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        written("sketch").alias("fingerprint"),
-        written("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
+        written(sketch("_own_all")).alias("fingerprint"),
+        written(sketch("_edited_all")).alias("edited_fingerprint"),
+        likeness("_own_all", "_edited_all").alias("near_edited"),
+        likeness("_own_all", "_next").alias("near_next"),
+        written(F.col("_own")).alias("anchors"),
+        written(F.col("_edited")).alias("edited_anchors"),
     )

@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 from cohortloom.llm import fingerprints as fp
 
@@ -57,3 +58,22 @@ def test_closed_syncmers_depend_on_the_kmer_alone(spark):
 def test_no_python_in_the_plan(spark):
     df = fp.compared(spark.createDataFrame([(1, "a b", 1, "x", 2)], SCHEMA))
     assert not any(x in df._jdf.queryExecution().toString() for x in ("Python", "Arrow", "Pandas"))
+
+
+def placed(text):
+    return [(i, x) for i, x in enumerate(re.findall("-|[0-9a-f]{8}", text)) if x != "-"]
+
+
+def test_all_anchors_count_and_keep_their_places(spark):
+    words = [f"v{i}" for i in range(6000)]
+    passage, whole, again = (" ".join(x) for x in (words[3000:3300], words, words[:50] * 3))
+    one, two, three = sorted(found(spark, [(1, passage), (2, whole), (3, again)]), key=lambda r: r.doc_id)
+    small, large = placed(one.anchors), placed(two.anchors)
+    assert len(large) > 10 * fp.KEPT and len(small) > fp.KEPT
+    assert {(i + 3000, x) for i, x in small} <= set(large)
+    assert one.near_next == len(small) / len(large)
+    places = {}
+    for i, x in placed(three.anchors):
+        places.setdefault(x, []).append(i)
+    inner = [p for p in places.values() if p[0] <= 46]
+    assert inner and all(p == [p[0], p[0] + 50, p[0] + 100] for p in inner)
