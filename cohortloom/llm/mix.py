@@ -69,9 +69,14 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int =
     return stops.select("source", "source_size", target.alias("target"))
 
 
+def _name(source: str) -> Column:
+    """A name of each source that is never NULL."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
+
+
 def _join(left: DataFrame, right: DataFrame) -> DataFrame:
     """Inner join on ``source``, where NULL is a source as well."""
-    name = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    name = _name("source")
     return left.withColumn("_of", name).join(right.withColumn("_of", name).drop("source"), "_of").drop("_of")
 
 
@@ -102,6 +107,16 @@ def mix(
         ),
         "sizes",
     )
+    return _join(sizes, _rules(sizes, weights, repeats)).withColumn("copies", _copies("hash", repeats)).select(
+        F.col("key").alias(key), "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
+    )
+
+
+def _rules(sizes: DataFrame, weights: Sequence[float], repeats: int) -> DataFrame:
+    """``base``, ``left`` and ``threshold`` of each source, with its size and target.
+
+    ``sizes`` has ``source``, ``size`` and ``hash`` of every row.
+    """
     planned = targets(sizes, weights, repeats)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     budget = planned.withColumn("base", whole.cast("bigint")).withColumn(
@@ -124,20 +139,41 @@ def mix(
     # Budgets that end nowhere take all.
     nearer = F.col("here") - F.col("left") < F.col("left")
     threshold = state.select("source", (F.col("prefix") + nearer.cast("bigint")).alias("threshold"))
-    own = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    rules = edge.withColumn("_of", own).join(threshold.withColumn("_of", own).drop("source"), "_of", "left").drop("_of")
-    more = F.coalesce(F.col("hash") < F.col("threshold"), F.lit(True)) & (F.col("left") > 0)
-    copies = F.least(F.col("base") + more.cast("bigint"), F.lit(repeats))
-    return _join(sizes, rules).select(
-        F.col("key").alias(key), "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
-    )
+    named = threshold.withColumn("_of", _name("source")).drop("source")
+    return edge.withColumn("_of", _name("source")).join(named, "_of", "left").drop("_of")
+
 
+def _copies(hashed: str, repeats: int, at: str = "") -> Column:
+    """How often a row is taken, from its hash and the rule of its source."""
+    more = F.coalesce(F.col(hashed) < F.col(f"{at}threshold"), F.lit(True)) & (F.col(f"{at}left") > 0)
+    return F.least(F.col(f"{at}base") + more.cast("bigint"), F.lit(repeats))
 
-def repeated(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` as the mix takes them: rows left out, once, or repeated; columns as they are."""
-    counts = mix(docs, key=key, **options).groupBy(F.col(key).alias("_key")).agg(F.min("copies").alias("_copies"))
-    joined = docs.join(counts.filter("_copies > 0"), F.col(key).eqNullSafe(F.col("_key")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+
+def repeated(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    repeats: int = REPEATS,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """``docs`` as the mix takes them: rows left out, once, or repeated; columns as they are.
+
+    Each row is decided by the rule of its own source, one small row that is sent to all tasks. Rows
+    with NULL key are told apart by their texts, so they do not stand or fall together.
+    """
+    marked = docs.withColumns(
+        {
+            "_name": _name(source),
+            "_text": F.when(F.col(key).isNull(), F.concat(F.lit("text "), F.col(text).cast("string"))).otherwise(F.col(key).cast("string")),
+        }
+    ).withColumn("_hash", hash_of("_text"))
+    sizes = marked.select(F.col(source).cast("string").alias("source"), words_in(F.col(text).cast("string")).alias("size"), F.col("_hash").alias("hash"))
+    rules = _rules(stored(sizes, "sizes"), weights, repeats)
+    rules = rules.select(_name("source").alias("_name"), F.struct("base", "left", "threshold").alias("_rule"))
+    ruled = marked.join(F.broadcast(rules), "_name")
+    taken = ruled.withColumn("_copies", _copies("_hash", repeats, "_rule.")).filter("_copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[docs[c] for c in docs.columns])
 
 
 ORACLE = """

@@ -65,6 +65,20 @@ def test_rows_are_repeated(spark):
     assert sum(r.source == "a" for r in out.collect()) == 9
 
 
+def test_rows_are_repeated_by_their_own_source(spark):
+    """Keys that are NULL or stand in two sources are taken as each source asks for."""
+    rows = [(None if i % 2 else i, f"w{i} " * 10, "a" if i < 20 else "b", "x", 1, "y") for i in range(620)]
+    rows += [(i, "other " * 10, "b", "x", 1, "y") for i in range(0, 20, 2)]
+    out = mix.repeated(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sum(r.source == "a" for r in out) == 60
+    idless = [r.text for r in out if r.doc_id is None and r.source == "b"]
+    assert 0 < len(set(idless)) and len(out) == 60 + sum(r.source == "b" for r in out)
+    few = [(None, f"w{i} " * 10, "a" if i < 400 else "c", "x", 1, "y") for i in range(800)]
+    out = mix.repeated(spark.createDataFrame(few, SCHEMA)).collect()
+    for source, weight in (("a", 5), ("c", 2)):
+        assert abs(sum(r.source == source for r in out) - 800 * weight / 7) <= 2
+
+
 def test_sql(spark):
     from checks.compare import differences, open_tables, sql_rows
 
