@@ -230,26 +230,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the least key.
 
-    Repeated rows of that key stay once for each different text. Rows with NULL key stay, once for
-    each different text, where no row of their group has a key.
+    Rows that share that key stay if their own text belongs to the group, once for each different
+    text. Rows with NULL key stay, once for each different text, where no row of their group has a
+    key.
     """
     groups = stored(near_duplicates(docs, key, text), "groups")
-    kept = groups.filter(F.col(key) == F.col("component_id")).groupBy(key).count()
-    once, again = (kept.filter(c).select(F.col(key).alias("_kept")) for c in ("count = 1", "count > 1"))
+    least = F.col(key) == F.col("component_id")
+    rows = groups.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.max(least).alias("kept"))
+    kept = rows.filter("kept")
+    once, again = (kept.filter(c).select(F.col(key).alias("_kept")) for c in ("n = 1", "n > 1"))
     single = docs.join(once, F.col(key) == F.col("_kept"), "left_semi")
-    repeated = docs.join(again, F.col(key) == F.col("_kept"), "left_semi").dropDuplicates([key, text])
+    shared = _marked(docs.join(again, F.col(key) == F.col("_kept"), "left_semi"), text)
+    own = groups.filter(least).select(F.col(key).alias("_kept"), F.col("fp").alias("_own")).distinct()
+    repeated = shared.join(own, (F.col(key) == F.col("_kept")) & (F.col("_fp") == F.col("_own")), "left_semi")
+    repeated = repeated.dropDuplicates([key, text]).select(*docs.columns)
     return single.unionByName(repeated).unionByName(_unnamed(docs, groups, key, text))
 
 
-def _unnamed(docs: DataFrame, groups: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows with NULL key of groups in which no row has one, by their fingerprint."""
-    wanted = groups.filter(F.col("component_id").isNull()).select(F.col("fp").alias("_fp")).distinct()
+def _marked(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with the fingerprint of each as ``_fp``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
             fp = pa.array(_fingerprints(texts_of(batch, text)).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, "_fp"])
 
-    rows = docs.filter(F.col(key).isNull())
-    marked = rows.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("_fp", T.LongType())]))
+
+
+def _unnamed(docs: DataFrame, groups: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows with NULL key of groups in which no row has one, by their fingerprint."""
+    wanted = groups.filter(F.col("component_id").isNull()).select(F.col("fp").alias("_fp")).distinct()
+    marked = _marked(docs.filter(F.col(key).isNull()), text)
     return marked.join(wanted, "_fp", "left_semi").dropDuplicates([text]).select(*docs.columns)

@@ -97,3 +97,10 @@ def test_one_row_of_each_group_stays(spark):
     found = kept.collect()
     assert sorted(r.doc_id for r in found if r.doc_id is not None) == [1, 3, 9]
     assert sorted(r.text for r in found if r.doc_id is None) == ["five six seven eight", "one two three four"]
+
+
+def test_a_shared_key_keeps_only_the_texts_of_its_own_group(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(200)) for c in "vw")
+    rows = [(5, one), (5, two), (3, two), (5, one), (8, "some other words here")]
+    df = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], SCHEMA)
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(df).collect()) == [(3, two), (5, one), (8, "some other words here")]
