@@ -300,7 +300,7 @@ query(
     "SELECT CASE o_orderkey % 3 WHEN 0 THEN '1970-01-01' WHEN 1 THEN '01.01.1970' ELSE '1970-01-01T00:00:00' END AS raw, count(*) AS n FROM orders GROUP BY 1",
 )(
     lambda t: S.epoch_raw_values(
-        t.orders.selectExpr("CASE o_orderkey % 3 WHEN 0 THEN '1970-01-01' WHEN 1 THEN '01.01.1970' ELSE '1970-01-01T00:00:00' END AS x"), "x"
+        t.orders.selectExpr("CASE o_orderkey % 3 WHEN 0 THEN '1970-01-01' WHEN 1 THEN '01.01.1970' ELSE '1970-01-01T00:00:00' END AS x"), "x", top_n=10
     )
 )
 

@@ -255,11 +255,13 @@ def test_negative_phrases_win(spark):
     assert {(r["gene"], r["mutated"], r["date"]) for r in df.collect()} == {("FLT3", False, "2020"), ("NPM1", True, "2020"), ("TP53", False, "2020")}
 
 
-def test_site_tables_without_key_are_left_out(spark, tmp_path, rows):
+def test_site_table_without_key_is_an_error(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text(";diagnosis_year ;count\n0;2000;3\n1;2001;4\n")
     (tmp_path / "b.csv").write_text(";diagnosis_year;count\n0;2000;5\n")
     (tmp_path / "c.csv").write_text(";other;count\n0;2000;100\n")
-    df = FE.read_site_tables(spark, [str(tmp_path / f"{n}.csv") for n in "abc"], ["diagnosis_year"])
+    with pytest.raises(ValueError, match="c.csv has no column diagnosis_year"):
+        FE.read_site_tables(spark, [str(tmp_path / f"{n}.csv") for n in "abc"], ["diagnosis_year"])
+    df = FE.read_site_tables(spark, [str(tmp_path / f"{n}.csv") for n in "ab"], ["diagnosis_year"])
     assert rows(FE.merge_sites(df, ["diagnosis_year"])) == [("2000", 8.0), ("2001", 4.0)]
 
 
