@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, fingerprints, lmscore, mix, quality, simhash, suffixes, topk, toxicity, warc
+from cohortloom.llm import bpe, fingerprints, lmscore, mix, quality, simhash, suffixes, tokenfiles, topk, toxicity, warc
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,8 @@ def op9_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfiles.filed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
