@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, fingerprints, lmscore, mix, quality, simhash, suffixes, tokenfiles, topk, toxicity, warc
+from cohortloom.llm import bpe, fingerprints, lmscore, mix, quality, simhash, suffixes, tokenfiles, topk, toxicity, trie, warc
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.filed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.rebuilt_trie(table(spark, folder, "conversations")).drop("rank")
+
+
+SQL["op12_conversation_trie"] = trie.ORACLE
