@@ -26,13 +26,13 @@ ESCAPE = np.uint64((1 << 60) - 1)
 #: Ids of a block; a block starts at a word of its own.
 BLOCK = 256
 #: A frame is closed at the end of the document that brings it to so many ids.
-FRAME = 1 << 20
+FRAME = 1 << 18
 #: Frames of a file.
-FRAMES = 8
+FRAMES = 16
 #: Bytes of text of a part, on average.
 PART = 64 << 20
 #: Encodings of pieces that a task remembers; it forgets all and goes on beyond that.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 _HEAD = "<8sIIQQQQQQ"
 
 
