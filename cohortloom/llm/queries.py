@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, fingerprints, lmscore, mix, quality, simhash, suffixes, tokenfiles, topk, toxicity, trie, warc
+from cohortloom.llm import bpe, fingerprints, lmscore, mix, periodic, quality, simhash, suffixes, tokenfiles, topk, toxicity, trie, warc
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,8 @@ def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op12_conversation_trie"] = trie.ORACLE
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.run_digests(table(spark, folder, "documents"), edit=periodic.looped, texts=False)
