@@ -336,6 +336,44 @@ query("nearest_event", NEAREST_SQL)(
     )
 )
 
+# Times as records write them: days and months in two forms, years, instants, and times of day alone,
+# which never match. The SQL knows the first and last day of each.
+def written_lines(t):
+    ship = F.col("l_shipdate").cast("date")
+    which = F.col("l_linenumber") + F.col("l_orderkey") % 7
+    forms = ["yyyy-MM-dd", "dd.MM.yyyy", "yyyy-MM", "MM.yyyy", "yyyy", "HH:mm", "dd.MM.yyyy HH:mm"]
+    text = F.coalesce(*[F.when(which % 7 == i, F.date_format(ship, f)) for i, f in enumerate(forms)])
+    return t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.expr(LINE_ID).alias("id"), text.alias("seen"))
+
+
+WRITTEN_SQL = f"""SELECT l_orderkey, {LINE_ID} AS id, ship AS day, (l_linenumber + l_orderkey % 7) % 7 AS form,
+        CASE WHEN form IN (0, 1, 6) THEN ship WHEN form IN (2, 3) THEN date_trunc('month', ship)::date WHEN form = 4 THEN date_trunc('year', ship)::date END AS a,
+        CASE WHEN form IN (0, 1, 6) THEN ship WHEN form IN (2, 3) THEN last_day(ship) WHEN form = 4 THEN make_date(year(ship)::int, 12, 31) END AS z,
+        CASE form WHEN 0 THEN strftime(ship, '%Y-%m-%d') WHEN 1 THEN strftime(ship, '%d.%m.%Y') WHEN 2 THEN strftime(ship, '%Y-%m') WHEN 3 THEN strftime(ship, '%m.%Y')
+            WHEN 4 THEN strftime(ship, '%Y') WHEN 6 THEN strftime(ship, '%d.%m.%Y 00:00') END AS seen
+    FROM (SELECT *, cast(l_shipdate AS date) AS ship FROM lineitem)"""
+
+
+def nearest_written_sql(distance: str) -> str:
+    return f"""SELECT o_orderkey, id, seen AS seen_first FROM (SELECT o_orderkey, id, seen, row_number() OVER (PARTITION BY o_orderkey ORDER BY {distance}, abs(datediff('day', od, a)), a, id) AS rn
+        FROM (SELECT o_orderkey, cast(o_orderdate AS date) AS od FROM orders) LEFT JOIN (SELECT * FROM ({WRITTEN_SQL}) WHERE form <> 5) ON l_orderkey = o_orderkey) WHERE rn = 1"""
+
+
+query("nearest_event_written_times", nearest_written_sql("0"))(
+    lambda t: N.nearest_event(dated_orders(t), written_lines(t), "o_orderkey", "od", "seen", "id").select("o_orderkey", "id", "seen_first")
+)
+
+query("nearest_per_key_written_times", nearest_written_sql("0"))(
+    lambda t: N.nearest_per_key(dated_orders(t), written_lines(t), "o_orderkey", "od", "seen", "id").select("o_orderkey", "id", "seen_first")
+)
+
+# Gaps between whole days: what both cover is 0 apart, an instant at midnight ends with the day before.
+GAP = """CASE WHEN a IS NULL THEN NULL WHEN form = 6 AND a > od THEN (a - od - 1) * 86400000000 + 1
+    WHEN form = 6 AND a <= od THEN (od - a) * 86400000000 WHEN a > od THEN (a - od - 1) * 86400000000 + 1 WHEN z < od THEN (od - z - 1) * 86400000000 + 1 ELSE 0 END"""
+query("nearest_per_key_by_gap", nearest_written_sql(GAP))(
+    lambda t: N.nearest_per_key(dated_orders(t), written_lines(t), "o_orderkey", "od", "seen", "id", by="gap").select("o_orderkey", "id", "seen_first")
+)
+
 # Several base rows per key: each sees its own nearest event. All events of a supplier share a key.
 query(
     "nearest_event_many_bases",
@@ -364,7 +402,7 @@ query(
         SELECT l_returnflag AS stage, count(DISTINCT patient_id) AS num_patients FROM n WHERE rn = 1 GROUP BY 1""",
 )(
     lambda t: S.distinct_patients_by(
-        N.nearest_event(
+        N.nearest_per_key(
             dated_orders(t),
             t.lineitem.selectExpr(
                 "l_orderkey AS o_orderkey",

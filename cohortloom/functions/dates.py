@@ -121,6 +121,66 @@ def _numeric_date(number: Column) -> Column:
     )
 
 
+# How times are written, with the pattern that reads them and what they cover. A time
+# of day alone is none of them: it says nothing of the day.
+TIME_FORMS = [
+    (r"^\d{4}-\d{2}-\d{2}[T ]\d{1,2}:\d{2}", None, "instant"),
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd", "day"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy", "day"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2}$", "d.M.yyyy H:mm", "instant"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2}:\d{2}$", "d.M.yyyy H:mm:ss", "instant"),
+    (r"^\d{4}-\d{2}$", "yyyy-MM", "month"),
+    (r"^\d{1,2}\.\d{4}$", "M.yyyy", "month"),
+    (r"^\d{4}$", "yyyy", "year"),
+]
+
+
+def time_span(value: Column | str, kind: str = "string") -> Column:
+    """What a time covers, as struct(start, end, precision); NULL where it is none.
+
+    ``start`` and ``end`` are the first and last microsecond since 1970, ``precision`` is instant,
+    day, month or year. ``kind`` is the type of ``value``: timestamps, dates, or text in ISO or
+    German form. Days that no calendar has are no times.
+    """
+    c = _col(value)
+    if kind.startswith("timestamp"):
+        return _let(F.unix_micros(c.cast("timestamp")), lambda t: F.when(t.isNotNull(), _span(t, t, "instant")))
+    if kind == "date":
+        return _let(c, lambda d: F.when(d.isNotNull(), _span(_midnight(d), _midnight(F.date_add(d, 1)) - 1, "day")))
+
+    length = {
+        "day": F.make_dt_interval(F.lit(1)),
+        "month": F.make_ym_interval(F.lit(0), F.lit(1)),
+        "year": F.make_ym_interval(F.lit(1), F.lit(0)),
+    }
+
+    def covered(precision: str) -> Callable[[Column], Column]:
+        def body(at: Column) -> Column:
+            end = F.unix_micros(at + length[precision]) - 1 if precision in length else F.unix_micros(at)
+            return F.when(at.isNotNull(), _span(F.unix_micros(at), end, precision))
+
+        return body
+
+    def read(text: Column) -> Column:
+        out: Column | None = None
+        for pattern, form, precision in TIME_FORMS:
+            at = text.try_cast("timestamp") if form is None else F.try_to_timestamp(text, F.lit(form))
+            found = _let(at, covered(precision))
+            test = text.rlike(pattern)
+            out = F.when(test, found) if out is None else out.when(test, found)
+        return out
+
+    return _let(F.trim(c.cast("string")), read)
+
+
+def _span(start: Column, end: Column, precision: str) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"), F.lit(precision).alias("precision"))
+
+
+def _midnight(day: Column) -> Column:
+    return F.unix_micros(day.cast("timestamp"))
+
+
 def prefix_date(text: Column | str) -> Column:
     """Date from the first ten characters."""
     return F.try_to_date(F.substring(_col(text), 1, 10), "yyyy-MM-dd")

@@ -1,18 +1,77 @@
-"""Nearest-in-time and interval matching."""
+"""Nearest-in-time and interval matching.
+
+Times are timestamps, dates or text; ``functions.dates.time_span`` says what counts as one and what
+it covers. A time of day without its day is no time.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.functions.dates import time_span
 from cohortloom.operators.skew import spread_join
 
 DAY_MICROS = 86_400_000_000
 
 
-def _micros(name: str) -> Column:
-    """Instant in microseconds; partial date text counts from the start of its month or year."""
-    return F.unix_micros(F.col(name).try_cast("timestamp"))
+def _spanned(df: DataFrame, name: str) -> Column:
+    return time_span(name, df.schema[name].dataType.typeName())
+
+
+def nearest_per_key(
+    base: DataFrame,
+    events: DataFrame,
+    key: str,
+    base_time: str,
+    event_time: str,
+    tie: str,
+    *,
+    how: str = "left",
+    by: str = "start",
+    suffix: str = "_first",
+) -> DataFrame:
+    """For every key the event closest in time to its base row, before or after.
+
+    For bases with one row per key (of several, the one closest to an event stays). The sides are
+    joined by key and each key keeps its least row by ``min_by``, in one pass over the joined rows
+    without sorting them by time; a key with very many events is split by the join.
+
+    ``by="start"`` measures between the starts of both times, so a month counts from its first day;
+    ``by="gap"`` measures what lies between the spans they cover, 0 where they overlap, then between
+    their starts. Equal distances resolve to the earlier start, equal starts to the smaller ``tie``.
+    Events without a readable time never match; a base row without such a time or a key has no
+    match. ``how="left"`` keeps keys without a match (and base rows without a key), ``"inner"`` drops
+    them. ``event_time`` comes out with ``suffix``.
+    """
+    if by not in ("start", "gap"):
+        raise ValueError(f"by must be 'start' or 'gap', not {by!r}")
+    taken = [c for c in events.columns if c != key]
+    left = base.select(F.col(key).alias("_k"), _spanned(base, base_time).alias("_at"), F.struct("*").alias("_b"))
+    right = events.select(
+        F.col(key).alias("_k"), _spanned(events, event_time).alias("_seen"), F.struct(*taken).alias("_e"), F.col(tie).alias("_tie")
+    ).where(F.col("_k").isNotNull() & F.col("_seen").isNotNull())
+    apart = F.abs(F.col("_at.start") - F.col("_seen.start"))
+    gap = F.greatest(F.lit(0), F.col("_at.start") - F.col("_seen.end"), F.col("_seen.start") - F.col("_at.end"))
+    distance = apart if by == "start" else F.when(apart.isNotNull(), gap)
+    matched = apart.isNotNull()
+    rank = F.struct(~matched, distance, apart, F.col("_seen.start"), F.col("_tie"), F.col("_at.start"))
+    row = F.struct(F.col("_b"), F.when(matched, F.col("_e")).alias("_e"))
+    joined = left.where(F.col("_k").isNotNull()).join(right, "_k", how)
+    best = joined.groupBy("_k").agg(F.min_by(row, rank).alias("_r")).select("_r.*")
+    if how == "left":
+        keyless = left.where(F.col("_k").isNull())
+        best = best.unionByName(keyless.select("_b", F.lit(None).cast(best.schema["_e"].dataType).alias("_e")))
+    else:
+        best = best.where(F.col("_e").isNotNull())
+    return _flat(best, base.columns, taken, event_time, suffix)
+
+
+def _flat(matched: DataFrame, base: list[str], taken: list[str], event_time: str, suffix: str) -> DataFrame:
+    return matched.select(
+        *[F.col(f"_b.{c}").alias(c) for c in base],
+        *[F.col(f"_e.{c}").alias(c + suffix if c == event_time else c) for c in taken],
+    )
 
 
 def nearest_event(
@@ -29,7 +88,8 @@ def nearest_event(
 ) -> DataFrame:
     """For every base row the event of the same key closest in time, before or after.
 
-    Both sides are stacked and sorted once by key and time; a running "last event seen" in each
+    For several base rows per key; with one row per key ``nearest_per_key`` needs no sorting. Partial
+    dates count from their start. Both sides are stacked and sorted once by key and time; a running "last event seen" in each
     direction finds the two neighbours, so no base-event pairs are built. The stack is cut into
     time slices of ``slice_days``: a key with very many events is shared by many tasks, and the
     nearest event outside the slice comes from a summary with one row per key and slice.
@@ -45,18 +105,18 @@ def nearest_event(
 
     left = base.select(
         F.col(key).alias("_k"),
-        _micros(base_time).alias("_t"),
+        _spanned(base, base_time)["start"].alias("_t"),
         F.lit(None).cast(event_type).alias("_e"),
         F.struct("*").alias("_b"),
         F.lit(None).cast(events.schema[tie].dataType).alias("_tie"),
     )
-    right = events.where(F.col(key).isNotNull() & _micros(event_time).isNotNull()).select(
+    right = events.select(
         F.col(key).alias("_k"),
-        _micros(event_time).alias("_t"),
+        _spanned(events, event_time)["start"].alias("_t"),
         F.struct(*taken).alias("_e"),
         F.lit(None).cast(base_type).alias("_b"),
         F.col(tie).alias("_tie"),
-    )
+    ).where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
     placed = left.where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).unionByName(right)
     placed = placed.withColumn("_slice", F.floor(F.col("_t") / F.lit(width)))
 
@@ -117,13 +177,7 @@ def nearest_event(
         matched = matched.unionByName(unplaced)
     else:
         matched = matched.where(F.col("_e").isNotNull())
-    return matched.select(
-        *[F.col(f"_b.{c}").alias(c) for c in base.columns],
-        *[
-            F.col(f"_e.{c}").alias(c + suffix if c == event_time else c)
-            for c in taken
-        ],
-    )
+    return _flat(matched, base.columns, taken, event_time, suffix)
 
 
 def in_treatment_window(

@@ -22,7 +22,7 @@ from cohortloom.operators import survival as SV
 from cohortloom.operators import therapies as T
 from cohortloom.operators import tumours as TU
 from cohortloom.operators import views as V
-from cohortloom.operators.nearest import nearest_event
+from cohortloom.operators.nearest import nearest_per_key
 from cohortloom.plans.base import (
     Keep,
     Source,
@@ -58,7 +58,7 @@ def study_a(source: Source, *, with_gleason: bool = True) -> DataFrame:
         "gleason_sct",
         "gleason_date",
     )
-    grade = nearest_event(
+    grade = nearest_per_key(
         anchor,
         grades,
         "condition_id",
@@ -67,7 +67,7 @@ def study_a(source: Source, *, with_gleason: bool = True) -> DataFrame:
         "observation_gleason_resource_id",
         how="inner",
     ).drop("asserted_date")
-    sites = nearest_event(
+    sites = nearest_per_key(
         anchor,
         T.metastasis_by_day(V.metastases(source["Observation"])),
         "condition_id",

@@ -12,7 +12,7 @@ from cohortloom.operators import linkage as L
 from cohortloom.operators import predicates as PR
 from cohortloom.operators import stats as S
 from cohortloom.operators import views as V
-from cohortloom.operators.nearest import nearest_event
+from cohortloom.operators.nearest import nearest_per_key
 from cohortloom.plans.base import Source, Tables
 
 REFERENCE_DATE = "2024-04-01"
@@ -36,7 +36,7 @@ def treatment_question(
         F.col("medication_statement_text").alias("medication_text"),
         F.col("medication_statement_atc_code").alias("medication_atc_code"),
     )
-    nearest = nearest_event(
+    nearest = nearest_per_key(
         conditions.withColumnRenamed("patient_id", "condition_patient_id"),
         staging,
         "condition_id",

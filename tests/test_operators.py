@@ -159,11 +159,63 @@ def test_ordered_concat_has_one_shape(spark, rows):
     assert rows(T.ordered_concat(alone, ["g"], "id", ["v"]), "g", "v") == [(None, ""), (None, "a")]
 
 
-def test_nearest_event_ignores_unreadable_times(spark, rows):
-    base = spark.createDataFrame([("k", "2020-05-01"), ("m", "2020-05-01")], "k string, day string")
-    events = spark.createDataFrame([("k", "unbekannt", 1), ("m", "31.12.2019", 2), ("m", "2021-01", 3)], "k string, at string, e int")
-    out = N.nearest_event(base, events, "k", "day", "at", "e")
-    assert rows(out, "k", "e") == [("k", None), ("m", 3)]
+NO_TIMES = ["unbekannt", "12:30", "12:30:15", "", "2020-13", "31.02.2020", "2020-5-1", "99", None]
+
+
+@pytest.mark.parametrize("match", [N.nearest_event, N.nearest_per_key])
+def test_nearest_event_reads_times_in_all_forms(spark, rows, match):
+    base = spark.createDataFrame([("k", "2020-05-01"), ("m", "2020-05-01"), ("n", "12:30"), (None, "2020")], "k string, day string")
+    events = [("k", x, i) for i, x in enumerate(NO_TIMES)] + [("n", "2020-05-01", 20), (None, "2020", 21)]
+    events += [("m", "30.4.2020", 30), ("m", "2020-05", 31), ("m", "1.5.2020 0:01", 32), ("m", "12:30", 33)]
+    out = match(base, spark.createDataFrame(events, "k string, at string, e int"), "k", "day", "at", "e")
+    assert rows(out, "k", "at_first", "e") == [(None, None, None), ("k", None, None), ("m", "2020-05", 31), ("n", None, None)]
+
+
+def test_nearest_per_key_against_brute_force(spark, rows):
+    rng = random.Random(5)
+    forms = [("%Y-%m-%d", 1), ("%d.%m.%Y", 1), ("%Y-%m", 30), ("%m.%Y", 30), ("%Y", 365)]
+
+    def written():
+        form, _ = rng.choice(forms)
+        return rng.choice([None, "09:15", *[(DAY0 + dt.timedelta(days=rng.randrange(900))).strftime(form)] * 8])
+
+    def span(text):
+        if text is None or ":" in text:
+            return None
+        if "." in text:
+            text = "-".join(reversed(text.split(".")))
+        y, *rest = map(int, text.split("-"))
+        first = dt.date(y, *(rest + [1, 1])[:2])
+        after = first + dt.timedelta(days=1) if len(rest) == 2 else dt.date(y + (rest[0] == 12), rest[0] % 12 + 1, 1) if rest else dt.date(y + 1, 1, 1)
+        day = 86_400_000_000
+        return first.toordinal() * day, after.toordinal() * day - 1
+
+    base = [(k, written()) for k in ("hot", *"abcdefghijkl")]
+    events = [(1000 + i, "hot" if i % 3 == 0 else rng.choice("abcdefghijk"), written()) for i in range(400)]
+    b = spark.createDataFrame(base, "k string, d string")
+    e = spark.createDataFrame(events, "e int, k string, seen string").withColumn("_b", F.lit(1)).withColumn("_seen", F.lit(2))
+    for by in ("start", "gap"):
+        want = []
+        for k, d in base:
+            near = []
+            for i, kk, t in events:
+                if kk == k and span(d) and span(t):
+                    (a, z), (s, u) = span(d), span(t)
+                    near.append(((abs(a - s) if by == "start" else max(0, a - u, s - z)), abs(a - s), s, i))
+            want.append((k, min(near)[3] if near else None))
+        got = N.nearest_per_key(b, e, "k", "d", "seen", "e", by=by)
+        assert rows(got, "k", "e") == sorted(want, key=lambda t: tuple(str(x) for x in t))
+        assert rows(N.nearest_per_key(b, e, "k", "d", "seen", "e", by=by, how="inner"), "k", "e") == [w for w in sorted(want) if w[1]]
+
+
+def test_nearest_per_key_sorts_no_times(spark):
+    base = spark.range(100).selectExpr("id AS k", "date'2020-05-01' AS d")
+    events = spark.range(3000).selectExpr("id % 100 AS k", "date_add(date'2020-01-01', cast(id % 300 AS int)) AS seen", "id AS e")
+    found = N.nearest_per_key(base, events, "k", "d", "seen", "e")
+    assert found.count() == 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "Window" not in plan and final.count("Exchange hashpartitioning") <= 2 and "min_by" in final
 
 
 def test_combinations_count_every_therapy(spark, rows):
