@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from checks import shape as H
@@ -13,6 +15,7 @@ from cohortloom.session import new_shared_path
 from cohortloom.sources import delimited as DL
 from cohortloom.sources import registry as RG
 from cohortloom.sources import resources as RS
+from cohortloom.streaming import state as SA
 from cohortloom.streaming import streams as ST
 
 
@@ -108,15 +111,35 @@ def event_stream(t):
     return t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
 
 
+def paths(t, *labels):
+    return [new_shared_path(t.spark, x) for x in labels]
+
+
 @query(
     "upsert_latest",
     "SELECT user_id, event_type, arg_max(event_id, ts) AS event_id FROM events GROUP BY 1, 2",
 )
 def upsert_latest(t):
-    root, checkpoint = new_shared_path(t.spark, "state"), new_shared_path(t.spark, "progress")
+    root, checkpoint = paths(t, "state", "progress")
     key, order = ["user_id", "event_type"], ["ts", "event_id"]
     ST.upsert_latest(event_stream(t), root, checkpoint, key, order).awaitTermination()
-    return ST.current_state(t.spark, root, key, order).select("user_id", "event_type", "event_id")
+    return SA.current_state(t.spark, root).select("user_id", "event_type", "event_id")
+
+
+@query(
+    "upsert_in_batches",
+    "SELECT user_id, event_type, arg_max(event_id, ts) AS event_id, max(ts) AS ts FROM events GROUP BY 1, 2",
+)
+def upsert_in_batches(t):
+    """Seven batches in the order of their numbers, not of time; each runs twice."""
+    (root,) = paths(t, "state")
+    for i in range(7):
+        for again in (False, True):
+            batch = t.events.where(F.col("event_id") % 7 == i).select("user_id", "event_type", "event_id", "ts")
+            if SA.upsert_batch(batch, i, root, ["user_id", "event_type"], ["ts", "event_id"], buckets=8) == again:
+                raise AssertionError(f"batch {i} was {'written again' if again else 'left out'}")
+    SA.drop_old_versions(t.spark, root, keep=1)
+    return SA.current_state(t.spark, root)
 
 
 @query("poll_increment", "SELECT event_id, user_id FROM events WHERE event_id > 50")
@@ -127,18 +150,49 @@ def poll_increment(t):
     return t.spark.read.schema("event_id long, user_id long").parquet(target)
 
 
-query(
+@query(
     "route_topics",
     f"""SELECT event_id, concat('fhir.pseudonymized.', event_type) AS topic, {hmac_sql('cast(user_id as varchar)')} AS key FROM events""",
-)(
-    lambda t: ST.route_topics(
-        t.events.selectExpr("event_id", "concat('fhir.', event_type) AS topic", "cast(user_id as string) AS key"), KEY
-    )
 )
+def route_topics(t):
+    root, checkpoint = paths(t, "topics", "progress")
+    messages = event_stream(t).selectExpr("event_id", "concat('fhir.', event_type) AS topic", "cast(user_id as string) AS key")
+    ST.route_stream(messages, root, checkpoint, KEY).awaitTermination()
+    return ST.read_routed(t.spark, root, "event_id bigint, key string")
 
-query("stream_dq_counts", 'SELECT event_type AS nebenwirkung_bezeichnung, count(*) AS "count" FROM events WHERE event_id % 3 <> 0 GROUP BY 1')(
-    lambda t: ST.stream_dq_counts(V.uncoded_adverse_events(H.adverse_event(t)), ["nebenwirkung_bezeichnung"])
+
+@query("stream_dq_counts", 'SELECT event_type AS nebenwirkung_bezeichnung, count(*) AS "count" FROM events WHERE event_id % 3 <> 0 GROUP BY 1')
+def stream_dq_counts(t):
+    root, checkpoint = paths(t, "counts", "progress")
+    by = ["nebenwirkung_bezeichnung"]
+    uncoded = V.uncoded_adverse_events(H.adverse_event(SimpleNamespace(events=event_stream(t))))
+    ST.keep_counts(ST.stream_dq_counts(uncoded, by), root, checkpoint, by, buckets=4).awaitTermination()
+    return SA.current_state(t.spark, root)
+
+
+@query(
+    "stream_daily_counts",
+    """SELECT date_trunc('day', ts)::timestamp AS window_start, event_type, count(*) AS "count" FROM events GROUP BY ALL""",
+)
+def stream_daily_counts(t):
+    root, checkpoint = paths(t, "counts", "progress")
+    events = event_stream(t).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    ST.keep_counts(ST.stream_dq_counts(events, ["event_type"], "ts"), root, checkpoint, ["window_start", "event_type"]).awaitTermination()
+    return SA.current_state(t.spark, root)
+
+
+@query(
+    "stream_bundles",
+    f"""SELECT {hmac_sql("cast(o_orderkey as varchar)")} AS id, concat('Patient/', {hmac_sql("cast(o_custkey as varchar)")}) AS subject FROM orders""",
 )
+def stream_bundles(t):
+    source, target, checkpoint = paths(t, "bundles", "resources", "progress")
+    bundles(t).write.text(source)
+    arriving = t.spark.readStream.schema("value string").option("maxFilesPerTrigger", 3).text(source)
+    resources = ST.stream_pseudonymise(ST.stream_resources(arriving, "Condition"), KEY)
+    ST.poll_increment(resources.select("id", F.col("subject.reference").alias("subject")), target, checkpoint).awaitTermination()
+    return t.spark.read.schema("id string, subject string").parquet(target)
+
 
 query(
     "stream_resources_pseudonymised",

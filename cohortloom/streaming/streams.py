@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cohortloom.functions.deid import hmac_sha256
 from cohortloom.operators.deident import pseudonymise_resources
-from cohortloom.operators.ordering import top_per_key
+from cohortloom.sources import files
 from cohortloom.sources.resources import bundle_entries, parse_resources
+from cohortloom.streaming.state import BUCKETS, upsert_writer
 
 
 def stream_bundle_files(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
@@ -58,51 +60,49 @@ def route_topics(
     )
 
 
-# Last write wins ------------------------------------------------------------------------------
-#
-# A state table is a folder of Parquet parts, one per micro-batch, each already reduced to the
-# newest row per key. A batch that runs again after a failure replaces its own part, so the state
-# is the same however often it ran. Readers pick the newest row per key over all parts.
+def upsert_latest(
+    stream: DataFrame, root: str, checkpoint: str, key: Sequence[str], order: Sequence[str], *, writer: str = "stream", buckets: int = BUCKETS
+) -> StreamingQuery:
+    """Start the upsert of everything available into a state table and return the query.
+
+    ``writer`` names the stream: a new checkpoint counts its batches anew, and needs a new name
+    unless it repeats the same batches.
+    """
+    return _available(stream, checkpoint, "append").foreachBatch(upsert_writer(root, key, order, writer=writer, buckets=buckets)).start()
 
 
-def latest_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return top_per_key(df, key, [F.col(o).desc_nulls_last() for o in order])
+def _available(stream: DataFrame, checkpoint: str, mode: str) -> DataStreamWriter:
+    return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
-def upsert_writer(root: str, key: Sequence[str], order: Sequence[str]):
-    """Function for ``foreachBatch``."""
+def routed_writer(root: str) -> Callable[[DataFrame, int], None]:
+    """Function for ``foreachBatch``: each batch in a folder of its own, in it one for each topic.
+
+    All topics go in one write; a batch that runs again replaces its folder.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_rows(batch, key, order).write.mode("overwrite").parquet(
-            f"{root.rstrip('/')}/batch={batch_id:012d}"
-        )
+        batch.write.mode("overwrite").partitionBy("topic").parquet(f"{root.rstrip('/')}/batch={batch_id:012d}")
 
     return write
 
 
-def upsert_latest(
-    stream: DataFrame, root: str, checkpoint: str, key: Sequence[str], order: Sequence[str]
-):
-    """Start the upsert over everything available and return the query."""
-    return (
-        stream.writeStream.foreachBatch(upsert_writer(root, key, order))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
+def route_stream(messages: DataFrame, root: str, checkpoint: str, key: bytes, old: str = "fhir.", new: str = "fhir.pseudonymized.") -> StreamingQuery:
+    """Start routing everything available by topic, message keys hashed, and return the query."""
+    return _available(route_topics(messages, key, old, new), checkpoint, "append").foreachBatch(routed_writer(root)).start()
 
-def current_state(spark: SparkSession, root: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    parts = spark.read.parquet(root)
-    return latest_rows(parts, key, [*order, "batch"]).drop("batch")
 
+def read_routed(spark: SparkSession, root: str, schema: str, topic: str | None = None) -> DataFrame:
+    """Messages of one topic, or all, out of the batches that were written to the end.
 
-def compact_state(
-    spark: SparkSession, root: str, target: str, key: Sequence[str], order: Sequence[str]
-) -> None:
-    """Write the current state as the single part of a new root."""
-    state = current_state(spark, root, key, order)
-    state.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={0:012d}")
+    ``schema`` declares the columns of the messages without their topic.
+    """
+    root = root.rstrip("/")
+    whole = [n for n in files.list_names(spark, root) if n.startswith("batch=") and files.exists(spark, f"{root}/{n}/_SUCCESS")]
+    if not whole:
+        return spark.createDataFrame([], f"{schema}, topic string")
+    found = spark.read.schema(f"{schema}, topic string, batch bigint").option("basePath", root).parquet(*[f"{root}/{n}" for n in whole])
+    return (found if topic is None else found.where(F.col("topic") == topic)).drop("batch")
 
 
 def poll_increment(stream: DataFrame, target: str, checkpoint: str):
@@ -117,6 +117,24 @@ def poll_increment(stream: DataFrame, target: str, checkpoint: str):
     )
 
 
-def stream_dq_counts(uncoded: DataFrame, by: Sequence[str | Column]) -> DataFrame:
-    """Running counts of uncoded texts, for update or complete mode."""
-    return uncoded.groupBy(*by).agg(F.count(F.lit(1)).alias("count"))
+def stream_dq_counts(
+    uncoded: DataFrame, by: Sequence[str | Column], time: str | None = None, width: str = "1 day", late: str = "1 day"
+) -> DataFrame:
+    """Running counts of uncoded texts, for update or complete mode.
+
+    With ``time`` they are counts per ``window`` of ``width``; rows that come more than ``late`` after
+    the newest time seen are left out, and windows that old leave the state.
+    """
+    if time is None:
+        return uncoded.groupBy(*by).agg(F.count(F.lit(1)).alias("count"))
+    timed = uncoded.withWatermark(time, late).groupBy(F.window(time, width).alias("_window"), *by)
+    counted = timed.agg(F.count(F.lit(1)).alias("count"))
+    return counted.select(F.col("_window.start").alias("window_start"), *[c for c in counted.columns if c != "_window"])
+
+
+def keep_counts(counts: DataFrame, root: str, checkpoint: str, key: Sequence[str], *, writer: str = "stream", buckets: int = BUCKETS) -> StreamingQuery:
+    """Start keeping running counts (update mode) in a state table and return the query.
+
+    Counts of a key only grow, so the greatest is the newest, whatever order batches are read in.
+    """
+    return _available(counts, checkpoint, "update").foreachBatch(upsert_writer(root, key, ["count"], writer=writer, buckets=buckets)).start()

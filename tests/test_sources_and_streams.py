@@ -1,7 +1,9 @@
 """Readers, writers and streams on files."""
 
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.dictionary import TABLES
@@ -15,6 +17,7 @@ from cohortloom.sources import delimited as DL
 from cohortloom.sources import registry as RG
 from cohortloom.sources import resources as RS
 from cohortloom.sources import sinks as SK
+from cohortloom.streaming import state as SA
 from cohortloom.streaming import streams as ST
 
 
@@ -120,20 +123,93 @@ def test_upsert_is_idempotent(spark, tmp_path, rows):
 
     def run(checkpoint):
         stream = spark.readStream.schema("id string, v int, at long").json(str(source))
-        ST.upsert_latest(stream, root, checkpoint, key, order).awaitTermination()
+        ST.upsert_latest(stream, root, checkpoint, key, order, buckets=4).awaitTermination()
 
     write_event(source, "1.json", [("a", 1, 1), ("a", 2, 3), ("b", 1, 1)])
     run(progress)
     write_event(source, "2.json", [("a", 9, 2), ("b", 5, 7), ("c", 1, 1)])
     run(progress)
     want = [("a", 2, 3), ("b", 5, 7), ("c", 1, 1)]
-    state = ST.current_state(spark, root, key, order)
-    assert rows(state, "id", "v", "at") == want
-    # Running the same batches again from scratch replaces the parts and changes nothing.
+    assert rows(SA.current_state(spark, root), "id", "v", "at") == want
+    # The same batches again from scratch are known and change nothing.
     run(str(tmp_path / "progress2"))
-    assert rows(ST.current_state(spark, root, key, order), "id", "v", "at") == want
-    ST.compact_state(spark, root, str(tmp_path / "compacted"), key, order)
-    assert rows(ST.current_state(spark, str(tmp_path / "compacted"), key, order), "id", "v", "at") == want
+    assert rows(SA.current_state(spark, root), "id", "v", "at") == want
+
+
+def test_state_is_one_set_of_buckets_whatever_happened(spark, tmp_path, rows, monkeypatch):
+    root = str(tmp_path / "state")
+    rng = random.Random(3)
+    best: dict[str, tuple] = {}
+
+    def batch(i):
+        made = [(rng.choice("abcdefghijklm"), i * 100 + j, rng.choice([None, *range(50)])) for j in range(20)]
+        return made, spark.createDataFrame(made, "k string, v int, at int")
+
+    def note(made):
+        for k, v, at in made:
+            best[k] = max(best.get(k, (-2, 0)), (-1 if at is None else at, v))
+
+    for i in range(6):
+        made, df = batch(i)
+        if i == 3:  # the writer is lost after its data and before its manifest
+            with monkeypatch.context() as m:
+                m.setattr(SA.files, "write_small", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+                with pytest.raises(OSError, match="lost"):
+                    SA.upsert_batch(df, i, root, ["k"], ["at", "v"], buckets=8)
+            assert rows(SA.current_state(spark, root), "k", "v") == sorted((k, v) for k, (_, v) in best.items())
+        assert SA.upsert_batch(df, i, root, ["k"], ["at", "v"], buckets=8)
+        note(made)
+        assert not SA.upsert_batch(df, i, root, ["k"], ["at", "v"])
+        assert rows(SA.current_state(spark, root), "k", "v") == sorted((k, v) for k, (_, v) in best.items())
+    state = SA.current_state(spark, root)
+    assert len({f.rsplit("/", 2)[1] for f in state.inputFiles()}) <= 8 and state.count() == len(best)
+    assert SA.upsert_batch(batch(9)[1].limit(0), 9, root, ["k"], ["at", "v"])  # nothing is touched
+    assert SA.drop_old_versions(spark, root, keep=1) > 0
+    assert rows(SA.current_state(spark, root), "k", "v") == sorted((k, v) for k, (_, v) in best.items())
+    with pytest.raises(ValueError, match="kept by"):
+        SA.upsert_batch(batch(10)[1], 10, root, ["v"], ["at"])
+    with pytest.raises(FileNotFoundError):
+        SA.current_state(spark, str(tmp_path / "none"))
+
+
+def test_a_batch_touches_only_its_buckets(spark, tmp_path):
+    root = str(tmp_path / "state")
+    SA.upsert_batch(spark.range(1000).selectExpr("id AS k", "1 AS at"), 0, root, ["k"], ["at"], buckets=16)
+    SA.upsert_batch(spark.range(1).selectExpr("id AS k", "2 AS at"), 1, root, ["k"], ["at"])
+    assert sorted(SA.manifest(spark, root)["buckets"].values()) == [0] * 15 + [1]
+    assert SA.current_state(spark, root).where("at = 2").count() == 1 and SA.current_state(spark, root).count() == 1000
+
+
+def test_routed_messages_arrive_once(spark, tmp_path, rows):
+    source, root, progress = tmp_path / "in", str(tmp_path / "topics"), str(tmp_path / "progress")
+    for i, part in enumerate([[("fhir.a", "x"), ("fhir.b", "y")], [("fhir.a", "z"), ("other", None)]]):
+        source.mkdir(exist_ok=True)
+        (source / f"{i}.json").write_text("\n".join(json.dumps({"topic": a, "key": b, "n": i}) for a, b in part))
+        stream = spark.readStream.schema("topic string, key string, n int").json(str(source))
+        ST.route_stream(stream, root, progress, b"k").awaitTermination()
+    # A batch that runs again replaces itself; one that was stopped half-way isn't read.
+    again = spark.createDataFrame([("fhir.pseudonymized.a", "k", 0)], "topic string, key string, n int")
+    ST.routed_writer(root)(again, 0)
+    again.write.partitionBy("topic").parquet(f"{root}/batch=000000000007")
+    (tmp_path / "topics" / "batch=000000000007" / "_SUCCESS").unlink()
+    found = ST.read_routed(spark, root, "key string, n int")
+    assert rows(found, "topic", "n") == [("fhir.pseudonymized.a", 0), ("fhir.pseudonymized.a", 1), ("other", 1)]
+    assert rows(ST.read_routed(spark, root, "key string, n int", "other"), "key") == [(None,)]
+    assert ST.read_routed(spark, str(tmp_path / "none"), "n int").count() == 0
+
+
+def test_late_rows_are_left_out_of_running_counts(spark, tmp_path, rows):
+    source, root, progress = tmp_path / "in", str(tmp_path / "counts"), str(tmp_path / "progress")
+    source.mkdir()
+    parts = [[("a", "2020-01-01T01:00:00"), ("a", "2020-01-01T02:00:00")], [("b", "2020-01-09T00:00:00"), ("a", "2020-01-01T05:00:00")],
+             [("a", "2020-01-01T06:00:00"), ("b", "2020-01-08T23:00:00"), ("b", "2020-01-09T03:00:00")]]
+    for i, part in enumerate(parts):
+        (source / f"{i}.json").write_text("\n".join(json.dumps({"what": a, "at": b}) for a, b in part))
+        stream = spark.readStream.schema("what string, at timestamp").json(str(source))
+        counts = ST.stream_dq_counts(stream, ["what"], "at", late="2 days")
+        ST.keep_counts(counts, root, progress, ["window_start", "what"], buckets=4).awaitTermination()
+    found = SA.current_state(spark, root).select(F.date_format("window_start", "dd").alias("day"), "what", "count")
+    assert rows(found) == [("01", "a", 3), ("08", "b", 1), ("09", "b", 2)]
 
 
 def test_bundle_stream_pseudonymised(spark, tmp_path, rows):
