@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from checks import shape as H
@@ -10,8 +12,9 @@ from checks.registry import query
 from checks.texts import results
 from cohortloom.operators import letters as LT
 from cohortloom.operators import views as V
-from cohortloom.session import delete_on_exit, new_shared_path
+from cohortloom.session import delete_on_exit, materialise, new_shared_path
 from cohortloom.sources import delimited as DL
+from cohortloom.sources import lines as LN
 from cohortloom.sources import resources as RS
 from cohortloom.sources import sinks as SK
 
@@ -22,6 +25,18 @@ def folder(t, label: str) -> str:
     return path
 
 
+@contextmanager
+def small_splits(spark, size: str = "2k"):
+    """Files are read in splits of ``size``, as large ones are in splits of many megabytes."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @query("lake_conditions", VQ.CONDITION_SQL)
 def lake_conditions(t):
     path = folder(t, "lake")
@@ -72,6 +87,39 @@ def parquet_table(t):
     return t.spark.read.parquet(path)
 
 
+@query(
+    "numbered_lines",
+    """SELECT file, row_number() OVER (PARTITION BY file ORDER BY o_orderkey) AS line, value FROM
+       (SELECT o_orderkey, concat('f', o_orderkey // 500) AS file, concat(o_orderkey, ' ', o_custkey) AS value FROM orders)""",
+)
+def numbered_lines(t):
+    """Orders in files of about 500 numbers each, in order; read in splits of two kilobytes."""
+    path = folder(t, "lines")
+    rows = t.orders.selectExpr("o_orderkey", "concat('f', floor(o_orderkey / 500)) AS file", "concat(o_orderkey, ' ', o_custkey) AS value")
+    rows.repartition(4, "file").sortWithinPartitions("file", "o_orderkey").select("file", "value").write.partitionBy("file").text(path)
+    with small_splits(t.spark):
+        found = LN.numbered_lines(t.spark, path)
+        return materialise(found.withColumn("file", F.regexp_extract("file", "file=(f[0-9]+)", 1)), "numbered")
+
+
+@query(
+    "add_raw_column",
+    """SELECT cast(n AS varchar) AS row_number, cast(s_suppkey AS varchar) AS key, concat('say "', s_name, '";', chr(10), 'twice') AS name, concat('"', s_name, '!') AS phone FROM
+       (SELECT *, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier)""",
+)
+def add_raw_column(t):
+    """A table with quoted line breaks and separators beside a file with stray quotes."""
+    first, second = folder(t, "table"), folder(t, "raw")
+    ordered = t.supplier.repartition(1).sortWithinPartitions("s_suppkey")
+    name = F.concat(F.lit('say "'), "s_name", F.lit('";\ntwice'))
+    table = ordered.select(F.col("s_suppkey").alias("key"), name.alias("name"), F.lit("old").alias("phone"))
+    table.write.option("header", True).option("sep", ";").option("escape", '"').csv(first)
+    raw = ordered.selectExpr("concat(s_suppkey, ';', '\"', s_name, '!;z') AS `key;phone;more`")
+    raw.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(second)
+    with small_splits(t.spark):
+        return materialise(DL.add_raw_column(t.spark, first, second, "phone").withColumn("row_number", F.col("row_number").cast("string")), "bound")
+
+
 # A row that equals the header stays; the header line itself goes.
 @query("raw_column", "SELECT s_name AS b, false AS short_line FROM supplier UNION ALL SELECT 'b', false FROM supplier WHERE s_suppkey % 2 = 0")
 def raw_column(t):

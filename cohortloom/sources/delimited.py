@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.operators.linkage import column_bind
+from cohortloom.sources.lines import numbered_lines, read_numbered_csv
+
 
 def read_csv_table(
     spark: SparkSession,
@@ -54,20 +57,29 @@ def raw_field(line: Column | str, index: int, sep: str = ";") -> Column:
     return F.get(F.split(c, "\\Q" + sep + "\\E"), F.lit(index))
 
 
-def read_raw_column(spark: SparkSession, path: str, name: str, sep: str = ";") -> DataFrame:
+def read_raw_column(spark: SparkSession, path: str, name: str, sep: str = ";", row: str | None = None) -> DataFrame:
     """One column of a file whose quoting is broken, split on the separator alone.
 
-    ``short_line`` marks rows without that field. Only the header line of each file goes, not rows
-    that happen to equal it.
+    ``short_line`` marks rows without that field, blank lines among them. Only the header line of
+    each file goes, not rows that happen to equal it. With ``row`` the rows of each file are
+    numbered from 1 in a column of that name.
     """
     header = spark.read.text(path).first()["value"]
     index = [h.strip().strip('"') for h in header.split(sep)].index(name)
-    # A separator that text can't hold keeps each line in one field; the reader drops the headers.
-    lines = spark.read.schema("value string").option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    lines = numbered_lines(spark, path).where("line > 1")
     field = raw_field("value", index, sep)
-    return lines.select(
-        field.alias(name), field.isNull().alias("short_line")
-    )
+    number = [] if row is None else [(F.col("line") - 1).alias(row)]
+    return lines.select(*number, field.alias(name), field.isNull().alias("short_line"))
+
+
+def add_raw_column(spark: SparkSession, original: str, other: str, name: str, sep: str = ";") -> DataFrame:
+    """A table with one more column, taken row by row from a file whose quoting is broken.
+
+    Both files must have as many rows: a row without partner makes the job fail. Rows carry their
+    number as ``row_number``.
+    """
+    added = read_raw_column(spark, other, name, sep, row="row_number").drop("short_line")
+    return column_bind(read_numbered_csv(spark, original, sep).drop(name), added, "row_number", [name])
 
 
 def union_csv_files(spark: SparkSession, paths: Iterable[str], sep: str = ";") -> DataFrame:

@@ -1,5 +1,6 @@
 """Readers, writers and streams on files."""
 
+import csv
 import json
 import random
 
@@ -14,6 +15,7 @@ from cohortloom.plans.run_all import run_study
 from cohortloom.schemas import RESOURCE_TYPES, schema_of
 from cohortloom.session import materialise
 from cohortloom.sources import delimited as DL
+from cohortloom.sources import lines as LN
 from cohortloom.sources import registry as RG
 from cohortloom.sources import resources as RS
 from cohortloom.sources import sinks as SK
@@ -107,6 +109,57 @@ def test_sinks(spark, tmp_path, rows):
     assert SK.describe_columns(df, {"t": "text"}).schema["t"].metadata == {"comment": "text"}
 
 
+@pytest.fixture
+def tiny_splits(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64b")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_line_numbers_over_splits_and_files(spark, tmp_path, rows, tiny_splits):
+    rng = random.Random(8)
+    want = []
+    for f in "abc":
+        lines = ["".join(rng.choices("xyz ä", k=rng.choice([0, 3, 40, 200]))) for _ in range(rng.randrange(60))]
+        (tmp_path / f).write_bytes(b"".join(x.encode() + rng.choice([b"\n", b"\r\n"]) for x in lines))
+        want += [(f, i + 1, x) for i, x in enumerate(lines)]
+    df = LN.numbered_lines(spark, str(tmp_path)).withColumn("file", F.element_at(F.split("file", "/"), -1))
+    assert df.rdd.getNumPartitions() > 3
+    assert rows(df, "file", "line", "value") == sorted(want, key=lambda t: tuple(str(x) for x in t))
+
+
+def test_records_keep_quoted_line_breaks(spark, tmp_path, rows, tiny_splits):
+    rng = random.Random(9)
+    want = []
+    for f in "ab":
+        table = [["k", "text", "n"], *[[str(i), rng.choice(["plain", 'a "quoted"; word', "two\nlines", "\n\nthree; \"\n", "x" * 150]), ""] for i in range(80)]]
+        with open(tmp_path / f, "w", newline="") as out:
+            for row in table:
+                csv.writer(out, delimiter=";", lineterminator="\n").writerow(row)
+                if rng.random() < 0.2:
+                    out.write("\n")  # a blank line between records
+        got = [(int(r["row_number"]), r["k"], r["text"], r["n"]) for r in LN.read_numbered_csv(spark, str(tmp_path / f)).collect()]
+        assert sorted(got) == [(i, *[c or None for c in row]) for i, row in enumerate(table) if i]
+        want += [(f, i + 1) for i in range(len(table))]
+    both = LN.numbered_records(spark, str(tmp_path)).withColumn("file", F.element_at(F.split("file", "/"), -1))
+    assert rows(both, "file", "record") == sorted(want, key=lambda t: tuple(str(x) for x in t))
+    (tmp_path / "open").write_text('a;b\n1;"x\n2;y\n')
+    with pytest.raises(Exception, match="a quote is not closed in"):
+        LN.numbered_records(spark, str(tmp_path / "open")).collect()
+
+
+def test_column_of_a_second_file(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('id;drug\n1;"x;\ny"\n2;z\n')
+    (tmp_path / "b.csv").write_text('id;code;drug\n1;"A;q\n2\n')
+    found = DL.add_raw_column(spark, str(tmp_path / "a.csv"), str(tmp_path / "b.csv"), "code")
+    assert rows(found, "row_number", "id", "drug", "code") == [(1, "1", "x;\ny", '"A'), (2, "2", "z", None)]
+    (tmp_path / "b.csv").write_text("id;code\n1;A\n")
+    with pytest.raises(Exception, match="row without partner: 2"):
+        DL.add_raw_column(spark, str(tmp_path / "a.csv"), str(tmp_path / "b.csv"), "code").collect()
+
+
 def test_materialised_tables_use_the_shared_folder(spark, shared):
     out = materialise(spark.range(5), "five")
     assert out.count() == 5 and shared in out.inputFiles()[0]
