@@ -16,6 +16,7 @@ from cohortloom.functions import text as X
 from cohortloom.operators import federate as FE
 from cohortloom.operators import predicates as PR
 from cohortloom.operators import quality as QU
+from cohortloom.operators import quantiles as QT
 from cohortloom.operators import stats as S
 from cohortloom.operators import survival as SV
 from cohortloom.operators import tumours as TU
@@ -310,6 +311,27 @@ query(
         FROM (SELECT datediff('day', asserted_date, ship_date) AS d FROM ({LINES}))""",
 )(lambda t: S.sign_counts(lines(t), "ship_date", "asserted_date"))
 
+QUANTILES = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+
+# Continuous values: nearly every row has one of its own, and three groups hold all rows.
+query(
+    "exact_quantiles",
+    "SELECT l_returnflag, l_linestatus, "
+    + ", ".join(f"round(quantile_cont(l_extendedprice * (1 + l_tax), {p}), 5) AS price_{i}, quantile_disc(l_quantity, {p}) AS quantity_{i}" for i, p in enumerate(QUANTILES))
+    + " FROM lineitem GROUP BY ALL",
+)(
+    lambda t: QT.join_null_safe(
+        QT.exact_quantiles(t.lineitem.selectExpr("l_returnflag", "l_linestatus", "l_extendedprice * (1 + l_tax) AS price"), ["l_returnflag", "l_linestatus"], ["price"], QUANTILES),
+        QT.exact_quantiles(t.lineitem, ["l_returnflag", "l_linestatus"], ["l_quantity"], QUANTILES, interpolated=False),
+        ["l_returnflag", "l_linestatus"],
+    ).select(
+        "l_returnflag",
+        "l_linestatus",
+        *[F.round(F.col("price_quantiles")[i], 5).alias(f"price_{i}") for i in range(len(QUANTILES))],
+        *[F.col("l_quantity_quantiles")[i].alias(f"quantity_{i}") for i in range(len(QUANTILES))],
+    )
+)
+
 _DAYS = f"(SELECT datediff('day', asserted_date, ship_date) AS days FROM ({LINES}))"
 query(
     "quantile_summary",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions import codes as C
 from cohortloom.functions import dates as D
 from cohortloom.operators.nearest import nearest_event
+from cohortloom.operators.quantiles import exact_quantiles, join_null_safe
 from cohortloom.operators.ordering import share_of_total, share_within_group
 from cohortloom.operators.skew import spread_join
 
@@ -295,22 +296,14 @@ DAY_BREAKS = [-1, 0, 30, 90, 180, 365, 730, 1825, 3650]
 def quantile_summary(
     df: DataFrame, col: str, probs: Sequence[float] = PROBS, group: Sequence[str] = ()
 ) -> DataFrame:
-    """Count, extremes, mean and interpolated quantiles.
-
-    The exact quantile keeps a table of distinct values and their counts; use it on day counts and
-    the like.
-    """
-    q = F.percentile(col, [float(p) for p in probs])
-    aggs = [
-        F.count(col).alias("n"),
-        F.min(col).alias("min"),
-        F.avg(col).alias("mean"),
-        F.max(col).alias("max"),
-        q.alias("_q"),
-    ]
+    """Count, extremes, mean and interpolated quantiles, exact for groups of any size."""
+    group = list(group)
+    aggs = [F.count(col).alias("n"), F.min(col).alias("min"), F.avg(col).alias("mean"), F.max(col).alias("max")]
     out = df.groupBy(*group).agg(*aggs)
-    named = [F.col("_q")[i].alias(f"q{round(p * 100):02d}") for i, p in enumerate(probs)]
-    return out.select(*group, "n", "min", "mean", "max", *named)
+    found = exact_quantiles(df, group, [col], probs)
+    joined = join_null_safe(out, found, group)
+    named = [F.col(f"{col}_quantiles")[i].alias(f"q{round(p * 100):02d}") for i, p in enumerate(probs)]
+    return joined.select(*group, "n", "min", "mean", "max", *named)
 
 
 def day_histogram(df: DataFrame, col: str, breaks: Sequence[float] = DAY_BREAKS) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.codes import icd_category
 from cohortloom.operators.ordering import top_per_key
 from cohortloom.operators.predicates import classification_is
+from cohortloom.operators.quantiles import exact_quantiles, join_null_safe
 from cohortloom.operators.skew import spread_join
 
 PATIENT = "patient_resource_id"
@@ -121,29 +122,22 @@ _MEASURES = {"age_1": ("age", "1"), "age_2": ("age", "2"), "months_between_2": (
 def pair_statistics(pairs: DataFrame, entity: str = "entity_or_parent") -> DataFrame:
     """Counts, extremes and quartiles per pair of entities, sorted by pair.
 
-    Quartile sketches merge map-side, so a frequent pair is no hot spot.
+    Quartiles are values of the data, exact for pairs of any frequency.
     """
-    stats = []
-    for c, (stem, n) in _MEASURES.items():
-        q = F.percentile_approx(c, [0.25, 0.5, 0.75])
-        stats += [
-            F.min(c).alias(f"{stem}_min_{n}"),
-            F.max(c).alias(f"{stem}_max_{n}"),
-            q[0].alias(f"{stem}_q1_{n}"),
-            q[1].alias(f"{stem}_median_{n}"),
-            q[2].alias(f"{stem}_q3_{n}"),
-        ]
     keys = [f"{entity}_1", f"{entity}_2"]
-    return (
-        pairs.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("count_pair"),
-            F.count_if(F.col("gender") == "male").alias("count_male_pair"),
-            F.count_if(F.col("gender") == "female").alias("count_female_pair"),
-            *stats,
-        )
-        .orderBy(*keys)
+    counts = pairs.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("count_pair"),
+        F.count_if(F.col("gender") == "male").alias("count_male_pair"),
+        F.count_if(F.col("gender") == "female").alias("count_female_pair"),
+        *[f(c).alias(f"{c}_{n}") for c in _MEASURES for n, f in (("min", F.min), ("max", F.max))],
     )
+    quartiles = exact_quantiles(pairs, keys, list(_MEASURES), [0.25, 0.5, 0.75], interpolated=False)
+    joined = join_null_safe(counts, quartiles, keys)
+    stats = []
+    for c, (stem, n) in _MEASURES.items():
+        stats += [F.col(f"{c}_{x}").alias(f"{stem}_{x}_{n}") for x in ("min", "max")]
+        stats += [F.col(f"{c}_quantiles")[i].alias(f"{stem}_{x}_{n}") for i, x in enumerate(("q1", "median", "q3"))]
+    return joined.select(*keys, "count_pair", "count_male_pair", "count_female_pair", *stats).orderBy(*keys)
 
 
 def pair_outliers(pairs: DataFrame, entity: str = "entity_or_parent") -> DataFrame:
@@ -153,12 +147,7 @@ def pair_outliers(pairs: DataFrame, entity: str = "entity_or_parent") -> DataFra
     cell would all pass through one task.
     """
     keys = [f"{entity}_1", f"{entity}_2"]
-    fences = pairs.groupBy(*keys).agg(
-        *[
-            F.percentile_approx(c, [0.25, 0.75]).alias(f"_q_{c}")
-            for c in _MEASURES
-        ]
-    )
+    fences = exact_quantiles(pairs, keys, list(_MEASURES), [0.25, 0.75], interpolated=False)
     long = spread_join(
         pairs.select(*keys, *_MEASURES, *[c for c in pairs.columns if c not in [*keys, *_MEASURES]]),
         fences,
@@ -167,7 +156,7 @@ def pair_outliers(pairs: DataFrame, entity: str = "entity_or_parent") -> DataFra
     )
     checks = []
     for c in _MEASURES:
-        q1, q3 = F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]
+        q1, q3 = F.col(f"{c}_quantiles")[0], F.col(f"{c}_quantiles")[1]
         iqr = q3 - q1
         outside = (F.col(c) < q1 - F.lit(1.5) * iqr) | (F.col(c) > q3 + F.lit(1.5) * iqr)
         checks.append(

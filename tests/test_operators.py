@@ -1,6 +1,7 @@
 """Operators on small fixtures, against brute force where that is the clearer answer."""
 
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -14,6 +15,7 @@ from cohortloom.operators import linkage as L
 from cohortloom.operators import nearest as N
 from cohortloom.operators import ordering as O
 from cohortloom.operators import quality as QU
+from cohortloom.operators import quantiles as QT
 from cohortloom.operators import stats as S
 from cohortloom.operators import survival as SV
 from cohortloom.operators import therapies as T
@@ -321,3 +323,28 @@ def test_quantiles_interpolate(spark):
     df = spark.createDataFrame([(v,) for v in (1, 2, 3, 10)], "v int")
     r = S.quantile_summary(df, "v", [0.25, 0.5]).first()
     assert (r["q25"], r["q50"]) == (1.75, 2.5)
+
+
+def test_quantiles_of_any_group(spark, rows):
+    rng = random.Random(11)
+    data = [(rng.choice(["hot", "hot", "a", None]), rng.choice([None, rng.random() * 10 ** rng.randrange(-3, 9), -rng.random(), 5.0]), rng.choice([None, *range(7)])) for _ in range(900)]
+    data += [("one", 2.5, None), ("none", None, None), ("hot", float("inf"), 1), ("hot", -float("inf"), 1)]
+    df = spark.createDataFrame(data, "g string, x double, y int").repartition(5)
+    probs = [0.0, 0.01, 0.3, 0.5, 1.0]
+    for interpolated in (True, False):
+        found = {r["g"]: r for r in QT.exact_quantiles(df, ["g"], ["x", "y"], probs, interpolated=interpolated).collect()}
+        assert set(found) == {"hot", "a", None, "one"}
+        for g, row in found.items():
+            for c, i in (("x", 1), ("y", 2)):
+                own = sorted(r[i] for r in data if r[0] == g and r[i] is not None)
+                if not own:
+                    assert row[f"{c}_quantiles"] is None
+                    continue
+                for p, q in zip(probs, row[f"{c}_quantiles"]):
+                    at = (len(own) - 1) * p
+                    low, high = own[int(at)], own[-int(-at // 1)]
+                    want = (low if low == high else low + (high - low) * (at - int(at))) if interpolated else own[max(1, -int(-len(own) * p // 1)) - 1]
+                    assert q == pytest.approx(want, rel=1e-12) or (math.isnan(q) and math.isnan(want))
+    (whole,) = QT.exact_quantiles(df, [], ["y"], [0.5], interpolated=False).collect()
+    assert whole[0] == [sorted(r[2] for r in data if r[2] is not None)[len([r for r in data if r[2] is not None]) // 2 - (len([r for r in data if r[2] is not None]) % 2 == 0)]]
+    assert QT.exact_quantiles(df.limit(0), ["g"], ["x"], probs).collect() == []
