@@ -1,4 +1,4 @@
-"""Document fingerprints from closed syncmers, with DataFrame functions only."""
+"""Document fingerprints from closed syncmers, matched by place, with DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -7,22 +7,43 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.common import stored
 
-#: A k-mer is so many words, its inner substrings so many; so many anchors make its short form.
-K, S, KEPT = 4, 2, 128
+#: A k-mer is so many units, its inner substrings so many.
+K, S = 4, 2
+#: A word of more characters than ``LONG`` is not one unit: each ``GRAM`` of its characters is one.
+LONG, GRAM = 24, 8
+#: Places of a matched anchor in two texts may drift by a ``BAND``-th of the longer text, or by so many.
+BAND, DRIFT = 16, 8
 
 
-def anchors(docs: DataFrame, text: str, name: str, k: int = K, s: int = S, places: bool = False) -> DataFrame:
-    """``docs`` with column ``name``: the closed syncmers of a text as hashes of 32 bits.
+def units(text: str) -> Column:
+    """Words of a text; those of more than ``LONG`` characters as their overlapping ``GRAM``s."""
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+
+    def grams(chars: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(chars) - (GRAM - 1)), lambda i: F.array_join(F.slice(chars, i, GRAM), ""))
+
+    def cut(w: Column) -> Column:
+        # The characters are bound once for each word, so a long one costs in proportion.
+        long = F.flatten(F.transform(F.array(F.filter(F.split(w, ""), lambda c: c != "")), grams))
+        return F.when(F.char_length(w) > LONG, long).otherwise(F.array(w))
+
+    def whole(ws: Column) -> Column:
+        return F.when(F.exists(ws, lambda w: F.char_length(w) > LONG), F.flatten(F.transform(ws, cut))).otherwise(ws)
+
+    return F.flatten(F.transform(F.array(words), whole))
 
-    A k-mer of words is chosen if the least hash of its inner s-word strings is that of the first or
+
+def anchors(docs: DataFrame, text: str, name: str, k: int = K, s: int = S) -> DataFrame:
+    """``docs`` with column ``name``: the closed syncmers of a text as hashes of 32 bits, by place.
+
+    A k-mer of units is chosen if the least hash of its inner s-unit strings is that of the first or
     the last of them; nothing outside the k-mer matters, so an edit moves no anchors but its own.
-    They stand in order of place, repeats included; with ``places`` every k-mer has an entry,
-    NULL if it is not chosen. A text of fewer than k words is one anchor, an empty one has none.
+    Every k-mer has an entry in order of place, NULL if it is not chosen. A text of fewer than k
+    units is one anchor, an empty one has none.
     """
-    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     inner = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("_words") - s, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get("_words", i + j) for j in range(s)]),
+        F.sequence(F.lit(0), F.greatest(F.size("_units") - s, F.lit(0))),
+        lambda i: F.xxhash64(*[F.get("_units", i + j) for j in range(s)]),
     )
 
     def closed(i: Column) -> Column:
@@ -38,37 +59,85 @@ def anchors(docs: DataFrame, text: str, name: str, k: int = K, s: int = S, place
     def kmer(i: Column) -> Column:
         return half(F.xxhash64(*[F.get("_inner", i + j) for j in held]))
 
-    at = F.sequence(F.lit(0), F.size("_words") - k)
-    chosen = F.transform(at, lambda i: F.when(closed(i), kmer(i))) if places else F.transform(F.filter(at, closed), kmer)
-    short = F.array(half(F.xxhash64(F.array_join("_words", " "))))
+    at = F.sequence(F.lit(0), F.size("_units") - k)
+    short = F.array(half(F.xxhash64(F.array_join("_units", " "))))
     found = (
-        F.when(F.size("_words") >= k, chosen)
-        .when(F.size("_words") > 0, short)
+        F.when(F.size("_units") >= k, F.transform(at, lambda i: F.when(closed(i), kmer(i))))
+        .when(F.size("_units") > 0, short)
         .otherwise(F.array().cast("array<int>"))
     )
-    # Step by step, so that words and inner hashes are made once for each text.
+    # Step by step, so that units and inner hashes are made once for each text.
     return (
-        docs.withColumn("_words", words)
+        docs.withColumn("_units", units(text))
         .withColumn("_inner", inner)
         .withColumn(name, found)
-        .drop("_words", "_inner")
+        .drop("_units", "_inner")
     )
 
 
-def likeness(a: str, b: str) -> Column:
-    """Share of all different anchors of both that both have; two without anchors are alike (1)."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+def _firsts(docs: DataFrame, anchors: str, name: str, side: int) -> DataFrame:
+    """``docs`` with ``name``: each different anchor with its first place and ``side`` (0 or 1),
+    packed into a number that sorts by anchor."""
+    packed = F.transform(anchors, lambda h, i: F.shiftleft(h.cast("bigint"), 32).bitwiseOR((2 * i + side).cast("bigint")))
+    first = F.filter(name, lambda x, i: (i == 0) | (F.shiftright(F.get(name, i - 1), 32) != F.shiftright(x, 32)))
+    return docs.withColumn(name, F.sort_array(F.array_compact(packed))).withColumn(name, first)
+
+
+def likeness(docs: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """``docs`` with ``name``, how alike two arrays of ``anchors`` are, from 0 to 1.
+
+    Each anchor that both have votes for an offset, the distance of its first places in both.
+    Matched are the anchors of the best band of offsets, a ``BAND``-th of the longer text wide, in
+    either of two grids half a band apart; ``name`` is their share of all different anchors. Parts
+    that stand elsewhere, as swapped halves do, don't match. Two texts without anchors are alike.
+    """
+    both = _firsts(_firsts(docs, a, "_a", 0), b, "_b", 1)
+    both = both.withColumn("_all", F.sort_array(F.concat("_a", "_b")))
+
+    def place(i: Column) -> Column:
+        return F.shiftright(F.get("_all", i).bitwiseAND(F.lit(0xFFFFFFFF)), 1)
+
+    def shared(i: Column) -> Column:
+        return F.shiftright(F.get("_all", i), 32) == F.shiftright(F.get("_all", i + 1), 32)
+
+    def offset(i: Column) -> Column:
+        apart = place(i + 1) - place(i)
+        return F.when(F.get("_all", i).bitwiseAND(F.lit(1)) == 0, apart).otherwise(-apart)
+
+    pairs = F.filter(F.sequence(F.lit(0), F.size("_all") - 2), shared)
+    both = both.withColumn("_offsets", F.when(F.size("_all") > 1, F.transform(pairs, offset)).otherwise(F.array().cast("array<bigint>")))
+    both = both.withColumn("_width", F.greatest(F.lit(DRIFT), F.floor(F.greatest(F.size(a), F.size(b)) / BAND)))
+    votes = []
+    for grid in (0, 1):
+        cell, runs = f"_cell{grid}", f"_runs{grid}"
+        shift = F.floor(F.col("_width") / 2) if grid else F.lit(0)
+        both = both.withColumn(cell, F.sort_array(_cells(shift)))
+        starts = F.filter(F.sequence(F.lit(0), F.size(cell) - 1), _changes(cell))
+        both = both.withColumn(runs, F.when(F.size(cell) > 0, starts))
+        votes.append(F.coalesce(F.array_max(_lengths(runs, cell)), F.lit(0)))
+    matched = F.greatest(*votes)
+    every = F.size("_a") + F.size("_b")
+    share = F.when(every == 0, F.lit(1.0)).otherwise(F.col("_matched") / (every - F.col("_matched")))
+    found = both.withColumn("_matched", matched).withColumn(name, share)
+    return found.drop("_a", "_b", "_all", "_offsets", "_width", "_matched", *[f"_{c}{g}" for c in ("cell", "runs") for g in (0, 1)])
+
+
+def _cells(shift: Column) -> Column:
+    return F.transform("_offsets", lambda o: F.floor((o + shift) / F.col("_width")))
+
+
+def _changes(cell: str):
+    return lambda i: (i == 0) | (F.get(cell, i - 1) != F.get(cell, i))
 
 
-def sketch(anchors: str, kept: int = KEPT) -> Column:
-    """The ``kept`` least of different anchors, in order."""
-    return F.slice(F.sort_array(anchors), 1, kept)
+def _lengths(runs: str, cell: str) -> Column:
+    """Lengths of the runs of equal numbers that start at ``runs``."""
+    return F.transform(runs, lambda s, i: F.coalesce(F.get(runs, i + 1), F.size(cell)) - s)
 
 
-def written(sketched: Column) -> Column:
+def written(anchors: str) -> Column:
     """Anchors as text: eight hexadecimal digits for each, ``-`` for NULL."""
-    return F.array_join(F.transform(sketched, lambda h: F.lower(F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "", "-")
+    return F.array_join(F.transform(anchors, lambda h: F.lower(F.lpad(F.hex(h.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "", "-")
 
 
 def followers(keys: DataFrame) -> DataFrame:
@@ -92,11 +161,10 @@ def followers(keys: DataFrame) -> DataFrame:
 
 def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
-    ``near_edited``, ``near_next``, ``anchors``, ``edited_anchors`` of every row.
+    ``near_edited``, ``near_next`` of every row.
 
-    The last two hold all anchors at their places: for each k-mer in order eight hexadecimal digits,
-    or ``-`` if it is no anchor. Nearness is over all different anchors of both texts, wherever they
-    stand. The fingerprints are the short form, the ``KEPT`` least anchors.
+    Fingerprints are all anchors at their places as text: for each k-mer in order eight hexadecimal
+    digits, or ``-`` if it is no anchor. Nearness is the ``likeness`` of two fingerprints.
 
     The edited text has the last half of the code points replaced by the first ones of the next
     document in order of the key, as many or all; after the last document comes the first. Rows
@@ -126,7 +194,7 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     def given(part: DataFrame) -> DataFrame:
         joined = anchors(placed.join(part.hint("shuffle_hash"), ["t", "h"]), "text", "_anchors")
-        return joined.select(F.col("to_t").alias("t"), F.col("to_h").alias("h"), head, F.array_distinct("_anchors").alias("_next"))
+        return joined.select(F.col("to_t").alias("t"), F.col("to_h").alias("h"), head, F.col("_anchors").alias("_next"))
 
     once = given(before.filter("next_times = 1"))
     again = given(before.filter("next_times > 1")).dropDuplicates(["t", "h"])
@@ -134,16 +202,14 @@ def compared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     both = known.join(once.unionByName(again), ["t", "h"])
     kept = F.substring("text", F.lit(1), (F.col("n") - F.floor(F.col("n") / 2)).cast("int"))
     edited = both.withColumn("edited", F.concat(kept, "head"))
-    done = anchors(anchors(edited, "text", "_own", places=True), "edited", "_edited", places=True)
-    done = done.withColumns({f"{c}_all": F.array_distinct(F.array_compact(c)) for c in ("_own", "_edited")})
+    done = anchors(anchors(edited, "text", "_own"), "edited", "_edited")
+    done = likeness(likeness(done, "_own", "_edited", "near_edited"), "_own", "_next", "near_next")
     return done.select(
         F.col("id").alias(key),
         F.col("n").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        written(sketch("_own_all")).alias("fingerprint"),
-        written(sketch("_edited_all")).alias("edited_fingerprint"),
-        likeness("_own_all", "_edited_all").alias("near_edited"),
-        likeness("_own_all", "_next").alias("near_next"),
-        written(F.col("_own")).alias("anchors"),
-        written(F.col("_edited")).alias("edited_anchors"),
+        written("_own").alias("fingerprint"),
+        written("_edited").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
     )
