@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortloom.session import new_shared_path
+from cohortloom.session import materialise
 
 #: Words are runs of anything but ASCII blanks.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -27,13 +27,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     The files outlive executors and cut the lineage; Hadoop deletes them when the application ends.
     """
-    spark = df.sparkSession
-    path = new_shared_path(spark, f"llm-{label}")
-    df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialise(df, f"llm-{label}")
+
+
+def prefix_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str]) -> DataFrame:
+    """``df`` with ``before_<column>``: the sum over all rows before it in ``order``, for each of ``sums``.
+
+    Rows are dealt by ranges of the order; sums inside a range follow those of earlier ranges, of
+    which there is one small row each.
+    """
+    kept = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    totals = kept.groupBy("_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_range", *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_shift_{c}") for c in sums])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = {f"before_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"_shift_{c}") for c in sums}
+    return kept.join(shifts, "_range").withColumns(own).select(*df.columns, *own)
 
 
 def crc_mod(key: str, n: int) -> Column:

@@ -79,6 +79,49 @@ def test_rows_are_repeated_by_their_own_source(spark):
         assert abs(sum(r.source == source for r in out) - 800 * weight / 7) <= 2
 
 
+@pytest.mark.parametrize("rows", [
+    [(None, "w " * 10, "a") for _ in range(400)] + [(i, f"w{i} " * 10, "b") for i in range(300)],
+    [(None, f"w{i} " * 10, "a") for i in range(400)] + [(7, "w " * 50, "b") for _ in range(200)] + [(7, None, None)],
+    [(7, "w " * 9, s) for s in "abcd" for _ in range(150)],
+])
+def test_null_and_repeated_keys_come_near_their_target(spark, rows):
+    """Rows of one key, or of none, do not stand or fall together, not even equal ones."""
+    found = run(spark, rows)
+    taken, target, largest = {}, {}, {}
+    for r in found:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source], largest[r.source] = r.target, max(largest.get(r.source, 0), r.size)
+    for s in taken:
+        assert abs(taken[s] - target[s]) <= largest[s] / 2
+    assert sorted(map(str, found)) == sorted(map(str, run(spark, rows[::-1])))
+    kept = mix.repeated(spark.createDataFrame([(k, t, s, "x", 1, "y") for k, t, s in rows], SCHEMA)).collect()
+    for s in taken:
+        assert sum(words(r.text) for r in kept if r.source == s) == taken[s]
+
+
+def test_many_sources(spark):
+    rows = [(i, "w " * (i % 23), f"s{i % 700:03}" if i % 11 else None) for i in range(2500)]
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + words(t)
+    want = targets(sizes)
+    for r in run(spark, rows):
+        assert (r.source_size, round(r.target, 6)) == (sizes[r.source], round(want[r.source], 6))
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(i, "w " * 10, "a" if i < 3 else "b", "x", 1, "y") for i in range(30)], SCHEMA)
+    for name in ("_hash", "_text", "_name", "_rule", "_copies", "row", "copies", "threshold", "base", "left", "_of", "_at"):
+        df = df.withColumnRenamed("target", name) if "target" in df.columns else df.withColumn(name, df[df.columns[0]])
+    out = mix.repeated(df)
+    assert out.columns == df.columns and out.schema == df.schema and out.count() > 0
+
+
+def test_very_long_text(spark):
+    (row,) = run(spark, [(1, "w " * 2_000_000, "a")])
+    assert row.size == row.taken == 2_000_000
+
+
 def test_sql(spark):
     from checks.compare import differences, open_tables, sql_rows
 
