@@ -232,34 +232,29 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Rows that share that key stay if their own text belongs to the group, once for each different
     text. Rows with NULL key stay, once for each different text, where no row of their group has a
-    key.
+    key. Columns may have any names: rows travel as one value.
     """
-    groups = stored(near_duplicates(docs, key, text), "groups")
-    least = F.col(key) == F.col("component_id")
-    rows = groups.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"), F.max(least).alias("kept"))
+    groups = stored(near_duplicates(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "text"), "groups")
+    packed = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.struct("*").alias("row"))
+    least = F.col("key") == F.col("component_id")
+    rows = groups.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"), F.max(least).alias("kept"))
     kept = rows.filter("kept")
-    once, again = (kept.filter(c).select(F.col(key).alias("_kept")) for c in ("n = 1", "n > 1"))
-    single = docs.join(once, F.col(key) == F.col("_kept"), "left_semi")
-    shared = _marked(docs.join(again, F.col(key) == F.col("_kept"), "left_semi"), text)
-    own = groups.filter(least).select(F.col(key).alias("_kept"), F.col("fp").alias("_own")).distinct()
-    repeated = shared.join(own, (F.col(key) == F.col("_kept")) & (F.col("_fp") == F.col("_own")), "left_semi")
-    repeated = repeated.dropDuplicates([key, text]).select(*docs.columns)
-    return single.unionByName(repeated).unionByName(_unnamed(docs, groups, key, text))
+    single = packed.join(kept.filter("n = 1").select("key"), "key", "left_semi")
+    shared = _marked(packed.join(kept.filter("n > 1").select("key"), "key", "left_semi"))
+    own = groups.filter(least).select("key", "fp").distinct()
+    repeated = shared.join(own, ["key", "fp"], "left_semi").dropDuplicates(["key", "text"])
+    # Groups in which no row has a key.
+    wanted = groups.filter("component_id IS NULL").select("fp").distinct()
+    unnamed = _marked(packed.filter("key IS NULL")).join(wanted, "fp", "left_semi").dropDuplicates(["text"])
+    return single.select("row.*").unionByName(repeated.select("row.*")).unionByName(unnamed.select("row.*"))
 
 
-def _marked(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` with the fingerprint of each as ``_fp``."""
+def _marked(packed: DataFrame) -> DataFrame:
+    """Rows of ``key``, ``text`` and ``row`` with the fingerprint of the text as ``fp``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text):
-            fp = pa.array(_fingerprints(texts_of(batch, text)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, "_fp"])
-
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("_fp", T.LongType())]))
-
+        for batch in steps(batches):
+            fp = pa.array(_fingerprints(texts_of(batch)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, "fp"])
 
-def _unnamed(docs: DataFrame, groups: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows with NULL key of groups in which no row has one, by their fingerprint."""
-    wanted = groups.filter(F.col("component_id").isNull()).select(F.col("fp").alias("_fp")).distinct()
-    marked = _marked(docs.filter(F.col(key).isNull()), text)
-    return marked.join(wanted, "_fp", "left_semi").dropDuplicates([text]).select(*docs.columns)
+    return packed.mapInArrow(run, T.StructType([*packed.schema.fields, T.StructField("fp", T.LongType())]))

@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom.llm.common import STEP_BYTES, steps, stored, texts_of
 from cohortloom.operators.skew import spread_join
@@ -419,11 +420,13 @@ def _spans(runs: list[int] | None, size: int, length: int) -> np.ndarray:
 
 
 def removed_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with ``_runs``, from which ``_spans`` gives what to remove (NULL: nothing)."""
-    runs = removals(docs, text, length).withColumnsRenamed({"d1": "_d1", "d2": "_d2", "runs": "_runs"})
+    """``text``, ``row`` (the other columns of ``docs``) and ``runs``, from which ``_spans`` gives what
+    to remove (NULL: nothing)."""
+    runs = removals(docs, text, length)
     own = F.col(text).cast("string")
-    marked = docs.withColumns({"_d1": F.xxhash64(own), "_d2": F.hash(own)})
-    return marked.join(runs.hint("shuffle_hash"), ["_d1", "_d2"], "left").select(*[docs[c] for c in docs.columns], "_runs")
+    row = F.struct(F.lit(0).alias(text), *[c for c in docs.columns if c != text])
+    marked = docs.select(own.alias("text"), row.alias("row"), F.xxhash64(own).alias("d1"), F.hash(own).alias("d2"))
+    return marked.join(runs.hint("shuffle_hash"), ["d1", "d2"], "left").select("text", "row", "runs")
 
 
 def removal_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -440,7 +443,7 @@ def removal_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             rows = []
-            for own, runs in zip(texts_of(batch), batch.column("_runs").to_pylist()):
+            for own, runs in zip(texts_of(batch), batch.column("runs").to_pylist()):
                 spans = _spans(runs, len(own), length)
                 rows.append((len(own), int((spans[:, 1] - spans[:, 0]).sum()), len(spans), hashlib.sha256(_kept(own, spans)).hexdigest()))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
@@ -448,7 +451,7 @@ def removal_digests(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return removed_spans(picked, "text", length).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return removed_spans(picked, "text", length).select("row.key", "text", "runs").mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def _kept(text: bytes, spans: np.ndarray) -> bytes:
@@ -457,22 +460,21 @@ def _kept(text: bytes, spans: np.ndarray) -> bytes:
 
 
 def without_repeats(docs: DataFrame, text: str = "text", chars: str = "n_chars", length: int = LENGTH) -> DataFrame:
-    """``docs`` with repeated passages removed from the texts and ``chars`` counted anew.
+    """``docs`` with repeated passages removed from the texts and ``chars``, if there, counted anew.
 
     Removal goes by bytes; what it leaves of a cut character is dropped. NULL texts stay NULL.
+    Columns may have any names: rows travel as one value.
     """
-    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, text):
+        for batch in steps(batches):
             new: list[str | None] = []
-            null = batch.column(text).is_null().to_pylist()
-            for own, runs, empty in zip(texts_of(batch, text), batch.column("_runs").to_pylist(), null):
+            null = batch.column("text").is_null().to_pylist()
+            for own, runs, empty in zip(texts_of(batch), batch.column("runs").to_pylist(), null):
                 new.append(None if empty else _kept(own, _spans(runs, len(own), length)).decode("utf-8", "ignore"))
-            columns = {n: batch.column(n) for n in names}
-            columns[text] = pa.array(new, pa.string())
-            if chars in columns:
-                columns[chars] = pa.array([None if x is None else len(x) for x in new], pa.int64()).cast(columns[chars].type)
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()), batch.column("row")], ["new", "row"])
 
-    return removed_spans(docs, text, length).mapInArrow(run, docs.schema)
+    marked = removed_spans(docs, text, length)
+    made = marked.mapInArrow(run, T.StructType([T.StructField("new", T.StringType()), marked.schema["row"]]))
+    counted = F.char_length("new").cast(docs.schema[chars].dataType) if chars in docs.columns else None
+    return made.select(*[F.col("new").alias(c) if c == text else counted.alias(c) if c == chars else F.col("row")[c].alias(c) for c in docs.columns])

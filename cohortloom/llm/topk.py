@@ -93,10 +93,11 @@ def top_k(
     are gathered. (3) Their scores are resolved exactly; each block hands on its ``k`` best that
     reach the cutoff, and the best of those are the result. Ties go to the smaller id. Rows with
     the query's own key are no candidates. Vectors of different lengths are filled up with zeros;
-    repeated rows of a key count as rows; NULL keys take no part. Scores must fit in 64 bits.
+    repeated rows of a key count as rows, of a repeated query the least vector by its components
+    asks; NULL keys take no part. Scores must fit in 64 bits.
     """
     rows = stored(quantised(vectors, key, vector).filter("id is not null"), "vectors")
-    asked = stored(quantised(queries, key, vector).filter("id is not null").dropDuplicates(["id"]), "queries")
+    asked = stored(quantised(queries, key, vector).filter("id is not null").groupBy("id").agg(F.min("v").alias("v")), "queries")
     n_blocks, n_query_blocks = max(1, -(-rows.count() // BLOCK)), max(1, -(-asked.count() // QUERY_BLOCK))
 
     def lists(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -4,6 +4,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cohortloom.llm import simhash
 
@@ -104,3 +105,14 @@ def test_a_shared_key_keeps_only_the_texts_of_its_own_group(spark):
     rows = [(5, one), (5, two), (3, two), (5, one), (8, "some other words here")]
     df = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], SCHEMA)
     assert sorted((r.doc_id, r.text) for r in simhash.keep_one(df).collect()) == [(3, two), (5, one), (8, "some other words here")]
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b c d"), (2, "a b c d"), (3, "something else entirely here"), (None, "a b c d"), (None, "quite alone"), (7, "seven x y"), (7, "seven other z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = df.withColumns({n: F.col("doc_id") for n in ("_fp", "_own", "_kept", "fp", "row", "key", "n", "component_id")})
+    out = simhash.keep_one(df)
+    assert out.schema == df.schema
+    kept = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert kept == sorted([(1, "a b c d"), (3, "something else entirely here"), (None, "quite alone"), (7, "seven x y"), (7, "seven other z")], key=str)
+    assert all(r.key == r.doc_id == r._fp for r in out.collect())

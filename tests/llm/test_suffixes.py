@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortloom.llm import suffixes
 
@@ -123,3 +124,29 @@ def test_texts_without_repeats(spark):
     assert got[3] == (None, None) and got[4] == ("short", 5)
     # The first byte of the first ü ends a string that occurs twice, so that letter goes as well.
     assert got[1] == ("ü" * 29, 29) and got[2] == ("x", 1)
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "é" * 150, 150), (2, "é" * 150, 150), (3, None, 0)], "doc_id long, text string, n_chars int")
+    df = df.withColumns({n: F.col("doc_id") * 2 for n in ("_d1", "_d2", "_runs", "d1", "d2", "runs", "row", "new", "doc")})
+    out = suffixes.without_repeats(df)
+    assert out.schema == df.schema
+    assert sorted((r.doc_id, r.text, r.n_chars, r.runs, r.row) for r in out.collect()) == [(1, "", 0, 2, 2), (2, "", 0, 4, 4), (3, None, None, 6, 6)]
+    only = suffixes.without_repeats(df.select("text"))
+    assert only.columns == ["text"] and only.count() == 3
+
+
+def test_texts_beyond_a_segment(spark, monkeypatch):
+    """A very long text, cut into segments of a few kilobytes, against counting all strings."""
+    monkeypatch.setattr(suffixes, "_SEGMENT", 4096)
+    rng = random.Random(4)
+    piece = "".join(rng.choices("abcdefgh", k=700))
+    long = "".join(rng.choices("abcdefgh", k=9000)) + piece + "".join(rng.choices("abcdefgh", k=5000)) + piece[:450]
+    rows = [(1, long), (2, "x" + piece[100:400] + "y"), (3, "z" * 260)]
+    count = Counter(t[i : i + L] for _, t in rows for i in range(len(t) - L + 1))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in suffixes.removal_digests(df).collect():
+        own = dict(rows)[r.doc_id]
+        gone = {j for i in range(len(own) - L + 1) if count[own[i : i + L]] > 1 for j in range(i, i + L)}
+        assert r.n_removed == len(gone)
+        assert r.kept_sha256 == hashlib.sha256("".join(c for i, c in enumerate(own) if i not in gone).encode()).hexdigest()

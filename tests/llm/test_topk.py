@@ -42,3 +42,15 @@ def test_odd_tables(spark):
     assert found(spark, rows, 4) == brute(rows, 4)
     large = [(i, [2.0**21 + i, 2.0**21 - 3 * i]) for i in range(8)]
     assert found(spark, large, 3) == brute(large, 3)
+
+
+def test_repeated_queries_ask_with_their_least_vector(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(-64, 64) / 64 for _ in range(3)]) for i in range(40)]
+    rows += [(10, [rng.randrange(-64, 64) / 64 for _ in range(3)]) for _ in range(6)]
+    asked = min([math.floor(64 * x) for x in v] for i, v in rows if i == 10)
+    scored = sorted((-sum(x * math.floor(64 * y) for x, y in zip(asked, v)), i) for i, v in rows if i != 10)
+    for _ in range(2):
+        rng.shuffle(rows)
+        got = sorted(r[1:] for r in found(spark, rows, 4) if r[0] == 10)
+        assert got == [(n, i, -s) for n, (s, i) in enumerate(scored[:4], 1)]
