@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import crc_mod, steps, texts_of
+from cohortloom.llm.common import crc_mod, steps, stored, texts_of
 
 PREDICT_AT = 0.7
 
@@ -28,9 +28,13 @@ def learning_rows(labels: DataFrame, label: str, held: tuple[int, int], bound: i
 
 
 def learning_texts(docs: DataFrame, rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``text`` and ``label`` of the rows to learn from; the broadcast side is bounded by them."""
+    """``text`` and ``label`` of the rows to learn from; the broadcast side is bounded by them.
+
+    A key that stands on several rows of ``docs`` is learned once, from its least text.
+    """
     picked = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text"))
-    return picked.join(F.broadcast(rows), "_key").select("text", "label")
+    joined = picked.join(F.broadcast(rows), "_key").groupBy("_key", "label").agg(F.min("text").alias("text"))
+    return stored(joined.select("text", "label"), "learned")
 
 
 def features_of(texts: DataFrame, extract: Callable[[list[bytes]], np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -40,7 +40,8 @@ for _chars, _kind in (
     _CLASS[np.frombuffer(_chars, np.uint8)] = _kind
 _CLASS[128:] = HIGH
 
-WINDOW = 400
+#: Bytes and words of the windows whose extremes are features.
+WINDOW, WORDS = 400, 60
 FEATURES = [
     "log_bytes", "log_words", "upper", "digit", "blank", "stop", "shout", "bar", "symbol", "high",
     "upper_window", "shout_window", "bar_window", "symbol_window",
@@ -49,6 +50,11 @@ FEATURES = [
 ]
 
 
+def _starts(n: int, width: int) -> np.ndarray:
+    """First places of windows that overlap by half; the last one ends with the text."""
+    return np.append(np.arange(0, n - width, width // 2), n - width)
+
+
 def _row(text: bytes) -> list[float]:
     n = len(text)
     words = text.split()
@@ -57,11 +63,12 @@ def _row(text: bytes) -> list[float]:
         return [float(np.log1p(n))] + [0.0] * (len(FEATURES) - 1)
     kinds = _CLASS[np.frombuffer(text, np.uint8)]
     share = np.bincount(kinds, minlength=9) / n
-    if n >= 2 * WINDOW:
-        cut = kinds[: n - n % WINDOW].reshape(-1, WINDOW)
-        peaks = [float((cut == k).mean(axis=1).max()) for k in (UPPER, SHOUT, BAR, SYMBOL)]
-    else:
-        peaks = [float(share[k]) for k in (UPPER, SHOUT, BAR, SYMBOL)]
+    peaks = [float(share[k]) for k in (UPPER, SHOUT, BAR, SYMBOL)]
+    if n > WINDOW:
+        at = _starts(n, WINDOW)
+        for i, k in enumerate((UPPER, SHOUT, BAR, SYMBOL)):
+            up_to = np.concatenate(([0], np.cumsum(kinds == k)))
+            peaks[i] = float((up_to[at + WINDOW] - up_to[at]).max() / WINDOW)
     h = np.fromiter(map(hash, words), np.int64, m)  # only ever compared within this text
     counts = np.unique(h, return_counts=True)[1]
     same = h[1:] == h[:-1]
@@ -72,9 +79,9 @@ def _row(text: bytes) -> list[float]:
             mixed = h[:-4] * 3 + h[1:-3] * 5 + h[2:-2] * 7 + h[3:-1] * 11 + h[4:] * 13
         fives = len(np.unique(mixed)) / len(mixed)
     least = len(counts) / m
-    if m >= 120:
-        rows = np.sort(h[: m - m % 60].reshape(-1, 60), axis=1)
-        least = float(((rows[:, 1:] != rows[:, :-1]).sum(axis=1) + 1).min() / 60)
+    if m > WORDS:
+        rows = np.sort(np.lib.stride_tricks.sliding_window_view(h, WORDS)[_starts(m, WORDS)], axis=1)
+        least = float(((rows[:, 1:] != rows[:, :-1]).sum(axis=1) + 1).min() / WORDS)
     lengths = np.fromiter(map(len, words), np.int64, m)
     lines = text.split(b"\n")
     ends = np.frombuffer(text, np.uint8)[np.flatnonzero((kinds[:-1] != BLANK) & (kinds[1:] == BLANK))]

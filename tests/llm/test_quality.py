@@ -40,3 +40,38 @@ def test_odd_rows(spark):
         assert all(r.held_out for r in rows if r.doc_id is None)
     assert quality.classify(docs.limit(0), none).count() == 0
     assert quality.keep_good(docs, none).columns == docs.columns
+
+
+def test_windows_reach_the_end_of_a_text():
+    rng = np.random.default_rng(2)
+    names = {n: i for i, n in enumerate(quality.FEATURES)}
+    for n in (401, 800, 1000, 5000):
+        clean = ("word and then " * n)[:n].encode()
+        for junk in (b"!|" * 190, b"A" * 200):
+            own = dict(zip(names, quality._row(clean + junk)))
+            text = clean + junk
+            starts = [*range(0, len(text) - 400, 200), len(text) - 400]
+            for name, signs in (("upper_window", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("bar_window", b"|")):
+                want = max(sum(b in signs for b in text[s : s + 400]) for s in starts) / 400
+                assert abs(own[name] - want) < 1e-12
+    words = [str(v) for v in rng.integers(0, 10**6, 137)] + ["same"] * 40
+    least = min(len(set(words[s : s + 60])) for s in [*range(0, len(words) - 60, 30), len(words) - 60]) / 60
+    assert quality._row(" ".join(words).encode())[names["distinct_window"]] == least
+
+
+def test_one_round_against_a_search_of_all_trees():
+    """The first table of a single feature: the best tree of up to four leaves by greedy cuts."""
+    rng = np.random.default_rng(4)
+    g, h = rng.normal(size=9), rng.random(9) + 0.2
+
+    def value(s, e):
+        return g[s:e].sum() ** 2 / (h[s:e].sum() + 1)
+
+    parts = [(0, 9)]
+    while len(parts) < 4:
+        gain, s, k, e = max(((value(s, k) + value(k, e) - value(s, e), s, k, e) for s, e in parts for k in range(s + 1, e)), default=(0, 0, 0, 0))
+        if gain <= 1e-9:
+            break
+        parts = [p for p in parts if p != (s, e)] + [(s, k), (k, e)]
+    want = np.concatenate([np.full(e - s, g[s:e].sum() / (h[s:e].sum() + 1)) for s, e in sorted(parts)])
+    assert np.allclose(quality._shallow(g, h, 0.0), want)
