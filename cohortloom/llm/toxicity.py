@@ -27,15 +27,16 @@ from cohortloom.llm.labelled import (
 
 #: Rows whose CRC-32 has this remainder are never learned from: (modulus, remainder).
 HELD = (3, 1)
-#: Most labelled rows that a model is fitted on, and most entries of the learned lexicon.
-SAMPLE, LEXICON = 40_000, 4_000
+#: Most labelled rows that a model is fitted on.
+SAMPLE = 40_000
 #: Words of insult that count without having been learned.
 KNOWN = frozenset("idiot moron stupid loser scum trash worthless pathetic disgusting clown imbecile dumb".split())
 SECOND_PERSON = frozenset(
     "you your yours yourself u du dich dir dein deine ihr euch tu te toi ton ta vous votre tú ti usted ustedes vosotros".split()
 )
 STEMS = (4, 5, 6)
-_LEET = str.maketrans("0134578@$!|", "oleastbasil"[:11])
+# Signs that stand for letters.
+_LEET = str.maketrans({"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"})
 _EDGE = ".,;:!?\"'()[]{}«»¿¡-*#%&$"
 _INNER = re.compile(r"[\W_]+")
 _AGAIN = re.compile(r"(.)\1{2,}")
@@ -123,9 +124,10 @@ def extractor(lexicon: dict[str, float]):
     return extract
 
 
-def learned_lexicon(texts: DataFrame, most: int = LEXICON) -> dict[str, float]:
-    """Words and stems with their log odds, from the labelled texts: those that a toxic document
-    holds at least ten times as often as another, and that enough toxic documents hold."""
+def learned_lexicon(texts: DataFrame) -> dict[str, float]:
+    """Words and stems with their log odds, from the labelled texts: all that a toxic document
+    holds at least ten times as often as another, and that enough toxic documents hold. Their
+    number is bounded by that of the labelled rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: tuple[Counter, Counter] = (Counter(), Counter())
@@ -156,8 +158,6 @@ def learned_lexicon(texts: DataFrame, most: int = LEXICON) -> dict[str, float]:
         counted.filter(F.col("toxic") >= enough)
         .withColumn("odds", odds)
         .filter(F.col("odds") >= math.log(10))
-        .orderBy((F.col("odds") * F.sqrt("toxic")).desc(), "gram")
-        .limit(most)
     )
     return {r["gram"]: r["odds"] for r in found.select("gram", "odds").collect()}
 
@@ -258,18 +258,19 @@ class ToxicityModel:
 def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> ToxicityModel:
     """Lexicon, trees and calibration from at most ``bound`` labelled rows that are not held out.
 
-    The calibration sees logits of rows that the trees behind them were not fitted on (three parts).
+    The calibration sees logits of a third of these rows, by a hash of their text, from a lexicon
+    and trees that were learned from the other two thirds.
     """
     texts = learning_texts(docs, learning_rows(labels, "toxic", HELD, bound))
     lexicon = learned_lexicon(texts)
-    x, y = features_of(texts, extractor(lexicon), len(FEATURES))
-    trees = fit_trees(x, y)
+    trees = fit_trees(*features_of(texts, extractor(lexicon), len(FEATURES)))
+    apart = F.pmod(F.xxhash64("text"), F.lit(3)) == 0
+    others = texts.filter(~apart)
+    before = learned_lexicon(others)
+    x, y = features_of(texts.filter(apart), extractor(before), len(FEATURES))
     if not 0 < y.sum() < len(y):
         return ToxicityModel(lexicon, trees, np.empty(0), np.empty(0))
-    part = np.arange(len(y)) % 3
-    z = np.empty(len(y))
-    for i in range(3):
-        z[part == i] = fit_trees(x[part != i], y[part != i]).logits(x[part == i])
+    z = fit_trees(*features_of(others, extractor(before), len(FEATURES))).logits(x)
     return ToxicityModel(lexicon, trees, *isotonic(z, y))
 
 

@@ -55,3 +55,59 @@ def test_features_see_disguise():
     names = toxicity.FEATURES
     row = dict(zip(names, toxicity._row("You are an 1d10t and a l o s e r , st*pid !! du", {"=idiot": 3.0})))
     assert row["masked_known"] >= 1 and row["mark_runs"] > 0 and row["you_rate"] > 0
+
+
+def test_pooling_against_the_min_max_formula():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 60):
+        z, y = np.sort(rng.normal(size=n)), rng.integers(0, 2, n)
+        places, shares = toxicity.isotonic(z, y)
+        # Best rising fit at i: the largest of the least means of stretches around i.
+        fit = [max(min(y[a : b + 1].mean() for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+        pools = {}
+        for v, label in zip(fit, y):
+            s, m = pools.get(v, (0, 0))
+            pools[v] = (s + label, m + 1)
+        want = np.maximum.accumulate([(pools[v][0] + 0.5) / (pools[v][1] + 1) for v in fit])
+        assert np.allclose(np.interp(z, places, shares), want)
+
+
+def test_one_round_against_a_search_of_all_cuts():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 6, (200, 3)).astype(float)
+    y = (x[:, 1] + rng.normal(size=200) > 3).astype(int)
+    trees = toxicity.fit_trees(x, y, rounds=1, rate=1.0, depth=1)
+    p = (y.sum() + 1) / (len(y) + 2)
+    g, h = y - p, np.full(len(y), p * (1 - p))
+    best = max(
+        ((g[left].sum() ** 2 / (h[left].sum() + 1) + g[~left].sum() ** 2 / (h[~left].sum() + 1), f, e) for f in range(3) for e in range(5) for left in [x[:, f] <= e] if 0 < left.sum() < len(y)),
+    )
+    left = x[:, best[1]] <= best[2]
+    want = np.log(p / (1 - p)) + np.where(left, g[left].sum() / (h[left].sum() + 1), g[~left].sum() / (h[~left].sum() + 1))
+    assert np.allclose(trees.logits(x), want)
+
+
+def test_lexicon_against_plain_counts(spark):
+    rows = [("du idiot hier", 1)] * 4 + [("ein guter tag", 0)] * 30 + [("Idioten! ja", 1)] * 3
+    texts = spark.createDataFrame(rows, "text string, label int")
+    want = {}
+    count = {}
+    for text, label in rows:
+        words = {w.strip("!").lower() for w in text.split()}
+        for g in {g for w in words for g in toxicity.grams(w)}:
+            count.setdefault(g, [0, 0])[label] += 1
+    for g, (clean, toxic) in count.items():
+        odds = np.log(((toxic + 0.1) / (7 + 1)) / ((clean + 0.1) / (30 + 1)))
+        if toxic >= 3 and odds >= np.log(10):
+            want[g] = odds
+    found = toxicity.learned_lexicon(texts)
+    assert found.keys() == want.keys() and all(abs(found[g] - want[g]) < 1e-9 for g in want)
+
+
+def test_a_repeated_key_is_learned_once(spark):
+    from cohortloom.llm.labelled import learning_rows, learning_texts
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, None), (2, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    found = learning_texts(docs, learning_rows(labels, "toxic", (7, 6), 10))
+    assert sorted(map(tuple, found.collect())) == [("b", 1), ("text 0", 0)]
