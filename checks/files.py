@@ -156,6 +156,21 @@ def merged_tables(t):
     return first.unionByName(second)
 
 
+@query(
+    "merged_rows",
+    """SELECT 'clerks.csv' AS "table", o_orderstatus AS label, count(*) AS "count", NULL::bigint AS priority_count FROM orders GROUP BY 2
+       UNION ALL SELECT concat('site', o_custkey % 5, '.csv'), o_orderpriority, NULL, count(*) FROM orders GROUP BY 1, 2""",
+)
+def merged_rows(t):
+    """Six tables under two headers, in one scan each."""
+    root = folder(t, "merged")
+    SK.write_csv(t.orders.groupBy(F.col("o_orderstatus").alias("label")).count(), f"{root}/clerks.csv")
+    for i in range(5):
+        own = t.orders.where(F.col("o_custkey") % 5 == i).groupBy(F.col("o_orderpriority").alias("label"))
+        SK.write_csv(own.agg(F.count(F.lit(1)).cast("double").alias("priority_count")), f"{root}/site{i}.csv")
+    return DL.read_merged_rows(t.spark, root).select("table", "label", "count", "priority_count")
+
+
 @query("rebuilt_findings", "SELECT concat('letter-', event_id) AS source_file, event_type AS gene FROM events WHERE event_id % 5 <> 0 UNION ALL SELECT concat('letter-', event_id), repeat('G', 51) FROM events WHERE event_id % 5 = 0")
 def rebuilt_findings(t):
     path = folder(t, "findings")

@@ -8,20 +8,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.sources.delimited import csv_files_by_header
+
 
 def read_site_tables(spark: SparkSession, paths: Iterable[str], keys: Sequence[str], sep: str = ";") -> DataFrame:
     """All sites' tables under one header: trimmed names, index column gone, by name.
 
-    A site whose table lacks a key column is an error that names it.
+    Sites with the same header are read in one scan. A site whose table lacks a key column is an
+    error that names it.
     """
     frames = []
-    for p in paths:
-        raw = spark.read.option("header", True).option("sep", sep).csv(p)
-        df = raw.toDF(*[c.strip() for c in raw.columns])
-        df = df.drop(*[c for c in df.columns if c == "" or c.startswith("_c")])
-        if missing := sorted(set(keys) - set(df.columns)):
-            raise ValueError(f"{p} has no column {', '.join(missing)}")
-        frames.append(df)
+    for names, df in csv_files_by_header(spark, paths, sep, trim=True).items():
+        if missing := sorted(set(keys) - set(names)):
+            raise ValueError(f"{df.select('_path').first()[0]} has no column {', '.join(missing)}")
+        frames.append(df.drop("_path", *[c for c in names if c.startswith("_c")]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def _place(spark: SparkSession, path: str):
@@ -41,6 +44,30 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"{path} could not be put in place")
 
 
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """The file itself, or the files of a folder that Spark would read: path and ``address`` of each."""
+    system, place = _place(spark, path)
+    found = system.listStatus(place) if system.getFileStatus(place).isDirectory() else [system.getFileStatus(place)]
+    kept = [s.getPath() for s in found if s.isFile() and s.getLen() and s.getPath().getName()[0] not in "._"]
+    return sorted((p.toString(), re.sub("^([^:/]+):/+", r"\1:/", p.toUri().toString())) for p in kept)
+
+
+def address() -> Column:
+    """The file of a row, written as ``data_files`` writes addresses."""
+    return F.regexp_replace(F.col("_metadata.file_path"), "^([^:/]+):/+", "$1:/")
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """First line of a file."""
+    jvm = spark.sparkContext._jvm
+    system, place = _place(spark, path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(system.open(place), "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, place = _place(spark, path)
     system.delete(place, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.operators.views import KIND_COLUMN, observation_kind
@@ -54,23 +54,53 @@ def read_bundles(
     return {t: parse_resources(entries, t) for t in types}
 
 
+def landed_rows(bundles: DataFrame, text: str = "value", passed: Observation | None = None) -> DataFrame:
+    """Entries and rejects out of one parse: ``status`` (entry or rejected), ``resource_type`` and
+    ``resource`` of entries, the ``bundle`` of rejects.
+
+    A bundle that can't be read as such is rejected; one whose list of entries is empty gives no row.
+    ``passed`` observes how many bundles went by and how many were rejected.
+    """
+    parsed = bundles.select(F.col(text).alias("bundle"), F.from_json(text, "entry array<struct<resource:string>>")["entry"].alias("entry"))
+    if passed is not None:
+        parsed = parsed.observe(passed, F.count(F.lit(1)).alias("bundles"), F.count_if(F.col("entry").isNull()).alias("rejected"))
+    whole = F.transform("entry", lambda e: F.struct(F.lit("entry").alias("status"), e["resource"].alias("resource"), F.lit(None).cast("string").alias("bundle")))
+    reject = F.array(F.struct(F.lit("rejected").alias("status"), F.lit(None).cast("string").alias("resource"), F.col("bundle")))
+    rows = parsed.select(F.inline(F.when(F.col("entry").isNull(), reject).otherwise(whole)))
+    return rows.select("status", F.get_json_object("resource", "$.resourceType").alias("resource_type"), "resource", "bundle")
+
+
 def land_bundles(
     spark: SparkSession, path: str, lake: str, types: Iterable[str] = RESOURCE_TYPES, *, one_per_line: bool = False
 ) -> DataFrame:
-    """Bundles into a lake: their text is parsed once, entries are stored by type, then typed.
+    """Bundles into a lake: their text is read and parsed once, entries and rejects are written
+    together, by status and type, and counted as they pass; then entries are typed.
 
-    Returns how many bundles were read and how many rejected; the rejects lie under ``_rejected``.
+    Returns how many bundles were read and how many rejected; ``landed_rejects`` gives the rejects.
     """
-    bundles = spark.read.text(path, wholetext=not one_per_line)
     root = lake.rstrip("/")
-    landed = f"{root}/_entries"
-    bundle_entries(bundles).write.mode("overwrite").partitionBy("resource_type").parquet(landed)
-    bundle_rejects(bundles).write.mode("overwrite").parquet(f"{root}/_rejected")
-    entries = spark.read.parquet(landed)
+    passed = Observation("bundles")
+    bundles = spark.read.text(path, wholetext=not one_per_line)
+    landed_rows(bundles, passed=passed).write.mode("overwrite").partitionBy("status", "resource_type").parquet(f"{root}/_landed")
+    entries = landed_entries(spark, root)
     for t in types:
         write_lake(parse_resources(entries, t), root, t, mode="overwrite")
-    rejected = spark.read.parquet(f"{root}/_rejected").agg(F.count(F.lit(1)).alias("rejected"))
-    return bundles.agg(F.count(F.lit(1)).alias("bundles")).join(rejected, F.lit(True))
+    return spark.createDataFrame([(passed.get["bundles"], passed.get["rejected"])], "bundles bigint, rejected bigint")
+
+
+_LANDED = "status string, resource_type string, resource string, bundle string"
+
+
+def landed_entries(spark: SparkSession, lake: str) -> DataFrame:
+    """``resource_type`` and ``resource`` of the entries that ``land_bundles`` has stored."""
+    rows = spark.read.schema(_LANDED).parquet(f"{lake.rstrip('/')}/_landed")
+    return rows.where(F.col("status") == "entry").select("resource_type", "resource")
+
+
+def landed_rejects(spark: SparkSession, lake: str) -> DataFrame:
+    """Texts of the bundles that ``land_bundles`` could not read."""
+    rows = spark.read.schema(_LANDED).parquet(f"{lake.rstrip('/')}/_landed")
+    return rows.where(F.col("status") == "rejected").select(F.col("bundle").alias("value"))
 
 
 def read_lake(spark: SparkSession, path: str, resource_type: str, fmt: str = "parquet") -> DataFrame:

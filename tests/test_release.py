@@ -1,6 +1,7 @@
 """What must not leave: identifiers in de-identified tables, keys in plan texts."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from checks import shape as H
@@ -119,7 +120,7 @@ def test_letters_are_saved(spark, tmp_path):
 
 
 def test_rejected_bundles_are_counted(spark, tmp_path):
-    from cohortloom.sources.resources import bundle_rejects, land_bundles
+    from cohortloom.sources.resources import bundle_rejects, land_bundles, landed_entries, landed_rejects
 
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "good.json").write_text('{"resourceType": "Bundle", "entry": [{"resource": {"resourceType": "Patient", "id": "p"}}]}')
@@ -128,6 +129,23 @@ def test_rejected_bundles_are_counted(spark, tmp_path):
     counts = land_bundles(spark, str(tmp_path / "in"), str(tmp_path / "lake"), ["Patient"]).first()
     assert (counts.bundles, counts.rejected) == (2, 1)
     assert spark.read.parquet(str(tmp_path / "lake" / "Patient")).count() == 1
+    (kept,) = landed_rejects(spark, str(tmp_path / "lake")).collect()
+    assert kept.value.endswith('"resou')
+    assert landed_entries(spark, str(tmp_path / "lake")).select("resource_type").collect() == [("Patient",)]
+
+
+def test_bundles_are_read_and_parsed_once(spark, tmp_path):
+    from cohortloom.sources.resources import landed_rows
+
+    lines = ['{"entry":[{"resource":{"resourceType":"Patient","id":"1"}},{"resource":{"id":"2"}}]}', "[", '{"entry":[]}', "", '{"x":1}']
+    (tmp_path / "b.txt").write_text("\n".join(lines))
+    passed = Observation("test")
+    rows = landed_rows(spark.read.text(str(tmp_path)), passed=passed)
+    got = sorted(((r.status, r.resource_type, r.bundle) for r in rows.collect()), key=str)
+    assert got == sorted([("entry", "Patient", None), ("entry", None, None), *[("rejected", None, x) for x in ("[", '{"x":1}', "")]], key=str)
+    assert passed.get == {"bundles": 5, "rejected": 3}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and plan.count("from_json") + plan.count("jsontostructs") == 1
 
 
 def test_linked_labs(spark):

@@ -299,3 +299,25 @@ def test_a_study_is_saved_apart_from_its_deidentified_form(spark, tmp_path):
     run_study("data_quality", empty, str(tmp_path))
     assert (tmp_path / "data_quality" / "parquet" / "df_adverse-event-mappings.parquet").exists()
     assert not (tmp_path / "data_quality" / "deidentified").exists()
+
+
+def test_many_files_take_one_scan_for_each_header(spark, tmp_path, rows):
+    headers = ["a;count", "count;a;b", "a;count", "a; count"]
+    want = []
+    for i in range(60):
+        names = headers[i % 4]
+        row = {"a": f"{i}", "count": f"{i}.0", "b": "x", " count": "7"}
+        (tmp_path / f"t {i}+ä.csv").write_text(names + "\n" + ";".join(row[n] for n in names.split(";")) + "\n")
+        own = set(names.split(";"))
+        want.append((f"t {i}+ä.csv", str(i), i if "count" in own else None, "x" if "b" in own else None, "7" if " count" in own else None))
+    merged = DL.read_merged_rows(spark, str(tmp_path))
+    assert rows(merged, "table", "a", "count", "b", " count") == sorted(want, key=lambda t: tuple(str(x) for x in t))
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 3
+    one = DL.read_merged(spark, str(tmp_path), ["t 5+ä.csv"])["t 5+ä.csv"]
+    assert rows(one) == [(5, "5", "x")]
+    trimmed = DL.csv_files_by_header(spark, [str(tmp_path / f"t {i}+ä.csv") for i in range(4)], trim=True)
+    assert set(trimmed) == {("a", "count"), ("count", "a", "b")}
+    odd = tmp_path / "odd.csv"
+    odd.write_text(";x;x\n1;2;3\n")
+    assert DL.union_csv_files(spark, [str(odd)]).columns == ["_c0", "x1", "x2"]
