@@ -164,26 +164,32 @@ query(
     ).select("patient_id", "document_date", "histologie_text", "molekularpatho_text")
 )
 
-# The rules with words that occur in the given texts in place of genes and phrases.
+# The rules with words that occur in the given texts in place of genes and results.
 WORDS = ["The", "und", "les", "Der", "and"]
-POSITIVE = [" on ", " ist ", " et "]
-NEGATIVE = ["sch", " la "]
+POSITIVE = ["on", "ist", "et", "von"]
+NEGATIVE = ["la", "die", "thth"]
 
 
-def any_sql(column: str, phrases: list[str]) -> str:
-    return "(" + " OR ".join(f"contains({column}, '{p}')" for p in phrases) + ")"
+def forms_sql(words: list[str]) -> str:
+    return "(" + ", ".join(f"'{w}{e}'" for w in words for e in ("", "e", "er", "es", "en", "em")) + ")"
 
 
-SENTENCES_SQL = f"""SELECT doc_id, s FROM (SELECT doc_id, {strip_sql("unnest(string_split_regex(regexp_replace(text, '([.;!?])\\s+', '\\1' || chr(1), 'g'), '\\x01|\\n+'))")} AS s FROM documents) WHERE s <> ''"""
-GENES_SQL = " UNION ALL ".join(
-    f"""SELECT doc_id, '{w}' AS gene, NOT {any_sql('s', NEGATIVE)} AS mutated, s AS evidence_text FROM ({SENTENCES_SQL})
-        WHERE regexp_matches(s, '(^|[^A-Za-z0-9]){w}([^A-Za-z0-9]|$)') AND ({any_sql('s', POSITIVE)} OR {any_sql('s', NEGATIVE)})"""
-    for w in WORDS
-)
+# Every word of every sentence with its place and its clause; then each gene ranks the results.
+SENTENCES_SQL = f"""SELECT doc_id, row_number() OVER () AS sentence, s FROM (SELECT doc_id, {strip_sql("unnest(string_split_regex(regexp_replace(text, '([.;!?])\\s+', '\\1' || chr(1), 'g'), '\\x01|\\n+'))")} AS s FROM documents) WHERE s <> ''"""
+PLACED_SQL = f"""SELECT *, CASE WHEN lower(w) IN {forms_sql(NEGATIVE)} THEN 'negative' WHEN lower(w) IN {forms_sql(POSITIVE)} THEN 'positive' WHEN w IN ({", ".join(f"'{w}'" for w in WORDS)}) THEN 'gene' END AS kind
+    FROM (SELECT *, row_number() OVER (PARTITION BY sentence ORDER BY clause, i) AS at, words[i] AS w FROM
+        (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM
+            (SELECT doc_id, sentence, s, clause, regexp_extract_all(clauses[clause], '[\\pL\\pN]+') AS words FROM
+                (SELECT *, unnest(range(1, len(clauses) + 1)) AS clause FROM (SELECT *, string_split_regex(s, '[,;]') AS clauses FROM ({SENTENCES_SQL}))))))"""
+GENES_SQL = f"""WITH placed AS MATERIALIZED (SELECT * FROM ({PLACED_SQL}) WHERE kind IS NOT NULL)
+    SELECT DISTINCT ON (doc_id, sentence, gene, mutated) doc_id, gene, mutated, evidence_text FROM
+        (SELECT g.doc_id, g.sentence, g.w AS gene, r.kind = 'positive' AS mutated, g.s AS evidence_text, row_number() OVER (PARTITION BY g.sentence, g.at ORDER BY
+            r.clause <> g.clause, r.clause <> g.clause AND r.at < g.at, abs(r.at - g.at), r.at < g.at) AS rank
+        FROM placed g JOIN placed r ON r.sentence = g.sentence AND g.kind = 'gene' AND r.kind <> 'gene') WHERE rank = 1"""
 
 
 def genes(t):
-    found = LT.rule_findings("text", F.lit("2020-05-01"), WORDS, POSITIVE, NEGATIVE)["genes"]
+    found = LT.rule_findings("text", F.lit("2020-05-01"), WORDS, POSITIVE, NEGATIVE, [])["genes"]
     return t.documents.select("doc_id", F.inline(found)).select("doc_id", "gene", "mutated", "evidence_text", "date")
 
 

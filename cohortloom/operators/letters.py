@@ -142,20 +142,84 @@ def letter_prompt(letters: DataFrame, name: str = "prompt") -> DataFrame:
     return letters.withColumn(name, F.concat_ws("\n\n", *parts))
 
 
-# Phrases of results and genes usually tested in leukaemia.
+# Phrases of results, words that turn a result round, and genes usually tested in leukaemia.
 MUTATED_PHRASES = ["nachgewiesen", "nachweisbar", "positiv", "Nachweis einer", "mutiert"]
-WILDTYPE_PHRASES = ["Wildtyp", "nicht nachweisbar", "negativ", "unauffällig", "kein Nachweis"]
+WILDTYPE_PHRASES = ["Wildtyp", "nicht nachweisbar", "negativ", "unauffällig", "kein Nachweis", "unmutiert"]
+NEGATORS = ["nicht", "kein", "keine", "keinen", "keiner", "ohne", "weder"]
 GENES = [
     "FLT3", "NPM1", "TP53", "IDH1", "IDH2", "CEBPA", "RUNX1", "ASXL1", "DNMT3A", "KIT", "NRAS",
     "KRAS", "TET2", "WT1", "BCR-ABL", "PML-RARA", "KMT2A", "GATA2", "JAK2", "SF3B1", "SRSF2",
 ]
 
+_BEFORE, _AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+_WORD = r"[\p{L}\p{N}]+"
 
-def _any(text: Column, phrases: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for p in phrases:
-        out = out | text.contains(p)
-    return out
+
+def _one_of(phrases: Sequence[str]) -> str:
+    """Pattern of whole phrases, the longest first."""
+    return "(?:" + "|".join(r"\Q" + p.strip() + r"\E" for p in sorted(phrases, key=len, reverse=True)) + ")"
+
+
+def _mention_pattern(genes: Sequence[str], mutated: Sequence[str], wildtype: Sequence[str], negators: Sequence[str]) -> str:
+    """Groups: a negative result, a positive one, a gene, the border of a clause.
+
+    Results are whole words in any case and with any German ending. A positive one is negative
+    behind a negator with at most two words in small letters between, and before "nein" or "nicht".
+    """
+    ending = "(?:e[rsnm]?)?" + _AFTER
+    positive = _one_of(mutated) + ending
+    negative = [_one_of(wildtype) + ending]
+    if negators:
+        negative.insert(0, f"{_one_of(negators)}\\s+(?:[\\p{{Ll}}-]+\\s+){{0,2}}{positive}")
+        negative.insert(1, f"{positive}\\s*:?\\s*(?:nein|nicht){_AFTER}")
+    return f"{_BEFORE}(?:(?iu:({'|'.join(negative)})|({positive}))|({_one_of(genes)}){_AFTER})|([,;])"
+
+
+def gene_results(sentence: Column, genes: Sequence[str], mutated: Sequence[str], wildtype: Sequence[str], negators: Sequence[str]) -> Column:
+    """Genes of a sentence with their results, as array of struct(gene, mutated), each pair once.
+
+    Every mention of a gene is bound to the nearest result of its clause, counted in words, of two
+    equally near ones to the one behind it. A clause without a result, as in a list of genes, takes
+    that of the next clause with one, or else of the last before it.
+    """
+    # Mentions become records of their groups between marks: text, record, text, record, ..., text.
+    pattern = _mention_pattern(genes, mutated, wildtype, negators)
+    parts = F.split(F.regexp_replace(sentence, pattern, "\u0001$1\u0002$2\u0002$3\u0002$4\u0001"), "\u0001", -1)
+    kinds = ["negative", "positive", "gene", "border"]
+    state = "struct<at:int,clause:int,found:array<struct<kind:string,name:string,at:int,clause:int>>>"
+
+    def step(acc: Column, part: Column) -> Column:
+        fields = F.split(part, "\u0002", -1)
+        record = F.size(fields) == len(kinds)
+        kind = F.coalesce(*[F.when(F.get(fields, F.lit(i)) != "", F.lit(k)) for i, k in enumerate(kinds)])
+        border = kind == "border"
+        words = F.when(record, F.when(border, 0).otherwise(1)).otherwise(F.size(F.regexp_extract_all(part, F.lit(_WORD), F.lit(0))))
+        mention = F.struct(kind.alias("kind"), F.get(fields, F.lit(2)).alias("name"), acc["at"].alias("at"), acc["clause"].alias("clause"))
+        return F.struct(
+            (acc["at"] + words).cast("int").alias("at"),
+            (acc["clause"] + F.when(record & border, 1).otherwise(0)).cast("int").alias("clause"),
+            F.when(record & ~border, F.concat(acc["found"], F.array(mention))).otherwise(acc["found"]).alias("found"),
+        ).cast(state)
+
+    first = F.struct(F.lit(0).alias("at"), F.lit(0).alias("clause"), F.array().cast("array<struct<kind:string,name:string,at:int,clause:int>>").alias("found"))
+
+    def bound(found: Column) -> Column:
+        results = F.filter(found, lambda m: m["kind"] != "gene")
+
+        def of(gene: Column) -> Column:
+            def rank(r: Column) -> Column:
+                same, before = r["clause"] == gene["clause"], r["at"] < gene["at"]
+                return F.struct(
+                    (~same).alias("other"), (~same & before).alias("back"), F.abs(r["at"] - gene["at"]).alias("far"), before.alias("before"), (r["kind"] == "positive").alias("mutated")
+                )
+
+            return F.struct(gene["name"].alias("gene"), F.array_min(F.transform(results, rank))["mutated"].alias("mutated"))
+
+        return F.transform(F.filter(found, lambda m: m["kind"] == "gene"), of)
+
+    found = F.aggregate(parts, first.cast(state), step, lambda acc: acc["found"])
+    pairs = F.flatten(F.transform(F.array(found), bound))
+    return F.array_distinct(F.filter(pairs, lambda p: p["mutated"].isNotNull()))
 
 
 def rule_findings(
@@ -164,13 +228,14 @@ def rule_findings(
     genes: Sequence[str] = GENES,
     mutated: Sequence[str] = MUTATED_PHRASES,
     wildtype: Sequence[str] = WILDTYPE_PHRASES,
+    negators: Sequence[str] = NEGATORS,
 ) -> dict[str, Column]:
     """Baseline extraction from the whole text, sentence by sentence, without Python.
 
-    A gene counts where its sentence states a result; negative phrases win. Karyotypes come from
-    sentences that name them, risk categories only where stated. Findings stand in the order of
-    their sentences, which are kept whole as evidence; the date is that of the sentence, without
-    one that of the document.
+    Genes count where ``gene_results`` finds a result for them. Karyotypes come from sentences that
+    name them, risk categories only where stated. Findings stand in the order of their sentences,
+    which are kept whole as evidence; the date is that of the sentence, without one that of the
+    document.
     """
     c = F.col(text) if isinstance(text, str) else text
 
@@ -180,35 +245,26 @@ def rule_findings(
     sentences = F.filter(
         F.transform(F.split(c, r"(?<=[.;!?])\s+|\n+"), X.strip_blank), lambda s: s != ""
     )
+    # Only sentences with a gene and a result are looked at closer.
+    any_gene = _BEFORE + _one_of(genes) + _AFTER
+    any_result = f"(?iu){_BEFORE}{_one_of([*mutated, *wildtype])}"
+    stated = F.transform(
+        F.filter(sentences, lambda s: s.rlike(any_gene) & s.rlike(any_result)),
+        lambda s: F.struct(s.alias("s"), date_of(s).alias("date"), gene_results(s, genes, mutated, wildtype, negators).alias("found")),
+    )
 
-    def word(g: str, s: Column) -> Column:
-        return s.rlike(r"(?<![A-Za-z0-9])\Q" + g + r"\E(?![A-Za-z0-9])")
-
-    def dated(picked: Column) -> Column:
-        """Sentences with what several findings of one share, worked out once."""
+    def genes_in(x: Column) -> Column:
         return F.transform(
-            picked, lambda s: F.struct(s.alias("s"), date_of(s).alias("date"), (~_any(s, wildtype)).alias("mutated"))
+            x["found"],
+            lambda g: F.struct(
+                g["gene"].alias("gene"),
+                g["mutated"].alias("mutated"),
+                F.lit(None).cast("string").alias("variant_detail"),
+                x["date"].alias("date"),
+                x["s"].alias("evidence_text"),
+            ),
         )
 
-    stated = dated(F.filter(sentences, lambda s: _any(s, wildtype) | _any(s, mutated)))
-
-    def genes_in(x: Column) -> Column:
-        s = x["s"]
-        found = [
-            F.when(
-                word(g, s),
-                F.struct(
-                    F.lit(g).alias("gene"),
-                    x["mutated"].alias("mutated"),
-                    F.lit(None).cast("string").alias("variant_detail"),
-                    x["date"].alias("date"),
-                    s.alias("evidence_text"),
-                ),
-            )
-            for g in genes
-        ]
-        return F.array_compact(F.array(*found))
-
     def classify(s: Column) -> Column:
         low = F.lower(s)
         return (

@@ -309,6 +309,28 @@ def test_negative_phrases_win(spark):
     assert {(r["gene"], r["mutated"], r["date"]) for r in df.collect()} == {("FLT3", False, "2020"), ("NPM1", True, "2020"), ("TP53", False, "2020")}
 
 
+@pytest.mark.parametrize("sentence, want", [
+    ("NPM1 positiv, FLT3 negativ.", "NPM1+ FLT3-"),
+    ("NPM1 positiv und FLT3 negativ", "NPM1+ FLT3-"),
+    ("NPM1, FLT3 und IDH1 negativ.", "NPM1- FLT3- IDH1-"),
+    ("Nachweis einer Mutation in NPM1, FLT3 und IDH1", "NPM1+ FLT3+ IDH1+"),
+    ("FLT3 negativ, NPM1, TP53 mutiert", "FLT3- NPM1+ TP53+"),
+    ("kein Nachweis einer NPM1-Mutation, FLT3-ITD nachweisbar", "NPM1- FLT3+"),
+    ("NPM1 nicht sicher nachweisbar; TP53: positiv", "NPM1- TP53+"),
+    ("NPM1 mutiert: nein, KIT mutiert: ja", "NPM1- KIT+"),
+    ("BCR-ABL Positiv, JAK2 Negativer Befund", "BCR-ABL+ JAK2-"),
+    ("NPM1 unmutiert, FLT3 mutierte Variante", "NPM1- FLT3+"),
+    ("Die Postpositivität von NPM1 bleibt offen", ""),
+    ("FLT3X positiv und xKIT negativ", ""),
+    ("NPM1 positiv, NPM1 negativ", "NPM1+ NPM1-"),
+    ("Weder ASXL1 noch RUNX1, nur CEBPA", ""),
+    ("weder nachgewiesen bei WT1", "WT1-"),
+])
+def test_each_gene_takes_its_own_result(spark, sentence, want):
+    df = spark.createDataFrame([(sentence,)], "v string").select(F.inline(LT.rule_findings("v", F.lit("2020"))["genes"]))
+    assert " ".join(f"{r['gene']}{'+' if r['mutated'] else '-'}" for r in df.collect()) == want
+
+
 def test_site_table_without_key_is_an_error(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text(";diagnosis_year ;count\n0;2000;3\n1;2001;4\n")
     (tmp_path / "b.csv").write_text(";diagnosis_year;count\n0;2000;5\n")
