@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,53 +26,81 @@ def strip_tags(text: Column | str) -> Column:
     return F.nullif(strip_blank(F.regexp_replace(_col(text).cast("string"), TAG, "")), F.lit(""))
 
 
-def _named_characters() -> dict[str, str]:
-    """Entity names of XML, of Latin-1 and of common punctuation; a no-break space becomes a blank."""
-    more = "ndash mdash lsquo rsquo sbquo ldquo rdquo bdquo hellip bull dagger permil euro trade le ge ne asymp"
-    named = {n: chr(p) for n, p in name2codepoint.items() if p < 256 or n in more.split()}
-    return {**named, "apos": "'", "nbsp": " "}
+# Markup of a page: comments (an open one runs to the end), declarations, and tags, whose quoted
+# attributes may hold ``>``; a tag that the text ends in goes too. ``<`` before a blank is text.
+REST = r"(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>"
+COMMENT = r"(?s)<!--.*?(?:-->|$)"
+MARKUP = r"(?s)</?[A-Za-z](?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+(?:>|$)|</?[A-Za-z][^>]*(?:>|$)|<[!?/][^>]*(?:>|$)"
+
+
+def _texts_by_name(names: dict[str, str]) -> Column:
+    """A map from text to text as one literal."""
+    return F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in names.items())), F.lit("\u0001"), F.lit("\u0002"))
 
 
 def decode_entities(text: Column | str) -> Column:
     """Named and numeric character references, each decoded once; unknown ones stay as they are.
 
-    Numbers that are no characters become the replacement character, as in a browser.
+    All names of HTML count, the old ones also without their semicolon and before further letters
+    (the longest that fits). Numbers 128 to 159 are those of Windows, as browsers read them; numbers
+    that are no characters become the replacement character. A no-break space becomes a blank.
     """
-    names = F.create_map(*[F.lit(x) for pair in _named_characters().items() for x in pair])
+    blank = {"\u00a0": " "}
+    closed = {n[:-1]: blank.get(c, c) for n, c in html5.items() if n.endswith(";")}
+    old = {n: blank.get(c, c) for n, c in html5.items() if not n.endswith(";")}
+    windows = {str(n): c for n in range(128, 160) if (c := bytes([n]).decode("cp1252", "ignore"))}
+    of_closed, of_old, of_windows = _texts_by_name(closed), _texts_by_name(old), _texts_by_name(windows)
+
+    def numbered(part: Column) -> Column:
+        name = F.regexp_extract(part, "^#([0-9]{1,9}|[xX][0-9a-fA-F]{1,7});?", 1)
+        number = F.when(name.rlike("^[xX]"), F.conv(F.substring(name, 2, 8), 16, 10)).otherwise(name).try_cast("bigint")
+
+        def char(n: Column) -> Column:
+            wide = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+            sound = (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+            return F.when(n == 160, F.lit(" ")).when(n.between(128, 159), F.coalesce(F.try_element_at(of_windows, n.cast("string")), wide)).when(sound, wide).when(n.isNotNull(), F.lit("\ufffd"))
+
+        rest = F.regexp_replace(part, "^#(?:[0-9]{1,9}|[xX][0-9a-fA-F]{1,7});?", "")
+        return F.when(name != "", F.concat(F.get(F.transform(F.array(number), char), 0), rest))
+
+    def named(part: Column) -> Column:
+        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        whole = F.concat(F.try_element_at(of_closed, name), F.substring(part, F.length(name) + 2, F.length(part)))
+        lengths = sorted({len(n) for n in old}, reverse=True)
+        prefixes = [F.concat(F.try_element_at(of_old, F.substring(part, 1, n)), F.substring(part, F.lit(n + 1), F.length(part))) for n in lengths]
+        return F.when(part.rlike("^[A-Za-z]"), F.coalesce(F.when(name != "", whole), *prefixes))
 
     def decoded(part: Column) -> Column:
-        name = F.regexp_extract(part, "^(#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
-        number = F.when(
-            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 9), 16, 10)
-        ).when(name.startswith("#"), F.substring(name, 2, 9)).cast("bigint")
-        wide = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        sound = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
-        char = (
-            F.when(number == 160, F.lit(" "))
-            .when(sound, wide)
-            .when(number.isNotNull(), F.lit("\ufffd"))
-            .otherwise(F.get(F.transform(F.array(name), lambda n: names[n]), 0))
-        )
-        rest = F.substring(part, F.length(name) + 2, F.length(part))
-        return F.coalesce(F.when(name != "", F.concat(char, rest)), F.concat(F.lit("&"), part))
+        return F.coalesce(F.when(part.startswith("#"), numbered(part)).otherwise(named(part)), F.concat(F.lit("&"), part))
 
     parts = F.split(_col(text), "&", -1)
     return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
 
 
+def _plain_sections(html: Column) -> Column:
+    """What ``<![CDATA[...]]>`` holds as text whose signs are no markup; an open one runs to the end."""
+
+    def opened(part: Column, i: Column) -> Column:
+        held = F.split(part, "\\]\\]>", 2)
+        inside = F.replace(F.replace(held[0], F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.when(i == 0, part).otherwise(F.concat(inside, F.coalesce(F.get(held, 1), F.lit(""))))
+
+    return F.array_join(F.transform(F.split(html, r"<!\[CDATA\[", -1), opened), "")
+
+
 def html_to_text(html: Column | str) -> Column:
     """Plain text with ``#`` headings, ``-`` items and paragraphs; scripts and styles removed."""
-    c = _col(html)
+    c = _plain_sections(_col(html))
     for pattern, new in [
-        (r"(?is)<!--.*?-->", ""),
-        (r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", ""),
+        (COMMENT, ""),
+        (r"(?is)<(script|style)\b" + REST + r".*?(?:</\1\s*>|$)", ""),
         (r"(?i)<br\s*/?>", "\n"),
-        (r"(?i)<h1\b[^>]*>", "\n\n# "),
-        (r"(?i)<h2\b[^>]*>", "\n\n## "),
-        (r"(?i)<h3\b[^>]*>", "\n\n### "),
-        (r"(?i)<li\b[^>]*>", "\n- "),
-        (r"(?i)</?(p|div|section|article|table|ul|ol|h[1-6]|tr)\b[^>]*>", "\n\n"),
-        (TAG, ""),
+        (r"(?i)<h1\b" + REST, "\n\n# "),
+        (r"(?i)<h2\b" + REST, "\n\n## "),
+        (r"(?i)<h3\b" + REST, "\n\n### "),
+        (r"(?i)<li\b" + REST, "\n- "),
+        (r"(?i)</?(p|div|section|article|table|ul|ol|h[1-6]|tr)\b" + REST, "\n\n"),
+        (MARKUP, ""),
     ]:
         c = F.regexp_replace(c, pattern, new)
     c = decode_entities(c)
@@ -105,7 +133,7 @@ def extract_section(xml: Column | str, section_id: str) -> Column:
         body, F.lit(r"(?is)<content\b[^>]*>(.*?)</content\s*>"), F.lit(1)
     )
     texts = F.filter(
-        F.transform(contents, lambda t: strip_blank(decode_entities(F.regexp_replace(t, TAG, "")))),
+        F.transform(contents, lambda t: strip_blank(decode_entities(F.regexp_replace(t, MARKUP, "")))),
         lambda t: t != "",
     )
     return F.nullif(F.array_join(texts, "\n\n"), F.lit(""))

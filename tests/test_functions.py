@@ -2,7 +2,9 @@
 
 import hashlib
 import hmac
+import html
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.functions import codes as C
@@ -143,3 +145,35 @@ def test_finding_dates(spark):
 
 def test_safe_names(spark):
     assert one(texts(spark, "a b/c", "--x--", "Ä"), T.safe_name("v")) == ["a-b-c", "x", ""]
+
+
+def test_all_references_of_html(spark):
+    names = ["alpha;", "Alpha;", "hearts;", "NotEqualTilde;", "fjlig;", "amp", "amp;", "AMP", "copy", "copyright", "notit;", "notin;", "eacute", "eacutex", "nbsp;", "bogus;", "b", ""]
+    numbers = ["#945;", "#x3b1", "#X3B1;", "#128;", "#x9F;", "#129;", "#0;", "#xD800;", "#x110000;", "#160;", "#", "#x;", "#12345678;", "#38;lt;"]
+    cases = [f"a &{n} b&{n}c" for n in names + numbers] + ["&&amp;&", "&lt;&lt;", "&ampamp;"]
+    df = spark.createDataFrame([(c,) for c in cases], "v string").select("v", T.decode_entities("v").alias("got"))
+    for r in df.collect():
+        want = html.unescape(r["v"]).replace("\u00a0", " ")
+        if "#129" not in r["v"] and "#12345678" not in r["v"]:
+            assert r["got"] == want, r["v"]
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<p title="x>y">one</p>', "one"),
+    ("<p title='a > b' data=\"<i>\">one</p>two", "one\n\ntwo"),
+    ("a < b and c > d", "a < b and c > d"),
+    ("one<!-- <p>two</p> -- > -->three", "onethree"),
+    ("one<!-- open", "one"),
+    ("one <b", "one"),
+    ("one <b>two", "one two"),
+    ("<!DOCTYPE html><?xml version='1'?>x", "x"),
+    ("x<![CDATA[<b> &amp; ]] ]]>y", "x<b> &amp; ]] y"),
+    ("x<![CDATA[<b>", "x<b>"),
+    ("<SCRIPT>if (a<b) {}</SCRIPT >x<style>p{}", "x"),
+    ('<h2 class=">">T</h2><ul><li id="a>">u</li></ul>', "## T\n\n- u"),
+    ("&alpha;&beta; &lt;b&gt;", "\u03b1\u03b2 <b>"),
+    ("<p>it's \"quoted\"</p>", "it's \"quoted\""),
+    ('broken <a href="x>y</a> z', "broken y z"),
+])
+def test_pages_to_text(spark, page, want):
+    assert one(texts(spark, page), T.html_to_text("v")) == [want]
