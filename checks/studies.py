@@ -438,19 +438,22 @@ query(
     )
 )
 
-# Every document carries a long report: many mentions of few genes, with dates in the sentences.
-_GENES = ["FLT3", "NPM1", "TP53", "IDH1", "IDH2", "KIT", "NRAS"]
-_REPORT = (
-    "12/19: NPM1 negativ. 03/20: NPM1 positiv. "
-    + " ".join(f"{g} positiv." for g in _GENES) * 4
-    + " Zytogenetik am 13.12.19: komplex aberranter Karyotyp. ELN-Risiko: ungünstig. "
-    + "Karyotyp " + "x" * 400 + ". TP53 " + "y" * 400 + " negativ."
-)
+# Each document's own text as a letter, with findings that depend on the document around it.
+_GENES = ["FLT3", "IDH1", "IDH2", "KIT", "NRAS"]
+
+
+def _gene(shift: int) -> str:
+    return "CASE (doc_id + " + str(shift) + ") % 5 " + " ".join(f"WHEN {i} THEN '{g}'" for i, g in enumerate(_GENES)) + " END"
+
+
+_REPORT = f"""concat('12/19: NPM1 negativ. 03/20: NPM1 positiv. ', {_gene(0)}, ' positiv, ', {_gene(1)}, ' nicht nachweisbar und ', {_gene(2)}, ' Wildtyp.\\n',
+    replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'),
+    '\\nZytogenetik am 13.12.19: komplex aberranter Karyotyp. ELN-Risiko: ungünstig. Karyotyp {"x" * 400}. TP53 {"y" * 400} negativ.')"""
 
 
 def reports(t):
     return t.documents.selectExpr(
-        f"concat('<section id=\"M5_Therapie\"><content>', '{_REPORT}', '</content></section>') AS xmldocument",
+        f"concat('<section id=\"M5_Therapie\"><content>', {_REPORT}, '</content></section>') AS xmldocument",
         "doc_id AS patid",
         "'A' AS patientaccountid",
         "'2021-05-01' AS lastsaveddatetime",
@@ -459,10 +462,10 @@ def reports(t):
     )
 
 
-_OTHERS = " UNION ALL ".join(f"SELECT '{g}' AS gene, true AS mutated, '2021-05-01' AS date" for g in _GENES if g != "NPM1")
 query(
     "letter_study_genes",
-    f"SELECT cast(doc_id as varchar) AS patient_mrn, gene, mutated, date FROM documents, (SELECT 'NPM1' AS gene, false AS mutated, '2019-12' AS date UNION ALL {_OTHERS})",
+    "SELECT cast(doc_id as varchar) AS patient_mrn, 'NPM1' AS gene, false AS mutated, '2019-12' AS date FROM documents"
+    + "".join(f" UNION ALL SELECT cast(doc_id as varchar), {_gene(i)}, {i == 0}, '2021-05-01' FROM documents" for i in range(3)),
 )(lambda t: letter_study(reports(t))["genes"].select("patient_mrn", "gene", "mutated", "date"))
 query(
     "letter_study_karyotypes",

@@ -110,17 +110,32 @@ query(
     "SELECT count(*) AS documents, count(*) FILTER (doc_id % 5 = 0) AS skipped FROM documents",
 )(lambda t: LT.skipped_documents(documents(t)))
 
-# Entities, numeric references and nested sections, with the expected text written down.
-query("entities_decoded", """SELECT r_regionkey, 'Müller unauffällig ä &lt; 😀 &bogus; é' AS text FROM region""")(
-    lambda t: t.region.select(
-        "r_regionkey", X.decode_entities(F.lit("M&uuml;ller unauff&auml;llig &#228; &amp;lt; &#x1F600; &bogus; &eacute;")).alias("text")
-    )
+# The documents' own texts with signs and letters written as references; later ones hold no earlier sign.
+REFERENCES = [("&", "&amp;"), ("<", "&lt;"), (">", "&GT;"), ("e", "&#x65;"), ("ü", "&uuml;"), ("é", "&eacute;"), ("ä", "&#228;"), ("ß", "&#223;"), ("α", "&alpha;")]
+
+
+def referenced(text: str) -> str:
+    for sign, reference in REFERENCES:
+        text = f"replace({text}, '{sign}', '{reference}')"
+    return text
+
+
+query("entities_decoded", "SELECT doc_id, replace(text, chr(160), ' ') AS text FROM documents")(
+    lambda t: t.documents.select("doc_id", X.decode_entities(F.expr(referenced("text"))).alias("text"))
 )
-_NESTED = '<d><SECTION ID="a"><content>one</content><section id="b"><content>two</content></section><content>three</content></SECTION><section><content>four</content></section></d>'
-query("nested_sections", "SELECT r_regionkey, concat('one', chr(10), chr(10), 'two', chr(10), chr(10), 'three') AS outer_text, 'two' AS inner_text FROM region")(
-    lambda t: t.region.select(
-        "r_regionkey", X.extract_section(F.lit(_NESTED), "a").alias("outer_text"), X.extract_section(F.lit(_NESTED), "b").alias("inner_text")
-    )
+
+
+def nested_sql(*parts: str) -> str:
+    return "nullif(concat_ws(chr(10) || chr(10), " + ", ".join(f"nullif({p}, '')" for p in parts) + "), '')"
+
+
+_TEXT_SQL = strip_sql("replace(text, chr(160), ' ')")
+query("nested_sections", f"SELECT doc_id, {nested_sql('source', _TEXT_SQL, 'lang')} AS outer_text, {nested_sql(_TEXT_SQL)} AS inner_text FROM documents")(
+    lambda t: t.documents.selectExpr(
+        "doc_id",
+        f"""concat('<d><SECTION ID="a"><content>', source, '</content><section id="b"><content title="x>y">', coalesce({referenced("text")}, ''),
+            '</content></section><content>', lang, '</content></SECTION><section><content>four</content></section></d>') AS page""",
+    ).select("doc_id", X.extract_section("page", "a").alias("outer_text"), X.extract_section("page", "b").alias("inner_text"))
 )
 
 query(

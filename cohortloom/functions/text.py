@@ -130,7 +130,7 @@ def extract_section(xml: Column | str, section_id: str) -> Column:
 
     body = F.array_join(F.slice(pieces, 1, F.aggregate(pieces, first, step)["n"]), "")
     contents = F.regexp_extract_all(
-        body, F.lit(r"(?is)<content\b[^>]*>(.*?)</content\s*>"), F.lit(1)
+        body, F.lit(r"(?is)<content\b" + REST + r"(.*?)</content\s*>"), F.lit(1)
     )
     texts = F.filter(
         F.transform(contents, lambda t: strip_blank(decode_entities(F.regexp_replace(t, MARKUP, "")))),
