@@ -270,13 +270,19 @@ query(
         FROM ({VQ.SURGERY_SQL}) WHERE reason_reference IS NULL OR subject_reference IS NULL OR therapy_start_date IS NULL""",
 )(lambda t: T.group_surgeries(V.surgeries(H.procedure(t))))
 
-# One group per return flag, of tens of thousands of rows: its shape is that of a small one.
+# The lines of an order are few; those of a return flag are a third of all, and go into pages.
 query(
     "ordered_concat",
-    """SELECT l_returnflag, string_agg(cast(l_orderkey as varchar), '| ' ORDER BY l_orderkey) AS l_orderkey FROM lineitem GROUP BY 1""",
+    """SELECT l_orderkey, string_agg(cast(l_partkey as varchar), '| ' ORDER BY l_linenumber, cast(l_partkey as varchar)) AS l_partkey FROM lineitem GROUP BY 1""",
 )(
-    lambda t: T.ordered_concat(t.lineitem.select("l_returnflag", "l_orderkey"), ["l_returnflag"], "l_orderkey", ["l_orderkey"])
+    lambda t: T.ordered_concat(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey"], "l_linenumber", ["l_partkey"])
 )
+query(
+    "paged_concat",
+    """SELECT l_returnflag, CAST(floor(place / 2000) + 1 AS BIGINT) AS page, string_agg(v, '| ' ORDER BY place) AS l_partkey FROM
+        (SELECT l_returnflag, v, coalesce(sum(length(v) + 2) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+         FROM (SELECT l_returnflag, l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS v FROM lineitem)) GROUP BY 1, 2""",
+)(lambda t: T.paged_concat(t.lineitem, ["l_returnflag"], ["l_orderkey", "l_linenumber"], "l_partkey", page=2000))
 
 METASTASIS_SQL = VQ.METASTASES_SQL
 query(

@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.dates import months_since
 from cohortloom.operators.ordering import top_per_key
+from cohortloom.operators.quantiles import join_null_safe
 from cohortloom.operators.skew import spread_join
+from cohortloom.session import materialise
 
 SEP = "| "
 
@@ -36,6 +38,7 @@ def ordered_concat(
 ) -> DataFrame:
     """Children of a group in id order, repeats kept, NULLs skipped, as one cell per column.
 
+    For groups with a natural bound, such as the surgeries of a day; ``paged_concat`` takes any.
     Rows whose keys are all known give one row for each group, whatever its size. Rows with a NULL
     key belong to no group and stay single, so the only group without natural bound is never built.
     """
@@ -54,6 +57,42 @@ def ordered_concat(
     return grouped.unionByName(single)
 
 
+def paged_concat(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, sep: str = SEP, page: int = 1 << 20
+) -> DataFrame:
+    """Values of a group in ``order`` as cells of bounded length: ``keys``, ``page`` (1, 2, ...), ``col``.
+
+    A value belongs to the page in which its place in the joined text of its group begins, so a cell
+    has at most ``page`` characters and one value; joined again by ``sep`` the pages give the whole
+    text. NULL values are skipped, a group without values has no page, NULL keys are a group.
+
+    Rows are dealt by ranges of keys and order and stored once. Lengths of earlier ranges, a small
+    row each, and running sums inside a range give each value its place, so a group of any size is
+    worked on by many tasks, each of which holds a page at a time.
+    """
+    keys = list(keys)
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    text = F.col(col).cast("string")
+    rows = df.where(text.isNotNull()).select(
+        *[F.col(k).alias(n) for k, n in names.items()],
+        *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+        text.alias("_text"),
+        (F.char_length(text) + len(sep)).cast("bigint").alias("_length"),
+    )
+    sorting = [F.asc_nulls_first(c) for c in [*names.values(), *[f"_o{i}" for i in range(len(order))], "_text"]]
+    ranged = rows.repartitionByRange(*sorting).withColumn("_part", F.spark_partition_id())
+    stored = materialise(ranged, "paged")
+    piece = [*names.values(), "_part"]
+    sums = stored.groupBy(*piece).agg(F.sum("_length").alias("_sum"))
+    earlier = Window.partitionBy(*names.values()).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sums.select(*piece, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy(*piece).orderBy(*sorting[len(keys) :]).rowsBetween(Window.unboundedPreceding, -1)
+    placed = join_null_safe(stored, shifts, piece, "inner").withColumn("_at", F.coalesce(F.sum("_length").over(inside), F.lit(0)) + F.col("_shift"))
+    paged = placed.groupBy(*names.values(), (F.floor(F.col("_at") / page) + 1).alias("page"))
+    cells = paged.agg(F.array_sort(F.collect_list(F.struct("_at", "_text"))).alias("_all"))
+    return cells.select(*[F.col(n).alias(k) for k, n in names.items()], "page", F.array_join("_all._text", sep).alias(col))
+
+
 def group_surgeries(surgeries: DataFrame) -> DataFrame:
     """Surgeries of one known condition, patient and day in one row; others stay single."""
     return ordered_concat(

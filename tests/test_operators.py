@@ -370,3 +370,17 @@ def test_quantiles_of_any_group(spark, rows):
     (whole,) = QT.exact_quantiles(df, [], ["y"], [0.5], interpolated=False).collect()
     assert whole[0] == [sorted(r[2] for r in data if r[2] is not None)[len([r for r in data if r[2] is not None]) // 2 - (len([r for r in data if r[2] is not None]) % 2 == 0)]]
     assert QT.exact_quantiles(df.limit(0), ["g"], ["x"], probs).collect() == []
+
+
+def test_pages_of_any_group(spark):
+    rng = random.Random(6)
+    data = [(rng.choice(["hot", "hot", "a", None]), i, rng.choice([None, "", "x" * rng.randrange(30)])) for i in range(900)] + [("none", 1, None), ("long", 1, "y" * 500)]
+    df = spark.createDataFrame(data, "g string, page int, v string").repartition(5)
+    found = {}
+    for r in T.paged_concat(df, ["g"], ["page"], "v", page=100).collect():
+        found[r["g"], r["page"]] = r["v"]
+        assert len(r["v"]) <= 100 + 30 or r["g"] == "long"
+    for g in ("hot", "a", None, "long"):
+        pages = [found[k] for k in sorted((k for k in found if k[0] == g), key=lambda k: k[1])]
+        assert "| ".join(pages) == "| ".join(v for k, _, v in sorted(data, key=lambda r: r[1]) if k == g and v is not None)
+    assert not any(k[0] == "none" for k in found) and sum(k[0] == "hot" for k in found) > 20
