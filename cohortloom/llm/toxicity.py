@@ -29,6 +29,8 @@ from cohortloom.llm.labelled import (
 HELD = (3, 1)
 #: Most labelled rows that a model is fitted on.
 SAMPLE = 40_000
+#: Words that a task remembers; it forgets all and goes on beyond that.
+REMEMBERED = 200_000
 #: Words of insult that count without having been learned.
 KNOWN = frozenset("idiot moron stupid loser scum trash worthless pathetic disgusting clown imbecile dumb".split())
 SECOND_PERSON = frozenset(
@@ -54,7 +56,25 @@ def grams(word: str) -> list[str]:
     return [f"={word}", *[word[:n] for n in STEMS if len(word) > n]]
 
 
-def _row(text: str, lexicon: dict[str, float]) -> list[float]:
+def _facts(word: str, lexicon: dict[str, float]) -> tuple[float | None, int, int, int]:
+    """Value of a word (NULL where it is no insult), whether it is masked or stretched, and whether
+    what is behind that is a known insult."""
+    best = max((lexicon.get(g, 0.0) for g in grams(word)), default=0.0)
+    value = best if best or word in KNOWN else None
+    if len(word) == 1:
+        return value, 0, 0, 0
+    plain = word.isalpha()
+    if not plain and any(map(str.isalpha, word)):
+        turned = _INNER.sub("", word.translate(_LEET))
+        return value, 1, 0, int(turned in KNOWN or lexicon.get(f"={turned}", 0.0) > 0)
+    if plain and (m := _AGAIN.sub(r"\1", word)) != word:
+        return value, 0, 1, int(m in KNOWN)
+    return value, 0, 0, 0
+
+
+def _row(text: str, lexicon: dict[str, float], seen: dict[str, tuple] | None = None) -> list[float]:
+    """Features of a text; ``seen`` remembers what is known of a word."""
+    seen = {} if seen is None else seen
     raw = text.split()
     n = len(raw)
     if not n:
@@ -62,10 +82,16 @@ def _row(text: str, lexicon: dict[str, float]) -> list[float]:
     words = [w.strip(_EDGE).lower() for w in raw]
     value: dict[str, float] = {}
     kinds = set(words)
+    masked = spelled = stretched = masked_known = 0
     for w in kinds:
-        best = max((lexicon.get(g, 0.0) for g in grams(w)), default=0.0)
-        if best or w in KNOWN:
-            value[w] = best
+        facts = seen.get(w)
+        if facts is None:
+            facts = seen[w] = _facts(w, lexicon)
+        if facts[0] is not None:
+            value[w] = facts[0]
+        masked += facts[1]
+        stretched += facts[2]
+        masked_known += facts[3]
     hits = [i for i, w in enumerate(words) if w in value]
     known = [words[i] for i in hits if words[i] in KNOWN]
     learned = [words[i] for i in hits if value[words[i]] > 0]
@@ -77,18 +103,6 @@ def _row(text: str, lexicon: dict[str, float]) -> list[float]:
         left = np.abs(at[np.maximum(place - 1, 0)] - hits)
         right = np.abs(at[np.minimum(place, len(at) - 1)] - hits)
         near = int((np.minimum(left, right) <= 5).sum())
-    masked = spelled = stretched = masked_known = 0
-    for w in kinds:
-        if len(w) == 1:
-            continue
-        plain = w.isalpha()
-        if not plain and any(c.isalpha() for c in w):
-            masked += 1
-            turned = _INNER.sub("", w.translate(_LEET))
-            masked_known += turned in KNOWN or lexicon.get(f"={turned}", 0.0) > 0
-        elif plain and (m := _AGAIN.sub(r"\1", w)) != w:
-            stretched += 1
-            masked_known += m in KNOWN
     single = [len(w) == 1 and w.isalpha() for w in words]
     if any(single):
         run = ""
@@ -109,16 +123,19 @@ def _row(text: str, lexicon: dict[str, float]) -> list[float]:
         math.log1p(n), len(known) / n, math.log1p(len(known)), len(set(known)), len(learned) / n,
         math.log1p(len(learned)), len(set(learned)), max((value[w] for w in learned), default=0.0), math.log1p(sums),
         near / (len(hits) or 1), len(you) / n, sum(w.isupper() and len(w) > 1 for w in raw) / n,
-        sum(c.isupper() for c in text) / letters, text.count("!") / n, text.count("?") / n,
+        sum(map(str.isupper, text)) / letters, text.count("!") / n, text.count("?") / n,
         len(_MARKS.findall(text)) / n, masked / len(kinds), spelled / n, stretched / len(kinds), masked_known, peak,
     ]
 
 
 def extractor(lexicon: dict[str, float]):
     """Features of whole UTF-8 texts with a learned lexicon."""
+    seen: dict[str, tuple] = {}
 
     def extract(texts: list[bytes]) -> np.ndarray:
-        rows = [_row(t.decode("utf-8", "replace"), lexicon) for t in texts]
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        rows = [_row(t.decode("utf-8", "replace"), lexicon, seen) for t in texts]
         return np.array(rows, np.float64).reshape(len(texts), len(FEATURES))
 
     return extract
