@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Encodings of pieces that a task remembers; it forgets all and goes on beyond that.
 REMEMBERED = 500_000
 NONE = np.int64(1) << 62
+#: Pieces of more bytes than this go alone where fewer than so many of their length come together.
+LONE, LANES = 1024, 32
 
 
 def byte_letters() -> dict[str, int]:
@@ -51,6 +54,7 @@ class Vocabulary:
         order = np.argsort(pair)
         self.pair, self.rank = pair[order], order.astype(np.int64)
         self.made = np.array([ids[a + b] for a, b in merges], np.int64)
+        self.by_pair: dict[int, int] | None = None
         self.cut = regex.compile(PIECES)
         longest = sorted(self.special, key=len, reverse=True)
         self.mark = regex.compile("|".join(map(regex.escape, longest))) if longest else None
@@ -73,6 +77,10 @@ class Vocabulary:
         shorter, width = 0, 2
         while (lengths > shorter).any():
             at = np.flatnonzero((lengths > shorter) & (lengths <= width))
+            if width > LONE and len(at) < LANES:  # too few for a lockstep to pay
+                for i in at.tolist():
+                    out[i] = self._alone(pieces[i])
+                at = at[:0]
             most = max(1, (1 << 20) // width)
             for i in range(0, len(at), most):
                 self._lockstep(pieces, at[i : i + most], lengths, width, out)
@@ -132,6 +140,54 @@ class Vocabulary:
             out[i] = joined[start:end]
             start = end
 
+    def _alone(self, piece: bytes) -> bytes:
+        """Ids of one long piece by the same tree, a merge at a time."""
+        n = len(piece)
+        width = 1 << (n - 1).bit_length()
+        if self.by_pair is None:
+            self.by_pair = dict(zip(self.pair.tolist(), self.rank.tolist()))
+        by_pair, span, made_of = self.by_pair, self.span, self.made
+        first = self.first[np.frombuffer(piece, np.uint8)]
+        rank = self.ranks(first[:-1], first[1:])
+        level = np.full(width, NONE)
+        level[: n - 1] = np.where(rank < NONE, rank * width + np.arange(n - 1), NONE)
+        levels = [level]
+        while len(level) > 1:
+            level = level.reshape(-1, 2).min(axis=1)
+            levels.append(level)
+        none = int(NONE)
+        tree = array("q", np.concatenate(([NONE], *reversed(levels))).tobytes())
+        ids = array("q", first.astype(np.int64).tobytes())
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n))
+
+        def put(leaf: int, value: int) -> None:
+            node = width + leaf
+            tree[node] = value
+            node >>= 1
+            while node:
+                a, b = tree[2 * node], tree[2 * node + 1]
+                least = a if a < b else b
+                if tree[node] == least:
+                    return
+                tree[node] = least
+                node >>= 1
+
+        while tree[1] < none:
+            order, p = divmod(tree[1], width)
+            q = after[p]
+            r = after[q]
+            made = int(made_of[order])
+            ids[p], ids[q], after[p], before[r] = made, -1, r, p
+            put(q, none)
+            order = by_pair.get(made * span + ids[r]) if r < n else None
+            put(p, none if order is None else order * width + p)
+            o = before[p]
+            if o >= 0:
+                order = by_pair.get(ids[o] * span + made)
+                put(o, none if order is None else order * width + o)
+        left = np.frombuffer(ids, np.int64)
+        return left[left >= 0].astype("<u4").tobytes()
+
     def encode(self, texts: list[str], known: dict[str, bytes]) -> list[bytes]:
         """Ids of each whole text, special strings included. ``known`` remembers pieces."""
         cut, mark = self.cut, self.mark

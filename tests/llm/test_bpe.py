@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -34,6 +35,27 @@ def test_equals_the_library(library):
         assert (ids, vocabulary.decode(ids)) == expected(library, text)
 
 
+@pytest.mark.parametrize("kind", ["one letter", "letters", "base64", "digits"])
+def test_long_pieces_take_time_in_proportion(library, kind):
+    rng = random.Random(3)
+    signs = {"one letter": "a", "letters": "etaoinshrdlu", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "digits": "0123456789"}[kind]
+    text = "".join(rng.choices(signs, k=200_000))
+    vocabulary = bpe.Vocabulary(open(PATH, encoding="utf-8").read())
+    began = time.process_time()
+    (ids,) = vocabulary.encode([text], {})
+    assert time.process_time() - began < 40
+    part = text[:20_000]
+    (short,) = vocabulary.encode([part], {})
+    assert (short, vocabulary.decode(ids)) == (expected(library, part)[0], text)
+
+
+def test_alone_equals_lockstep(library):
+    rng = random.Random(8)
+    vocabulary = bpe.Vocabulary(open(PATH, encoding="utf-8").read())
+    pieces = ["".join(rng.choices("abcdefgh", k=rng.choice([2, 3, 17, 900, 1500]))).encode() for _ in range(60)]
+    assert [vocabulary._alone(p) for p in pieces] == vocabulary.encode_pieces(pieces)
+
+
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     vocabulary = bpe.Vocabulary(open(PATH, encoding="utf-8").read())
