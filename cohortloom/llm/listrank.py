@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import stored
@@ -42,9 +42,10 @@ def _by_blocks(links: DataFrame, weights: Sequence[str], blocks: int) -> DataFra
     names = ["element", "head", "last", "next", *[f"b_{w}" for w in weights], *[f"t_{w}" for w in weights]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(list(batches), None) if (batches := [*batches]) else None
-        if whole is None or not whole.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        whole = pa.Table.from_batches(held)
         element = whole.column("element").to_numpy()
         order = np.argsort(element)
         element = element[order]
@@ -60,24 +61,27 @@ def _by_blocks(links: DataFrame, weights: Sequence[str], blocks: int) -> DataFra
     return links.repartitionByRange(blocks, "element").mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
+def _level(element: str, head: str, last: Column, after: Column, before: dict[str, Column], through: dict[str, Column]) -> Column:
+    """A row as ``_by_blocks`` gives them."""
+    sums = [*[c.alias(f"b_{w}") for w, c in before.items()], *[c.alias(f"t_{w}") for w, c in through.items()]]
+    return F.struct(F.col(element).alias("element"), F.col(head).alias("head"), last.alias("last"), after.alias("next"), *sums)
+
+
 def _by_coins(links: DataFrame, weights: Sequence[str], turn: int) -> DataFrame:
     """As ``_by_blocks``: an element whose coin is up joins the one before, if that one's is down."""
     up = F.xxhash64(F.lit(turn), "element").bitwiseAND(F.lit(1)) == 1
-    cols = ["element", "next", *weights]
-    up_rows = links.filter(up).select(*[F.col(c).alias(f"u_{c}") for c in cols])
-    first = links.filter(~up).join(up_rows, F.col("next") == F.col("u_element"), "left")
+    follow = links.filter(up).select(*[F.col(c).alias(f"u_{c}") for c in ["element", "next", *weights]])
+    first = links.filter(~up).join(follow, F.col("next") == F.col("u_element"), "left")
     pair = F.col("u_element").isNotNull()
-    alone = [
-        F.struct(F.col("element"), F.col("element").alias("head"), (~pair).alias("last"), F.when(~pair, F.col("next")).alias("next"),
-                 *[F.lit(0).cast("bigint").alias(f"b_{w}") for w in weights], *[F.col(w).alias(f"t_{w}") for w in weights])
-    ]
-    joined = F.struct(F.col("u_element").alias("element"), F.col("element").alias("head"), F.lit(True).alias("last"), F.col("u_next").alias("next"),
-                      *[F.col(w).alias(f"b_{w}") for w in weights], *[(F.col(w) + F.col(f"u_{w}")).alias(f"t_{w}") for w in weights])
-    out = first.select(F.inline(F.when(pair, F.array(*alone, joined)).otherwise(F.array(*alone))))
-    rest = links.filter(up).join(links.filter(~up).select(F.col("next").alias("element")), "element", "left_anti")
-    rest = rest.select("element", F.col("element").alias("head"), F.lit(True).alias("last"), "next",
-                       *[F.lit(0).cast("bigint").alias(f"b_{w}") for w in weights], *[F.col(w).alias(f"t_{w}") for w in weights])
-    return out.unionByName(rest)
+    none = {w: F.lit(0).cast("bigint") for w in weights}
+    own = {w: F.col(w) for w in weights}
+    both = {w: F.col(w) + F.col(f"u_{w}") for w in weights}
+    head = _level("element", "element", ~pair, F.when(~pair, F.col("next")), none, own)
+    joined = _level("u_element", "element", F.lit(True), F.col("u_next"), own, both)
+    out = first.select(F.inline(F.when(pair, F.array(head, joined)).otherwise(F.array(head))))
+    taken = links.filter(~up).select(F.col("next").alias("element"))
+    rest = links.filter(up).join(taken, "element", "left_anti").select(_level("element", "element", F.lit(True), F.col("next"), none, own).alias("r"))
+    return out.unionByName(rest.select("r.*"))
 
 
 def list_ranks(links: DataFrame, weights: Sequence[str], block: int = BLOCK) -> DataFrame:
