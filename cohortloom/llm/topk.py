@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import stored
@@ -64,14 +64,18 @@ def _parts(width: int, slices: int) -> list[slice]:
 
 
 def _pair_blocks(queries: DataFrame, rows: DataFrame, n_query_blocks: int, n_blocks: int, extra: tuple[str, ...] = ()):
-    """Both sides grouped by pairs of blocks, every query against every row once."""
+    """Both sides grouped by pairs of blocks, every query against every row once.
+
+    Block numbers have one type on both sides: a cogroup deals each side by the hash of its own
+    keys, and equal numbers of different types land in different partitions.
+    """
     own = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    left = queries.select("id", "v", *extra, (own % n_query_blocks).alias("qb")).withColumn(
-        "cb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
-    )
-    right = rows.select("id", "v", (own % n_blocks).alias("cb")).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1)))
-    )
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = queries.select("id", "v", *extra, (own % n_query_blocks).cast("int").alias("qb")).withColumn("cb", each(n_blocks))
+    right = rows.select("id", "v", (own % n_blocks).cast("int").alias("cb")).withColumn("qb", each(n_query_blocks))
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb"))
 
 

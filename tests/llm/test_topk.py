@@ -54,3 +54,15 @@ def test_repeated_queries_ask_with_their_least_vector(spark):
         rng.shuffle(rows)
         got = sorted(r[1:] for r in found(spark, rows, 4) if r[0] == 10)
         assert got == [(n, i, -s) for n, (s, i) in enumerate(scored[:4], 1)]
+
+
+def test_pairs_of_blocks_meet_in_every_partition(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 32)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    rng = random.Random(11)
+    rows = [(i, [rng.randrange(-128, 128) / 64 for _ in range(8)]) for i in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert found(spark, rows, 5) == brute(rows, 5)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
