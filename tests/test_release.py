@@ -88,6 +88,20 @@ def test_a_long_letter_loses_nothing(spark):
     assert tuple(tables["skipped"].first()) == (2, 1) and tables["rejected"].count() == 0
 
 
+def test_letter_texts_are_worked_out_once(spark):
+    text = "NPM1 positiv. ELN-Risiko: ungünstig. Karyotyp " + "x" * 400 + ". TP53 " + "y" * 400 + " negativ."
+    docs = spark.createDataFrame(
+        [(f'<section id="M5_Therapie"><content>{text}</content></section>', "p", "a", "2021-05-01", "s", "t")],
+        "xmldocument string, patid string, patientaccountid string, lastsaveddatetime string, letterstatus string, templatename string",
+    )
+    tables = letter_study(docs)
+    assert {(r.kind, r.problems) for r in tables["rejected"].collect()} == {("genes", "gene_evidence"), ("karyotypes", "karyotype_text,karyotype_evidence")}
+    for name in ("genes", "karyotypes", "eln_risk", "rejected"):
+        plan = tables[name]._jdf.queryExecution().optimizedPlan().toString()
+        # Each section is looked for once, sentences are split once, whichever conditions follow.
+        assert plan.count("M5_Therapie") == 1 and plan.count("(?<=[.;!?])") == 1
+
+
 def test_tables_are_computed_once(spark, tmp_path):
     from cohortloom.plans.base import Tables as Results
     from cohortloom.plans.base import save
