@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -33,6 +34,18 @@ COMMENT = r"(?s)<!--.*?(?:-->|$)"
 MARKUP = r"(?s)</?[A-Za-z](?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+(?:>|$)|</?[A-Za-z][^>]*(?:>|$)|<[!?/][^>]*(?:>|$)"
 
 
+# What may be a reference at the start of the text behind ``&``.
+REFERENCE = "^(?:#(?:[0-9]{1,9}|[xX][0-9a-fA-F]{1,7});?|[A-Za-z][A-Za-z0-9]*;?)"
+
+#: A text with more different references than this decodes each by itself: maps are searched in line.
+FEW_NAMES = 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value worked out once; without it every use repeats the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _texts_by_name(names: dict[str, str]) -> Column:
     """A map from text to text as one literal."""
     return F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in names.items())), F.lit("\u0001"), F.lit("\u0002"))
@@ -73,8 +86,23 @@ def decode_entities(text: Column | str) -> Column:
     def decoded(part: Column) -> Column:
         return F.coalesce(F.when(part.startswith("#"), numbered(part)).otherwise(named(part)), F.concat(F.lit("&"), part))
 
-    parts = F.split(_col(text), "&", -1)
-    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
+    # Each different reference of a text is decoded once, as long as they are few; the rest one by one.
+    def joined(parts: Column) -> Column:
+        names = F.array_distinct(parts["name"])
+
+        def by_name(of: Column) -> Column:
+            texts = F.transform(parts, lambda p, i: F.when(i == 0, p["part"]).otherwise(F.concat(F.element_at(of, p["name"]), _behind(p))))
+            return F.array_join(texts, "")
+
+        few = _let(F.map_from_arrays(names, F.transform(names, decoded)), by_name)
+        many = F.transform(parts, lambda p, i: F.when(i == 0, p["part"]).otherwise(decoded(p["part"])))
+        return F.when(F.size(names) <= FEW_NAMES, few).otherwise(F.array_join(many, ""))
+
+    def _behind(p: Column) -> Column:
+        return F.substring(p["part"], F.length(p["name"]) + 1, F.length(p["part"]))
+
+    named_parts = F.transform(F.split(_col(text), "&", -1), lambda p: F.struct(F.regexp_extract(p, REFERENCE, 0).alias("name"), p.alias("part")))
+    return _let(named_parts, joined)
 
 
 def _plain_sections(html: Column) -> Column:
@@ -128,7 +156,7 @@ def extract_section(xml: Column | str, section_id: str) -> Column:
         depth = F.when(state["depth"] > 0, state["depth"] + change).otherwise(0)
         return F.struct(depth.alias("depth"), (state["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n"))
 
-    body = F.array_join(F.slice(pieces, 1, F.aggregate(pieces, first, step)["n"]), "")
+    body = _let(pieces, lambda p: F.array_join(F.slice(p, 1, F.aggregate(p, first, step)["n"]), ""))
     contents = F.regexp_extract_all(
         body, F.lit(r"(?is)<content\b" + REST + r"(.*?)</content\s*>"), F.lit(1)
     )

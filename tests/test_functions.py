@@ -177,3 +177,16 @@ def test_all_references_of_html(spark):
 ])
 def test_pages_to_text(spark, page, want):
     assert one(texts(spark, page), T.html_to_text("v")) == [want]
+
+
+def test_references_of_many_names(spark):
+    from html import unescape
+
+    many = " ".join(f"&#{n};&zz{n}" for n in range(300, 300 + T.FEW_NAMES)) + "&amp;&copyright&#x41;"
+    few = "&eacute;x&amp;lt;&#x65;&#101;1&notit;& &#; &zz;&eacute;"
+    assert one(texts(spark, many, few), T.decode_entities("v")) == [unescape(many), unescape(few)]
+
+
+def test_a_section_is_looked_for_once(spark):
+    df = texts(spark, "x").select(T.extract_section("v", "only_id").alias("s"))
+    assert df._jdf.queryExecution().analyzed().toString().count("only_id") == 1
