@@ -26,15 +26,20 @@ def folder(t, label: str) -> str:
 
 
 @contextmanager
-def small_splits(spark, size: str = "2k"):
-    """Files are read in splits of ``size``, as large ones are in splits of many megabytes."""
-    name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, size)
+def small_splits(spark, size: str = "2k", tasks: int = 400):
+    """Files are read in splits of ``size``, as large ones are in splits of many megabytes.
+
+    About ``tasks`` tasks share the splits, however many there are.
+    """
+    wanted = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.maxPartitionNum": str(tasks)}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 @query("lake_conditions", VQ.CONDITION_SQL)
