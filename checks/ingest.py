@@ -22,22 +22,25 @@ from cohortloom.streaming import streams as ST
 def bundles(t):
     """One bundle text per order with its condition and its patient."""
 
-    def resource(df, kind):
-        return df.select("id", F.to_json(F.struct(F.lit(kind).alias("resourceType"), "*")).alias(kind))
-
-    conditions = resource(H.condition(t), "Condition").join(
-        t.orders.selectExpr("cast(o_orderkey as string) AS id", "cast(o_custkey as string) AS patient_no"), "id"
-    )
-    patients = resource(H.patient(t), "Patient").withColumnRenamed("id", "patient_no")
-    return conditions.join(patients, "patient_no").select(
-        F.concat(
-            F.lit('{"resourceType":"Bundle","type":"transaction","entry":[{"fullUrl":"urn:1","resource":'),
-            "Condition",
-            F.lit('},{"resource":'),
-            "Patient",
-            F.lit("}]}"),
-        ).alias("value")
+    def resource(df, kind, keep):
+        fields = [c for c in df.columns if c not in keep]
+        return df.select(*keep, F.to_json(F.struct(F.lit(kind).alias("resourceType"), *fields)).alias(kind))
+
+    # The tables' own columns are joined; texts, many times as long, are written out behind the joins.
+    numbers = t.orders.selectExpr("o_orderkey", "o_custkey AS c_custkey")
+    joined = t.orders.join(numbers, "o_orderkey").join(t.customer, "c_custkey")
+    known = t.customer.columns
+    conditions = resource(H.condition(SimpleNamespace(orders=joined), known), "Condition", known)
+    both = resource(H.patient(SimpleNamespace(customer=conditions), ["Condition"]), "Patient", ["Condition"])
+    text = F.concat(
+        F.lit('{"resourceType":"Bundle","type":"transaction","entry":[{"fullUrl":"urn:1","resource":'),
+        "Condition",
+        F.lit('},{"resource":'),
+        "Patient",
+        F.lit("}]}"),
     )
+    # A list of one keeps conditions on the text from writing it out a second time.
+    return both.select(F.explode(F.array(text)).alias("value"))
 
 
 query("bundle_conditions", VQ.CONDITION_SQL)(

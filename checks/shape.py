@@ -6,6 +6,8 @@ its plain SQL are built from the same definitions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from checks.registry import Tables
@@ -108,9 +110,9 @@ def by_kind(kind: str, arms: dict[int, str]) -> str:
     return f"CASE {kind} " + " ".join(f"WHEN {k} THEN {v}" for k, v in arms.items()) + " END"
 
 
-def shaped(df: DataFrame, resource_type: str, columns: dict[str, str]) -> DataFrame:
-    """Project to the declared schema; unset fields are NULL."""
-    out = []
+def shaped(df: DataFrame, resource_type: str, columns: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """Project to the declared schema; unset fields are NULL. Columns of ``keep`` stay beside it."""
+    out = list(keep)
     for f in schema_of(resource_type).fields:
         out.append(f"cast({columns.get(f.name, 'null')} as {f.dataType.simpleString()}) as `{f.name}`")
     return df.selectExpr(*out)
@@ -120,7 +122,7 @@ def _cast(expr: str, kind: str) -> str:
     return f"cast({expr} as {TYPE_ALIASES[kind]})"
 
 
-def patient(t: Tables) -> DataFrame:
+def patient(t: Tables, keep: Sequence[str] = ()) -> DataFrame:
     mr = concept_of("http://terminology.hl7.org/CodeSystem/v2-0203", "'MR'")
     return shaped(
         t.customer,
@@ -134,10 +136,11 @@ def patient(t: Tables) -> DataFrame:
             "deceasedDateTime": DECEASED_AT,
             "deceasedBoolean": DECEASED,
         },
+        keep,
     )
 
 
-def condition(t: Tables) -> DataFrame:
+def condition(t: Tables, keep: Sequence[str] = ()) -> DataFrame:
     asserted = extension(K.ASSERTED_DATE, date=ASSERTED, value=_cast("null", "CodeableConcept"))
     morphology = extension(K.MORPHOLOGY, value=concept_of("urn:icd-o-3", MORPHOLOGY), date="cast(null as string)")
     return shaped(
@@ -155,6 +158,7 @@ def condition(t: Tables) -> DataFrame:
             "encounter": reference("concat('Encounter/', o_orderkey % 100)"),
             "verificationStatus": concept_of(K.VERIFICATION_STATUS, pick("o_orderkey", ["confirmed", "provisional"])),
         },
+        keep,
     )
 
 

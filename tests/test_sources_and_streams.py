@@ -321,3 +321,28 @@ def test_many_files_take_one_scan_for_each_header(spark, tmp_path, rows):
     odd = tmp_path / "odd.csv"
     odd.write_text(";x;x\n1;2;3\n")
     assert DL.union_csv_files(spark, [str(odd)]).columns == ["_c0", "x1", "x2"]
+
+
+def test_bundle_texts_are_written_behind_the_joins(spark):
+    import re
+
+    from checks.ingest import bundles
+    from checks.registry import Tables
+
+    rows = bundles(Tables(spark, "/root/testdata/sf0.001"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and not re.search("to_json|structstojson", plan[plan.index("Join") :])
+    counted = rows.selectExpr("get_json_object(value, '$.entry[1].resource.id') AS id").where("id IS NOT NULL")
+    assert counted.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+
+
+def test_small_splits_share_tasks(spark, tmp_path):
+    from checks.files import small_splits
+
+    for i in range(60):
+        (tmp_path / f"{i:02d}.txt").write_text("".join(f"{i} {j}\n" for j in range(400)))
+    with small_splits(spark, "1k", tasks=10):
+        df = LN.numbered_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() <= 40
+        wrong = df.where(F.concat(F.regexp_extract("file", "([0-9]+).txt$", 1).cast("int"), F.lit(" "), (F.col("line") - 1).cast("string")) != F.col("value"))
+        assert df.count() == 24000 and wrong.count() == 0
