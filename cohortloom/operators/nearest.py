@@ -118,7 +118,8 @@ def nearest_event(
         F.col(tie).alias("_tie"),
     ).where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
     placed = left.where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).unionByName(right)
-    placed = placed.withColumn("_slice", F.floor(F.col("_t") / F.lit(width)))
+    # Dealt once, for the summary and for the windows.
+    placed = placed.withColumn("_slice", F.floor(F.col("_t") / F.lit(width))).repartition("_k", "_slice")
 
     # One row per key and slice with its earliest and latest event (smallest tie at equal times).
     seen = F.struct("_t", "_tie", "_e")
@@ -126,6 +127,7 @@ def nearest_event(
     summary = placed.groupBy("_k", "_slice").agg(
         F.min_by(seen, F.when(is_event, F.struct(F.col("_t"), F.col("_tie")))).alias("_lo"),
         F.min_by(seen, F.when(is_event, F.struct(-F.col("_t"), F.col("_tie")))).alias("_hi"),
+        F.bool_or(F.col("_b").isNotNull()).alias("_asked"),
     )
     before = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     after = (
@@ -134,9 +136,11 @@ def nearest_event(
     carried = summary.select(
         "_k",
         "_slice",
+        "_asked",
         F.last("_hi", ignorenulls=True).over(before).alias("_carry_prev"),
         F.last("_lo", ignorenulls=True).over(after).alias("_carry_next"),
     )
+    carried = carried.where("_asked").drop("_asked")
 
     event_or_null = F.when(is_event, seen)
     up = (

@@ -87,7 +87,8 @@ def paged_concat(
     earlier = Window.partitionBy(*names.values()).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sums.select(*piece, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
     inside = Window.partitionBy(*piece).orderBy(*sorting[len(keys) :]).rowsBetween(Window.unboundedPreceding, -1)
-    placed = join_null_safe(stored, shifts, piece, "inner").withColumn("_at", F.coalesce(F.sum("_length").over(inside), F.lit(0)) + F.col("_shift"))
+    # Shifts are few: hashed, they spare the rows a second sort that would be held beside the one below.
+    placed = join_null_safe(stored, shifts.hint("shuffle_hash"), piece, "inner").withColumn("_at", F.coalesce(F.sum("_length").over(inside), F.lit(0)) + F.col("_shift"))
     paged = placed.groupBy(*names.values(), (F.floor(F.col("_at") / page) + 1).alias("page"))
     cells = paged.agg(F.array_sort(F.collect_list(F.struct("_at", "_text"))).alias("_all"))
     return cells.select(*[F.col(n).alias(k) for k, n in names.items()], "page", F.array_join("_all._text", sep).alias(col))

@@ -384,3 +384,25 @@ def test_pages_of_any_group(spark):
         pages = [found[k] for k in sorted((k for k in found if k[0] == g), key=lambda k: k[1])]
         assert "| ".join(pages) == "| ".join(v for k, _, v in sorted(data, key=lambda r: r[1]) if k == g and v is not None)
     assert not any(k[0] == "none" for k in found) and sum(k[0] == "hot" for k in found) > 20
+
+
+def test_nearest_event_deals_its_rows_once(spark):
+    base = spark.range(100).selectExpr("id AS k", "timestamp_seconds(id * 100000) AS d")
+    events = spark.range(500).selectExpr("id % 100 AS k", "id AS e", "timestamp_seconds(id * 20000) AS seen")
+    near = N.nearest_event(base, events, "k", "d", "seen", "e")
+    for name, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(name, value)
+    try:
+        plan = near._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One for the rows, one for the summary by key, one for its way back.
+    reused = plan.count("ReusedExchange")
+    assert reused == 1 and plan.count(" Exchange ") - reused == 3
+
+
+def test_pages_need_one_sort_of_the_rows(spark):
+    df = spark.range(100).selectExpr("id % 3 AS g", "id AS o", "cast(id as string) AS v")
+    plan = T.paged_concat(df, ["g"], ["o"], "v", page=50)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
