@@ -176,7 +176,9 @@ def dated_therapies(
         F.col("condition_id").alias("reason_reference"), "asserted_date"
     ).distinct()
     months = months_since("therapy_start_date", "asserted_date")
-    dated = spread_join(therapies, diagnosed, ["reason_reference"]).withColumn("months_diff", months)
+    # Therapies are dealt before the diagnoses are known to be few. Broadcast then, each task would read
+    # the shuffle files of adjacent tasks, and one most of the surgeries; merged, it reads by key.
+    dated = spread_join(therapies, diagnosed.hint("merge"), ["reason_reference"]).withColumn("months_diff", months)
     return dated if first_line_months is None else dated.where(F.col("months_diff").between(0, first_line_months))
 
 
