@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.codes import icd_category
-from cohortloom.operators.ordering import top_per_key
 from cohortloom.operators.predicates import classification_is
 from cohortloom.operators.quantiles import exact_quantiles, join_null_safe
 from cohortloom.operators.skew import spread_join
+from cohortloom.session import materialise
 
 PATIENT = "patient_resource_id"
+# Tasks that share the rows of one patient at most.
+SLICES = 64
 
 
 def two_malignancies(
@@ -25,26 +27,37 @@ def two_malignancies(
 ) -> DataFrame:
     """The first two tumours of every patient who still has at least two.
 
-    Each patient is cut to two rows before the shuffle; the total is counted map-side. The two
-    rows then carry ordinal, previous date, and the gap in months and years.
+    The rows of a patient are dealt over slices; each slice is counted and cut to its first two rows
+    in one pass, and the patient's two come from those. They carry ordinal, total, previous date, and
+    the gap in months and years.
     """
     multi = df.where(F.col(patient).isNotNull())
     if flag is not None:
         multi = multi.where(F.col(flag) == 1)
-    totals = multi.groupBy(patient).agg(F.count(F.lit(1)).alias("malignancy_count"))
-    firsts = top_per_key(
-        multi,
-        [patient],
-        [F.col(date).asc_nulls_first(), F.col(condition).asc()],
-        2,
-        rank_as="malignancy_number",
+    order = [F.col(date).asc_nulls_first(), F.col(condition).asc()]
+    sliced = Window.partitionBy(patient, "_slice")
+    leading = (
+        multi.withColumn("_slice", F.pmod(F.xxhash64(date, condition), F.lit(SLICES)))
+        .withColumn("_rows", F.count(F.lit(1)).over(sliced))
+        .withColumn("_place", F.row_number().over(sliced.orderBy(*order)))
+        .where(F.col("_place") <= 2)
     )
-    by_patient = Window.partitionBy(patient).orderBy("malignancy_number")
+    of_patient = Window.partitionBy(patient)
+    by_order = of_patient.orderBy(*order)
     gap = F.months_between(F.col(date), F.col("date_prev"))
     return (
-        firsts.join(totals.where(F.col("malignancy_count") >= 2), patient, "inner")
-        .withColumn("date_prev", F.lag(date).over(by_patient))
-        .withColumns({"years_between": F.round(gap / 12, 2), "months_between": F.round(gap, 1)})
+        leading.withColumn("malignancy_count", F.sum(F.when(F.col("_place") == 1, F.col("_rows"))).over(of_patient))
+        .withColumns({"malignancy_number": F.row_number().over(by_order), "date_prev": F.lag(date).over(by_order)})
+        .where((F.col("malignancy_number") <= 2) & (F.col("malignancy_count") >= 2))
+        .select(
+            patient,
+            *[c for c in df.columns if c != patient],
+            "malignancy_number",
+            "malignancy_count",
+            "date_prev",
+            F.round(gap / 12, 2).alias("years_between"),
+            F.round(gap, 1).alias("months_between"),
+        )
     )
 
 
@@ -122,9 +135,11 @@ _MEASURES = {"age_1": ("age", "1"), "age_2": ("age", "2"), "months_between_2": (
 def pair_statistics(pairs: DataFrame, entity: str = "entity_or_parent") -> DataFrame:
     """Counts, extremes and quartiles per pair of entities, sorted by pair.
 
-    Quartiles are values of the data, exact for pairs of any frequency.
+    Quartiles are values of the data, exact for pairs of any frequency. The pairs are written once:
+    counts and quartiles both read them.
     """
     keys = [f"{entity}_1", f"{entity}_2"]
+    pairs = materialise(pairs.select(*keys, "gender", *_MEASURES), "pairs")
     counts = pairs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("count_pair"),
         F.count_if(F.col("gender") == "male").alias("count_male_pair"),
@@ -144,16 +159,12 @@ def pair_outliers(pairs: DataFrame, entity: str = "entity_or_parent") -> DataFra
     """Values beyond the Tukey fences of their pair, one row per value.
 
     Kept in long form: a frequent pair may have any number of outliers, which as a list in one
-    cell would all pass through one task.
+    cell would all pass through one task. The pairs are written once: fences and values both read them.
     """
     keys = [f"{entity}_1", f"{entity}_2"]
+    pairs = materialise(pairs.select(*keys, *_MEASURES), "pairs")
     fences = exact_quantiles(pairs, keys, list(_MEASURES), [0.25, 0.75], interpolated=False)
-    long = spread_join(
-        pairs.select(*keys, *_MEASURES, *[c for c in pairs.columns if c not in [*keys, *_MEASURES]]),
-        fences,
-        keys,
-        "inner",
-    )
+    long = spread_join(pairs, fences, keys, "inner")
     checks = []
     for c in _MEASURES:
         q1, q3 = F.col(f"{c}_quantiles")[0], F.col(f"{c}_quantiles")[1]

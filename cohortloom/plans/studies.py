@@ -91,6 +91,11 @@ def leukaemia_filter(source: Source) -> DataFrame:
 def prepare_conditions(df: DataFrame) -> DataFrame:
     """Dates, age, tumour groups."""
     dated = OD.compute_age(OD.cast_dates(df, ["asserted_date", "birthdate", "date_death"]))
+    # Filters on a plain projection are written out again below the joins, with the parsing of both
+    # dates in each; they stop at the generator of a list of one.
+    bound = ["asserted_date", "age_at_diagnosis"]
+    others = [c for c in dated.columns if c not in bound]
+    dated = dated.select(*others, F.inline(F.array(F.struct(*bound)))).select(*dated.columns)
     return dated.withColumns(
         {
             "icd10_parent_code": C.icd_parent("icd10_code"),

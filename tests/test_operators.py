@@ -14,6 +14,7 @@ from cohortloom.operators import letters as LT
 from cohortloom.operators import linkage as L
 from cohortloom.operators import nearest as N
 from cohortloom.operators import ordering as O
+from cohortloom.operators import predicates as PR
 from cohortloom.operators import quality as QU
 from cohortloom.operators import quantiles as QT
 from cohortloom.operators import stats as S
@@ -21,6 +22,7 @@ from cohortloom.operators import survival as SV
 from cohortloom.operators import therapies as T
 from cohortloom.operators import tumours as TU
 from cohortloom.operators.skew import number_rows, spread_join
+from cohortloom.plans import studies as ST
 
 DAY0 = dt.date(2020, 1, 1)
 
@@ -409,3 +411,44 @@ def test_few_diagnoses_are_merged_with_many_therapies(spark):
     # A broadcast decided behind the shuffle has each task read the files of adjacent tasks, however full.
     assert "SortMergeJoin" in dated._jdf.queryExecution().executedPlan().toString()
     assert dated.count() == 60 and dated.where("months_diff IS NOT NULL").count() == 2
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_two_malignancies_read_their_rows_once(spark, rows):
+    rng = random.Random(5)
+    data = [(rng.choice(["hot", "hot", "a", "b", None]), f"c{i}", rng.choice([None, *(DAY0 + dt.timedelta(days=n) for n in range(40))]), rng.choice([0, 1, 1])) for i in range(500)]
+    data += [("single", "c900", DAY0, 1), ("pair", None, DAY0, 1), ("pair", "c901", DAY0, 1)]
+    df = spark.createDataFrame(data, "patient_resource_id string, condition_id string, asserted_date date, double_patid int")
+    two = TU.two_malignancies(df)
+    assert optimized(two).count("LogicalRDD") + optimized(two).count("LocalRelation") == 1
+    want = []
+    for p in ("hot", "a", "b", "pair"):
+        own = sorted((x for x in data if x[0] == p and x[3] == 1), key=lambda x: (x[2] is not None, x[2] or DAY0, x[1] is not None, x[1] or ""))
+        want += [(p, own[n][1], n + 1, len(own), own[0][2] if n else None) for n in (0, 1)]
+    got = rows(two, "patient_resource_id", "condition_id", "malignancy_number", "malignancy_count", "date_prev")
+    assert got == sorted(want, key=lambda t: tuple(str(x) for x in t))
+
+
+def test_pairs_are_worked_out_once(spark, rows):
+    pairs = spark.range(40).selectExpr(
+        "if(id % 5 = 0, null, 'C' || id % 2) AS entity_or_parent_1", "'C50' AS entity_or_parent_2", "if(id % 7 = 0, null, id) AS age_1",
+        "id * 2.0D AS age_2", "if(id = 39, 9999, id) AS months_between_2", "if(id % 3 = 0, 'male', 'female') AS gender",
+    )
+    stats, outliers = TU.pair_statistics(pairs), TU.pair_outliers(pairs)
+    assert "Range" not in optimized(stats) and "Range" not in optimized(outliers)
+    assert rows(stats, "entity_or_parent_1", "count_pair") == [("C0", 16), ("C1", 16), (None, 8)]
+    assert rows(outliers, "entity_or_parent_1", "measure", "value") == [("C1", "months_between_2", 9999.0)]
+
+
+def test_filters_on_prepared_conditions_parse_no_dates_again(spark, rows):
+    raw = spark.createDataFrame(
+        [(1, "2001-05", "1960-01-01", None, "C61.9"), (2, "1970", "1960-01-01", None, "C61.9"), (3, None, "1960", None, "C61"), (4, "2001-05-02", "2002", None, "C61"), (5, "2001", "1950-07-01", "2003-05", "C44.1")],
+        "id int, asserted_date string, birthdate string, date_death string, icd10_code string",
+    )
+    people = spark.range(10).selectExpr("cast(id as int) AS id", "id % 2 AS half").hint("merge")
+    clean = PR.clean_conditions(ST.prepare_conditions(raw.join(people, "id", "left")))
+    assert not any("RLIKE" in line for line in optimized(clean).splitlines() if "Filter" in line)
+    assert rows(clean, "id", "asserted_date", "asserted_date_precision", "age_at_diagnosis") == [(1, dt.date(2001, 5, 15), "MONTH", 41.37)]
