@@ -6,6 +6,8 @@ it covers. A time of day without its day is no time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,6 +87,8 @@ def nearest_event(
     how: str = "left",
     slice_days: int = 1,
     suffix: str = "_first",
+    each: str | None = None,
+    values: Sequence = (),
 ) -> DataFrame:
     """For every base row the event of the same key closest in time, before or after.
 
@@ -97,7 +101,15 @@ def nearest_event(
     Equal distances resolve to the earlier event, equal times to the smaller ``tie``. Events
     without a readable time never match; a base row without such a time or a key has no match. ``how="left"``
     keeps unmatched base rows, ``"inner"`` drops them. ``event_time`` comes out with ``suffix``.
+
+    ``each`` names an event column: every base row then meets, for each of ``values``, the closest
+    event with that value there, without a row of its own for each value on the way. Only for
+    ``how="inner"``; other events never match.
     """
+    if each is not None and how != "inner":
+        raise ValueError(f"each goes with how='inner', not {how!r}")
+    if each is not None:
+        events = events.where(F.col(each).isin(*values))
     width = slice_days * DAY_MICROS
     taken = [c for c in events.columns if c != key]
     event_type = events.select(F.struct(*taken).alias("e")).schema["e"].dataType
@@ -121,12 +133,16 @@ def nearest_event(
     # Dealt once, for the summary and for the windows.
     placed = placed.withColumn("_slice", F.floor(F.col("_t") / F.lit(width))).repartition("_k", "_slice")
 
-    # One row per key and slice with its earliest and latest event (smallest tie at equal times).
-    seen = F.struct("_t", "_tie", "_e")
+    # One row per key and slice with its earliest and latest event (smallest tie at equal times), all
+    # of it once for every wanted value.
+    seen = F.struct("_t", "_e")
     is_event = F.col("_e").isNotNull()
+    wanted = [is_event] if each is None else [is_event & (F.col(f"_e.{each}") == F.lit(v)) for v in values]
+    numbers = range(len(wanted))
+    earliest, latest = F.struct(F.col("_t"), F.col("_tie")), F.struct(-F.col("_t"), F.col("_tie"))
     summary = placed.groupBy("_k", "_slice").agg(
-        F.min_by(seen, F.when(is_event, F.struct(F.col("_t"), F.col("_tie")))).alias("_lo"),
-        F.min_by(seen, F.when(is_event, F.struct(-F.col("_t"), F.col("_tie")))).alias("_hi"),
+        *[F.min_by(seen, F.when(test, earliest)).alias(f"_lo{i}") for i, test in enumerate(wanted)],
+        *[F.min_by(seen, F.when(test, latest)).alias(f"_hi{i}") for i, test in enumerate(wanted)],
         F.bool_or(F.col("_b").isNotNull()).alias("_asked"),
     )
     before = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,12 +153,11 @@ def nearest_event(
         "_k",
         "_slice",
         "_asked",
-        F.last("_hi", ignorenulls=True).over(before).alias("_carry_prev"),
-        F.last("_lo", ignorenulls=True).over(after).alias("_carry_next"),
+        *[F.last(f"_hi{i}", ignorenulls=True).over(before).alias(f"_carry_prev{i}") for i in numbers],
+        *[F.last(f"_lo{i}", ignorenulls=True).over(after).alias(f"_carry_next{i}") for i in numbers],
     )
     carried = carried.where("_asked").drop("_asked")
 
-    event_or_null = F.when(is_event, seen)
     up = (
         Window.partitionBy("_k", "_slice")
         .orderBy("_t", F.col("_b").isNotNull(), F.desc("_tie"))
@@ -153,29 +168,27 @@ def nearest_event(
         .orderBy(F.desc("_t"), F.col("_b").isNotNull(), F.desc("_tie"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    inside = {f"_prev{i}": F.last(F.when(test, seen), ignorenulls=True).over(up) for i, test in enumerate(wanted)}
+    inside |= {f"_next{i}": F.last(F.when(test, seen), ignorenulls=True).over(down) for i, test in enumerate(wanted)}
+    outside = {f"{side}{i}": F.coalesce(f"{side}{i}", f"_carry{side}{i}") for side in ("_prev", "_next") for i in numbers}
     neighbours = (
-        placed.withColumns(
-            {
-                "_prev": F.last(event_or_null, ignorenulls=True).over(up),
-                "_next": F.last(event_or_null, ignorenulls=True).over(down),
-            }
-        )
+        placed.withColumns(inside)
         .where(F.col("_b").isNotNull())
         .join(carried, ["_k", "_slice"], "left")
-        .withColumns(
-            {
-                "_prev": F.coalesce("_prev", "_carry_prev"),
-                "_next": F.coalesce("_next", "_carry_next"),
-            }
-        )
-    )
-    use_prev = F.col("_prev").isNotNull() & (
-        F.col("_next").isNull()
-        | (F.col("_t") - F.col("_prev._t") <= F.col("_next._t") - F.col("_t"))
-    )
-    matched = neighbours.select(
-        "_b", F.when(use_prev, F.col("_prev._e")).otherwise(F.col("_next._e")).alias("_e")
+        .withColumns(outside)
     )
+
+    def nearer(i: int) -> Column:
+        prev, following = F.col(f"_prev{i}"), F.col(f"_next{i}")
+        use_prev = prev.isNotNull() & (
+            following.isNull() | (F.col("_t") - prev["_t"] <= following["_t"] - F.col("_t"))
+        )
+        return F.when(use_prev, prev["_e"]).otherwise(following["_e"])
+
+    if each is not None:
+        found = F.explode(F.array_compact(F.array(*[nearer(i) for i in numbers])))
+        return _flat(neighbours.select("_b", found.alias("_e")), base.columns, taken, event_time, suffix)
+    matched = neighbours.select("_b", nearer(0).alias("_e"))
     if how == "left":
         unplaced = left.where(F.col("_k").isNull() | F.col("_t").isNull()).select("_b", "_e")
         matched = matched.unionByName(unplaced)

@@ -150,18 +150,14 @@ def lab_panel_means(
 ) -> DataFrame:
     """Per panel and unit, count and mean of each patient's value nearest to diagnosis.
 
-    The nearest row of every panel comes from one as-of match over patient and panel.
+    The nearest row of every panel comes from one as-of match over patients for all panels.
     """
     panel_of = C.lookup({c: p for p, codes in panels.items() for c in codes}, code)
-    key = F.concat_ws("\u0001", patient, "lab_value")
+    key = F.col(patient).cast("string").alias("_pk")
     named = labs.withColumn("lab_value", panel_of).where(F.col("lab_value").isNotNull())
-    base = (
-        patients.where(F.col(patient).isNotNull())
-        .select(patient, diagnosed, F.explode(F.array(*[F.lit(p) for p in panels])).alias("lab_value"))
-        .select(key.alias("_pk"), diagnosed)
-    )
-    events = named.select(key.alias("_pk"), "lab_value", value, unit, lab_time, tie)
-    near = nearest_event(base, events, "_pk", diagnosed, lab_time, tie, how="inner")
+    base = patients.where(F.col(patient).isNotNull()).select(key, diagnosed)
+    events = named.select(key, "lab_value", value, unit, lab_time, tie)
+    near = nearest_event(base, events, "_pk", diagnosed, lab_time, tie, how="inner", each="lab_value", values=list(panels))
     number = F.col(value).try_cast("double")
     return (
         near.where(F.col(unit).isNotNull())

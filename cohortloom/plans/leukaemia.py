@@ -267,9 +267,10 @@ def summary(
         "icd_bin_distribution": lambda: S.distribution(people, "icd_bin"),
         "unparsable_dates": lambda: people.where(D.parse_failed("diagnosis_recordedDate")),
         "lab_distribution": lambda: S.lab_panel_means(
+            # Bound by a generator of a list of one: what reads the time does not parse its text again.
             people.select(
                 F.col("condition_patient_reference").alias("observation_patient_reference"),
-                "diagnosed_at",
+                F.inline(F.array(F.struct("diagnosed_at"))),
             ),
             labs,
             "observation_patient_reference",

@@ -22,6 +22,7 @@ from cohortloom.operators import survival as SV
 from cohortloom.operators import therapies as T
 from cohortloom.operators import tumours as TU
 from cohortloom.operators.skew import number_rows, spread_join
+from cohortloom.plans import leukaemia as LK
 from cohortloom.plans import studies as ST
 
 DAY0 = dt.date(2020, 1, 1)
@@ -452,3 +453,54 @@ def test_filters_on_prepared_conditions_parse_no_dates_again(spark, rows):
     clean = PR.clean_conditions(ST.prepare_conditions(raw.join(people, "id", "left")))
     assert not any("RLIKE" in line for line in optimized(clean).splitlines() if "Filter" in line)
     assert rows(clean, "id", "asserted_date", "asserted_date_precision", "age_at_diagnosis") == [(1, dt.date(2001, 5, 15), "MONTH", 41.37)]
+
+
+@pytest.mark.parametrize("width", [1, 30, 1000])
+def test_nearest_event_for_each_value(spark, rows, width):
+    rng = random.Random(9)
+    base = [(i, rng.choice(["hot", "a", "b", None]), rng.choice([None, *range(150)])) for i in range(80)]
+    events = [(1000 + i, "hot" if i % 3 == 0 else rng.choice("abc"), rng.choice(["x", "y", "z", "w", None]), rng.choice([None, *range(0, 150, 7)])) for i in range(200)]
+
+    def day(n):
+        return None if n is None else DAY0 + dt.timedelta(days=n)
+
+    b = spark.createDataFrame([(i, k, day(n)) for i, k, n in base], "i int, k string, d date")
+    e = spark.createDataFrame([(i, k, v, day(n)) for i, k, v, n in events], "e int, k string, v string, seen date")
+    want = []
+    for i, k, n in base:
+        for v in ("x", "y", "z"):
+            near = [(abs(m - n), m, j) for j, kk, vv, m in events if (kk, vv) == (k, v) and m is not None] if k and n is not None else []
+            want += [(i, v, min(near)[2])] if near else []
+    got = N.nearest_event(b, e, "k", "d", "seen", "e", how="inner", slice_days=width, each="v", values=["x", "y", "z"])
+    assert rows(got, "i", "v", "e") == sorted(want, key=lambda t: tuple(str(x) for x in t))
+    with pytest.raises(ValueError):
+        N.nearest_event(b, e, "k", "d", "seen", "e", each="v", values=["x"])
+
+
+def test_lab_panels_need_no_row_for_each_panel(spark, rows):
+    patients = spark.createDataFrame([("p", DAY0), ("p", DAY0 + dt.timedelta(days=9)), ("q", DAY0), ("r", None), (None, DAY0)], "p string, d date")
+    labs = spark.createDataFrame(
+        [(1, "p", "777-3", "10", "g", "2020-01-02"), (2, "p", "26515-7", "20", "g", "2020-01-08"), (3, "p", "718-7", "x", "g", "2020-01-01"),
+         (4, "p", "718-7", "7", None, "2020-01-10"), (5, "q", "777-3", "40", "g", "2021"), (6, "q", "nothing", "1", "g", "2020-01-01"),
+         (7, "r", "777-3", "1", "g", "2020-01-01"), (8, None, "777-3", "1", "g", "2020-01-01")],
+        "observation_id int, p string, loinc_code string, lab_quantity_value string, lab_quantity_unit string, t string",
+    )
+    means = S.lab_panel_means(patients, labs, "p", "d", "t")
+    assert rows(means, "lab_value", "unit", "count", "mean") == [("hemoglobin", "g", 0, None), ("platelets", "g", 3, 70 / 3)]
+    dealt = optimized(means).split("RepartitionByExpression")
+    assert len(dealt) > 1 and not any("Generate" in below for below in dealt[1:])
+
+
+def test_filters_on_diagnosis_times_parse_no_text_again(spark, rows):
+    people = spark.createDataFrame(
+        [("p", "2020-01-01T10:00:00+01:00", "1960-01-01", "m", "C92.0"), ("p", "bad", "1960", "m", "C92.0")],
+        "condition_patient_reference string, diagnosis_recordedDate string, birth_date string, gender string, icd_code string",
+    )
+    labs = spark.createDataFrame(
+        [(1, "p", "777-3", "10", "g", "2020-01-02"), (2, "p", "777-3", "20", "g", "2020-01-08")],
+        "observation_id int, observation_patient_reference string, loinc_code string, lab_quantity_value string, lab_quantity_unit string, lab_dateTime string",
+    )
+    codes = spark.createDataFrame([], "patient_mrn string, effective_dateTime string, code_text string, value_code string, observation_id string")
+    means = LK.summary(people, labs, labs.selectExpr("'1' AS ecog_performance_status"), codes)["lab_distribution"]
+    assert rows(means, "lab_value", "unit", "count", "mean") == [("platelets", "g", 1, 10.0)]
+    assert not any("diagnosis_recordedDate" in line for line in optimized(means).splitlines() if "Filter" in line)
