@@ -184,13 +184,18 @@ def stream_daily_counts(t):
     return SA.current_state(t.spark, root)
 
 
+# Packed text can't be split, so one task reads a file: its rows are bounded (0.7 GB of bundles of 1.4 kB).
+BUNDLES_A_FILE = 500_000
+
+
 @query(
     "stream_bundles",
     f"""SELECT {hmac_sql("cast(o_orderkey as varchar)")} AS id, concat('Patient/', {hmac_sql("cast(o_custkey as varchar)")}) AS subject FROM orders""",
 )
 def stream_bundles(t):
     source, target, checkpoint = paths(t, "bundles", "resources", "progress")
-    bundles(t).write.text(source)
+    # Bundles are many times as long as the rows they are made of, and much of them is the same in each.
+    bundles(t).write.option("compression", "lz4").option("maxRecordsPerFile", BUNDLES_A_FILE).text(source)
     arriving = t.spark.readStream.schema("value string").option("maxFilesPerTrigger", 3).text(source)
     resources = ST.stream_pseudonymise(ST.stream_resources(arriving, "Condition"), KEY)
     ST.poll_increment(resources.select("id", F.col("subject.reference").alias("subject")), target, checkpoint).awaitTermination()

@@ -346,3 +346,32 @@ def test_small_splits_share_tasks(spark, tmp_path):
         assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() <= 40
         wrong = df.where(F.concat(F.regexp_extract("file", "([0-9]+).txt$", 1).cast("int"), F.lit(" "), (F.col("line") - 1).cast("string")) != F.col("value"))
         assert df.count() == 24000 and wrong.count() == 0
+
+
+def test_streamed_bundles_are_stored_packed_in_bounded_files(spark, tmp_path, monkeypatch, rows):
+    import hashlib
+    import hmac
+    import os
+
+    from checks import ingest
+    from checks.deid import KEY
+    from checks.registry import QUERIES
+
+    folder = str(tmp_path / "tables")
+    spark.range(1200).selectExpr(
+        "id AS o_orderkey", "id % 70 AS o_custkey", "date_add(date'1995-01-01', cast(id % 900 AS int)) AS o_orderdate"
+    ).coalesce(2).write.parquet(f"{folder}/orders.parquet")
+    spark.range(60).selectExpr("id AS c_custkey", "md5(cast(id AS string)) AS c_name").write.parquet(f"{folder}/customer.parquet")
+    monkeypatch.setattr(ingest, "paths", lambda t, *labels: [str(tmp_path / x) for x in labels])
+    monkeypatch.setattr(ingest, "BUNDLES_A_FILE", 300, raising=False)
+    got = rows(QUERIES["stream_bundles"](spark, folder), "id", "subject")
+
+    def hashed(n):
+        return hmac.new(KEY, str(n).encode(), hashlib.sha256).hexdigest()
+
+    # Orders of customers who aren't there have no bundle.
+    assert got == sorted((hashed(i), f"Patient/{hashed(i % 70)}") for i in range(1200) if i % 70 < 60)
+    stored = spark.read.text(str(tmp_path / "bundles"))
+    text = stored.agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    assert sum(os.path.getsize(p) for p in (tmp_path / "bundles").glob("part-*")) * 5 < text
+    assert stored.groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0] <= 300
